@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parley.functions import text as X
+from parley.operators.lookup import one_per_key
 
 LINE_BREAK = "\n "
 
@@ -37,11 +38,6 @@ def clean_conversations(conversations: DataFrame) -> DataFrame:
     )
 
 
-def _one_per_key(df: DataFrame, key: str, *values: str) -> DataFrame:
-    """One row per key: the greatest value tuple, so that a lookup cannot fan out."""
-    return df.groupBy(key).agg(F.max(F.struct(*values)).alias("_v")).select(key, "_v.*")
-
-
 def stitch(spoken: DataFrame, min_turns: int = 1, segment: int = 1024) -> DataFrame:
     """``(conv_id, pos, utterance)`` to ``(conv_id, input, response, n_turns)``.
 
@@ -117,7 +113,7 @@ def build_dialogue(
     ``character_names`` null. Equal rows are merged before the details are joined, so the
     join meets every distinct row once; ``conv_id`` is the smallest of the merged ones.
     """
-    people = _one_per_key(characters, "character_id", "character_name")
+    people = one_per_key(characters, "character_id", ["character_name"])
     second = people.select(
         F.col("character_id").alias("character_id2"),
         F.col("character_name").alias("character_name2"),
