@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from string import Formatter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -104,11 +105,14 @@ def format_prompt(
 ) -> DataFrame:
     """Records to one ``text`` column; the six source columns are dropped."""
     rows = df if split is None else df.where(F.col("split") == split)
-    text = F.lit(template)
-    for name in ("instruction", "input", "response"):
-        text = X.fill_template(text, name, F.coalesce(F.col(name), F.lit("")))
-    text = X.fill_template(text, "context", context_text(df))
-    return rows.withColumn("text", F.concat(text, F.lit(eos))).drop(
+    values = {n: F.coalesce(F.col(n), F.lit("")) for n in ("instruction", "input", "response")}
+    values["context"] = context_text(df)
+    parts = []
+    for literal, name, _, _ in Formatter().parse(template):
+        parts.append(F.lit(literal))
+        if name is not None:
+            parts.append(values[name])
+    return rows.withColumn("text", F.concat(*parts, F.lit(eos))).drop(
         "split", "type", "instruction", "input", "context", "response"
     )
 

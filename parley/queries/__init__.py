@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from parley.queries import dialogue
+from parley.queries import assembly, cleaning, dialogue
 
-_MODULES = (dialogue,)
+_MODULES = (dialogue, cleaning, assembly)
 
 QUERIES = {name: fn for module in _MODULES for name, fn in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLE.items()}
