@@ -48,7 +48,7 @@ def speak(name: Column, utterance: Column) -> Column:
 
 def strip(text: Column) -> Column:
     """Trim all white space at both ends, line breaks included."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.btrim(text, F.lit(" \t\n\r\x0b\x0c"))
 
 
 def longest(first: Column, second: Column) -> Column:

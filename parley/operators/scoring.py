@@ -10,6 +10,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parley.functions import text as X
 from parley.operators.knn import matrix
@@ -60,33 +61,32 @@ def gram_counts(pairs: DataFrame, tokens, max_n: int) -> DataFrame:
     Both sides are exploded together, so one aggregation counts and matches them; it is
     combined on the map side. Every (pair, n) has a row of null gram and zero counts.
     """
-    def side(column: str, p: int, r: int) -> list[Column]:
-        words = tokens(X.strip(F.col(column)))
-        return [
-            F.transform(
-                X.ngrams(words, n),
-                lambda g, n=n: F.struct(
-                    F.lit(n).alias("n"), g.alias("gram"), F.lit(p).alias("p"), F.lit(r).alias("r")
-                ),
-            )
-            for n in range(1, max_n + 1)
-        ]
+    def tagged(words: str, n: int, p: int, r: int) -> Column:
+        tags = [F.lit(p).alias("p"), F.lit(r).alias("r")]
+        grams = X.ngrams(F.col(words), n)
+        return F.transform(grams, lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram"), *tags))
 
+    sizes = range(1, max_n + 1)
     anchors = F.array(
         *[
             F.struct(F.lit(n).alias("n"), F.lit(None).cast("string").alias("gram"),
                      F.lit(0).alias("p"), F.lit(0).alias("r"))
-            for n in range(1, max_n + 1)
+            for n in sizes
         ]
     )
-    everything = F.concat(anchors, *side("prediction", 1, 0), *side("reference", 0, 1))
-    known = pairs.select(
+    # the tokens are a column of their own, as the n-grams refer to them many times
+    words = pairs.select(
         "pair_id",
-        F.coalesce("prediction", F.lit("")).alias("prediction"),
-        F.coalesce("reference", F.lit("")).alias("reference"),
+        tokens(X.strip(F.coalesce("prediction", F.lit("")))).alias("_p"),
+        tokens(X.strip(F.coalesce("reference", F.lit("")))).alias("_r"),
+    )
+    everything = F.concat(
+        anchors,
+        *[tagged("_p", n, 1, 0) for n in sizes],
+        *[tagged("_r", n, 0, 1) for n in sizes],
     )
     return (
-        known.select("pair_id", F.explode(everything).alias("_g"))
+        words.select("pair_id", F.explode(everything).alias("_g"))
         .groupBy("pair_id", "_g.n", "_g.gram")
         .agg(F.sum("_g.p").alias("p"), F.sum("_g.r").alias("r"))
     )
@@ -189,12 +189,12 @@ def union_hits(references: Sequence[Sequence[str]], others: Sequence[Sequence[st
     return hits
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def _lcs(reference: pd.Series, other: pd.Series) -> pd.Series:
     return pd.Series([lcs_length(list(a), list(b)) for a, b in zip(reference, other)])
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def _union(reference: pd.Series, other: pd.Series) -> pd.Series:
     def lists(sentences):
         return [list(s) for s in sentences]

@@ -15,11 +15,22 @@ from parley.sources.writers import metrics_rows
 METRICS = ("bleu", "rouge1", "rouge2", "rougeL", "rougeLsum", "bertscore")
 
 
-def hashed_token_ids(text: F.Column, vectors: DataFrame) -> F.Column:
-    """Token ids for a vector table that numbers its rows from 0: the token's md5 number modulo its size."""
-    size = vectors.agg(F.greatest(F.count("*"), F.lit(1)).alias("n")).scalar()
-    numbers = F.transform(X.letter_tokens(text), lambda t: X.hash_number(F.md5(t)))
-    return F.transform(numbers, lambda x: x % size)
+def with_token_ids(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
+    """``pair_id, prediction_ids, reference_ids`` for a vector table numbered from 0.
+
+    A token's id is its md5 number modulo the size of the table.
+    """
+    size = max(vectors.count(), 1)
+
+    def ids(column: str) -> F.Column:
+        tokens = X.letter_tokens(F.coalesce(column, F.lit("")))
+        return F.transform(tokens, lambda t: X.hash_number(F.md5(t)) % size)
+
+    return pairs.select(
+        "pair_id",
+        ids("prediction").alias("prediction_ids"),
+        ids("reference").alias("reference_ids"),
+    )
 
 
 def evaluate(
@@ -49,13 +60,8 @@ def evaluate(
     if "bertscore" in metrics:
         if vectors is None:
             raise ValueError("bertscore needs token vectors")
-        ids = pairs.select(
-            "pair_id",
-            hashed_token_ids(F.col("prediction"), vectors).alias("prediction_ids"),
-            hashed_token_ids(F.col("reference"), vectors).alias("reference_ids"),
-        )
         parts.append(
-            S.bertscore(ids, vectors).agg(
+            S.bertscore(with_token_ids(pairs, vectors), vectors).agg(
                 *[F.avg(c).alias(f"bertscore_{c}") for c in ("precision", "recall", "f1")]
             )
         )

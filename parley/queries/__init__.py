@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from parley.queries import assembly, cleaning, dialogue, evaluation, vectors
+from parley.queries import assembly, cleaning, dialogue, evaluation, retrieval, vectors
 
-_MODULES = (dialogue, cleaning, assembly, vectors, evaluation)
+_MODULES = (dialogue, cleaning, assembly, vectors, retrieval, evaluation)
 
 QUERIES = {name: fn for module in _MODULES for name, fn in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLE.items()}

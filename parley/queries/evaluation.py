@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parley.operators import scoring as S
-from parley.plans.evaluate import evaluate, hashed_token_ids
+from parley.plans.evaluate import evaluate, with_token_ids
 from parley.queries import tables as T
 from parley.queries.tables import read, with_tables
 
@@ -150,17 +150,17 @@ def rouge_l(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # One recursion step per prediction token: the row of LCS lengths over the reference is renewed
 # from the last match at or before each position.
-_LCS_SQL = f"""l_tokens AS (
+_LCS_SQL = f"""l_tokens AS MATERIALIZED (
         SELECT pair_id, {_rouge_tokens('prediction')} AS pt, {_rouge_tokens('reference')} AS rt
         FROM evaluation_pairs),
     l_words AS (SELECT DISTINCT pair_id, rt, unnest(pt) AS word FROM l_tokens),
-    l_last AS (
+    l_last AS MATERIALIZED (
         SELECT pair_id, word, list(last_match ORDER BY pos) AS last_match FROM (
             SELECT pair_id, word, pos, max(CASE WHEN rt[pos] = word THEN pos END) OVER (
                        PARTITION BY pair_id, word ORDER BY pos) AS last_match
             FROM (SELECT pair_id, rt, word, unnest(range(1, len(rt) + 1)) AS pos FROM l_words))
         GROUP BY pair_id, word),
-    l_steps AS (
+    l_steps AS MATERIALIZED (
         SELECT pair_id, i, last_match FROM (
             SELECT pair_id, unnest(pt) AS word, unnest(range(1, len(pt) + 1)) AS i FROM l_tokens)
         JOIN l_last USING (pair_id, word)),
@@ -197,12 +197,7 @@ def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bertscore_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs, vectors = T.evaluation_pairs(spark, sf_dir), _vectors(spark, sf_dir)
-    ids = pairs.select(
-        "pair_id",
-        hashed_token_ids(F.col("prediction"), vectors).alias("prediction_ids"),
-        hashed_token_ids(F.col("reference"), vectors).alias("reference_ids"),
-    )
-    return S.bertscore(ids, vectors).select(
+    return S.bertscore(with_token_ids(pairs, vectors), vectors).select(
         "pair_id", *[F.round(c, 9).alias(c) for c in ("precision", "recall", "f1")]
     )
 
