@@ -138,10 +138,19 @@ def space_tokens(text: Column) -> Column:
 
 
 def ngrams(tokens: Column, n: int) -> Column:
-    """All runs of ``n`` tokens, joined by a space; empty if there are fewer tokens."""
-    starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - (n - 1)))
-    grams = F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, n), " "))
-    return F.coalesce(grams, F.array().cast("array<string>"))
+    """All runs of ``n`` tokens, joined by a space; empty if there are fewer tokens.
+
+    ``tokens`` should be a plain column, as it is referred to ``n`` times. Tokens are fetched
+    by position: a slice per run would copy the array each time.
+    """
+    starts = F.slice(tokens, 1, F.greatest(F.size(tokens) - (n - 1), F.lit(0)))
+    if n == 1:
+        return starts
+
+    def run(first: Column, i: Column) -> Column:
+        return F.concat_ws(" ", first, *[F.get(tokens, i + k) for k in range(1, n)])
+
+    return F.transform(starts, run)
 
 
 def seeded_hash(seed: int, *keys: str | Column) -> Column:

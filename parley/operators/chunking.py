@@ -13,27 +13,30 @@ from pyspark.sql import functions as F
 SEPARATORS = ("\n\n", "\n", " ", "")
 
 
-def fixed_chunks(text: Column, size: int, overlap: int) -> Column:
+def text_steps(text: Column, size: int, overlap: int) -> Column:
+    """The text cut into runs of ``size - overlap`` characters."""
+    step = _check(size, overlap)
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{step}}}"), F.lit(0))
+
+
+def fixed_chunks(text: Column, steps: Column, size: int, overlap: int) -> Column:
     """Array of windows of ``size`` characters that overlap by ``overlap``.
 
-    The text is cut once into steps of ``size - overlap`` characters and every window is a
-    step and the start of the ones after it, so the cost is linear in the text. An empty
-    text has one empty chunk.
+    Every window is one of the ``steps`` of the text, and the start of the ones after it, so
+    the cost is linear in the text. ``steps`` should be a plain column, as it is referred to
+    several times. An empty text has one empty chunk.
     """
     step = _check(size, overlap)
-    steps = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{step}}}"), F.lit(0))
     windows = F.greatest(F.ceil((F.length(text) - overlap) / step), F.lit(1)).cast("int")
-    following = -(-overlap // step)
+    chunks = F.slice(steps, 1, windows)
     if overlap:
-        chunks = F.transform(
-            F.slice(steps, 1, windows),
-            lambda piece, i: F.concat(
-                piece,
-                F.substring(F.array_join(F.slice(steps, i + 2, following), ""), 1, overlap),
-            ),
-        )
-    else:
-        chunks = F.slice(steps, 1, windows)
+        following = range(1, -(-overlap // step) + 1)
+
+        def window(piece: Column, i: Column) -> Column:
+            tail = F.concat_ws("", *[F.get(steps, i + k) for k in following])
+            return F.concat(piece, F.substring(tail, 1, overlap))
+
+        chunks = F.transform(chunks, window)
     return F.when(F.length(text) == 0, F.array(F.lit(""))).otherwise(chunks)
 
 
@@ -103,11 +106,14 @@ def recursive_chunks(text: Column, size: int, overlap: int,
     return cut(text)
 
 
-CHUNKERS = {"fixed": fixed_chunks, "recursive": recursive_chunks}
-
-
 def chunk(df: DataFrame, text: str, size: int, overlap: int, method: str = "recursive") -> DataFrame:
     """One row per chunk, with ``chunk_no`` from 0; all other columns are repeated."""
-    chunks = CHUNKERS[method](F.col(text), size, overlap)
     others = [c for c in df.columns if c != text]
+    if method == "recursive":
+        chunks = recursive_chunks(F.col(text), size, overlap)
+    elif method == "fixed":
+        df = df.withColumn("_steps", text_steps(F.col(text), size, overlap))
+        chunks = fixed_chunks(F.col(text), F.col("_steps"), size, overlap)
+    else:
+        raise ValueError(f"no chunker {method!r}")
     return df.select(*others, F.posexplode(chunks).alias("chunk_no", text))

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from parley.operators.knn import NO_SCORE, UNIT, matrix, search, units
 
@@ -36,29 +36,36 @@ def pick_diverse(scores: np.ndarray, pairs: np.ndarray, k: int, lam: float) -> l
 def with_diverse_rank(hits: DataFrame, index: DataFrame, k: int, lam: float = LAMBDA) -> DataFrame:
     """Add ``mmr_rank`` to hits: 1 to ``k`` for the picked ones, null for the others.
 
-    Groups hold one question's hits, whose number the search bounds.
+    A question's hits, whose number the search bounds, are gathered into one row; the picks
+    are then made for a whole Arrow batch of questions at a time.
     """
-    vectors = hits.join(index.select("chunk_id", "embedding"), "chunk_id")
-    schema = T.StructType(
-        [
-            *[T.StructField(f.name, f.dataType) for f in hits.schema],
-            T.StructField("mmr_rank", T.IntegerType()),
-        ]
+    gathered = (
+        hits.join(index.select("chunk_id", "embedding"), "chunk_id")
+        .groupBy("question_id")
+        .agg(
+            F.array_sort(
+                F.collect_list(F.struct("rank", "chunk_id", "score", "embedding"))
+            ).alias("hits")
+        )
+    )
+
+    @F.arrow_udf("array<int>")
+    def picks(scores: pa.Array, vectors: pa.Array) -> pa.Array:
+        values = scores.flatten().to_numpy(zero_copy_only=False).astype(float)
+        values = np.where(np.isnan(values), NO_SCORE / UNIT, values)
+        rows = matrix(vectors.flatten())
+        ranks = np.zeros(len(values), dtype=np.int32)
+        for start, end in pairwise(scores.offsets.to_pylist()):
+            pairs = units(rows[start:end] @ rows[start:end].T) / UNIT
+            chosen = pick_diverse(values[start:end], pairs, k, lam)
+            ranks[start + np.array(chosen)] = np.arange(1, len(chosen) + 1)
+        return pa.ListArray.from_arrays(scores.offsets, pa.array(ranks, mask=ranks == 0))
+
+    return (
+        gathered.withColumn("mmr_rank", picks("hits.score", "hits.embedding"))
+        .select("question_id", F.inline(F.arrays_zip("hits", "mmr_rank")))
+        .select("question_id", "hits.chunk_id", "hits.score", "hits.rank", "mmr_rank")
     )
-    columns = hits.columns
-
-    def run(group: pa.Table) -> pa.Table:
-        group = group.sort_by("rank")
-        rows = matrix(group.column("embedding"))
-        pairs = units(rows @ rows.T)
-        scores = group.column("score").to_numpy()
-        scores = np.where(np.isnan(scores.astype(float)), NO_SCORE / UNIT, scores.astype(float))
-        ranks: list[int | None] = [None] * len(rows)
-        for place, row in enumerate(pick_diverse(scores, pairs / UNIT, k, lam), start=1):
-            ranks[row] = place
-        return group.select(columns).append_column("mmr_rank", pa.array(ranks, pa.int32()))
-
-    return vectors.groupBy("question_id").applyInArrow(run, schema)
 
 
 def search_mmr(

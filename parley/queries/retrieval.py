@@ -16,6 +16,7 @@ from parley.plans import retrieval as R
 from parley.queries import tables as T
 from parley.queries.tables import read
 from parley.queries.vectors import fused_sql, hits_sql, mmr_sql
+from parley.session import materialise
 
 QUERIES = {}
 ORACLE = {}
@@ -26,7 +27,7 @@ FIXED_INFOS = replace(I.INFOS, chunker="fixed")
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "documents").select(
+    return read(spark, sf_dir, "documents", spread_by="doc_id").select(
         "doc_id",
         F.col("source").alias("movie_name"),
         F.col("lang").alias("genres"),
@@ -70,7 +71,7 @@ def embedded_sql(source: str, key: str, text: str, name: str) -> str:
 
 
 def chunk_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    docs = read(spark, sf_dir, "documents", spread_by="doc_id").select("doc_id", "source", "text")
     return chunk(docs, "text", 800, 150, "fixed")
 
 
@@ -80,7 +81,7 @@ ORACLE["chunk_fixed"] = f"""SELECT doc_id, source, chunk_no, chunk AS text
 
 
 def chunk_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    docs = read(spark, sf_dir, "documents", spread_by="doc_id").select("doc_id", "source", "text")
     return chunk(docs, "text", 1000, 200, "recursive")
 
 
@@ -88,7 +89,7 @@ QUERIES["chunk_recursive"] = chunk_recursive
 
 
 def hash_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select(
+    docs = read(spark, sf_dir, "documents", spread_by="doc_id").select(
         "doc_id", F.posexplode(hash_embedding(F.col("text"))).alias("slot", "weight")
     )
     return docs.withColumn("weight", F.round(F.col("weight").cast("double"), 6))
@@ -131,11 +132,12 @@ ORACLE["index_append"] = f"""WITH {_index_sql('info', FIXED_INFOS, _INFO_TEXT)}
 
 
 def _context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both collections are written once, as each is searched and then looked up by chunk."""
     docs = catalog(spark, sf_dir)
     return R.retrieve_context(
         questions(spark, sf_dir),
-        I.build_index(docs, "doc_id", FIXED_NAMES),
-        I.build_index(docs, "doc_id", FIXED_INFOS),
+        materialise(I.build_index(docs, "doc_id", FIXED_NAMES)),
+        materialise(I.build_index(docs, "doc_id", FIXED_INFOS)),
     )
 
 

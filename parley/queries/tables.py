@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parley.operators.ordering import ordered_concat
+from parley.sources.readers import scan
 
 
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def read(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
+    return scan(spark, f"{sf_dir}/{name}.parquet", spread_by)
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,7 +119,7 @@ def qa_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def evaluation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each answer of an assistant against the text of the turn before."""
-    turns = read(spark, sf_dir, "conversations")
+    turns = read(spark, sf_dir, "conversations", spread_by="conv_id")
     answers = turns.where("role = 'assistant'").select(
         "conv_id", "turn", F.col("text").alias("prediction")
     )
