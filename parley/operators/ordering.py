@@ -54,42 +54,61 @@ def small_concat(order: Column, text: Column, separator: str) -> Column:
     return _joined(order, text, separator)
 
 
-def hash_rank(
-    df: DataFrame,
-    strata: Sequence[str],
-    key: Sequence[str],
-    output: str = "rank",
-    seed: int = SEED,
-) -> DataFrame:
-    """Exact 1-based rank of each row in its stratum, in seeded md5 order of ``key``.
-
-    Rows are ranked inside (stratum, md5 prefix) buckets, which share out a stratum of any
-    size, and moved up by the number of rows in the buckets before. The running count only
-    sees 4,096 rows per stratum at most. ``key`` must be unique within a stratum.
-    """
-    digest = seeded_hash(seed, *key)
-    marked = df.withColumn("_digest", digest).withColumn(
+def hash_buckets(df: DataFrame, key: Sequence[str], seed: int = SEED) -> DataFrame:
+    """Add the seeded md5 of ``key`` as ``_digest`` and its prefix as ``_bucket``."""
+    return df.withColumn("_digest", seeded_hash(seed, *key)).withColumn(
         "_bucket", F.substring("_digest", 1, BUCKET_DIGITS)
     )
-    sizes = marked.groupBy(*strata, "_bucket").agg(F.count("*").alias("_size"))
+
+
+def bucket_offsets(sizes: DataFrame, strata: Sequence[str]) -> DataFrame:
+    """``strata, _bucket, _size`` to the number of rows in the earlier buckets of a stratum.
+
+    The running count sees 4,096 rows per stratum at most. Columns are renamed for a join.
+    """
     before = Window.partitionBy(*strata).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    offsets = sizes.select(
+    return sizes.select(
         *[F.col(s).alias(f"_o_{s}") for s in strata],
         F.col("_bucket").alias("_o_bucket"),
         F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"),
     )
+
+
+def rank_in_buckets(marked: DataFrame, offsets: DataFrame, strata: Sequence[str],
+                    key: Sequence[str]) -> DataFrame:
+    """Add ``_rank``: the rank inside the bucket, moved up by the bucket's offset."""
     within = Window.partitionBy(*strata, "_bucket").orderBy("_digest", *key)
-    ranked = marked.withColumn("_row", F.row_number().over(within))
     match = F.col("_bucket") == F.col("_o_bucket")
     for s in strata:
         match = match & F.col(s).eqNullSafe(F.col(f"_o_{s}"))
-    return ranked.join(offsets, match).select(
-        *df.columns, (F.col("_offset") + F.col("_row")).cast("long").alias(output)
+    return (
+        marked.withColumn("_row", F.row_number().over(within))
+        .join(offsets, match)
+        .withColumn("_rank", (F.col("_offset") + F.col("_row")).cast("long"))
     )
 
 
+def hash_rank(
+    df: DataFrame,
+    strata: Sequence[str],
+    key: Sequence[str],
+    output: str = "rank",
+    seed: int = SEED,
+) -> DataFrame:
+    """Exact 1-based rank of each row in its stratum, in seeded md5 order of ``key``.
+
+    Rows are ranked inside (stratum, md5 prefix) buckets, which share out a stratum of any
+    size, and moved up by the number of rows in the buckets before. ``key`` must be unique
+    within a stratum.
+    """
+    marked = hash_buckets(df, key, seed)
+    sizes = marked.groupBy(*strata, "_bucket").agg(F.count("*").alias("_size"))
+    ranked = rank_in_buckets(marked, bucket_offsets(sizes, strata), strata, key)
+    return ranked.select(*df.columns, F.col("_rank").alias(output))
+
+
 def prefix_totals(
     df: DataFrame,
     key: str,

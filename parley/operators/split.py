@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parley.operators.ordering import hash_rank
-from parley.session import SEED
+from parley.operators.ordering import bucket_offsets, hash_buckets, hash_rank, rank_in_buckets
+from parley.session import SEED, materialise
 
 _WIDE = "decimal(19,0)"
 
@@ -60,25 +60,31 @@ def stratified_split(
     Both sizes are exact. Every stratum gets its proportional share to within one row, first
     of train, then of test out of what is left. Rows are taken in seeded md5 order of
     ``id_cols``, which must be unique within a stratum. Rows of a null stratum are dropped.
+
+    The rows are read twice: to count them by (stratum, md5 prefix), and to rank them. All
+    quotas follow from the counts; counts and quotas of train are written to the shared folder,
+    as several later steps use them.
     """
-    rows = df.where(F.col(key).isNotNull())
-    n = rows.agg(F.count("*").alias("n"))
-    train_rows = n.select(F.floor(F.col("n") * F.lit(float(train))).cast("long")).scalar()
-    test_rows = n.select(F.floor(F.col("n") * F.lit(float(test))).cast("long")).scalar()
-    strata = rows.groupBy(key).agg(F.count("*").alias("_n"))
-    quotas = _quota(strata, key, "_n", train_rows, "_train", seed).withColumn(
-        "_remaining", F.col("_n") - F.col("_train")
+    marked = hash_buckets(df.where(F.col(key).isNotNull()), id_cols, seed)
+    sizes = materialise(marked.groupBy(key, "_bucket").agg(F.count("*").alias("_size")))
+    n = F.coalesce(F.sum("_size"), F.lit(0))
+    train_rows, test_rows = (
+        sizes.select(F.floor(n * F.lit(float(share))).cast("long")).scalar()
+        for share in (train, test)
     )
+    strata = sizes.groupBy(key).agg(F.sum("_size").alias("_n"))
+    trained = _quota(strata, key, "_n", train_rows, "_train", seed)
+    quotas = materialise(trained.withColumn("_remaining", F.col("_n") - F.col("_train")))
     quotas = _quota(quotas, key, "_remaining", test_rows, "_test", seed).select(
-        F.col(key).alias("_key"), "_train", "_test"
+        F.col(key).alias(f"_o_{key}"), "_train", "_test"
     )
-    ranked = hash_rank(rows, [key], id_cols, "_rank", seed)
+    places = bucket_offsets(sizes, [key]).join(quotas, f"_o_{key}")
     split = (
         F.when(F.col("_rank") <= F.col("_train"), "train")
         .when(F.col("_rank") <= F.col("_train") + F.col("_test"), "test")
         .otherwise("val")
     )
-    return ranked.join(quotas, F.col(key) == F.col("_key")).select(
+    return rank_in_buckets(marked, places, [key], id_cols).select(
         *df.columns, split.alias("split")
     )
 

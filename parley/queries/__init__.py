@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
-from parley.queries import assembly, cleaning, dialogue, evaluation, retrieval, vectors
+from parley.queries import (
+    assembly,
+    cleaning,
+    dialogue,
+    evaluation,
+    retrieval,
+    streams,
+    vectors,
+)
 
-_MODULES = (dialogue, cleaning, assembly, vectors, retrieval, evaluation)
+_MODULES = (dialogue, cleaning, assembly, vectors, retrieval, evaluation, streams)
 
 QUERIES = {name: fn for module in _MODULES for name, fn in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLE.items()}
