@@ -37,7 +37,7 @@ def matrix(vectors: pa.ChunkedArray | pa.Array) -> np.ndarray:
     if isinstance(vectors, pa.ChunkedArray):
         vectors = vectors.combine_chunks()
     flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    rows = flat.reshape(len(vectors), -1)
+    rows = flat.reshape(len(vectors), len(flat) // max(len(vectors), 1))
     norms = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
     with np.errstate(invalid="ignore", divide="ignore"):
         return np.where(norms > 0, rows / norms, np.nan)

@@ -56,6 +56,7 @@ def generate_questions(
 ) -> DataFrame:
     """Up to one question per entity and attribute; null and ``Unknown`` attributes get none.
 
+    Question, answer and task replace the entity's ``utterance``, ``response``, ``instruction``.
     The wording is picked by ``md5(key:attribute:seed)``. Everything happens in one
     projection: the templates are literals and nothing is joined or shuffled.
     """
@@ -72,7 +73,13 @@ def generate_questions(
     return (
         entities.withColumn("_fact", F.explode(F.array(*facts)))
         .where(F.col("_fact.response").isNotNull() & (F.col("_fact.response") != "Unknown"))
-        .select("*", "_fact.*", F.lit(QA_INSTRUCTION).alias("instruction"))
+        .withColumns(
+            {
+                "utterance": F.col("_fact.utterance"),
+                "response": F.col("_fact.response"),
+                "instruction": F.lit(QA_INSTRUCTION),
+            }
+        )
         .drop("_fact")
     )
 

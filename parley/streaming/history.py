@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,6 @@ from parley.schemas import MESSAGES
 OUTPUT = "conv_id long, turn long, n_history long, history_chars long"
 STATE = "last_turn long, n_history long, chars long"
 FILES_PER_BATCH = 100
-IDLE_MS = 24 * 60 * 60 * 1000
 
 
 def read_messages(
@@ -31,13 +31,13 @@ def read_messages(
 
 
 def remember(
-    key: tuple[int], batches: Iterator[pd.DataFrame], state: GroupState
+    key: tuple[int], batches: Iterator[pd.DataFrame], state: GroupState, idle_ms: int | None = None
 ) -> Iterator[pd.DataFrame]:
     """Fold new messages into three numbers per conversation.
 
     Texts stay in the message table, only their lengths come here. A turn that is not after
     the last one seen is a repeated delivery and is dropped. An idle conversation is
-    forgotten after the time-out.
+    forgotten after the time-out, if there is one.
     """
     if state.hasTimedOut:
         state.remove()
@@ -62,21 +62,26 @@ def remember(
             int(new["turn"].iloc[-1]), int(counts.iloc[-1]), int(totals.iloc[-1]),
         )
     state.update((last_turn, count, chars))
-    state.setTimeoutDuration(IDLE_MS)
+    if idle_ms is not None:
+        state.setTimeoutDuration(idle_ms)
 
 
-def running_history(messages: DataFrame) -> DataFrame:
+def running_history(messages: DataFrame, idle_ms: int | None = None) -> DataFrame:
     """``conv_id, turn, n_history, history_chars`` for a stream of messages.
 
     Equals ``history_before`` of the whole table, as long as the turns of a conversation
-    arrive in order from one batch to the next.
+    arrive in order from one batch to the next. ``idle_ms`` is for streams that never end: a
+    time-out keeps a run that takes up all there is from stopping.
     """
     counted = F.col("role").isin(*SPEAKERS) & F.col("text").isNotNull()
     sizes = messages.select(
         "conv_id", "turn", F.when(counted, F.length("text")).cast("long").alias("chars")
     )
+    timeout = (
+        GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout
+    )
     return sizes.groupBy("conv_id").applyInPandasWithState(
-        remember, OUTPUT, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
+        partial(remember, idle_ms=idle_ms), OUTPUT, STATE, "append", timeout
     )
 
 
