@@ -116,7 +116,7 @@ BLEU_RULES = (
     ("&gt;", ">"),
 )
 BLEU_SPACING = (
-    (r"([\{-\~\[-\` -\&\(-\+\:-\@\/])", " $1 "),
+    (r"([\{-\~\[-\`!-\&\(-\+\:-\@\/])", " $1 "),  # without the space, which splits anyway
     (r"([^0-9])([\.,])", "$1 $2 "),
     (r"([\.,])([^0-9])", " $1 $2"),
     (r"([0-9])(-)", "$1 $2 "),
@@ -137,22 +137,6 @@ def space_tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(r"\S+"), F.lit(0))
 
 
-def ngrams(tokens: Column, n: int) -> Column:
-    """All runs of ``n`` tokens, joined by a space; empty if there are fewer tokens.
-
-    ``tokens`` should be a plain column, as it is referred to ``n`` times. Tokens are fetched
-    by position: a slice per run would copy the array each time.
-    """
-    starts = F.slice(tokens, 1, F.greatest(F.size(tokens) - (n - 1), F.lit(0)))
-    if n == 1:
-        return starts
-
-    def run(first: Column, i: Column) -> Column:
-        return F.concat_ws(" ", first, *[F.get(tokens, i + k) for k in range(1, n)])
-
-    return F.transform(starts, run)
-
-
 def seeded_hash(seed: int, *keys: str | Column) -> Column:
     """The md5 text that stands for every random choice in this package."""
     return F.md5(F.concat_ws(":", *keys, F.lit(str(seed))))

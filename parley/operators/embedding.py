@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from hashlib import md5
 
 import numpy as np
 import pandas as pd
@@ -16,34 +17,33 @@ from parley.functions import text as X
 DIMENSIONS = 64
 
 
-def hash_slots(text: Column, dim: int = DIMENSIONS) -> Column:
-    """The hashed slot of each token: below ``dim`` it counts up, above it counts down."""
-    return F.transform(
-        X.letter_tokens(text), lambda t: (X.hash_number(F.md5(t)) % (2 * dim)).cast("int")
-    )
+def hash_slot(token: str, dim: int) -> int:
+    """The slot of a token: below ``dim`` it counts up, above it counts down."""
+    return int(md5(token.encode()).hexdigest()[:8], 16) % (2 * dim)
 
 
 def hash_embedding(text: Column, dim: int = DIMENSIONS) -> Column:
     """Signed feature hashing of the tokens, scaled to unit length; no tokens give zeros.
 
-    Tokens are cut and hashed in the JVM. Arrow hands the slots over as one flat array per
-    batch, which is counted without a loop over rows.
+    Texts are cut into tokens in the JVM. Arrow hands them over as one flat array per batch:
+    each distinct token is hashed once, and counting has no loop over rows.
     """
 
     @F.arrow_udf("array<float>")
-    def count(slots: pa.Array) -> pa.Array:
-        lengths = np.diff(slots.offsets.to_numpy())
-        flat = slots.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        rows = np.repeat(np.arange(len(slots)), lengths)
-        cells = rows * dim + flat % dim
+    def count(tokens: pa.Array) -> pa.Array:
+        n = len(tokens)
+        coded = tokens.flatten().dictionary_encode()
+        slots = np.array([hash_slot(t, dim) for t in coded.dictionary.to_pylist()], dtype=np.int64)
+        flat = slots[coded.indices.to_numpy()]
+        rows = np.repeat(np.arange(n), np.diff(tokens.offsets.to_numpy()))
         signs = np.where(flat < dim, 1.0, -1.0)
-        counts = np.bincount(cells, signs, minlength=len(slots) * dim).reshape(len(slots), dim)
+        counts = np.bincount(rows * dim + flat % dim, signs, minlength=n * dim).reshape(n, dim)
         norms = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
         unit = np.divide(counts, norms, out=np.zeros_like(counts), where=norms > 0)
-        offsets = np.arange(0, (len(slots) + 1) * dim, dim, dtype=np.int32)
+        offsets = np.arange(0, (n + 1) * dim, dim, dtype=np.int32)
         return pa.ListArray.from_arrays(offsets, pa.array(unit.ravel().astype(np.float32)))
 
-    return count(F.coalesce(hash_slots(text, dim), F.array().cast("array<int>")))
+    return count(X.letter_tokens(F.coalesce(text, F.lit(""))))
 
 
 def apply_model(

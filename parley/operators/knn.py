@@ -25,11 +25,11 @@ from pyspark.sql import types as T
 DIGITS = 6
 UNIT = 10**DIGITS
 NO_SCORE = -(2 * UNIT)  # below every cosine: ranks last
-QUESTION_SLICE = 512
+CELLS = 4_000_000  # scores held at a time
 
 MAX_LOCAL_QUESTIONS = 4096
-BLOCK_QUESTIONS = 2048
-BLOCK_ROWS = 32768
+BLOCK_QUESTIONS = 8192
+BLOCK_ROWS = 8192
 
 
 def matrix(vectors: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -60,9 +60,10 @@ def best_of(questions: np.ndarray, index: np.ndarray, k: int) -> tuple[np.ndarra
     return top, np.take_along_axis(scores, top, axis=1)
 
 
-def _blocks(n: int) -> Iterator[slice]:
-    for start in range(0, n, QUESTION_SLICE):
-        yield slice(start, start + QUESTION_SLICE)
+def _slices(n_questions: int, n_rows: int) -> Iterator[slice]:
+    step = max(1, CELLS // max(n_rows, 1))
+    for start in range(0, n_questions, step):
+        yield slice(start, start + step)
 
 
 class _Best:
@@ -92,7 +93,7 @@ class _Best:
     def add(self, rows: np.ndarray, keys: np.ndarray, vectors: np.ndarray) -> None:
         order = np.argsort(keys, kind="stable")
         keys, vectors = keys[order], vectors[order]
-        for part in _blocks(len(rows)):
+        for part in _slices(len(rows), len(keys)):
             some = rows[part]
             top, scores = best_of(self.vectors[some], vectors, self.k)
             floor = self.scores[some, -1]

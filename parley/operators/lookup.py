@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from parley.functions import text as X
 from parley.operators.ordering import first_by, hash_rank
-from parley.session import SEED
+from parley.session import SEED, materialise
 
 
 def one_per_key(df: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
@@ -108,8 +108,12 @@ def entity_rollup(df: DataFrame, key: str, order: str, firsts: Sequence[str],
 
 
 def prune_rare(df: DataFrame, key: str, min_count: int) -> DataFrame:
-    """Keep rows whose key occurs more than ``min_count`` times."""
-    frequent = (
+    """Keep rows whose key occurs more than ``min_count`` times.
+
+    The frequent keys are written first: the planner then knows their size, and broadcasts
+    them below its threshold instead of shuffling the rows by a key that may be skewed.
+    """
+    frequent = materialise(
         df.where(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.count("*").alias("_n"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -55,59 +55,83 @@ def decode(df: DataFrame, key: str, ids: str, vocabulary: DataFrame,
 # --- n-grams ---------------------------------------------------------------------------------
 
 
-def gram_counts(pairs: DataFrame, tokens, max_n: int) -> DataFrame:
-    """``pair_id, n, gram, p, r``: how often each n-gram occurs on both sides of a pair.
+def common_grams(prediction: pa.ListArray, reference: pa.ListArray, max_n: int) -> np.ndarray:
+    """Shared n-grams of each pair of token lists, repeated ones as often as both have them.
 
-    Both sides are exploded together, so one aggregation counts and matches them; it is
-    combined on the map side. Every (pair, n) has a row of null gram and zero counts.
+    One row per pair, one column per n. Tokens and n-grams are numbered for the whole batch at
+    once, so there is no loop over pairs or tokens.
+    """
+    sides = (prediction, reference)
+    n_pairs = len(prediction)
+    codes = pa.concat_arrays([s.flatten() for s in sides]).dictionary_encode().indices.to_numpy()
+    lengths = [np.diff(s.offsets.to_numpy()) for s in sides]
+    ends = np.concatenate(lengths).cumsum()
+    left = np.repeat(ends, np.concatenate(lengths)) - np.arange(len(codes))  # tokens to the end
+    row = np.concatenate([np.repeat(np.arange(n_pairs), n) for n in lengths])
+    is_prediction = np.arange(len(codes)) < lengths[0].sum()
+    base = int(codes.max(initial=0)) + 1
+    shared = np.zeros((n_pairs, max_n), dtype=np.int64)
+    grams = codes.astype(np.int64)
+    for n in range(1, max_n + 1):
+        at = np.flatnonzero(left >= n)
+        if n > 1:
+            grams[at], _ = pd.factorize(grams[at] * base + codes[at + n - 1])
+        keys, found = pd.factorize(row[at] * (int(grams.max(initial=0)) + 1) + grams[at])
+        mine = is_prediction[at]
+        counts = [np.bincount(keys[m], minlength=len(found)) for m in (mine, ~mine)]
+        owner = np.zeros(len(found), dtype=np.int64)
+        owner[keys] = row[at]
+        shared[:, n - 1] = np.bincount(owner, np.minimum(*counts), minlength=n_pairs)
+    return shared
+
+
+def gram_matches(pairs: DataFrame, tokens: Callable[[Column], Column], max_n: int) -> DataFrame:
+    """``pair_id`` and, for each n, ``match{n}, p{n}, r{n}``: shared n-grams and those of each side.
+
+    A pair is one row, so its n-grams are matched where it is. Counting them by an exploded
+    aggregation would shuffle every n-gram of the corpus.
     """
-    def tagged(words: str, n: int, p: int, r: int) -> Column:
-        tags = [F.lit(p).alias("p"), F.lit(r).alias("r")]
-        grams = X.ngrams(F.col(words), n)
-        return F.transform(grams, lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram"), *tags))
-
     sizes = range(1, max_n + 1)
-    anchors = F.array(
-        *[
-            F.struct(F.lit(n).alias("n"), F.lit(None).cast("string").alias("gram"),
-                     F.lit(0).alias("p"), F.lit(0).alias("r"))
-            for n in sizes
-        ]
-    )
-    # the tokens are a column of their own, as the n-grams refer to them many times
+
+    @F.arrow_udf("array<bigint>")
+    def match(prediction: pa.Array, reference: pa.Array) -> pa.Array:
+        shared = common_grams(prediction, reference, max_n)
+        offsets = np.arange(0, shared.size + 1, max_n, dtype=np.int32)
+        return pa.ListArray.from_arrays(offsets, pa.array(shared.ravel()))
+
     words = pairs.select(
         "pair_id",
         tokens(X.strip(F.coalesce("prediction", F.lit("")))).alias("_p"),
         tokens(X.strip(F.coalesce("reference", F.lit("")))).alias("_r"),
-    )
-    everything = F.concat(
-        anchors,
-        *[tagged("_p", n, 1, 0) for n in sizes],
-        *[tagged("_r", n, 0, 1) for n in sizes],
-    )
-    return (
-        words.select("pair_id", F.explode(everything).alias("_g"))
-        .groupBy("pair_id", "_g.n", "_g.gram")
-        .agg(F.sum("_g.p").alias("p"), F.sum("_g.r").alias("r"))
+    ).withColumn("_match", match("_p", "_r"))
+
+    def grams(column: str, n: int) -> Column:
+        return F.greatest(F.size(column) - (n - 1), F.lit(0))
+
+    return words.select(
+        "pair_id",
+        *[F.get("_match", F.lit(n - 1)).alias(f"match{n}") for n in sizes],
+        *[grams("_p", n).alias(f"p{n}") for n in sizes],
+        *[grams("_r", n).alias(f"r{n}") for n in sizes],
     )
 
 
 def bleu(pairs: DataFrame, max_n: int = 4) -> DataFrame:
     """One row ``bleu``: corpus BLEU against one reference per prediction, not smoothed."""
-    totals = gram_counts(pairs, X.bleu_tokens, max_n).groupBy("n").agg(
-        F.sum(F.least("p", "r")).alias("match"), F.sum("p").alias("p"), F.sum("r").alias("r")
-    )
-    one = totals.agg(
-        F.min("match").alias("least"),
-        F.avg(F.when(F.col("match") > 0, F.log(F.col("match") / F.col("p")))).alias("mean_log"),
-        F.max(F.when(F.col("n") == 1, F.col("p"))).alias("length"),
-        F.max(F.when(F.col("n") == 1, F.col("r"))).alias("reference_length"),
+    sizes = range(1, max_n + 1)
+    totals = gram_matches(pairs, X.bleu_tokens, max_n).agg(
+        F.sum("p1").alias("length"),
+        F.sum("r1").alias("reference_length"),
+        *[F.sum(f"match{n}").alias(f"m{n}") for n in sizes],
+        *[F.sum(f"p{n}").alias(f"p{n}") for n in sizes],
     )
+    logs = sum(F.log(F.col(f"m{n}") / F.col(f"p{n}")) for n in sizes)
     brevity = F.when(F.col("length") > F.col("reference_length"), 1.0).otherwise(
         F.exp(1 - F.col("reference_length") / F.col("length"))
     )
-    return one.select(
-        F.when(F.col("least") > 0, F.exp("mean_log") * brevity).otherwise(0.0).alias("bleu")
+    least = F.least(*[F.col(f"m{n}") for n in sizes])
+    return totals.select(
+        F.when(least > 0, F.exp(logs / max_n) * brevity).otherwise(0.0).alias("bleu")
     )
 
 
@@ -118,12 +142,13 @@ def f1(match: Column, p: Column, r: Column) -> Column:
 
 def rouge_n(pairs: DataFrame, max_n: int = 2, unicode: bool = False) -> DataFrame:
     """``pair_id, rouge1, rouge2, ...``: n-gram F1 of each pair."""
-    counts = gram_counts(pairs, lambda c: X.rouge_tokens(c, unicode), max_n)
-    scored = counts.groupBy("pair_id", "n").agg(
-        f1(F.sum(F.least("p", "r")), F.sum("p"), F.sum("r")).alias("f1")
-    )
-    return scored.groupBy("pair_id").agg(
-        *[F.max(F.when(F.col("n") == n, F.col("f1"))).alias(f"rouge{n}") for n in range(1, max_n + 1)]
+    matches = gram_matches(pairs, lambda c: X.rouge_tokens(c, unicode), max_n)
+    return matches.select(
+        "pair_id",
+        *[
+            f1(F.col(f"match{n}"), F.col(f"p{n}"), F.col(f"r{n}")).alias(f"rouge{n}")
+            for n in range(1, max_n + 1)
+        ],
     )
 
 

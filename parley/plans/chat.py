@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from parley.functions import text as X
 from parley.operators.ordering import ordered_concat, prefix_totals
+from parley.session import materialise
 
 # The prompt wording and the default task.
 SYSTEM_TEXT = """You are an experienced assistant specializing in question-answering tasks.
@@ -67,11 +68,11 @@ def history_of(chosen: DataFrame, messages: DataFrame) -> DataFrame:
 
 
 def summarise_history(messages: DataFrame, sentences: int = 3) -> DataFrame:
-    """``conv_id, summary``: the sentences with the commonest words of a conversation, in order.
+    """``conv_id, summary``: the sentences with the commonest words, in order.
 
-    A sentence scores the mean count of its words within the conversation. Words are counted
-    per (conversation, word) and sentences per (message, sentence), so a long conversation is
-    spread over many groups; before the ranking, every task keeps its own best sentences only.
+    A sentence scores the mean number of times that its words occur in all messages. The words
+    of a sentence are in one task, so they are averaged before the shuffle; before the
+    ranking, every task keeps its own best sentences of a conversation only.
     """
     said = messages.where(F.col("role").isin(*SPEAKERS)).select("conv_id", "turn", "text")
     parts = said.select(
@@ -84,14 +85,12 @@ def summarise_history(messages: DataFrame, sentences: int = 3) -> DataFrame:
     words = parts.select(
         "conv_id", "turn", "no", F.explode(X.letter_tokens(F.col("sentence"))).alias("word")
     )
-    in_sentence = words.groupBy("conv_id", "word", "turn", "no").agg(F.count("*").alias("n"))
-    in_conversation = words.groupBy("conv_id", "word").agg(F.count("*").alias("total"))
+    # written, so that the planner knows its size and does not shuffle the words for a small one
+    counts = materialise(words.groupBy("word").agg(F.count("*").alias("total")))
     scores = (
-        in_sentence.join(in_conversation, ["conv_id", "word"])
+        words.join(counts, "word")
         .groupBy("conv_id", "turn", "no")
-        .agg(
-            F.round(F.sum(F.col("n") * F.col("total")) / F.sum("n"), 6).alias("score"),
-        )
+        .agg(F.round(F.avg("total"), 6).alias("score"))
     )
     best = Window.partitionBy("conv_id").orderBy(F.desc("score"), "turn", "no")
     kept = scores.withColumn("place", F.row_number().over(best)).where(F.col("place") <= sentences)

@@ -232,11 +232,11 @@ ORACLE["history_summary"] = r"""
     words AS (
         SELECT conv_id, turn, no, unnest(regexp_extract_all(lower(sentence), '[\p{L}\p{N}]+')) AS word
         FROM parts WHERE sentence <> ''),
-    totals AS (SELECT conv_id, word, count(*) AS total FROM words GROUP BY ALL),
+    totals AS (SELECT word, count(*) AS total FROM words GROUP BY ALL),
     best AS (
         SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY score DESC, turn, no) AS place FROM (
             SELECT conv_id, turn, no, round(sum(total) / count(*)::double, 6) AS score
-            FROM words JOIN totals USING (conv_id, word) GROUP BY conv_id, turn, no))
+            FROM words JOIN totals USING (word) GROUP BY conv_id, turn, no))
     SELECT conv_id, string_agg(sentence, ' ' ORDER BY turn, no) AS summary
     FROM best JOIN parts USING (conv_id, turn, no) WHERE place <= 3 GROUP BY conv_id"""
 

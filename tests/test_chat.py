@@ -57,6 +57,9 @@ def test_summary(frame):
     text = "Cats eat fish. Dogs run! Cats like fish. It rains."
     got = M.summarise_history(frame([(1, 0, "user", text)], KIND), 2).first().summary
     assert got == "Cats eat fish. Cats like fish."
+    spread = frame([(1, 0, "user", "Dogs run. Cows moo."), (2, 0, "user", "Moo cows moo!")], KIND)
+    best = {r.conv_id: r.summary for r in M.summarise_history(spread, 1).collect()}
+    assert best == {1: "Cows moo.", 2: "Moo cows moo!"}
 
 
 def corpus(frame):

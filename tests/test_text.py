@@ -67,13 +67,6 @@ def test_tokens(frame):
                     "Ending"]]
 
 
-def test_ngrams(frame):
-    rows = [["a", "b", "c"], ["a"], []]
-    assert values(frame, "array<string>", rows, lambda c: X.ngrams(c, 1)) == rows
-    assert values(frame, "array<string>", rows, lambda c: X.ngrams(c, 2)) == [["a b", "b c"], [], []]
-    assert values(frame, "array<string>", rows, lambda c: X.ngrams(c, 3)) == [["a b c"], [], []]
-
-
 def test_names(frame):
     rows = frame([([("a",), ("",), (None,), ("b",)],)], "p array<struct<name: string>>")
     assert rows.select(X.present_names(F.col("p"))).first()[0] == ["a", "b"]
