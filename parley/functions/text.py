@@ -51,6 +51,11 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(" \t\n\r\x0b\x0c"))
 
 
+def same_text(first: Column, second: Column) -> Column:
+    """Equal, whatever the case."""
+    return F.lower(first) == F.lower(second)
+
+
 def longest(first: Column, second: Column) -> Column:
     """The longer text; the first one on a tie."""
     return F.when(F.length(first) >= F.length(second), first).otherwise(second)

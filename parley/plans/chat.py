@@ -133,6 +133,21 @@ def prompt_messages() -> F.Column:
     )
 
 
+def until_exit(messages: DataFrame, word: str = "exit") -> DataFrame:
+    """Messages before the one with which the user of a conversation ends it, in any case."""
+    ends = (
+        messages.where((F.col("role") == "user") & X.same_text(F.col("text"), F.lit(word)))
+        .groupBy("conv_id")
+        .agg(F.min("turn").alias("_end"))
+    )
+    open_ended = F.col("_end").isNull()
+    return (
+        messages.join(ends, "conv_id", "left")
+        .where(open_ended | (F.col("turn") < F.col("_end")))
+        .select(*messages.columns)
+    )
+
+
 def append_turns(messages: DataFrame, answers: DataFrame) -> DataFrame:
     """New messages: the question and the answer of each ``conv_id, question, answer`` row.
 

@@ -33,6 +33,28 @@ def with_token_ids(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     )
 
 
+def decoded_pairs(
+    df: DataFrame,
+    key: str,
+    vocabulary: DataFrame,
+    logits: str | None = None,
+    predicted: str | None = None,
+    labels: str = "labels",
+    pad: int = 0,
+    specials: Sequence[int] = (0,),
+) -> DataFrame:
+    """``pair_id, prediction, reference`` texts from logits or predicted ids, and padded label ids."""
+    if (logits is None) == (predicted is None):
+        raise ValueError("give either logits or predicted")
+    ids = S.argmax_ids(F.col(logits)) if logits else F.col(predicted)
+    rows = df.select(key, ids.alias("_p"), S.unmask(F.col(labels), pad).alias("_r"))
+    prediction = S.decode(rows, key, "_p", vocabulary, specials)
+    reference = S.decode(rows, key, "_r", vocabulary, specials)
+    return prediction.withColumnRenamed("text", "prediction").join(
+        reference.withColumnRenamed("text", "reference"), key
+    ).withColumnRenamed(key, "pair_id")
+
+
 def evaluate(
     pairs: DataFrame,
     run_id: str,

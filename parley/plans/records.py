@@ -117,6 +117,19 @@ def format_prompt(
     )
 
 
+def training_texts(
+    records: DataFrame, template: str = PROMPT_TEMPLATE, eos: str = "</s>", limit: int = 1024
+) -> dict[str, DataFrame]:
+    """``train`` and ``val`` prompts, cut to ``limit`` tokens.
+
+    On a table partitioned by split, each of the two reads its own files only.
+    """
+    return {
+        split: truncate_tokens(format_prompt(records, template, eos, split), "text", limit)
+        for split in ("train", "val")
+    }
+
+
 def truncate_tokens(df: DataFrame, text: str, limit: int = 1024) -> DataFrame:
     """Keep the first ``limit`` tokens; adds the token count and whether any was cut off."""
     return (

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +34,12 @@ def build_session(app: str = "parley", cpus: str = "*", **conf: str) -> SparkSes
     return spark
 
 
+@cache
+def _local_folder() -> tempfile.TemporaryDirectory:
+    """A folder that goes when the Python process ends."""
+    return tempfile.TemporaryDirectory(prefix="parley-checkpoint-", ignore_cleanup_errors=True)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``.
 
@@ -46,7 +53,7 @@ def shared_dir(spark: SparkSession) -> str:
     if folder is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="parley-checkpoint-")
+        folder = _local_folder().name
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder

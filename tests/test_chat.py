@@ -38,6 +38,13 @@ def test_long_conversation(frame):
     assert M.history_of(chosen, messages).first().history == " ".join(f"t{i}" for i in range(2500))
 
 
+def test_exit_ends_a_conversation(frame):
+    rows = [*ROWS, (3, 0, "user", "hi"), (3, 1, "user", "EXIT"), (3, 2, "user", "late"),
+            (4, 0, "assistant", "exit")]
+    kept = {(r.conv_id, r.turn) for r in M.until_exit(frame(rows, KIND)).collect()}
+    assert kept == {(c, t) for c, t, _, _ in rows} - {(3, 1), (3, 2)}
+
+
 def test_append(frame):
     answers = frame([(1, "q", "a"), (9, "q9", "a9")], "conv_id long, question string, answer string")
     got = {tuple(r) for r in M.append_turns(frame(ROWS, KIND), answers).collect()}

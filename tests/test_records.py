@@ -85,6 +85,14 @@ def test_prompt(frame):
     assert R.format_prompt(rows, split="val").count() == 0
 
 
+def test_training_texts(frame):
+    records = R.to_instruction_rows(
+        base(frame).withColumn("split", F.when(F.col("conv_id") == 1, "val").otherwise("train")), "dialogue")
+    texts = R.training_texts(records, "{input} {response}", "", 1)
+    assert {r.kept_text for r in texts["train"].collect()} == {"hi2", "x"}
+    assert [(r.n_tokens, r.kept_text) for r in texts["val"].collect()] == [(2, "hi")]
+
+
 def test_truncate(frame):
     rows = frame([(1, " a  b c"), (2, "a b"), (3, "")], "i int, t string")
     got = R.truncate_tokens(rows, "t", 2).orderBy("i").collect()

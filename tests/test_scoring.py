@@ -7,7 +7,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from parley.operators import scoring as S
-from parley.plans.evaluate import evaluate
+from parley.plans.evaluate import decoded_pairs, evaluate
 
 WORDS = st.lists(st.sampled_from("abcd"), max_size=12)
 
@@ -147,6 +147,15 @@ def test_ids(frame):
     assert {r.k: r.text for r in S.decode(ids, "k", "ids", words).collect()} == {"x": "you hi you", "y": "", "z": ""}
 
 
+def test_decoded_pairs(frame):
+    words = frame([(0, "<pad>"), (1, "hi"), (2, "you")], "token_id int, token string")
+    rows = frame([(7, [[0.0, 1.0, 0.5], [0.0, 0.0, 9.0]], [2, 1, -100])],
+                 "k int, l array<array<double>>, labels array<int>")
+    assert tuple(decoded_pairs(rows, "k", words, logits="l").first()) == (7, "hi you", "you hi")
+    with pytest.raises(ValueError):
+        decoded_pairs(rows, "k", words)
+
+
 def test_evaluate(frame, vectors):
     pairs = pairs_of(frame, [("one two three four", "one two three four")])
     got = {r.metric: r.value for r in evaluate(pairs, "r", vectors=vectors).collect()}
