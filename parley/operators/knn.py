@@ -72,8 +72,12 @@ class _Best:
     def __init__(self, questions: pa.Table, k: int):
         self.ids = questions.column("question_id").combine_chunks()
         self.vectors = matrix(questions.column("embedding"))
-        wanted = questions.column("wanted").to_numpy() if "wanted" in questions.column_names else None
-        self.wanted = wanted
+        self.wanted: dict[str | None, np.ndarray] | None = None
+        if "wanted" in questions.column_names:
+            groups: dict[str | None, list[int]] = {}
+            for row, value in enumerate(questions.column("wanted").to_pylist()):
+                groups.setdefault(value, []).append(row)
+            self.wanted = {value: np.array(rows) for value, rows in groups.items()}
         self.k = k
         self.keys: np.ndarray | None = None
         self.scores = np.full((len(self.ids), k), NO_SCORE - 1, dtype=np.int64)
@@ -106,19 +110,17 @@ class _Best:
             return
         keys = np.array(batch.column("chunk_id").to_pylist())
         vectors = matrix(batch.column("embedding"))
-        everyone = np.arange(len(self.ids))
         if self.wanted is None:
-            self.add(everyone, keys, vectors)
+            self.add(np.arange(len(self.ids)), keys, vectors)
             return
-        free = np.array([w is None for w in self.wanted])
-        if free.any():
-            self.add(everyone[free], keys, vectors)
-        values = np.array(batch.column("value").to_pylist(), dtype=object)
-        for value in {v for v in values if v is not None}:
-            rows = everyone[self.wanted == value]
-            if len(rows):
-                mine = values == value
-                self.add(rows, keys[mine], vectors[mine])
+        if None in self.wanted:
+            self.add(self.wanted[None], keys, vectors)
+        values = batch.column("value").dictionary_encode()
+        codes = values.indices.fill_null(-1).to_numpy()
+        for code, value in enumerate(values.dictionary.to_pylist()):
+            if value in self.wanted:
+                mine = np.flatnonzero(codes == code)
+                self.add(self.wanted[value], keys[mine], vectors[mine])
 
     def table(self, schema: pa.Schema) -> pa.Table:
         found = self.scores.ravel() >= NO_SCORE

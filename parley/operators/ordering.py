@@ -155,6 +155,26 @@ def prefix_totals(
     )
 
 
+def number_copies(df: DataFrame, output: str, step: int = 10_000) -> DataFrame:
+    """Tell equal rows apart: ``output`` counts the copies of a row from 1.
+
+    Equal rows are counted first, with a combine on the map side, and then written out again
+    in steps of ``step`` copies that are dealt out to tasks, so a row with very many copies
+    is not the work of one task.
+    """
+    counted = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+    steps = counted.withColumn(
+        "_step", F.explode(F.sequence(F.lit(0), F.floor((F.col("_copies") - 1) / step)))
+    )
+    first = F.col("_step") * step + 1
+    last = F.least((F.col("_step") + 1) * step, F.col("_copies"))
+    return (
+        steps.repartition(F.xxhash64(*df.columns), "_step")
+        .withColumn(output, F.explode(F.sequence(first, last)))
+        .drop("_copies", "_step")
+    )
+
+
 def first_by(value: str, order: str) -> Column:
     """Aggregate: first non-null value in the given order."""
     return F.min_by(F.col(value), F.when(F.col(value).isNotNull(), F.col(order)))

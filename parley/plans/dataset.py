@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parley.operators.lookup import prune_rare
+from parley.operators.ordering import number_copies
 from parley.operators.split import stratified_split
 from parley.plans import dialogue as D
 from parley.plans.augment import augment
@@ -84,18 +85,12 @@ def dialogue_records(tables: Mapping[str, DataFrame], config: DatasetConfig) ->
 def qa_records(tables: Mapping[str, DataFrame], config: DatasetConfig) -> DataFrame:
     """Answer, join, prune and split the question tables.
 
-    Equal rows have no key that tells them apart. They are counted, ranked and split with
-    their copy number as part of the key.
+    Equal rows have no key that tells them apart; their copy number becomes part of it.
     """
     rows = build_qa(*(tables[t] for t in QA_TABLES))
     kept = prune_rare(rows, "movie_name", config.qa_min_rows)
-    copies = kept.groupBy(*kept.columns).agg(F.count("*").alias("_copies"))
-    numbered = (
-        copies.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .drop("_copies")
-        .withColumn(
-            "row_key", F.md5(F.concat_ws("\x1f", F.to_json(F.struct(*kept.columns)), "copy"))
-        )
+    numbered = number_copies(kept, "copy").withColumn(
+        "row_key", F.md5(F.concat_ws("\x1f", F.to_json(F.struct(*kept.columns)), "copy"))
     )
     split = stratified_split(
         numbered, "movie_name", ["row_key"], config.qa_train, config.qa_test, config.seed

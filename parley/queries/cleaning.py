@@ -425,7 +425,7 @@ ORACLE["concat_datasets"] = """
 
 
 def truncate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = read(spark, sf_dir, "documents", spread_by="doc_id").select("doc_id", "text")
     return truncate_tokens(docs, "text").select(
         "doc_id",
         F.col("n_tokens").cast("long").alias("n_tokens"),

@@ -1,6 +1,6 @@
 import pytest
 
-from parley.operators.ordering import hash_rank, ordered_concat, prefix_totals
+from parley.operators.ordering import hash_rank, number_copies, ordered_concat, prefix_totals
 from parley.operators.split import split_summary, stratified_split
 from pyspark.sql import functions as F
 
@@ -39,6 +39,14 @@ def test_split_does_not_depend_on_partitions(frame):
     assert first == again
 
 
+def test_copies_are_numbered(frame):
+    rows = frame([("a", 1)] * 25 + [("b", None)] * 3 + [("c", 2)], "k string, x int")
+    got = number_copies(rows, "copy", step=10).groupBy("k", "x").agg(F.sort_array(F.collect_list("copy")).alias("c"))
+    assert {(r.k, r.x): r.c for r in got.collect()} == {
+        ("a", 1): list(range(1, 26)), ("b", None): [1, 2, 3], ("c", 2): [1]
+    }
+
+
 def test_null_stratum_is_dropped(frame):
     rows = frame([("a", "1"), (None, "2")], "stratum string, id string")
     assert [r.id for r in stratified_split(rows, "stratum", ["id"], 1.0, 0.0).collect()] == ["1"]
