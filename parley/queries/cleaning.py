@@ -10,19 +10,13 @@ from parley.operators import lookup as L
 from parley.plans import catalog as C
 from parley.plans.records import json_records, truncate_tokens
 from parley.queries import tables as T
-from parley.queries.tables import read, title_case_sql, with_tables
+from parley.queries.tables import SCHEMAS, read, title_case_sql, with_tables
 from parley.sources.readers import split_delimited
 from parley.sources.writers import manifest
 
 QUERIES = {}
 ORACLE = {}
 
-ALL_TABLES = (
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
-)
-
-
 def parse_delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = read(spark, sf_dir, "conversations").select(
         F.concat_ws(
@@ -58,30 +52,17 @@ ORACLE["to_json_records"] = """
 
 
 def dataset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return manifest({name: read(spark, sf_dir, name) for name in ALL_TABLES}).drop("content_hash")
+    return manifest({name: read(spark, sf_dir, name) for name in SCHEMAS}).drop("content_hash")
 
 
 QUERIES["dataset_manifest"] = dataset_manifest
 _COLUMNS = {
-    "region": "r_regionkey, r_name",
-    "nation": "n_nationkey, n_name, n_regionkey",
-    "customer": "c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment",
-    "supplier": "s_suppkey, s_name, s_nationkey, s_acctbal",
-    "part": "p_partkey, p_name, p_brand, p_type, p_size, p_retailprice",
-    "orders": "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority",
-    "lineitem": "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, "
-                "l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate",
-    "events": "event_id, ts, user_id, event_type, value, props",
-    "documents": "doc_id, text, lang, source, n_chars",
-    "embeddings": "vec_id, embedding, label",
-    "pages": "page_id, url, html",
-    "benchmark": "item_id, text",
-    "labels": "doc_id, quality, toxic",
-    "conversations": "conv_id, turn, role, text",
+    name: ", ".join(column.split()[0] for column in columns.split(", "))
+    for name, columns in SCHEMAS.items()
 }
 ORACLE["dataset_manifest"] = " UNION ALL ".join(
     f"SELECT '{name}' AS table_name, count(*) AS n_rows, '{_COLUMNS[name]}' AS column_names FROM {name}"
-    for name in ALL_TABLES
+    for name in SCHEMAS
 )
 
 

@@ -61,13 +61,15 @@ def read_table(spark: SparkSession, spec: TableSpec) -> DataFrame:
     return df.select(*spec.columns) if spec.columns else df
 
 
-def scan(spark: SparkSession, path: str, spread_by: str | None = None) -> DataFrame:
+def scan(
+    spark: SparkSession, path: str, schema: T.StructType | str, spread_by: str | None = None
+) -> DataFrame:
     """A Parquet table.
 
     With ``spread_by``, a table of fewer splits than cores is dealt out by that column, for
     work that costs far more than the rows' transport. Tables of many files stay as they are.
     """
-    df = spark.read.parquet(path)
+    df = spark.read.schema(schema).parquet(path)
     cores = spark.sparkContext.defaultParallelism
     if spread_by is not None and df.rdd.getNumPartitions() < cores:
         return df.repartition(cores, spread_by)
