@@ -40,9 +40,9 @@ DIALOGUE_TABLES = (
     "movie_lines",
     "movie_titles_metadata",
     "movie_characters_metadata",
-    "imdb_movie_detailed",
+    "movie_details",
 )
-QA_TABLES = ("qa", "movies", "imdb_movie_details_movieqa")
+QA_TABLES = ("qa", "movies", "qa_details")
 
 
 def number_conversations(conversations: DataFrame) -> DataFrame:

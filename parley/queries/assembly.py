@@ -213,14 +213,16 @@ ORACLE["distinct_pairs"] = """
 
 
 def prune_frequent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Threshold 30 suits the number of parts per name at the smaller scales."""
-    return L.prune_rare(read(spark, sf_dir, "part"), "p_name", 30).select("p_partkey", "p_name")
+    """Orders of customers with more than 10 orders, which is the mean at every scale."""
+    return L.prune_rare(read(spark, sf_dir, "orders"), "o_custkey", 10).select(
+        "o_orderkey", "o_custkey"
+    )
 
 
 QUERIES["prune_frequent"] = prune_frequent
 ORACLE["prune_frequent"] = """
-    SELECT p_partkey, p_name FROM part
-    WHERE p_name IN (SELECT p_name FROM part GROUP BY p_name HAVING count(*) > 30)"""
+    SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (
+        SELECT o_custkey FROM orders GROUP BY o_custkey HAVING count(*) > 10)"""
 
 
 def batch_assign(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -88,10 +88,10 @@ def raw_tables(frame):
         "movie_lines": frame(lines, Z.LINES),
         "movie_titles_metadata": frame([(f"m{i}", f"film {i}", f"200{i}/I", 6.0 + i, 10 * i, "['drama']") for i in range(3)], Z.TITLES),
         "movie_characters_metadata": frame([("u0", "ann", "m0", "film 0", "f", "1"), ("u1", "bob", "m0", "film 0", "m", "2")], Z.CHARACTERS),
-        "imdb_movie_detailed": frame([("film 0", "p0"), ("film 0", "p0")], "movie_name string, plot_outline string"),
+        "movie_details": frame([("film 0", "p0"), ("film 0", "p0")], "movie_name string, plot_outline string"),
         "qa": frame([(f"q{i % 30}", f"k{i % 2}", ["a", "b"], None if i % 10 == 9 else i % 2) for i in range(60)], Z.QA),
         "movies": frame([("k0", "film 0", 2000, "drama"), ("k1", "film 1", 2001, "war")], Z.QA_MOVIES),
-        "imdb_movie_details_movieqa": frame([("film 1", "p1")], Z.QA_DETAILS),
+        "qa_details": frame([("film 1", "p1")], Z.QA_DETAILS),
     }
 
 
