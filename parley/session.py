@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,29 +32,31 @@ def build_session(app: str = "parley", cpus: str = "*", **conf: str) -> SparkSes
     return spark
 
 
-@cache
-def _local_folder() -> tempfile.TemporaryDirectory:
-    """A folder that goes when the Python process ends."""
-    return tempfile.TemporaryDirectory(prefix="parley-checkpoint-", ignore_cleanup_errors=True)
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``.
+    """The folder named in ``spark.checkpoint.dir``, or else one beside the warehouse.
 
-    A session without the setting is only accepted on a local master, where one
-    machine runs every task, and gets a temporary folder.
+    Both are places that driver and executors share; the master makes no difference.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if folder is None:
         folder = context.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = _local_folder().name
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/parley-shared"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
-    return folder
+    return folder.rstrip("/")
+
+
+def new_path(spark: SparkSession, kind: str = "table") -> str:
+    """A path in the shared folder that no one has used; it goes when the session ends."""
+    path = f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(target)
+    files.deleteOnExit(target)
+    return path
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -65,6 +65,6 @@ def materialise(df: DataFrame) -> DataFrame:
     This cuts the lineage as a checkpoint does, and later reads are columnar.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = new_path(spark)
+    df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

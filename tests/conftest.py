@@ -6,8 +6,9 @@ from parley.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("tests", "8")
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
+    session = build_session("tests", "8", **{"spark.checkpoint.dir": f"file://{shared}"})
     yield session
     session.stop()
 
