@@ -35,6 +35,7 @@ GROUP, FAN_IN, LANDING = 8192, 256, 12
 #: A document above this share of its source is decided before the others.
 HEAVY = 1e-3
 NEAR = 1e-9
+GOLDEN = (5**0.5 - 1) / 2
 
 
 def source_targets(
@@ -87,8 +88,11 @@ def fly(mass: np.ndarray, count: np.ndarray, p: np.ndarray, draws: Iterator[floa
     p = p.tolist()
     mass, count = mass.tolist(), count.tolist()
     waiting = [i for i in range(len(p) - 1, -1, -1) if NEAR < p[i] < 1 - NEAR]
-    spread = range(0, len(waiting), max(1, len(waiting) // stop))  # sizes of all kinds come last
-    waiting = [waiting[i] for i in spread] + [x for i, x in enumerate(waiting) if i not in spread]
+    # Sizes of all kinds come last; uneven steps give their sums more values.
+    spread = {int(len(waiting) * (k * GOLDEN % 1)) for k in range(stop)}
+    waiting = [waiting[i] for i in spread if i < len(waiting)] + [
+        x for i, x in enumerate(waiting) if i not in spread
+    ]
     hand: list[int] = []
     while True:
         while len(hand) < 3 and waiting:
