@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The characters that separate words, and a word.
@@ -28,3 +28,39 @@ def word_count(text: Column) -> Column:
 def without_blanks(text: Column) -> Column:
     """The text without its blanks; null counts as empty."""
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", "")
+
+
+#: Bits of the filter below: a megabyte goes to each task, however many keys there are.
+FILTER_BITS = 1 << 23
+_ROW_BITS = 1 << 15
+
+
+def probably_in(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose key may be among ``keys`` (its first column), without a shuffle of ``df``.
+
+    The hashes of the keys are marked in bitmaps of a fixed total size. No row with a
+    key of ``keys`` is lost; others may stay, so an exact join follows.
+    """
+
+    def place(column: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+
+    own = keys.columns[0]
+    maps = (
+        keys.select(place(own).alias("_p"))
+        .groupBy(F.expr(f"_p DIV {_ROW_BITS}").alias("_bucket"))
+        .agg(F.bitmap_construct_agg(F.col("_p") % _ROW_BITS).alias("_bits"))
+    )
+    marked = df.withColumn("_p", place(key)).withColumn(
+        "_of", F.expr(f"_p DIV {_ROW_BITS}")
+    )
+    byte = F.conv(
+        F.hex(F.substring("_bits", ((F.col("_p") % _ROW_BITS) / 8).cast("int") + 1, F.lit(1))), 16, 10
+    )
+    hit = F.expr("shiftright({}, cast(_p % 8 as int)) & 1 = 1".format("_byte"))
+    return (
+        marked.join(F.broadcast(maps), F.col("_of") == F.col("_bucket"))
+        .withColumn("_byte", byte.cast("int"))
+        .where(hit)
+        .select(*df.columns)
+    )
