@@ -205,6 +205,20 @@ def identify(
     ).mapInPandas(run, "doc_id long, lang_pred string, score double")
 
 
+def filter_known(
+    docs: DataFrame, network: Network, certain: float, text_col: str = "text"
+) -> DataFrame:
+    """The rows, with all their columns, whose language is known with at least that score."""
+    sent = docs.sparkSession.sparkContext.broadcast(network)
+
+    @F.pandas_udf("boolean")
+    def known(texts: pd.Series) -> pd.Series:
+        answers = (predict(sent.value, t) for t in texts)
+        return pd.Series([lang != UNKNOWN and score >= certain for lang, score in answers], dtype=bool)
+
+    return docs.where(known(F.col(text_col)))
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """Rows that no network may learn from: crc32 of the id as text, modulo 4, is 2."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))

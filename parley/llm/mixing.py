@@ -248,5 +248,30 @@ def mix(
     ).drop("row")
 
 
+def take(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    **parameters,
+) -> DataFrame:
+    """The documents with all their columns, each as often as the mix takes it."""
+    taken = mix(docs, id_col, text_col, source_col, **parameters).where("copies > 0")
+    taken = taken.select(
+        F.col("doc_id").alias("_id"), F.col("source").alias("_of"), F.col("size").alias("_size"),
+        F.col("copies").alias("_copies"),
+    ).distinct()  # rows that agree in all share the decision
+    same = (
+        docs[id_col].cast("long").eqNullSafe(F.col("_id"))
+        & docs[source_col].eqNullSafe(F.col("_of"))
+        & (word_count(docs[text_col]) == F.col("_size"))
+    )
+    return (
+        docs.join(taken, same)
+        .select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy"))
+        .drop("_copy")
+    )
+
+
 def _names() -> list[str]:
     return [field.split()[0] for field in UNIT.split(", ")]
