@@ -176,7 +176,13 @@ def recount(
     beside it.
     """
     own = edits.groupBy(F.col("doc_id").alias("_of")).agg(
-        F.collect_list(F.struct("start", "length", "text")).alias("own")
+        F.collect_list(
+            F.struct(
+                F.coalesce("start", F.lit(0)).alias("start"),
+                F.coalesce("length", F.lit(0)).alias("length"),
+                F.coalesce("text", F.lit("")).alias("text"),
+            )
+        ).alias("own")
     )
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = rows.join(own, F.col("doc_id") == F.col("_of"), "left").select("doc_id", "text", "own")
