@@ -2,22 +2,20 @@
 
 Two sets with a Jaccard similarity of at least t differ in few elements: d <= size * (1 - t) / t for
 the smaller one. The hash range of the shingles is cut into more slabs than that, so linked sets agree
-in at least one slab that is not empty. Slabs with equal sums of shingle hashes are tiles, and every
-link lies within a tile. A set takes part on the slab grid of its own size and on those of the smaller
-sizes that it may be linked with. (Where too many slabs of a set are empty, it takes part with its empty ones
-too, so the guarantee holds for small sets.)
+in at least one slab. Slabs with equal sums of shingle hashes are tiles, and every link lies within a tile.
+A set takes part with its slabs of two shingles or more if those alone are more than d, so
+that one of them must agree; else with all slabs, empty ones too. It does so on the slab grid of its own size and
+on those of the smaller sizes that it may be linked with. Percentages from 75 on keep tiles small.
 
-The members of a tile are joined in two steps, so that no group is spelt out in pairs:
-
-1. Each is compared with the tile's smallest member. Verified links give components; a tile within one
-   component has nothing left to find.
-2. In the other tiles, shingles are hashed into ``GROUPS`` groups, and the counts are points of an
-   R-tree. Two nodes, or two points, whose summed coordinate minima stay below the least overlap have
-   no link; nor do nodes within one component need a look. Survivors are verified on their shingle sets.
+No tile is spelt out in pairs. Each member is tied to the tile's smallest one, and what hangs together
+by such ties is a block, which then holds all links of its members. A block is joined in a task: shingles
+are hashed into ``GROUPS`` groups, and the counts are points of an R-tree. Two nodes, or two points,
+whose summed coordinate minima stay below the least overlap have no link. Survivors are verified on
+their shingle sets unless links found before connect them, so at most a spanning tree comes out.
 
 Before any shuffle, a task merges equal sets and, within a tile, keeps one member and hands the others
-over as already matched, so a hot tile reaches the shuffle as one row for each task. Tiles above
-``TILE`` members in more than one component are cut into chunks, each pair of which is joined.
+over as already tied, so a hot tile reaches the shuffle as one row for each task. Blocks above
+``BLOCK`` members are cut into chunks, each pair of which is joined; none is dropped or capped.
 
 Defined results: texts without words are linked with nothing and are their own component; shorter
 texts than a shingle count as one; null ids have a size but no component; rows under one id are one node, and
@@ -27,7 +25,6 @@ hashed whole.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,8 +39,8 @@ from parley.session import materialise
 
 WORDS_PER_SHINGLE, PERCENT = 5, 80
 GROUPS = 128
-#: Members of a tile, or chunk of one, that meet in a task; points of a leaf of the tree.
-TILE, LEAF = 2048, 16
+#: Members of a block, or chunk of one, that meet in a task; points of a leaf of the tree.
+BLOCK, LEAF = 2048, 16
 #: Slab rows that a task merges at once.
 _MERGE = 1 << 20
 
@@ -62,29 +59,49 @@ def most_apart(size: int, percent: int) -> int:
     return size * (100 - percent) // percent
 
 
-def grid(size: int, percent: int) -> int:
-    """Bits of the slab number for a smaller partner of ``size``."""
-    return math.ceil(math.log2(1.5 * most_apart(size, percent) + 2))
+def slab_counts(size: int, percent: int) -> list[int]:
+    """Numbers of slabs of the grids on which a set of ``size`` takes part.
+
+    A grid serves the smaller partners that differ by so much that they need about its number of
+    slabs; numbers grow by a fifth, so a set is on few of them.
+    """
+    smallest = -(-size * percent // 100)
+    apart = {most_apart(s, percent) for s in (smallest, size)}
+    low, high = max(1, min(apart)), max(apart)
+    out, count = [], 3
+    while high:
+        if reach(count, percent) >= low:
+            out.append(count)
+        if reach(count, percent) >= high:
+            break
+        count = max(count + 1, count * 6 // 5)
+    return out
+
+
+def reach(count: int, percent: int) -> int:
+    """The largest difference that a grid of ``count`` slabs serves.
+
+    Enough slabs hold two shingles or more: at lower percentages slabs are smaller and more are needed.
+    """
+    return min(count - 2, int(count * (0.92 if percent >= 87 else 0.7)))
 
 
 def slabs(own: np.ndarray, percent: int) -> np.ndarray:
     """Keys of the tiles of one rising shingle set."""
-    size, keys = len(own), []
-    # Grids of all smaller partners that may differ; below that sets are linked if they are equal.
-    smallest = max(-(-size * percent // 100), -(-percent // max(1, 100 - percent)))
-    bits = range(grid(smallest, percent), grid(size, percent) + 1) if smallest <= size else ()
-    for b in bits:
-        place = (own >> np.uint64(64 - b)).astype(np.int64)
+    keys = []
+    for count in slab_counts(len(own), percent):
+        place = ((own >> np.uint64(32)) * np.uint64(count) >> np.uint64(32)).astype(np.int64)
         first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
         sums = np.add.reduceat(own, first)
         slab = place[first].astype(np.uint64)
-        # The largest set that uses this grid bounds the difference it must tell.
-        apart = min(most_apart(size, percent), int((2.0**b - 2) / 1.5))
-        if len(first) <= apart:
-            empty = np.setdiff1d(np.arange(1 << b, dtype=np.uint64), slab)
+        strong = np.diff(np.append(first, len(own))) > 1
+        if strong.sum() > min(most_apart(len(own), percent), reach(count, percent)):
+            slab, sums = slab[strong], sums[strong]
+        else:
+            empty = np.setdiff1d(np.arange(count, dtype=np.uint64), slab)
             slab = np.concatenate([slab, empty])
             sums = np.concatenate([sums, np.zeros(len(empty), np.uint64)])
-        key = (sums ^ (slab * np.uint64(0x9E3779B97F4A7C15))) + np.uint64(b)
+        key = (sums ^ (slab * np.uint64(0x9E3779B97F4A7C15))) + np.uint64(count)
         key = (key ^ (key >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
         keys.append(key ^ (key >> np.uint64(30)))
     return np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64)
@@ -156,97 +173,44 @@ def _members(k: int, percent: int):
     return run
 
 
-def _verified(k: int, percent: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: tuple = (None, None)
-        for batch in batches:
-            rows = []
-            for a, b, left, right in zip(batch["a"], batch["b"], batch["text_a"], batch["text_b"]):
-                if held[0] != left:
-                    held = (left, shingles(left, k))
-                if linked(held[1], shingles(right, k), percent):
-                    rows.append((a, b))
-            yield pd.DataFrame(rows, columns=["a", "b"])
-
-    return run
-
-
-def _verify(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that are linked; texts go to the pairs, the larger side is grouped by ``a``."""
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(left, "a").join(right, "b").sortWithinPartitions("a").mapInPandas(
-        _verified(k, percent), "a long, b long"
-    )
-
-
-_POINT = "id long, size long, counts binary"
-
-
-def _points(k: int, groups: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                own = shingles(text, k)
-                counts = np.bincount((own % np.uint64(groups)).astype(np.int64), minlength=groups)
-                rows.append((doc_id, len(own), counts.astype("<i4").tobytes()))
-            yield pd.DataFrame(rows, columns=["id", "size", "counts"])
-
-    return run
-
-
 class Node:
-    """A box of points: coordinate maxima, least size, the component if there is only one."""
+    """A box of points: coordinate maxima and least size."""
 
-    __slots__ = ("at", "parts", "top", "least", "component")
+    __slots__ = ("at", "parts", "top", "least")
 
-    def __init__(self, at, parts, top, least, component):
-        self.at, self.parts, self.top, self.least, self.component = at, parts, top, least, component
+    def __init__(self, at, parts, top, least):
+        self.at, self.parts, self.top, self.least = at, parts, top, least
 
 
-def tree(points: np.ndarray, size: np.ndarray, component: np.ndarray) -> Node:
-    """Packed by component, then size, then the coordinate that varies most, leaf by leaf."""
-    order = np.lexsort((points[:, int(points.var(0).argmax())], size, component))
+def tree(points: np.ndarray, size: np.ndarray, at: np.ndarray) -> Node:
+    """The points ``at``, packed by size, then by the coordinate that varies most."""
+    order = at[np.lexsort((points[at][:, int(points[at].var(0).argmax())], size[at]))]
     nodes = []
     for i in range(0, len(order), LEAF):
-        at = order[i : i + LEAF]
-        own = component[at]
-        nodes.append(
-            Node(at, None, points[at].max(0), int(size[at].min()), own[0] if (own == own[0]).all() else None)
-        )
+        own = order[i : i + LEAF]
+        nodes.append(Node(own, None, points[own].max(0), int(size[own].min())))
     while len(nodes) > 1:
         above = []
         for i in range(0, len(nodes), LEAF):
             parts = nodes[i : i + LEAF]
-            one = parts[0].component
-            if any(p.component != one for p in parts):
-                one = None
-            above.append(
-                Node(None, parts, np.max([p.top for p in parts], 0), min(p.least for p in parts), one)
-            )
+            top = np.max([p.top for p in parts], 0)
+            above.append(Node(None, parts, top, min(p.least for p in parts)))
         nodes = above
     return nodes[0]
 
 
 def candidates(
-    points: np.ndarray, size: np.ndarray, component: np.ndarray, split: np.ndarray, percent: int
-) -> list[tuple[int, int]]:
-    """Pairs of points of different components whose bound allows a link.
+    points: np.ndarray, size: np.ndarray, split: np.ndarray, percent: int
+) -> Iterator[tuple[int, int]]:
+    """Pairs of points whose bound allows a link.
 
-    ``split`` numbers the two chunks; with two of them only pairs across are wanted.
+    ``split`` numbers the chunks; with two of them only pairs across are wanted.
     """
-    two = len(np.unique(split)) == 2
     sides = [np.flatnonzero(split == s) for s in np.unique(split)]
-    roots = [(s, tree(points[s], size[s], component[s])) for s in sides]
-    first, second = roots[0], roots[-1]
     ratio = percent / (100 + percent)
-    out = []
-    stack = [(first[1], second[1])]
+    stack = [(tree(points, size, sides[0]), tree(points, size, sides[-1]))]
     while stack:
         x, y = stack.pop()
-        if x.component is not None and x.component == y.component:
-            continue
         if np.minimum(x.top, y.top).sum() < ratio * (x.least + y.least) - 1e-6:
             continue
         if x.parts is not None:
@@ -254,78 +218,86 @@ def candidates(
         elif y.parts is not None:
             stack += [(x, p) for p in y.parts]
         else:
-            i, j = first[0][x.at], second[0][y.at]
-            bound = np.minimum(points[i][:, None], points[j][None]).sum(2)
-            fits = bound >= ratio * (size[i][:, None] + size[j][None]) - 1e-6
-            fits &= component[i][:, None] != component[j][None]
+            bound = np.minimum(points[x.at][:, None], points[y.at][None]).sum(2)
+            fits = bound >= ratio * (size[x.at][:, None] + size[y.at][None]) - 1e-6
             for p, q in zip(*np.nonzero(fits)):
-                if two or i[p] < j[q]:
-                    out.append((int(i[p]), int(j[q])))
+                i, j = int(x.at[p]), int(y.at[q])
+                if len(sides) == 2 or i < j:
+                    yield i, j
+
+
+def spanning_links(
+    sets: list[np.ndarray], split: np.ndarray, percent: int, groups: int = GROUPS
+) -> list[tuple[int, int]]:
+    """Verified links that connect whatever all links connect; connected pairs aren't verified."""
+    points = np.array(
+        [np.bincount((s % np.uint64(groups)).astype(np.int64), minlength=groups) for s in sets], np.int32
+    )
+    size = np.array([len(s) for s in sets])
+    root, out = list(range(len(sets))), []
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for i, j in candidates(points, size, split, percent):
+        a, b = find(i), find(j)
+        if a != b and linked(sets[i], sets[j], percent):
+            root[max(a, b)] = min(a, b)
+            out.append((i, j))
     return out
 
 
-def _joined(percent: int):
-    """Over rows sorted by (key, low, high): many tiles are small, so a batch holds many."""
+def _linked_in_blocks(k: int, percent: int):
+    """Over rows sorted by (block, low, high): many blocks are small, so a batch holds many."""
 
     def of_group(rows: pd.DataFrame) -> list[tuple]:
-        ids = rows["id"].to_numpy()
-        points = np.frombuffer(b"".join(rows["counts"]), "<i4").reshape(len(ids), -1)
-        pairs = candidates(
-            points, rows["size"].to_numpy(), rows["component"].to_numpy(), rows["chunk"].to_numpy(),
-            percent,
-        )
-        return [(min(ids[i], ids[j]), max(ids[i], ids[j])) for i, j in pairs]
+        ids, chunk = rows["id"].to_numpy(), rows["chunk"].to_numpy()
+        if len(ids) < 2:
+            return []
+        sets = [shingles(t, k) for t in rows["text"]]
+        return [
+            (min(ids[i], ids[j]), max(ids[i], ids[j]))
+            for i, j in spanning_links(sets, chunk, percent)
+        ]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
         for batch in batches:
             rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            group = rows[["key", "low", "high"]].to_numpy()
+            group = rows[["block", "low", "high"]].to_numpy()
             bounds = [0, *(np.flatnonzero((group[1:] != group[:-1]).any(1)) + 1).tolist()]
             found = [pair for x, y in zip(bounds, bounds[1:]) for pair in of_group(rows.iloc[x:y])]
             held = rows.iloc[bounds[-1] :]
             yield pd.DataFrame(found, columns=["a", "b"])
-        if held is not None and len(held):
+        if held is not None:
             yield pd.DataFrame(of_group(held), columns=["a", "b"])
 
     return run
 
 
-def _across(members: DataFrame, labels: DataFrame, points: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of the tiles that hold more than one component."""
-    marked = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    # Two members have been compared in step 1. Many tiles have the same members; one does for all.
-    mixed = (
-        marked.groupBy("key")
-        .agg(
-            F.min("component").alias("low"), F.max("component").alias("high"),
-            F.count("*").alias("held"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("mark"),
-        )
-        .where("low <> high AND held > 2")
-        .groupBy("held", "mark")
-        .agg(F.min("key").alias("key"))
-        .select("key", F.ceil(F.col("held") / TILE).alias("chunks"))
+def _links(blocks: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links within blocks (id, block); a block above ``BLOCK`` members is cut into chunks."""
+    held = blocks.groupBy("block").agg(F.ceil(F.count("*") / BLOCK).alias("chunks"))
+    placed = blocks.join(held, "block").select(
+        "*", F.pmod(F.xxhash64("id"), F.col("chunks")).alias("chunk")
     )
-    mixed = materialise(marked.join(mixed, "key").select("key", "id", "component", "chunks"))
-    chunk = F.pmod(F.xxhash64("id"), F.col("chunks"))
-    lone = F.col("chunks") == 1
-    placed = mixed.join(points, "id").select("*", chunk.alias("chunk")).select(
+    # Every pair of chunks is a group, and every chunk with itself.
+    placed = placed.select(
         "*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("other")
+    ).select(
+        "block", "id", "chunk", F.least("chunk", "other").alias("low"),
+        F.greatest("chunk", "other").alias("high"),
     )
-    # Two chunks meet in one group; a chunk meets itself only if it is alone, else in every group
-    # of two. With one chunk the group is the tile.
-    grouped = placed.where(lone | (F.col("chunk") != F.col("other")))
-    own = placed.where(~lone & (F.col("chunk") == F.col("other")))
-    low, high = F.least("chunk", "other"), F.greatest("chunk", "other")
-    both = grouped.unionByName(own).select(
-        "key", low.alias("low"), high.alias("high"), "chunk", "id", "size", "counts", "component"
-    )
-    group = ["key", "low", "high"]
+    texts = probably_in(docs, "doc_id", blocks.select("id"))
+    group = ["block", "low", "high"]
     return (
-        both.repartition(*group)
+        placed.join(texts, F.col("id") == F.col("doc_id"))
+        .select(*group, "chunk", "id", "text")
+        .repartition(*group)
         .sortWithinPartitions(*group)
-        .mapInPandas(_joined(percent), "a long, b long")
-        .distinct()
+        .mapInPandas(_linked_in_blocks(k, percent), "a long, b long")
     )
 
 
@@ -345,51 +317,28 @@ def join(
     same = ["n_shingles", "mark", "second_mark"]
     full = sets.where("n_shingles > 0 AND doc_id IS NOT NULL")
     first = full.groupBy(*same).agg(F.min("doc_id").alias("rep"))
-    reps = materialise(full.join(first, same).select("doc_id", "n_shingles", "rep").distinct())
+    reps = materialise(full.join(first, same).select("doc_id", "rep").distinct())
+    rep = reps.groupBy(F.col("doc_id").alias("id")).agg(F.min("rep").alias("rep"))
 
     # Tiles. Rows that a task has matched already are dealt by themselves.
     rows = known.mapInPandas(_members(k, percent), _MEMBER)
     deal = F.when(F.col("leader").isNull(), F.col("key")).otherwise(F.xxhash64("key", "id"))
     tile = Window.partitionBy("deal", F.col("leader").isNull())
-    rows = rows.select("*", deal.alias("deal")).select(
-        "key", "id", "leader", F.min("id").over(tile).alias("least"), F.count("*").over(tile).alias("held")
-    )
-    members = materialise(
-        rows.where("held > 1 OR leader IS NOT NULL").select(
-            "key", "id", F.coalesce("leader", "least").alias("leader")
-        )
-    )
-    rep = reps.groupBy(F.col("doc_id").alias("id")).agg(
-        F.min("rep").alias("rep"), F.min("n_shingles").alias("size")
-    )
-
-    # Step 1: members against the smallest one of their tile.
-    stars = members.select("leader", "id").distinct()
-    stars = stars.join(rep, "id").select("leader", F.col("rep").alias("b"), F.col("size").alias("size_b"))
-    stars = stars.join(rep.withColumnRenamed("id", "leader"), "leader").select(
-        F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b"),
-        F.least("size", "size_b").alias("small"), F.greatest("size", "size_b").alias("large"),
-    )
-    stars = materialise(
-        stars.where(f"a <> b AND 100 * small >= {percent} * large").select("a", "b").distinct()
-    )
-    needed = members.select("id").distinct().join(rep, "id").select("rep").distinct()
-    needed = materialise(needed)
-    texts = probably_in(known, "doc_id", needed).join(
-        needed, F.col("doc_id") == F.col("rep"), "left_semi"
+    rows = rows.select("*", deal.alias("deal")).select("id", "leader", F.min("id").over(tile).alias("least"))
+    stars = rows.select("id", F.coalesce("leader", "least").alias("leader")).where("id <> leader")
+    stars = materialise(stars.distinct())
+    stars = stars.join(rep, "id").select("leader", F.col("rep").alias("b"))
+    stars = stars.join(rep.withColumnRenamed("id", "leader"), "leader")
+    blocks = components(stars.select(F.col("rep").alias("a"), "b")).withColumnRenamed("component", "block")
+
+    links = _links(materialise(blocks), known, k, percent)
+    bridges = reps.withColumnRenamed("rep", "b").join(rep, F.col("doc_id") == F.col("id"))
+    bridges = bridges.where("rep <> b").select(F.col("rep").alias("a"), "b")  # one id, two sets
+    found = materialise(components(links.unionByName(bridges)))
+
+    named = rep.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
+        F.col("id").alias("of"), F.coalesce("component", "rep").alias("component")
     )
-    texts = materialise(texts)
-    equal = reps.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    links = materialise(_verify(stars, texts, k, percent))
-    labels = materialise(components(links))
-
-    # Step 2: what the tiles of several components still hold.
-    points = texts.mapInPandas(_points(k, GROUPS), _POINT)
-    of_reps = members.select("key", "id").join(rep, "id").select("key", F.col("rep").alias("id")).distinct()
-    pairs = materialise(_across(of_reps, labels, points, percent))
-    more = materialise(_verify(pairs, texts, k, percent))
-    found = components(links.unionByName(more).unionByName(equal))
-    found = found.groupBy(F.col("id").alias("of")).agg(F.min("component").alias("component"))
-    return sets.join(found, F.col("doc_id") == F.col("of"), "left").select(
+    return sets.join(named, F.col("doc_id") == F.col("of"), "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
     )
