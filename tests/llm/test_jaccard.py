@@ -77,8 +77,8 @@ def test_edited_texts(spark, k, percent):
     assert found(df, k=k, percent=percent) == brute(rows, k, percent)
 
 
-def test_chunked_tiles(spark, monkeypatch):
-    monkeypatch.setattr(jaccard, "TILE", 3)
+def test_chunked_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 3)
     rows = variants(7)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     assert found(df, k=3, percent=80) == brute(rows, 3, 80)
@@ -109,7 +109,7 @@ def test_bound_keeps_every_link():
     sets += [s[: len(s) - 2] for s in sets]
     points = np.array([np.bincount((s % np.uint64(16)).astype(int), minlength=16) for s in sets])
     size, own = np.array([len(s) for s in sets]), np.arange(len(sets))
-    pairs = set(jaccard.candidates(points, size, own, np.zeros(len(sets), int), 80))
+    pairs = set(jaccard.candidates(points, size, np.zeros(len(sets), int), 80))
     links = {(i, j) for i in own for j in own if i < j and jaccard.linked(sets[i], sets[j], 80)}
     assert links <= pairs
 
