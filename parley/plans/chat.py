@@ -29,21 +29,23 @@ def chat_history(messages: DataFrame) -> DataFrame:
     return ordered_concat(said, ["conv_id"], "turn", "text", SEPARATOR, "history")
 
 
-def history_before(messages: DataFrame) -> DataFrame:
-    """What each message finds in memory: the number and length of the earlier ones.
-
-    The history of a message is the first ``history_chars`` characters of the conversation's
-    ``chat_history``. Spelling it out for every message would repeat a conversation once per
-    turn; ``history_of`` does it for chosen messages.
-    """
+def message_sizes(messages: DataFrame) -> DataFrame:
+    """``conv_id, turn, chars``: the length of what was said, null for other roles and null texts."""
     counted = F.col("role").isin(*SPEAKERS) & F.col("text").isNotNull()
+    return messages.select(
+        "conv_id", "turn", F.when(counted, F.length("text")).cast("long").alias("chars")
+    )
+
+
+def totals_before(sizes: DataFrame) -> DataFrame:
+    """Add ``n_history, history_chars`` of the earlier turns to ``conv_id, turn, chars`` rows."""
     totals = prefix_totals(
-        messages,
+        sizes,
         "conv_id",
         "turn",
         {
-            "n_history": counted.cast("long"),
-            "_chars": F.when(counted, F.length("text") + len(SEPARATOR)).otherwise(0).cast("long"),
+            "n_history": F.col("chars").isNotNull().cast("long"),
+            "_chars": F.coalesce(F.col("chars") + len(SEPARATOR), F.lit(0)).cast("long"),
         },
     )
     return totals.withColumn(
@@ -51,6 +53,17 @@ def history_before(messages: DataFrame) -> DataFrame:
     ).drop("_chars")
 
 
+def history_before(messages: DataFrame) -> DataFrame:
+    """What each message finds in memory: ``conv_id, turn, n_history, history_chars``.
+
+    These are the number and length of the earlier messages. The history of a message is the
+    first ``history_chars`` characters of the conversation's ``chat_history``. Spelling it out
+    for every message would repeat a conversation once per turn; ``history_of`` does it for
+    chosen messages. Texts are not shuffled.
+    """
+    return totals_before(message_sizes(messages)).drop("chars")
+
+
 def history_of(chosen: DataFrame, messages: DataFrame) -> DataFrame:
     """Add ``history`` to chosen ``(conv_id, turn)`` rows: all that was said before that turn."""
     lengths = history_before(messages).select("conv_id", "turn", "history_chars")

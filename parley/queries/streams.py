@@ -2,25 +2,35 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from parley.queries import tables as T
 from parley.queries.retrieval import ORACLE as RETRIEVAL_ORACLE
-from parley.session import shared_dir
-from parley.streaming.history import OUTPUT, read_messages, running_history, write_history
+from parley.schemas import MESSAGES
+from parley.session import new_path
+from parley.streaming.history import new_sizes, read_messages, running_history, write_sizes
 
 QUERIES = {}
 ORACLE = {}
 
+DELIVERIES = 6
+FILES_PER_BATCH = 2
+
 
 def chat_history_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All conversations as a stream of files, appended to a table in the shared folder."""
-    folder = f"{shared_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
-    # the bracket makes a pattern of the name: a stream reads folders and patterns only
-    messages = read_messages(spark, f"{sf_dir}/conversations.parque[t]")
-    write_history(running_history(messages), f"{folder}/out", f"{folder}/state").awaitTermination()
-    return spark.read.schema(OUTPUT).parquet(f"{folder}/out")
+    """All conversations, delivered in files whose order is not that of the turns, system turns twice."""
+    messages = T.messages(spark, sf_dir).select(*MESSAGES.fieldNames())
+    again = messages.where("role = 'system'")
+    folder = new_path(spark, "stream")
+    (
+        messages.unionByName(again)
+        .repartition(DELIVERIES, F.rand(1))
+        .write.mode("overwrite").parquet(f"{folder}/in")
+    )
+    sizes = new_sizes(read_messages(spark, f"{folder}/in", FILES_PER_BATCH))
+    write_sizes(sizes, f"{folder}/out", f"{folder}/state").awaitTermination()
+    return running_history(spark, f"{folder}/out")
 
 
 QUERIES["chat_history_stream"] = chat_history_stream

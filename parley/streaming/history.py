@@ -1,28 +1,25 @@
-"""A stream of chat messages: what each message finds in memory when it arrives."""
+"""A stream of chat messages, and what each message finds in memory.
 
-from __future__ import annotations
+A message may come late or twice, so running counts are not final when it arrives. The stream
+stores what is: the size of every turn, once. Histories are summed from that table when read.
+"""
 
-from collections.abc import Iterator
-from functools import partial
+from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from parley.plans.chat import SEPARATOR, SPEAKERS
+from parley.plans.chat import message_sizes, totals_before
 from parley.schemas import MESSAGES
 
-OUTPUT = "conv_id long, turn long, n_history long, history_chars long"
-STATE = "last_turn long, n_history long, chars long"
+SIZES = "conv_id long, turn long, chars long"
 FILES_PER_BATCH = 100
 
 
 def read_messages(
     spark: SparkSession, path: str, files_per_batch: int = FILES_PER_BATCH
 ) -> DataFrame:
-    """Message files as a stream; the batch size bounds what one group can hold."""
+    """Message files as a stream. Where a batch ends has no effect on results."""
     return (
         spark.readStream.schema(MESSAGES)
         .option("maxFilesPerTrigger", files_per_batch)
@@ -30,67 +27,30 @@ def read_messages(
     )
 
 
-def remember(
-    key: tuple[int], batches: Iterator[pd.DataFrame], state: GroupState, idle_ms: int | None = None
-) -> Iterator[pd.DataFrame]:
-    """Fold new messages into three numbers per conversation.
+def new_sizes(messages: DataFrame) -> DataFrame:
+    """``conv_id, turn, chars`` of every turn when it is first seen, in any order.
 
-    Texts stay in the message table, only their lengths come here. A turn that is not after
-    the last one seen is a repeated delivery and is dropped. An idle conversation is
-    forgotten after the time-out, if there is one.
+    A repeated delivery of a turn is dropped, however late it comes. The state is two numbers
+    for each message; for streams that outgrow memory, Spark's RocksDB state store keeps it on
+    disk (``spark.sql.streaming.stateStore.providerClass``).
     """
-    if state.hasTimedOut:
-        state.remove()
-        return
-    last_turn, count, chars = state.get if state.exists else (-1, 0, 0)
-    new = pd.concat(batches).sort_values("turn").drop_duplicates("turn")
-    new = new[new["turn"] > last_turn]
-    if len(new):
-        said = new["chars"].notna()
-        lengths = new["chars"].fillna(0).astype("int64") + said.astype("int64") * len(SEPARATOR)
-        counts, totals = count + said.cumsum(), chars + lengths.cumsum()
-        before = totals - lengths
-        yield pd.DataFrame(
-            {
-                "conv_id": key[0],
-                "turn": new["turn"],
-                "n_history": counts - said.astype("int64"),
-                "history_chars": (before - len(SEPARATOR)).clip(lower=0),
-            }
-        )
-        last_turn, count, chars = (
-            int(new["turn"].iloc[-1]), int(counts.iloc[-1]), int(totals.iloc[-1]),
-        )
-    state.update((last_turn, count, chars))
-    if idle_ms is not None:
-        state.setTimeoutDuration(idle_ms)
+    return message_sizes(messages).dropDuplicates(["conv_id", "turn"])
 
 
-def running_history(messages: DataFrame, idle_ms: int | None = None) -> DataFrame:
-    """``conv_id, turn, n_history, history_chars`` for a stream of messages.
-
-    Equals ``history_before`` of the whole table, as long as the turns of a conversation
-    arrive in order from one batch to the next. ``idle_ms`` is for streams that never end: a
-    time-out keeps a run that takes up all there is from stopping.
-    """
-    counted = F.col("role").isin(*SPEAKERS) & F.col("text").isNotNull()
-    sizes = messages.select(
-        "conv_id", "turn", F.when(counted, F.length("text")).cast("long").alias("chars")
-    )
-    timeout = (
-        GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout
-    )
-    return sizes.groupBy("conv_id").applyInPandasWithState(
-        partial(remember, idle_ms=idle_ms), OUTPUT, STATE, "append", timeout
-    )
-
-
-def write_history(history: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def write_sizes(sizes: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append to Parquet files; takes up all that is there, then stops."""
     return (
-        history.writeStream.format("parquet")
+        sizes.writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def running_history(spark: SparkSession, path: str) -> DataFrame:
+    """``conv_id, turn, n_history, history_chars`` of all turns that have come in so far.
+
+    Equals ``history_before`` of the whole table, in whatever order turns were delivered.
+    """
+    return totals_before(spark.read.schema(SIZES).parquet(path)).drop("chars")

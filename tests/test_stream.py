@@ -2,18 +2,18 @@ from pyspark.sql import functions as F
 
 from parley.plans.chat import history_before
 from parley.schemas import MESSAGES
-from parley.streaming.history import OUTPUT, read_messages, running_history, write_history
+from parley.streaming.history import new_sizes, read_messages, running_history, write_sizes
 
 
-def test_stream_equals_batch_with_repeated_delivery(spark, tmp_path):
+def test_stream_equals_batch_with_late_and_repeated_turns(spark, tmp_path):
     messages = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
     source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
-    steps = [messages.where(F.col("turn") < 2), messages.where(F.col("turn").between(1, 4)),
-             messages.where(F.col("turn") > 4)]
-    for step in steps:  # turn 1 is delivered twice; every step is a run of its own
-        step.select(*MESSAGES.fieldNames()).coalesce(1).write.mode("append").parquet(source)
-        history = running_history(read_messages(spark, source, files_per_batch=1))
-        write_history(history, out, state).awaitTermination()
-    got = {tuple(r) for r in spark.read.schema(OUTPUT).parquet(out).collect()}
+    turn = F.col("turn")
+    for step in (turn > 4, turn.between(1, 5), turn < 2, turn >= 0):  # late first, all repeated at last
+        delivered = messages.where(step).select(*MESSAGES.fieldNames())
+        delivered.coalesce(1).write.mode("append").parquet(source)
+        sizes = new_sizes(read_messages(spark, source, files_per_batch=1))  # a run of its own
+        write_sizes(sizes, out, state).awaitTermination()
+    got = sorted(tuple(r) for r in running_history(spark, out).collect())
     batch = history_before(messages).select("conv_id", "turn", "n_history", "history_chars")
-    assert got == {tuple(r) for r in batch.collect()}
+    assert got == sorted(tuple(r) for r in batch.collect())
