@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,12 +33,22 @@ BLOCK_QUESTIONS = 8192
 BLOCK_ROWS = 8192
 
 
-def matrix(vectors: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    """A list column as rows scaled to unit length; zero vectors become NaN rows."""
+def matrix(vectors: pa.ChunkedArray | pa.Array, width: int | None = None) -> np.ndarray:
+    """A list column as rows scaled to unit length.
+
+    Zero, null and empty vectors, and those with a null component, become NaN rows. ``width``
+    is the length the others must have, or else that of the first one.
+    """
     if isinstance(vectors, pa.ChunkedArray):
         vectors = vectors.combine_chunks()
+    lengths = pc.list_value_length(vectors).fill_null(0).to_numpy(zero_copy_only=False)
+    held = lengths > 0
+    found = {*lengths[held].tolist(), *([width] if width else [])}
+    if len(found) > 1:
+        raise ValueError(f"vectors of unequal length: {sorted(found)}")
+    rows = np.full((len(vectors), found.pop() if found else 1), np.nan)
     flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    rows = flat.reshape(len(vectors), len(flat) // max(len(vectors), 1))
+    rows[held] = flat.reshape(int(held.sum()), rows.shape[1])
     norms = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
     with np.errstate(invalid="ignore", divide="ignore"):
         return np.where(norms > 0, rows / norms, np.nan)
@@ -72,6 +83,7 @@ class _Best:
     def __init__(self, questions: pa.Table, k: int):
         self.ids = questions.column("question_id").combine_chunks()
         self.vectors = matrix(questions.column("embedding"))
+        self.width = None if np.isnan(self.vectors).all() else self.vectors.shape[1]
         self.wanted: dict[str | None, np.ndarray] | None = None
         if "wanted" in questions.column_names:
             groups: dict[str | None, list[int]] = {}
@@ -109,7 +121,9 @@ class _Best:
         if not len(self.ids) or not batch.num_rows:
             return
         keys = np.array(batch.column("chunk_id").to_pylist())
-        vectors = matrix(batch.column("embedding"))
+        vectors = matrix(batch.column("embedding"), self.width)
+        if self.width is None:
+            self.vectors = np.full((len(self.ids), vectors.shape[1]), np.nan)
         if self.wanted is None:
             self.add(np.arange(len(self.ids)), keys, vectors)
             return
@@ -227,8 +241,10 @@ def search(
 
     ``questions`` has ``question_id, embedding``, ``index`` has ``chunk_id, embedding``.
     ``filter_by`` names a question column and an index column that must be equal; a question
-    whose value is null searches the whole index. A zero vector has a null score, ranked last.
+    whose value is null searches the whole index. A zero or null vector has a null score, ranked
+    last. Rows without a key, on either side, do not take part; vectors of unequal length are an error.
     """
+    questions, index = questions.where("question_id IS NOT NULL"), index.where("chunk_id IS NOT NULL")
     asked = questions.select(
         "question_id", "embedding",
         *([F.col(filter_by[0]).cast("string").alias("wanted")] if filter_by else []),

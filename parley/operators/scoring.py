@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 from parley.functions import text as X
 from parley.operators.knn import matrix
 
-MAX_SHARED_VECTORS = 65536
 PADDING = -100
 
 
@@ -281,53 +280,17 @@ def _with_f1(matched: DataFrame) -> DataFrame:
     )
 
 
-def bertscore(pairs: DataFrame, vectors: DataFrame,
-              max_shared: int = MAX_SHARED_VECTORS) -> DataFrame:
+def bertscore(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     """``pair_id, precision, recall, f1``: greedy cosine matching of token vectors.
 
     ``pairs`` has ``pair_id, prediction_ids, reference_ids``, ``vectors`` has ``token_id,
-    embedding``. A vector table of checked size is shared with all tasks and nothing is
-    shuffled. A larger one is joined to the distinct tokens of each pair; a group is one pair.
+    embedding``. The distinct tokens of each pair are joined to their vectors; a group is one
+    pair. Null ids are no tokens, tokens without a row do not take part, a null vector is like
+    one of zeros, and of several rows of a token the smallest vector counts.
     """
-    bounded = vectors.select("token_id", "embedding").limit(max_shared + 1).toArrow()
-    if bounded.num_rows <= max_shared:
-        return _with_f1(_shared_match(pairs, bounded))
     return _with_f1(_joined_match(pairs, vectors))
 
 
-def _shared_match(pairs: DataFrame, vectors: pa.Table) -> DataFrame:
-    shared = pairs.sparkSession.sparkContext.broadcast(vectors)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids = shared.value.column("token_id").to_numpy()
-        order = np.argsort(ids)
-        ids, rows = ids[order], np.nan_to_num(matrix(shared.value.column("embedding")))[order]
-
-        def side(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            known, counts = np.unique(tokens, return_counts=True)
-            at = np.minimum(np.searchsorted(ids, known), len(ids) - 1)
-            held = ids[at] == known
-            return rows[at[held]], counts[held]
-
-        for batch in batches:
-            scores = [
-                greedy_match(*side(p), *side(r))
-                for p, r in zip(batch["prediction_ids"], batch["reference_ids"])
-            ]
-            yield pd.DataFrame(
-                {
-                    "pair_id": batch["pair_id"],
-                    "precision": [s[0] for s in scores],
-                    "recall": [s[1] for s in scores],
-                }
-            )
-
-    kind = pairs.schema["pair_id"].dataType.simpleString()
-    return pairs.select("pair_id", "prediction_ids", "reference_ids").mapInPandas(
-        run, f"pair_id {kind}, precision double, recall double"
-    )
-
-
 def _joined_match(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     def side(column: str, number: int) -> DataFrame:
         return (
@@ -350,7 +313,9 @@ def _joined_match(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
 
     kind = pairs.schema["pair_id"].dataType.simpleString()
     matched = (
-        tokens.join(vectors.select("token_id", "embedding"), "token_id")
+        tokens.join(
+            vectors.groupBy("token_id").agg(F.min("embedding").alias("embedding")), "token_id"
+        )
         .select("pair_id", "side", "n", "embedding")
         .groupBy("pair_id")
         .applyInArrow(run, f"pair_id {kind}, precision double, recall double")

@@ -120,21 +120,29 @@ def vectors(frame):
     return frame([(i, v.tolist()) for i, v in enumerate(rows)], "token_id long, embedding array<float>")
 
 
-def test_bertscore_plans_agree_with_brute_force(frame, vectors):
+def test_bertscore_equals_brute_force(frame, vectors):
     sides = [([1, 2, 2, 3], [4, 5]), ([7], [7]), ([], [1]), ([1], []), ([60, 1], [1])]
     ids = frame([(i, p, r) for i, (p, r) in enumerate(sides)],
                 "pair_id long, prediction_ids array<long>, reference_ids array<long>")
     v = {r.token_id: np.array(r.embedding) / np.linalg.norm(r.embedding) for r in vectors.collect()}
-    for limit in (S.MAX_SHARED_VECTORS, 0):
-        got = {r.pair_id: r for r in S.bertscore(ids, vectors, limit).collect()}
-        for i, (p, r) in enumerate(sides):
-            p, r = [x for x in p if x in v], [x for x in r if x in v]
-            if not p or not r:
-                assert (got[i].precision, got[i].recall, got[i].f1) == (0, 0, 0)
-                continue
-            assert got[i].precision == pytest.approx(np.mean([max(v[a] @ v[b] for b in r) for a in p]), abs=1e-6)
-            assert got[i].recall == pytest.approx(np.mean([max(v[a] @ v[b] for a in p) for b in r]), abs=1e-6)
-        assert got[1].f1 == pytest.approx(1)
+    got = {r.pair_id: r for r in S.bertscore(ids, vectors).collect()}
+    for i, (p, r) in enumerate(sides):
+        p, r = [x for x in p if x in v], [x for x in r if x in v]
+        if not p or not r:
+            assert (got[i].precision, got[i].recall, got[i].f1) == (0, 0, 0)
+            continue
+        assert got[i].precision == pytest.approx(np.mean([max(v[a] @ v[b] for b in r) for a in p]), abs=1e-6)
+        assert got[i].recall == pytest.approx(np.mean([max(v[a] @ v[b] for a in p) for b in r]), abs=1e-6)
+    assert got[1].f1 == pytest.approx(1)
+
+
+def test_bertscore_with_nulls_and_repeated_tokens(frame):
+    vectors = frame([(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [0.0, 2.0]), (3, None)],
+                    "token_id long, embedding array<float>")
+    ids = frame([(0, None, [1]), (1, [1], [2]), (2, [1, None], [3]), (3, [3, 1], [2])],
+                "pair_id long, prediction_ids array<long>, reference_ids array<long>")
+    got = {r.pair_id: (r.precision, r.recall) for r in S.bertscore(ids, vectors).collect()}
+    assert got == {0: (0, 0), 1: (1, 1), 2: (0, 0), 3: (0.5, 1)}
 
 
 def test_ids(frame):

@@ -72,6 +72,26 @@ def test_text_keys_and_zero_vector(frame):
         assert [(r.chunk_id, r.score) for r in got] == [("a", 1.0), ("b", 1.0), ("longer", 0.0), ("z", None)]
 
 
+def test_null_vectors_and_keys(frame):
+    index = frame([(1, [1.0, 0.0]), (2, None), (None, [1.0, 0.0]), (3, [1.0, None]), (4, [0.0, 1.0])],
+                  "chunk_id long, embedding array<float>")
+    questions = frame([(1, [2.0, 0.0]), (2, None), (None, [1.0, 0.0])],
+                      "question_id long, embedding array<float>")
+    for plan in BLOCKS:
+        got = [(r.question_id, r.chunk_id, r.score)
+               for r in search(questions, index, 9, **plan).orderBy("question_id", "rank").collect()]
+        assert got == [(1, 1, 1.0), (1, 4, 0.0), (1, 2, None), (1, 3, None),
+                       *[(2, i, None) for i in (1, 2, 3, 4)]]
+        assert search(questions, index.where("chunk_id = 2"), 9, **plan).count() == 2
+
+
+def test_unequal_lengths_are_an_error(frame):
+    index = frame([(1, [1.0, 0.0, 0.0])], "chunk_id long, embedding array<float>")
+    questions = frame([(1, [2.0, 0.0])], "question_id long, embedding array<float>")
+    with pytest.raises(Exception, match="unequal length"):
+        search(questions, index, 1).collect()
+
+
 def test_pick_diverse():
     scores = np.array([0.9, 0.9, 0.5, 0.1])
     pairs = np.array([[1, 1, 0, 0], [1, 1, 0, 0], [0, 0, 1, 0], [0, 0, 0, 1.0]])
