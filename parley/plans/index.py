@@ -95,6 +95,18 @@ def missing_from(chunks: DataFrame, store: DataFrame) -> DataFrame:
 
 
 def append_index(chunks: DataFrame, path: str, store: DataFrame | None = None) -> None:
-    """Append new chunks to the store; a repeated call adds nothing."""
-    fresh = chunks if store is None else missing_from(chunks, store)
+    """Append the chunks whose id the store does not hold; a repeated call adds nothing.
+
+    The store is what ``path`` holds, unless another table of ids is given. Of several chunks
+    of one id in ``chunks`` one is written.
+    """
+    spark = chunks.sparkSession
+    if store is None:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if files.exists(folder):
+            store = spark.read.schema("chunk_id string").parquet(path)
+    fresh = chunks.dropDuplicates(["chunk_id"])
+    if store is not None:
+        fresh = missing_from(fresh, store)
     fresh.write.mode("append").partitionBy("collection").parquet(path)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley.functions import text as X
+from parley.plans.dialogue import DIALOGUE_INSTRUCTION
 from parley.plans.qa import QA_INSTRUCTION
 
 JSON_OPTIONS = {"ignoreNullFields": "false"}
@@ -51,7 +52,7 @@ def to_instruction_rows(df: DataFrame, kind: str, on_null: str = "keep", *keep:
             value("num_imdb_votes", 0, "long").alias("num_imdb_votes"),
         ]
         question, instruction = "utterance", X.field_or(
-            df, "instruction", "Continue the conversation between the characters.", on_null
+            df, "instruction", DIALOGUE_INSTRUCTION, on_null
         )
     else:
         context += [
@@ -131,14 +132,20 @@ def training_texts(
 
 
 def truncate_tokens(df: DataFrame, text: str, limit: int = 1024) -> DataFrame:
-    """Keep the first ``limit`` tokens; adds the token count and whether any was cut off."""
+    """Cut a text after its ``limit``-th token; adds the token count and whether any was cut off.
+
+    White space before and between the kept tokens stays as it is, and so does a text that is
+    not cut. Each step below is a token with the white space before it.
+    """
     return (
-        df.withColumn("_tokens", X.space_tokens(F.col(text)))
+        df.withColumn("_tokens", F.regexp_extract_all(F.col(text), F.lit(r"\s*\S+"), F.lit(0)))
         .withColumns(
             {
                 "n_tokens": F.size("_tokens"),
                 "truncated": F.size("_tokens") > limit,
-                "kept_text": F.array_join(F.slice("_tokens", 1, limit), " "),
+                "kept_text": F.when(
+                    F.size("_tokens") > limit, F.array_join(F.slice("_tokens", 1, limit), "")
+                ).otherwise(F.col(text)),
             }
         )
         .drop("_tokens")

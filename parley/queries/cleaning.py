@@ -418,5 +418,5 @@ def truncate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["truncate_tokens"] = truncate_documents
 ORACLE["truncate_tokens"] = r"""
     SELECT doc_id, len(t) AS n_tokens, (len(t) > 1024)::integer AS truncated,
-           array_to_string(t[1:1024], ' ') AS kept_text
-    FROM (SELECT doc_id, regexp_extract_all(text, '\S+') AS t FROM documents)"""
+           CASE WHEN len(t) > 1024 THEN array_to_string(t[1:1024], '') ELSE text END AS kept_text
+    FROM (SELECT doc_id, text, regexp_extract_all(text, '\s*\S+') AS t FROM documents)"""

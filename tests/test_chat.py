@@ -96,7 +96,11 @@ def test_append_twice_adds_nothing(spark, frame, tmp_path):
     I.append_index(infos.where("doc_id < 3"), path)
     for _ in range(2):
         I.append_index(infos, path, spark.read.parquet(path))
+        I.append_index(infos.unionByName(infos), path)
     assert spark.read.parquet(path).count() == 3
+    new = str(tmp_path / "new")
+    I.append_index(infos.unionByName(infos), new)
+    assert spark.read.parquet(new).count() == 3
 
 
 def test_context(frame):

@@ -97,5 +97,13 @@ def test_truncate(frame):
     rows = frame([(1, " a  b c"), (2, "a b"), (3, "")], "i int, t string")
     got = R.truncate_tokens(rows, "t", 2).orderBy("i").collect()
     assert [(r.n_tokens, r.truncated, r.kept_text) for r in got] == [
-        (3, True, "a b"), (2, False, "a b"), (0, False, "")
+        (3, True, " a  b"), (2, False, "a b"), (0, False, "")
     ]
+
+
+def test_uncut_prompt_keeps_its_layout(frame):
+    prompt = "### Instruction:\nGo on.\n\n### Input:\n  hi\tthere \n"
+    rows = frame([(1, prompt), (2, None)], "i int, t string")
+    got = {r.i: r.kept_text for r in R.truncate_tokens(rows, "t", 8).collect()}
+    assert got == {1: prompt, 2: None}
+    assert R.truncate_tokens(rows, "t", 4).where("i = 1").first().kept_text == "### Instruction:\nGo on."
