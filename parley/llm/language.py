@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parley.session import SEED
+from parley.session import SEED, materialise
 
 WINDOW, BATCH = 256, 32
 #: Bounds of the training sample: rows of a language, windows of a row, rows of all languages.
@@ -136,7 +136,9 @@ def fit(
 ) -> Network | None:
     """A network learned from at most ``rows`` labelled rows; None if there are none.
 
-    Ids only choose which rows are seen. Of each row the driver gets ``WINDOWS`` windows.
+    Ids only choose which rows are seen: the first of each language by a hash. Counts by powers of two of that
+    hash tell where they end, so only about twice as many texts as are taken are shuffled, however many a language
+    has. Of each row the driver gets ``WINDOWS`` windows.
     """
     order = Window.partitionBy("lang").orderBy("draw", "doc_id")
 
@@ -146,13 +148,23 @@ def fit(
             yield pd.DataFrame({"lang": batch["lang"], "draw": batch["draw"], "cells": cells})
 
     text = F.col(text_col)
+    draw = F.xxhash64(id_col, F.lit(SEED))
+    # The draw as a number from 0; each step holds about as many rows as all steps below it.
+    step = F.floor(F.log2(F.greatest(draw.cast("double") + 2.0**63, F.lit(1.0))))
+    own = labelled.where(F.col(lang_col).isNotNull() & text.rlike(r"\p{L}")).select(
+        F.col(lang_col).alias("lang"), text.alias("text"), F.col(id_col).alias("doc_id"),
+        draw.alias("draw"), step.alias("step"),
+    )
+    before = F.sum("n").over(Window.partitionBy("lang").orderBy("step")) - F.col("n")
+    cuts = (
+        own.groupBy("lang", "step").agg(F.count("*").alias("n"))
+        .select(F.col("lang").alias("of"), "step", before.alias("before"))
+        .where(F.col("before") < per_language)
+        .groupBy("of").agg(F.max("step").alias("cut"))
+    )
     chosen = (
-        labelled.where(F.col(lang_col).isNotNull() & text.rlike(r"\p{L}"))
-        .select(
-            F.col(lang_col).alias("lang"), text.alias("text"), F.col(id_col).alias("doc_id"),
-            F.xxhash64(id_col, F.lit(SEED)).alias("draw"),
-        )
-        .select("*", F.row_number().over(order).alias("place"))
+        own.join(materialise(cuts), (F.col("lang") == F.col("of")) & (F.col("step") <= F.col("cut")))
+        .select("lang", "text", "doc_id", "draw", F.row_number().over(order).alias("place"))
         .where(F.col("place") <= per_language)
         .select("lang", "draw", "text")
         .mapInPandas(shorten, "lang string, draw long, cells binary")
