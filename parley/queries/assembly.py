@@ -39,50 +39,56 @@ ORACLE["enrich_inner"] = """
 
 
 def lookup_left(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names for all orders' customers in credit; a repeated dimension does not fan out."""
-    customer = read(spark, sf_dir, "customer").where("c_acctbal > 0")
+    """Names of the customers with twice the number, where there is one; a repeated dimension does not fan out."""
+    customer = read(spark, sf_dir, "customer")
     twice = customer.unionByName(customer)
     return L.lookup(
-        read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"),
-        "o_custkey", twice, "c_custkey", "c_name", "character_name2",
+        read(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") * 2).alias("doubled")),
+        "doubled", twice, "c_custkey", "c_name", "character_name2",
     )
 
 
 QUERIES["lookup_left"] = lookup_left
 ORACLE["lookup_left"] = """
-    SELECT o_orderkey, o_custkey, c_name AS character_name2
-    FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_acctbal > 0"""
+    SELECT o_orderkey, o_custkey * 2 AS doubled, c_name AS character_name2
+    FROM orders LEFT JOIN customer ON o_custkey * 2 = c_custkey"""
 
 
 def left_fanout_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line numbers above 4 are in no name of the other side, as sizes are taken modulo 5."""
     part = read(spark, sf_dir, "part")
     sold = (
         read(spark, sf_dir, "lineitem")
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .select(F.col("p_name").alias("movie_name"), "l_returnflag", "l_linenumber")
+        .select(F.concat_ws(" ", "p_name", "l_linenumber").alias("movie_name"), "l_returnflag")
     )
-    kinds = part.where("p_type <> 'PROMO'").select(
-        F.col("p_name").alias("movie_name"), F.col("p_type").alias("plot_outline")
+    kinds = part.select(
+        F.concat_ws(" ", "p_name", F.col("p_size") % 5).alias("movie_name"),
+        F.col("p_type").alias("plot_outline"),
     )
     return L.left_distinct(sold, kinds, "movie_name")
 
 
 QUERIES["left_fanout_dedup"] = left_fanout_dedup
 ORACLE["left_fanout_dedup"] = """
-    SELECT DISTINCT a.movie_name, l_returnflag, l_linenumber, b.p_type AS plot_outline
-    FROM (SELECT DISTINCT p_name AS movie_name, l_returnflag, l_linenumber
+    SELECT DISTINCT a.movie_name, l_returnflag, b.p_type AS plot_outline
+    FROM (SELECT DISTINCT p_name || ' ' || l_linenumber AS movie_name, l_returnflag
           FROM lineitem JOIN part ON l_partkey = p_partkey) a
-    LEFT JOIN (SELECT DISTINCT p_name, p_type FROM part WHERE p_type <> 'PROMO') b
-      ON a.movie_name = b.p_name"""
+    LEFT JOIN (SELECT DISTINCT p_name || ' ' || (p_size % 5) AS name, p_type FROM part) b
+      ON a.movie_name = b.name"""
 
 
 def qa_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts of each order line with the supplier's name, and an outline found by that name."""
+    """The part with half a line's part number, the supplier's name, and an outline found by that name.
+
+    Outlines are filed under the name of the supplier with twice the number, so odd numbers have none.
+    """
     line = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     supplier = read(spark, sf_dir, "supplier")
-    part = read(spark, sf_dir, "part").where("p_size > 10").select("p_partkey", "p_name")
-    outlines = supplier.where("s_acctbal > 0").select(
-        F.col("s_name").alias("title"), F.concat(F.lit("Held by "), "s_name").alias("plot_outline")
+    part = read(spark, sf_dir, "part").select((F.col("p_partkey") * 2).alias("p_partkey"), "p_name")
+    outlines = supplier.select(
+        F.format_string("Supplier#%09d", F.col("s_suppkey") * 2).alias("title"),
+        F.concat(F.lit("Held by "), "s_name").alias("plot_outline"),
     )
     return (
         line.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
@@ -95,10 +101,11 @@ def qa_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["qa_enrich"] = qa_enrich
 ORACLE["qa_enrich"] = """
-    SELECT l_orderkey, l_linenumber, l_partkey, p_name, s_name AS movie_name,
-           CASE WHEN s_acctbal > 0 THEN 'Held by ' || s_name END AS plot_outline
-    FROM lineitem LEFT JOIN part ON l_partkey = p_partkey AND p_size > 10
-    LEFT JOIN supplier ON l_suppkey = s_suppkey"""
+    SELECT l_orderkey, l_linenumber, l_partkey, p_name, s.s_name AS movie_name,
+           'Held by ' || o.s_name AS plot_outline
+    FROM lineitem LEFT JOIN part ON l_partkey = p_partkey * 2
+    LEFT JOIN supplier s ON l_suppkey = s.s_suppkey
+    LEFT JOIN supplier o ON s.s_name = 'Supplier#' || lpad((o.s_suppkey * 2)::varchar, 9, '0')"""
 
 
 def _asked(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parley.operators import scoring as S
-from parley.plans.evaluate import evaluate, with_token_ids
+from parley.plans.evaluate import decoded_pairs, evaluate, with_token_ids
 from parley.queries import tables as T
 from parley.queries.tables import read, with_tables
 
@@ -64,6 +64,26 @@ ORACLE["decode_tokens"] = f"""WITH {_IDS_SQL}
     LEFT JOIN nation ON n_nationkey = id AND id <> 0 GROUP BY vec_id"""
 
 
+def decoded_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions and references spelt from logits and padded label ids, as the metrics take them."""
+    rows = _logits(spark, sf_dir).withColumn("ids", S.argmax_ids(F.col("logits")))
+    rows = rows.withColumn(
+        "labels", F.transform("ids", lambda x, i: F.when(i < F.col("label"), x).otherwise(S.PADDING))
+    )
+    vocabulary = read(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("token_id"), F.col("n_name").alias("token")
+    )
+    return decoded_pairs(rows, "vec_id", vocabulary, logits="logits")
+
+
+QUERIES["decoded_pairs"] = decoded_texts
+ORACLE["decoded_pairs"] = f"""WITH {_IDS_SQL}
+    SELECT vec_id AS pair_id, coalesce(string_agg(n_name, ' ' ORDER BY pos), '') AS prediction,
+           coalesce(string_agg(n_name, ' ' ORDER BY pos) FILTER (WHERE pos < label), '') AS reference
+    FROM (SELECT vec_id, label, unnest(ids) AS id, unnest(range(0, 8)) AS pos FROM ids)
+    LEFT JOIN nation ON n_nationkey = id AND id <> 0 GROUP BY vec_id"""
+
+
 def bleu_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.bleu(T.evaluation_pairs(spark, sf_dir)).select(F.round("bleu", 9).alias("bleu"))
 

@@ -132,12 +132,13 @@ def qa_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def qa_details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Only customers in credit have an outline."""
+    """Outlines are filed under the name of the customer with twice the number, so odd numbers have none."""
     customer, nation = read(spark, sf_dir, "customer"), read(spark, sf_dir, "nation")
     return (
-        customer.where("c_acctbal > 0")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(F.col("c_name").alias("title"), F.col("n_name").alias("plot_outline"))
+        customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+            F.format_string("Customer#%09d", F.col("c_custkey") * 2).alias("title"),
+            F.col("n_name").alias("plot_outline"),
+        )
     )
 
 
@@ -198,8 +199,8 @@ SQL = {
         SELECT c_custkey::varchar AS imdb_key, c_name AS name, c_nationkey + 1980 AS year,
                c_mktsegment AS genre FROM customer)""",
     "qa_details": """qa_details AS (
-        SELECT c_name AS title, n_name AS plot_outline
-        FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 0)""",
+        SELECT 'Customer#' || lpad((c_custkey * 2)::varchar, 9, '0') AS title, n_name AS plot_outline
+        FROM customer JOIN nation ON c_nationkey = n_nationkey)""",
     "evaluation_pairs": """evaluation_pairs AS (
         SELECT a.conv_id || '_' || a.turn AS pair_id, a.text AS prediction, b.text AS reference
         FROM conversations a JOIN conversations b
