@@ -41,6 +41,8 @@ WORDS_PER_SHINGLE, PERCENT = 5, 80
 GROUPS = 128
 #: Members of a block, or chunk of one, that meet in a task; points of a leaf of the tree.
 BLOCK, LEAF = 2048, 16
+#: Keys over which the members of a large block are dealt.
+SALTS = 16
 #: Slab rows that a task merges at once.
 _MERGE = 1 << 20
 
@@ -279,9 +281,15 @@ def _linked_in_blocks(k: int, percent: int):
 
 def _links(blocks: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Links within blocks (id, block); a block above ``BLOCK`` members is cut into chunks."""
-    held = blocks.groupBy("block").agg(F.ceil(F.count("*") / BLOCK).alias("chunks"))
-    placed = blocks.join(held, "block").select(
-        "*", F.pmod(F.xxhash64("id"), F.col("chunks")).alias("chunk")
+    # Large blocks are few, one for ``BLOCK`` members at most; their members are dealt over ``SALTS`` keys.
+    large = blocks.groupBy("block").agg(F.ceil(F.count("*") / BLOCK).alias("chunks")).where("chunks > 1")
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+    large = materialise(large.select("*", salts.alias("salt")))
+    placed = (
+        blocks.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS).cast("long")))
+        .join(large, ["block", "salt"], "left")
+        .select("block", "id", F.coalesce("chunks", F.lit(1).cast("long")).alias("chunks"))
+        .select("*", F.pmod(F.xxhash64("id", F.lit(1)), F.col("chunks")).alias("chunk"))
     )
     # Every pair of chunks is a group, and every chunk with itself.
     placed = placed.select(
