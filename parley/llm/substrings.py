@@ -3,10 +3,15 @@
 Seeds are k-word stretches, thinned to the least hash of every ``SPAN`` neighbours, so that two texts
 with an equal stretch of K + SPAN - 1 words share one. Every seed is matched with one place only: its
 first one in the document of smallest id that holds it. So there are no more matches than
-seeds, whatever a seed's number of holders. The matches of a document with one such source are
-chained: both places must rise and gaps cost, which a Fenwick tree over the places in the source
-solves in n log n. Chains are aligned word by word between and beyond their seeds and reported
-if they are long and alike enough.
+seeds, whatever a seed's number of holders. Where seeds are matched, longer keys are matched again in
+the same way: every stretch of ``LEAST_WORDS`` words, so that no exact passage is lost whichever
+documents hold its parts, and pairs of near seeds that their first holders do not join, which bring
+together documents that share edited passages of parts with different first holders. The matches of a
+document with one such source are chained: both places must rise and gaps cost, which a Fenwick tree
+over the places in the source solves in n log n. From the matches of a chain the texts are aligned in
+both directions across edits, in ever longer pieces while an end may lie outside, and passages long
+and alike enough are reported from their first to their last equal word. What lies within another
+passage of the same text is left out.
 
 Words are compared with A-Z in lower case. Positions are bytes of the UTF-8 text.
 
@@ -20,22 +25,29 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parley.llm.common import probably_in
-from parley.llm.words import Words
+from parley.llm.words import _MUL, Words, _mixed
 from parley.session import materialise
 
 K, SPAN = 8, 16
 #: Words of a gap that cost as much as a seed earns; a chain is cut at longer ones.
 GAP = 48
 LEAST_WORDS, LEAST_ALIKE = 50, 0.8
-#: Bytes around a chain in which its ends are looked for.
-MARGIN = 400
+#: Bytes around a chain in which its ends are looked for first, and the growth where they may lie outside.
+MARGIN, GROWTH = 400, 16
+#: An edit costs as much as so many equal words; those after the first where it leaves too little alike or too short.
+LOSSES = 2, 4
+#: Words' worth by which an extension may fall below its best.
+DROP = 16
+#: Matched seeds after one with which it makes pairs.
+SKIPS = 8
 
 _SEED = "seed long, doc_id long, word int, at int"
 def seeds_of(words: Words, k: int = K, span: int = SPAN) -> tuple[np.ndarray, np.ndarray]:
@@ -70,6 +82,49 @@ def _seeds(k: int, span: int):
     return run
 
 
+def _longer(k: int, span: int, least: int):
+    """Longer keys where seeds are matched: all ``least``-word stretches, and pairs of seeds that no one source joins.
+
+    A stretch that another document has too has only matched seeds, apart from those that words beside it chose.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for r in batch.itertuples(index=False):
+                words = Words(r.text.encode("utf-8", "replace"))
+                _, at = seeds_of(words, k, span)
+                lone = np.zeros(len(words.hash) + 1, np.int64)
+                lone[at[~np.isin(at, r.word)] + 1] = 1
+                lone = np.cumsum(lone)
+                keys, place = [], []
+                count = len(words.hash) - least + 1
+                if count > 0:
+                    p = np.arange(count)
+                    inner = np.maximum(least - k - span + 2, span - 1)
+                    p = p[lone[p + inner] == lone[p + span - 1]]
+                    if len(p):
+                        keys.append(words.grams(least)[p])
+                        place.append(p)
+                word, seed = np.asarray(r.word), np.asarray(r.seed).view(np.uint64)
+                source, there = np.asarray(r.source_id), np.asarray(r.source_word).astype(np.int64)
+                for skip in range(1, min(SKIPS, len(word) - 1) + 1):
+                    step = there[skip:] - there[:-skip]
+                    one = (source[skip:] == source[:-skip]) & (step >= 0) & (step <= GAP)
+                    pick = np.flatnonzero(~one & (word[skip:] - word[:-skip] <= GAP))
+                    keys.append(_mixed(seed[pick] * _MUL + seed[pick + skip]))
+                    place.append(word[pick])
+                if keys:
+                    key, at = np.concatenate(keys), np.concatenate(place)
+                    at = at.astype(np.int64)
+                    inside = at < len(words.start)  # another row under the same id may be longer
+                    key, at = key[inside], at[inside]
+                    yield pd.DataFrame(
+                        {"seed": key.view(np.int64), "doc_id": r.doc_id, "word": at, "at": words.start[at]}
+                    )
+
+    return run
+
+
 def chain(a: np.ndarray, b: np.ndarray, gap: int = GAP) -> list[list[int]]:
     """Chains of matches (a, b), a rising; each match is in one chain.
 
@@ -126,23 +181,18 @@ _CHAIN = (
 )
 
 
-def _chains(k: int, span: int, least: int):
+def _chains():
     """Runs over rows sorted by (doc_id, source_id, word); a pair may go on in the next batch."""
-    reach = least - k - 2 * (span - 1)
-
     def of_pair(rows: pd.DataFrame) -> list[tuple]:
         word, source = rows["word"].to_numpy(), rows["source_word"].to_numpy()
-        if len(word) < 2 or word[-1] - word[0] < reach:
-            return []
         at, source_at = rows["at"].to_numpy("<i4"), rows["source_at"].to_numpy("<i4")
         out = []
         for one in chain(word, source):
-            if len(one) > 1 and word[one[-1]] - word[one[0]] >= reach:
-                x, y = at[one], source_at[one]
-                out.append(
-                    (rows["doc_id"].iat[0], rows["source_id"].iat[0], x[0], x[-1], y[0], y[-1],
-                     x.tobytes(), y.tobytes())
-                )
+            x, y = at[one], source_at[one]
+            out.append(
+                (rows["doc_id"].iat[0], rows["source_id"].iat[0], x[0], x[-1], y[0], y[-1],
+                 x.tobytes(), y.tobytes())
+            )
         return out
 
     names = [f.split()[0] for f in _CHAIN.split(", ")]
@@ -156,8 +206,7 @@ def _chains(k: int, span: int, least: int):
             bounds = [0, *edges.tolist()]
             out = []
             for a, b in zip(bounds, bounds[1:]):
-                if b - a > 1:
-                    out += of_pair(rows.iloc[a:b])
+                out += of_pair(rows.iloc[a:b])
             held = rows.iloc[bounds[-1] :]
             if out:
                 yield pd.DataFrame(out, columns=names)
@@ -167,32 +216,55 @@ def _chains(k: int, span: int, least: int):
     return run
 
 
-def _common(a: list, b: list) -> int:
-    """Length of the longest common subsequence of two short lists."""
-    row = [0] * (len(b) + 1)
-    for x in a:
-        corner = 0
-        for j, y in enumerate(b, 1):
-            corner, row[j] = row[j], corner + 1 if x == y else max(row[j], row[j - 1])
-    return row[-1]
-
-
-def align(a: list, b: list, pairs: list[tuple[int, int]]) -> tuple[int, int, int, int, int]:
-    """From equal places (i, j), rising: the ends in ``a`` and ``b`` and the number of equal words."""
-    (i, j), equal = pairs[0], 0
-    low = 0
-    while low < min(i, j) and a[i - low - 1] == b[j - low - 1]:
-        low += 1
-    start, source_start, equal = i - low, j - low, low
-    for x, y in pairs[1:]:
-        if x < i or y < j:
-            continue
-        left, right = a[i:x], b[j:y]
-        equal += len(left) if left == right else _common(left, right)
-        i, j = x, y
-    while i < len(a) and j < len(b) and a[i] == b[j]:
-        i, j, equal = i + 1, j + 1, equal + 1
-    return start, i, source_start, j, equal
+def _extend(a: list, b: list, i: int, j: int, step: int, loss: float) -> tuple[int, int, int, bool]:
+    """From (i, j) on by ``step``, across edits: words taken of both sides, equal ones, whether a border ended it.
+
+    Furthest places by number of edits and diagonal; an equal word earns 1, an edit costs ``loss``, and the
+    search ends when all are ``DROP`` below the best.
+    """
+    room, other = (len(a) - i, len(b) - j) if step > 0 else (i, j)
+    x0, y0 = (i, j) if step > 0 else (i - 1, j - 1)
+
+    def slide(x: int, y: int) -> int:
+        start = x
+        while x < room and y < other and a[x0 + step * x] == b[y0 + step * y]:
+            x, y = x + 1, y + 1
+        return x - start
+
+    n = slide(0, 0)
+    best, border = (n, n, n, n), n == room or n == other  # score, taken of a and b, equal
+    reached, edits = {0: (n, n)}, 0
+    while reached:
+        edits += 1
+        new: dict[int, tuple[int, int]] = {}
+        for diagonal, (x, equal) in reached.items():
+            for more, to in ((1, diagonal), (0, diagonal - 1), (1, diagonal + 1)):  # x - y = diagonal
+                if x + more <= room and 0 <= x + more - to <= other:
+                    new[to] = max(new.get(to, (-1, 0)), (x + more, equal))
+        reached = {}
+        for diagonal, (x, equal) in new.items():
+            n = slide(x, x - diagonal)
+            x, equal = x + n, equal + n
+            score = equal - loss * edits
+            if score > best[0]:
+                best = (score, x, x - diagonal, equal)
+            if score >= best[0] - DROP:
+                border |= x == room or x - diagonal == other
+                reached[diagonal] = (x, equal)
+    return best[1], best[2], best[3], border
+
+
+def align(
+    a: list, b: list, pairs: list[tuple[int, int]], loss: float = 2
+) -> tuple[int, int, int, int, int]:
+    """From equal places (i, j), of which the first counts: the ends in ``a`` and ``b`` and the number of equal words."""
+    return _both_ends(a, b, *pairs[0], loss)[:5]
+
+
+def _both_ends(a: list, b: list, i: int, j: int, loss: float) -> tuple[int, int, int, int, int, bool, bool]:
+    before, source_before, equal, low = _extend(a, b, i, j, -1, loss)
+    after, source_after, more, high = _extend(a, b, i, j, 1, loss)
+    return i - before, i + after, j - source_before, j + source_after, equal + more, low, high
 
 
 PASSAGE = (
@@ -201,35 +273,60 @@ PASSAGE = (
 )
 
 
+#: What stays open because an end may lie outside the piece.
+_OPEN = (
+    ", mark long, first long, last long, source_first long, source_last long, ats binary, source_ats binary"
+)
+
+
 def _aligned(least: int, alike: float):
-    names = [f.split()[0] for f in PASSAGE.split(", ")]
+    names = [f.split()[0] for f in (PASSAGE + _OPEN).split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for r in batch.itertuples(index=False):
                 own, source = Words(r.piece), Words(r.source_piece)
+                # Words that the cut may have split are left out.
+                skip, source_skip = int(r.low > 0), int(r.source_low > 0)
+                end = len(own.hash) - int(r.low + len(r.piece) < r.size)
+                source_end = len(source.hash) - int(r.source_low + len(r.source_piece) < r.source_size)
+                cut = skip or source_skip, end < len(own.hash) or source_end < len(source.hash)
                 at = np.frombuffer(r.ats, "<i4").astype(np.int64) - r.low
                 source_at = np.frombuffer(r.source_ats, "<i4").astype(np.int64) - r.source_low
-                pairs = list(
-                    zip(np.searchsorted(own.start, at).tolist(),
-                        np.searchsorted(source.start, source_at).tolist())
-                )
-                a, b = own.hash.tolist(), source.hash.tolist()
-                if any(i >= len(a) or j >= len(b) or a[i] != b[j] for i, j in pairs):
-                    continue  # another row under the same id
-                first, last, source_first, source_last, equal = align(a, b, pairs)
-                words, source_words = last - first, source_last - source_first
-                if min(words, source_words) < least or 2 * equal < alike * (words + source_words):
-                    continue
-                start, stop = int(own.start[first]), int(own.stop[last - 1])
-                source_start = int(source.start[source_first])
-                source_stop = int(source.stop[source_last - 1])
-                out.append(
-                    (r.doc_id, r.source_id, r.low + start, stop - start, r.source_low + source_start,
-                     source_stop - source_start, words, equal)
-                )
-            yield pd.DataFrame(out, columns=names)
+                a, b = own.hash[skip:end].tolist(), source.hash[source_skip:source_end].tolist()
+                pairs = zip((np.searchsorted(own.start, at) - skip).tolist(),
+                            (np.searchsorted(source.start, source_at) - source_skip).tolist())
+                found, unsure, done = [], False, []
+                for i, j in pairs:
+                    if not (0 <= i < len(a) and 0 <= j < len(b)) or a[i] != b[j]:
+                        continue  # another row under the same id
+                    if any(x <= i < y and z <= j < t for x, y, z, t in done):
+                        continue
+                    for loss in LOSSES:
+                        first, last, source_first, source_last, equal, low, high = _both_ends(a, b, i, j, loss)
+                        words, source_words = last - first, source_last - source_first
+                        enough = 2 * equal >= alike * (words + source_words)
+                        if enough and min(words, source_words) >= least or words < least // 4:
+                            break
+                    done.append((first, last, source_first, source_last))
+                    if min(words, source_words) < least or 2 * equal < alike * (words + source_words):
+                        continue
+                    start, stop = int(own.start[first + skip]), int(own.stop[last + skip - 1])
+                    source_start = int(source.start[source_first + source_skip])
+                    source_stop = int(source.stop[source_last + source_skip - 1])
+                    found.append(
+                        (r.doc_id, r.source_id, r.low + start, stop - start, r.source_low + source_start,
+                         source_stop - source_start, words, equal, r.mark, *[None] * 6)
+                    )
+                if unsure:
+                    found = [(r.doc_id, r.source_id, *[None] * 6, r.mark, r.first, r.last, r.source_first,
+                              r.source_last, r.ats, r.source_ats)]
+                out += found
+            columns = zip(*out) if out else [()] * len(names)
+            yield pd.DataFrame({
+                n: pd.Series(x, dtype=object if n.endswith("ats") else "Int64") for n, x in zip(names, columns)
+            })
 
     return run
 
@@ -251,6 +348,44 @@ def passages(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")
     ).where("doc_id IS NOT NULL AND text IS NOT NULL")
     seeds = materialise(docs.mapInPandas(_seeds(k, span), _SEED))
+    matches = materialise(_first_holders(seeds))
+    texts = docs.select(F.col("doc_id").alias("of"), "text")
+    places = matches.groupBy("doc_id").agg(
+        F.sort_array(F.collect_list(F.struct("word", "seed", "source_id", "source_word"))).alias("m")
+    ).select("doc_id", *[F.col(f"m.{c}").alias(c) for c in ("word", "seed", "source_id", "source_word")])
+    wide = probably_in(texts, "of", matches.select("doc_id")).join(places, F.col("of") == F.col("doc_id"))
+    longer = materialise(wide.drop("of").mapInPandas(_longer(k, span, least), _SEED))
+    matches = matches.unionByName(_first_holders(longer)).drop("seed").where("doc_id <> source_id")
+    spans = materialise(
+        matches.distinct().repartition("doc_id", "source_id")
+        .sortWithinPartitions("doc_id", "source_id", "word", "source_word")
+        .mapInPandas(_chains(), _CHAIN)
+    )
+    ids = spans.select("doc_id").unionByName(spans.select(F.col("source_id").alias("doc_id")))
+    texts = docs.select(F.col("doc_id").alias("of"), F.col("text").cast("binary").alias("data"))
+    texts = materialise(probably_in(texts, "of", ids))
+    names = [f.split()[0] for f in PASSAGE.split(", ")]
+    parts, margin = [], MARGIN
+    while not spans.isEmpty():
+        done = materialise(_pieces(spans, texts, margin).mapInPandas(_aligned(least, alike), PASSAGE + _OPEN))
+        parts.append(done.where("start IS NOT NULL").select("mark", *names))
+        spans = done.where("start IS NULL").select(*spans.columns)
+        margin *= GROWTH
+    if not parts:
+        return docs.sparkSession.createDataFrame([], PASSAGE)
+    # Of passages within another one of the same text only the outer one stays; of equal ones the first source's.
+    stop = F.col("start") + F.col("length")
+    before = (
+        Window.partitionBy("doc_id", "mark")
+        .orderBy("start", stop.desc(), "source_id", "source_start", "source_length")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    found = reduce(DataFrame.unionByName, parts).withColumn("before", F.max(stop).over(before))
+    return found.where("before IS NULL OR before < start + length").select(*names).distinct()
+
+
+def _first_holders(seeds: DataFrame) -> DataFrame:
+    """The seeds that several places have, each with the first place of the document of smallest id."""
     # One number for (doc_id, word, at), so that its least value is found by hash aggregation.
     wide = "decimal(38,0)"
     doc, word = F.lit(1 << 62).cast("decimal(19,0)"), F.lit(1 << 31).cast("decimal(10,0)")
@@ -271,32 +406,30 @@ def passages(
             rest.bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("source_at"),
         )
     )
-    matches = seeds.join(firsts, "seed").where("doc_id <> source_id").drop("seed")
-    spans = materialise(
-        matches.repartition("doc_id", "source_id")
-        .sortWithinPartitions("doc_id", "source_id", "word", "source_word")
-        .mapInPandas(_chains(k, span, least), _CHAIN)
-    )
-    ids = spans.select("doc_id").unionByName(spans.select(F.col("source_id").alias("doc_id")))
-    texts = docs.select(F.col("doc_id").alias("of"), F.col("text").cast("binary").alias("data"))
-    texts = materialise(probably_in(texts, "of", ids))
-    low = F.greatest(F.col("first") - MARGIN, F.lit(0))
-    source_low = F.greatest(F.col("source_first") - MARGIN, F.lit(0))
+    return seeds.join(firsts, "seed")
 
-    def piece(start: str, last: str):
-        return F.substring(
-            "data", (F.col(start) + 1).cast("int"),
-            (F.col(last) - F.col(start) + 2 * MARGIN).cast("int"),
-        )
 
-    found = spans.withColumns({"low": low, "source_low": source_low})
-    found = found.join(texts, F.col("doc_id") == F.col("of")).withColumn("piece", piece("low", "last"))
+def _pieces(spans: DataFrame, texts: DataFrame, margin: int) -> DataFrame:
+    """The chains with ``margin`` bytes around them on both sides."""
+    margin = min(margin, 1 << 30)
+
+    def piece(low: str, last: str):
+        width = F.least(F.col(last) - F.col(low) + margin, F.lit((1 << 31) - 1))
+        return F.substring("data", (F.col(low) + 1).cast("int"), width.cast("int"))
+
+    found = spans.withColumns({
+        "low": F.greatest(F.col("first") - margin, F.lit(0)),
+        "source_low": F.greatest(F.col("source_first") - margin, F.lit(0)),
+    })
+    found = found.join(texts, F.col("doc_id") == F.col("of"))
+    found = found.withColumns(
+        {"piece": piece("low", "last"), "size": F.octet_length("data"), "mark": F.xxhash64("data")}
+    )
     found = found.drop("of", "data").join(texts, F.col("source_id") == F.col("of"))
-    found = found.withColumn("source_piece", piece("source_low", "source_last"))
-    found = found.select(
-        "doc_id", "source_id", "low", "source_low", "ats", "source_ats", "piece", "source_piece"
+    found = found.withColumns(
+        {"source_piece": piece("source_low", "source_last"), "source_size": F.octet_length("data")}
     )
-    return found.mapInPandas(_aligned(least, alike), PASSAGE).distinct()
+    return found.drop("of", "data")
 
 
 def drop_passages(

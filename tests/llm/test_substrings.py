@@ -96,3 +96,45 @@ def test_hard_rows(hard, empty):
     assert substrings.passages(hard).count() == 0
     assert substrings.passages(empty).collect() == []
     assert substrings.drop_passages(hard, substrings.passages(hard)).count() == hard.count()
+
+
+def longest_common(a, b):
+    """Word numbers of ``a`` in the stretches of 50 words or more that ``b`` has too, by comparing all places."""
+    covered, row = set(), [0] * (len(b) + 1)
+    for i, x in enumerate(a):
+        row = [0, *[row[j] + 1 if x == y else 0 for j, y in enumerate(b)]]
+        for n in {n for n in row if n >= 50}:
+            covered.update(range(i - n + 1, i + 1))
+    return covered
+
+
+def covered_by(found, doc_id, text):
+    data, out = text.encode(), set()
+    for r in found:
+        if r.doc_id == doc_id:
+            before = len(data[: r.start].split())
+            out.update(range(before, before + len(data[r.start : r.start + r.length].split())))
+    return out
+
+
+def test_passages_stitched_of_lines_with_other_first_holders(spark):
+    """Lines of earlier documents, each too short, make a passage that two later documents share."""
+    rng, rows = random.Random(21), []
+    for case in range(12):
+        parts = [prose(rng, n) for n in ((26, 26), (30, 22), (18, 18, 18), (49, 1, 49))[case % 4]]
+        texts = [prose(rng, 40) + part + prose(rng, 40) for part in parts]
+        if case % 4 == 3:  # the two overlap: either holds 49 of the 50 words
+            whole = prose(rng, 50)
+            texts = [prose(rng, 40) + whole[:49] + prose(rng, 40), prose(rng, 40) + whole[1:] + prose(rng, 40)]
+        else:
+            whole = [w for part in parts for w in part]
+        texts += [prose(rng, 60) + whole + prose(rng, 60) for _ in range(2)]
+        rows += [(case * 10 + i, " ".join(t)) for i, t in enumerate(texts)]
+    found = substrings.passages(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
+    texts = dict(rows)
+    for doc_id, text in rows:
+        expected = set()
+        for other in (i for i in texts if i < doc_id and i // 10 == doc_id // 10):
+            expected |= longest_common(text.split(), texts[other].split())
+        assert expected <= covered_by(found, doc_id, text)
+    assert len({r.doc_id for r in found}) == 12
