@@ -36,14 +36,14 @@ from parley.llm.common import probably_in
 from parley.llm.words import _MUL, Words, _mixed
 from parley.session import materialise
 
-K, SPAN = 8, 16
+K, SPAN = 5, 6
 #: Words of a gap that cost as much as a seed earns; a chain is cut at longer ones.
 GAP = 48
 LEAST_WORDS, LEAST_ALIKE = 50, 0.8
 #: Bytes around a chain in which its ends are looked for first, and the growth where they may lie outside.
 MARGIN, GROWTH = 400, 16
 #: An edit costs as much as so many equal words; those after the first where it leaves too little alike or too short.
-LOSSES = 2, 4
+LOSSES = 2, 4, 1, 0.5
 #: Words' worth by which an extension may fall below its best.
 DROP = 16
 #: Matched seeds after one with which it makes pairs.

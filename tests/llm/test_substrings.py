@@ -138,3 +138,23 @@ def test_passages_stitched_of_lines_with_other_first_holders(spark):
             expected |= longest_common(text.split(), texts[other].split())
         assert expected <= covered_by(found, doc_id, text)
     assert len({r.doc_id for r in found}) == 12
+
+
+def test_edited_short_passages_are_found(spark):
+    """Share found of passages of the stated likeness; each pair has words of its own."""
+    rng, rows, kinds = random.Random(22), [], {}
+    for words, edits in ((50, 1), (55, 2), (60, 4), (80, 6), (50, 8), (80, 8)):
+        for _ in range(40):
+            passage, n = prose(rng, words), 2 * len(kinds)
+            own = list(passage)
+            for at in rng.sample(range(1, words - 1), edits):
+                own[at] = f"x{rng.randint(0, 9999)}"
+            for i, part in enumerate((passage, own)):
+                rows.append((n + i, " ".join(prose(rng, 60) + part + prose(rng, 60))))
+            kinds[n + 1] = words, edits
+    found = {r.doc_id for r in substrings.passages(spark.createDataFrame(rows, SCHEMA)).collect()}
+    shares = {}
+    for doc_id, kind in kinds.items():
+        shares.setdefault(kind, []).append(doc_id in found)
+    shares = {kind: sum(x) / len(x) for kind, x in shares.items()}
+    assert min(shares.values()) >= 0.9, shares
