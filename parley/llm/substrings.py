@@ -305,6 +305,7 @@ def _aligned(least: int, alike: float):
                         continue
                     for loss in LOSSES:
                         first, last, source_first, source_last, equal, low, high = _both_ends(a, b, i, j, loss)
+                        unsure |= bool(low and cut[0] or high and cut[1])
                         words, source_words = last - first, source_last - source_first
                         enough = 2 * equal >= alike * (words + source_words)
                         if enough and min(words, source_words) >= least or words < least // 4:

@@ -158,3 +158,18 @@ def test_edited_short_passages_are_found(spark):
         shares.setdefault(kind, []).append(doc_id in found)
     shares = {kind: sum(x) / len(x) for kind, x in shares.items()}
     assert min(shares.values()) >= 0.9, shares
+
+
+def test_passages_of_long_words_are_found(spark):
+    """Ends are not lost where words are long, however many bytes lie beyond the outermost seed."""
+    rng, rows, expected = random.Random(23), [], {}
+    for size, words in ((30, 52), (50, 52), (80, 60), (2000, 55)):
+        for _ in range(6):
+            passage, n = [f"{w}é".ljust(size, "z") for w in prose(rng, words)], 2 * len(expected)
+            for i in range(2):
+                rows.append((n + i, " ".join(prose(rng, 60) + passage + prose(rng, 60))))
+            expected[n + 1] = " ".join(passage)
+    found = substrings.passages(spark.createDataFrame(rows, SCHEMA)).collect()
+    texts = dict(rows)
+    cuts = {r.doc_id: texts[r.doc_id].encode()[r.start : r.start + r.length].decode() for r in found}
+    assert cuts == expected
