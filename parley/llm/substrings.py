@@ -29,6 +29,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,38 +89,42 @@ def _longer(k: int, span: int, least: int):
     A stretch that another document has too has only matched seeds, apart from those that words beside it chose.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def of_text(text: str, word: np.ndarray, source: np.ndarray, there: np.ndarray):
+        words = Words(text.encode("utf-8", "replace"))
+        seeds, at = seeds_of(words, k, span)
+        lone = np.zeros(len(words.hash) + 1, np.int64)
+        lone[at[~np.isin(at, word)] + 1] = 1
+        lone = np.cumsum(lone)
+        place = np.arange(max(0, len(words.hash) - least + 1))
+        inner = max(least - k - span + 2, span - 1)
+        place = place[lone[place + inner] == lone[place + span - 1]]
+        keys, places = [np.empty(0, np.uint64)], [place]
+        if len(place):
+            keys = [words.grams(least)[place]]
+        own = np.isin(word, at)  # the others are of another row under the same id
+        word, source, there = word[own], source[own], there[own]
+        seeds = seeds.view(np.uint64)[np.searchsorted(at, word)]
+        for skip in range(1, min(SKIPS, len(word) - 1) + 1):
+            step = there[skip:] - there[:-skip]
+            joined = (source[skip:] == source[:-skip]) & (step >= 0) & (step <= GAP)
+            pick = np.flatnonzero(~joined & (word[skip:] - word[:-skip] <= GAP))
+            keys.append(_mixed(seeds[pick] * _MUL + seeds[pick + skip]))
+            places.append(word[pick])
+        place = np.concatenate(places)
+        return np.concatenate(keys).view(np.int64), place.astype(np.int32), words.start[place].astype(np.int32)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.itertuples(index=False):
-                words = Words(r.text.encode("utf-8", "replace"))
-                _, at = seeds_of(words, k, span)
-                lone = np.zeros(len(words.hash) + 1, np.int64)
-                lone[at[~np.isin(at, r.word)] + 1] = 1
-                lone = np.cumsum(lone)
-                keys, place = [], []
-                count = len(words.hash) - least + 1
-                if count > 0:
-                    p = np.arange(count)
-                    inner = np.maximum(least - k - span + 2, span - 1)
-                    p = p[lone[p + inner] == lone[p + span - 1]]
-                    if len(p):
-                        keys.append(words.grams(least)[p])
-                        place.append(p)
-                word, seed = np.asarray(r.word), np.asarray(r.seed).view(np.uint64)
-                source, there = np.asarray(r.source_id), np.asarray(r.source_word).astype(np.int64)
-                for skip in range(1, min(SKIPS, len(word) - 1) + 1):
-                    step = there[skip:] - there[:-skip]
-                    one = (source[skip:] == source[:-skip]) & (step >= 0) & (step <= GAP)
-                    pick = np.flatnonzero(~one & (word[skip:] - word[:-skip] <= GAP))
-                    keys.append(_mixed(seed[pick] * _MUL + seed[pick + skip]))
-                    place.append(word[pick])
-                if keys:
-                    key, at = np.concatenate(keys), np.concatenate(place)
-                    at = at.astype(np.int64)
-                    inside = at < len(words.start)  # another row under the same id may be longer
-                    key, at = key[inside], at[inside]
-                    yield pd.DataFrame(
-                        {"seed": key.view(np.int64), "doc_id": r.doc_id, "word": at, "at": words.start[at]}
+            lists = [batch.column(n) for n in ("word", "source_id", "source_word")]
+            ends, flat = lists[0].offsets.to_numpy(), [x.values.to_numpy() for x in lists]
+            for i in range(batch.num_rows):
+                seed, word, at = of_text(
+                    batch.column("text")[i].as_py(), *[x[ends[i] : ends[i + 1]] for x in flat]
+                )
+                doc_id = np.full(len(seed), batch.column("doc_id")[i].as_py(), np.int64)
+                if len(seed):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(x) for x in (seed, doc_id, word, at)], ["seed", "doc_id", "word", "at"]
                     )
 
     return run
@@ -181,9 +186,18 @@ _CHAIN = (
 )
 
 
-def _chains():
+def _chains(k: int):
     """Runs over rows sorted by (doc_id, source_id, word); a pair may go on in the next batch."""
     def of_pair(rows: pd.DataFrame) -> list[tuple]:
+        if len(rows) > 1:
+            # Of an equal stretch (places on one diagonal, no more than a seed apart) its ends stay.
+            word = rows["word"].to_numpy().astype(np.int64)
+            line = word - rows["source_word"].to_numpy()
+            order = np.lexsort((word, line))
+            near = (np.diff(line[order]) == 0) & (np.diff(word[order]) <= k)
+            same = np.concatenate([[False], near & (np.diff(word[order]) == 0)])
+            inner = np.concatenate([[False], near]) & np.concatenate([near, [False]])
+            rows = rows.iloc[np.sort(order[~(inner | same)])]
         word, source = rows["word"].to_numpy(), rows["source_word"].to_numpy()
         at, source_at = rows["at"].to_numpy("<i4"), rows["source_at"].to_numpy("<i4")
         out = []
@@ -216,13 +230,14 @@ def _chains():
     return run
 
 
-def _extend(a: list, b: list, i: int, j: int, step: int, loss: float) -> tuple[int, int, int, bool]:
+def _extend(a: list, b: list, i: int, j: int, step: int, loss: float, most: int) -> tuple[int, int, int, bool]:
     """From (i, j) on by ``step``, across edits: words taken of both sides, equal ones, whether a border ended it.
 
     Furthest places by number of edits and diagonal; an equal word earns 1, an edit costs ``loss``, and the
     search ends when all are ``DROP`` below the best.
     """
     room, other = (len(a) - i, len(b) - j) if step > 0 else (i, j)
+    room, other = min(room, most), min(other, most)
     x0, y0 = (i, j) if step > 0 else (i - 1, j - 1)
 
     def slide(x: int, y: int) -> int:
@@ -248,7 +263,7 @@ def _extend(a: list, b: list, i: int, j: int, step: int, loss: float) -> tuple[i
             score = equal - loss * edits
             if score > best[0]:
                 best = (score, x, x - diagonal, equal)
-            if score >= best[0] - DROP:
+            if score >= best[0] - DROP * min(1, loss / LOSSES[0]):
                 border |= x == room or x - diagonal == other
                 reached[diagonal] = (x, equal)
     return best[1], best[2], best[3], border
@@ -261,9 +276,11 @@ def align(
     return _both_ends(a, b, *pairs[0], loss)[:5]
 
 
-def _both_ends(a: list, b: list, i: int, j: int, loss: float) -> tuple[int, int, int, int, int, bool, bool]:
-    before, source_before, equal, low = _extend(a, b, i, j, -1, loss)
-    after, source_after, more, high = _extend(a, b, i, j, 1, loss)
+def _both_ends(
+    a: list, b: list, i: int, j: int, loss: float, most: int = 1 << 31
+) -> tuple[int, int, int, int, int, bool, bool]:
+    before, source_before, equal, low = _extend(a, b, i, j, -1, loss, most)
+    after, source_after, more, high = _extend(a, b, i, j, 1, loss, most)
     return i - before, i + after, j - source_before, j + source_after, equal + more, low, high
 
 
@@ -304,11 +321,14 @@ def _aligned(least: int, alike: float):
                     if any(x <= i < y and z <= j < t for x, y, z, t in done):
                         continue
                     for loss in LOSSES:
-                        first, last, source_first, source_last, equal, low, high = _both_ends(a, b, i, j, loss)
+                        # Cheap edits only help a passage to its least length.
+                        most = least if loss < LOSSES[0] else 1 << 31
+                        first, last, source_first, source_last, equal, low, high = _both_ends(a, b, i, j, loss, most)
+                        low, high = low and min(i, j) < most, high and min(len(a) - i, len(b) - j) < most
                         unsure |= bool(low and cut[0] or high and cut[1])
                         words, source_words = last - first, source_last - source_first
                         enough = 2 * equal >= alike * (words + source_words)
-                        if enough and min(words, source_words) >= least or words < least // 4:
+                        if enough and min(words, source_words) >= least or words < least // 2:
                             break
                     done.append((first, last, source_first, source_last))
                     if min(words, source_words) < least or 2 * equal < alike * (words + source_words):
@@ -352,15 +372,15 @@ def passages(
     matches = materialise(_first_holders(seeds))
     texts = docs.select(F.col("doc_id").alias("of"), "text")
     places = matches.groupBy("doc_id").agg(
-        F.sort_array(F.collect_list(F.struct("word", "seed", "source_id", "source_word"))).alias("m")
-    ).select("doc_id", *[F.col(f"m.{c}").alias(c) for c in ("word", "seed", "source_id", "source_word")])
+        F.sort_array(F.collect_list(F.struct("word", "source_id", "source_word"))).alias("m")
+    ).select("doc_id", *[F.col(f"m.{c}").alias(c) for c in ("word", "source_id", "source_word")])
     wide = probably_in(texts, "of", matches.select("doc_id")).join(places, F.col("of") == F.col("doc_id"))
-    longer = materialise(wide.drop("of").mapInPandas(_longer(k, span, least), _SEED))
+    longer = materialise(wide.drop("of").mapInArrow(_longer(k, span, least), _SEED))
     matches = matches.unionByName(_first_holders(longer)).drop("seed").where("doc_id <> source_id")
     spans = materialise(
-        matches.distinct().repartition("doc_id", "source_id")
+        matches.repartition("doc_id", "source_id")
         .sortWithinPartitions("doc_id", "source_id", "word", "source_word")
-        .mapInPandas(_chains(), _CHAIN)
+        .mapInPandas(_chains(k), _CHAIN)
     )
     ids = spans.select("doc_id").unionByName(spans.select(F.col("source_id").alias("doc_id")))
     texts = docs.select(F.col("doc_id").alias("of"), F.col("text").cast("binary").alias("data"))
