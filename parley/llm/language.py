@@ -145,7 +145,9 @@ def fit(
     def shorten(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             cells = [windows_of(t, WINDOWS).tobytes() for t in batch["text"]]
-            yield pd.DataFrame({"lang": batch["lang"], "draw": batch["draw"], "cells": cells})
+            yield pd.DataFrame(
+                {"lang": batch["lang"], "draw": batch["draw"], "place": batch["place"], "cells": cells}
+            )
 
     text = F.col(text_col)
     draw = F.xxhash64(id_col, F.lit(SEED))
@@ -166,9 +168,9 @@ def fit(
         own.join(materialise(cuts), (F.col("lang") == F.col("of")) & (F.col("step") <= F.col("cut")))
         .select("lang", "text", "doc_id", "draw", F.row_number().over(order).alias("place"))
         .where(F.col("place") <= per_language)
-        .select("lang", "draw", "text")
-        .mapInPandas(shorten, "lang string, draw long, cells binary")
-        .orderBy("draw")
+        .select("lang", "draw", "place", "text")
+        .mapInPandas(shorten, "lang string, draw long, place int, cells binary")
+        .orderBy("place", "draw")  # the first of every language, then the second: none is cut before another
         .limit(rows)
         .collect()
     )

@@ -144,3 +144,10 @@ def test_leaves_end_where_the_pattern_does():
             assert "".join(token_counts.split(text, size)) == text
     with pytest.raises(StopIteration):
         next(iter(token_counts.ordered([], 5)))
+
+
+def test_rare_languages_stay_when_rows_are_cut(spark):
+    rows = [(i, f"many words of number {i}", "aa") for i in range(400)]
+    rows += [(1000 + i, f"seltene Zeilen Nummer {i}", lang) for lang in ("bb", "cc") for i in range(2)]
+    network = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), rows=9)
+    assert network.languages == ["aa", "bb", "cc"]
