@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from parley.llm import (
     exact_dedup,
     jaccard,
     language,
+    merkle,
     mixing,
     packing,
     quality,
@@ -19,6 +21,7 @@ from parley.llm import (
     substrings,
     token_counts,
     topk,
+    twins,
 )
 from parley.queries.tables import read
 
@@ -105,6 +108,22 @@ def grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def manifest_of(docs: DataFrame, fan: int = merkle.FAN) -> DataFrame:
+    """Leaf, proof and root of every row, and whether a row tampered with still leads to the root."""
+    plain = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    changed = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 5 == 0
+    claimed = [plain if f == "text" else F.col(f) for f in merkle.FIELDS]
+    proofs = merkle.prove(docs, carry={"claimed": F.when(changed, merkle.digest(*claimed))}, fan=fan)
+    return proofs.select(
+        "doc_id", "leaf", "subroot", "root", merkle.path_digest(F.col("path")).alias("proof_sha256"),
+        merkle.fold(F.coalesce("claimed", "leaf"), F.col("path")).alias("folded_root"),
+    ).select("*", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest_of(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_mix_sources": mixed_sources,
     "op2_token_counts": edited_counts,
@@ -116,6 +135,7 @@ QUERIES = {
     "op8_language": languages,
     "op9_shards": shards,
     "op10_quality": grades,
+    "op11_manifest": manifest,
 }
 
 _BLANKS = r"[\x20\x09-\x0D]+"
@@ -142,4 +162,5 @@ ORACLES = {
             SELECT query_id, vec_id, score, (row_number() OVER (
                 PARTITION BY query_id ORDER BY score DESC, vec_id))::integer AS rank FROM scores)
         WHERE rank <= 5""",
+    "op11_manifest": twins.manifest(),
 }
