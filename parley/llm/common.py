@@ -35,15 +35,17 @@ FILTER_BITS = 1 << 23
 _ROW_BITS = 1 << 15
 
 
-def probably_in(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
-    """The rows of ``df`` whose key may be among ``keys`` (its first column), without a shuffle of ``df``.
+def probably(
+    df: DataFrame, key: str, keys: DataFrame, flag: str, bits: int = FILTER_BITS
+) -> DataFrame:
+    """``df`` with ``flag``: whether a row's key may be among ``keys`` (its first column); no shuffle of ``df``.
 
     The hashes of the keys are marked in bitmaps of a fixed total size. No row with a
-    key of ``keys`` is lost; others may stay, so an exact join follows.
+    key of ``keys`` is left unmarked; others may be marked, so an exact join follows.
     """
 
     def place(column: str) -> Column:
-        return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+        return F.pmod(F.xxhash64(column), F.lit(bits))
 
     own = keys.columns[0]
     maps = (
@@ -57,10 +59,14 @@ def probably_in(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     byte = F.conv(
         F.hex(F.substring("_bits", ((F.col("_p") % _ROW_BITS) / 8).cast("int") + 1, F.lit(1))), 16, 10
     )
-    hit = F.expr("shiftright({}, cast(_p % 8 as int)) & 1 = 1".format("_byte"))
+    hit = F.expr("shiftright(_byte, cast(_p % 8 as int)) & 1 = 1")
     return (
-        marked.join(F.broadcast(maps), F.col("_of") == F.col("_bucket"))
+        marked.join(F.broadcast(maps), F.col("_of") == F.col("_bucket"), "left")  # ``bits`` bits at most
         .withColumn("_byte", byte.cast("int"))
-        .where(hit)
-        .select(*df.columns)
+        .select(*df.columns, F.coalesce(hit, F.lit(False)).alias(flag))
     )
+
+
+def probably_in(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose key may be among ``keys``."""
+    return probably(df, key, keys, "_near").where("_near").select(*df.columns)

@@ -6,7 +6,7 @@ import re
 import string
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parley.llm import (
@@ -17,6 +17,7 @@ from parley.llm import (
     mixing,
     packing,
     quality,
+    secrets,
     sharding,
     substrings,
     token_counts,
@@ -124,6 +125,26 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest_of(documents(spark, sf_dir))
 
 
+def secrets_of(docs: DataFrame) -> DataFrame:
+    """Numbers of base spans, their digest, and all spans written out."""
+    kinds = [rule.kind for rule in secrets.BASE]
+    found = secrets.scan(docs)
+    base = F.filter("spans", lambda s: s["no"] < len(kinds))
+
+    def count(no: int) -> Column:
+        return F.size(F.filter("spans", lambda s: s["no"] == no)).cast("long")
+
+    counts = [count(no).alias(f"n_{kind}") for no, kind in enumerate(kinds)]
+    return found.select(
+        "doc_id", *counts, F.sha2(secrets.written(base), 256).alias("base_sha256"),
+        secrets.written(F.col("spans")).alias("spans"),
+    )
+
+
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets_of(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_mix_sources": mixed_sources,
     "op2_token_counts": edited_counts,
@@ -136,6 +157,7 @@ QUERIES = {
     "op9_shards": shards,
     "op10_quality": grades,
     "op11_manifest": manifest,
+    "op12_secrets": secret_scan,
 }
 
 _BLANKS = r"[\x20\x09-\x0D]+"
@@ -163,4 +185,5 @@ ORACLES = {
                 PARTITION BY query_id ORDER BY score DESC, vec_id))::integer AS rank FROM scores)
         WHERE rank <= 5""",
     "op11_manifest": twins.manifest(),
+    "op12_secrets": twins.spans(secrets.RULES, len(secrets.BASE)),
 }

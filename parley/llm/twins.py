@@ -58,3 +58,32 @@ def manifest() -> str:
         SELECT doc_id, leaf, s.d AS subroot, r.d AS root, sha256(seen) AS proof_sha256,
                reached AS folded_root, reached = r.d AS verified
         FROM w{k} JOIN subroots s USING (tree), roots r"""
+
+
+def spans(rules, base: int) -> str:
+    """Matches wrapped in a private sign; running lengths of the pieces between them give their places."""
+    mark = "chr(57344)"
+    parts = []
+    for no, rule in enumerate(rules):
+        pattern = rule.pattern.replace("'", "''")
+        parts.append(f"""SELECT rid, {no} AS no, '{rule.kind}' AS kind, n, length(piece) AS size, {rule.least} AS least,
+            sum(length(piece)) OVER (PARTITION BY rid ORDER BY n) AS till
+            FROM (SELECT rid, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS n FROM (
+                SELECT rid, string_split(regexp_replace(t, '{pattern}',
+                    {mark} || '\1' || {mark} || '\2' || {mark}, 'g'), {mark}) AS pieces
+                FROM texts WHERE regexp_matches(t, '{pattern}')))""")
+    counts = ", ".join(
+        f"count(f.rid) FILTER (f.no = {no})::bigint AS n_{rules[no].kind}" for no in range(base)
+    )
+    return f"""WITH texts AS (
+            SELECT doc_id, row_number() OVER () AS rid, replace(coalesce(text, ''), {mark}, chr(57345)) AS t FROM documents),
+        pieces AS ({' UNION ALL '.join(parts)}),
+        found AS (
+            SELECT v.rid, v.no, v.kind || ':' || (b.till - b.size)::bigint || ':' || v.till::bigint AS span,
+                   (b.till - b.size)::bigint AS start
+            FROM pieces v JOIN pieces b ON b.rid = v.rid AND b.no = v.no AND b.n = v.n - 1
+            WHERE v.n % 3 = 0 AND v.size >= v.least)
+        SELECT any_value(doc_id) AS doc_id, {counts},
+               sha256(coalesce(string_agg(span, ',' ORDER BY start, no) FILTER (no < {base}), '')) AS base_sha256,
+               coalesce(string_agg(span, ',' ORDER BY start, no), '') AS spans
+        FROM texts LEFT JOIN found f ON f.rid = texts.rid GROUP BY texts.rid"""
