@@ -70,13 +70,13 @@ def spans(rules, base: int) -> str:
             sum(length(piece)) OVER (PARTITION BY rid ORDER BY n) AS till
             FROM (SELECT rid, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS n FROM (
                 SELECT rid, string_split(regexp_replace(t, '{pattern}',
-                    {mark} || '\1' || {mark} || '\2' || {mark}, 'g'), {mark}) AS pieces
+                    {mark} || '\\1' || {mark} || '\\2' || {mark}, 'g'), {mark}) AS pieces
                 FROM texts WHERE regexp_matches(t, '{pattern}')))""")
     counts = ", ".join(
         f"count(f.rid) FILTER (f.no = {no})::bigint AS n_{rules[no].kind}" for no in range(base)
     )
-    return f"""WITH texts AS (
-            SELECT doc_id, row_number() OVER () AS rid, replace(coalesce(text, ''), {mark}, chr(57345)) AS t FROM documents),
+    return f"""WITH texts AS MATERIALIZED (
+            SELECT doc_id, row_number() OVER (ORDER BY doc_id, text) AS rid, replace(coalesce(text, ''), {mark}, chr(57345)) AS t FROM documents),
         pieces AS ({' UNION ALL '.join(parts)}),
         found AS (
             SELECT v.rid, v.no, v.kind || ':' || (b.till - b.size)::bigint || ':' || v.till::bigint AS span,
