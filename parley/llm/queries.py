@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parley.llm import (
+    conversations,
     exact_dedup,
     jaccard,
     language,
@@ -145,6 +146,34 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets_of(documents(spark, sf_dir))
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversation rows, some dropped, emptied, cut, repeated or under another role, as their checksum has it."""
+    def plain(name: str) -> Column:
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    case = (F.crc32(F.encode(F.concat(plain("conv_id"), F.lit(":"), plain("turn")), "UTF-8")) % 20).alias("case")
+    text = F.when(F.col("case") == 1, "").when(
+        F.col("case") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    times = F.when(F.col("case") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return (
+        rows.select("conv_id", "turn", plain("role").alias("role"), plain("text").alias("text"), case)
+        .where("case <> 0")
+        .select(
+            "conv_id", "turn", F.when(F.col("case") == 4, "user").otherwise(F.col("role")).alias("role"),
+            text.alias("text"), F.explode(times).alias("time"),
+        )
+        .drop("time")
+    )
+
+
+def repairs_of(rows: DataFrame, **options: int) -> DataFrame:
+    return conversations.audit(damaged(rows), rows.select("conv_id"), **options)
+
+
+def repairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repairs_of(read(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_mix_sources": mixed_sources,
     "op2_token_counts": edited_counts,
@@ -158,6 +187,7 @@ QUERIES = {
     "op10_quality": grades,
     "op11_manifest": manifest,
     "op12_secrets": secret_scan,
+    "op13_conversations": repairs,
 }
 
 _BLANKS = r"[\x20\x09-\x0D]+"
