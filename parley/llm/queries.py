@@ -216,4 +216,5 @@ ORACLES = {
         WHERE rank <= 5""",
     "op11_manifest": twins.manifest(),
     "op12_secrets": twins.spans(secrets.RULES, len(secrets.BASE)),
+    "op13_conversations": twins.conversations(),
 }

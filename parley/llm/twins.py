@@ -87,3 +87,69 @@ def spans(rules, base: int) -> str:
                sha256(coalesce(string_agg(span, ',' ORDER BY start, no) FILTER (no < {base}), '')) AS base_sha256,
                coalesce(string_agg(span, ',' ORDER BY start, no), '') AS spans
         FROM texts LEFT JOIN found f ON f.rid = texts.rid GROUP BY texts.rid"""
+
+
+def conversations() -> str:
+    """Costs and letters from the last row backwards for the four states, then the rows once more for the text."""
+    other = {"e": "u", "s": "u", "u": "a", "a": "u"}
+    keeps = {"e": {"s": "s", "u": "u"}, "s": {"u": "u"}, "u": {"a": "a"}, "a": {"u": "u"}}
+
+    def plus(cost: str, letter: str, state: str) -> str:
+        return f"{{'c': {cost} + {state}.c, 'l': '{letter}' || {state}.l}}"
+
+    rows, steps = [], []
+    for p, o in other.items():
+        kept = " ".join(
+            f"WHEN fault < 2 AND ini = '{i}' THEN {plus('5 * fault', 'K', f'v.{q}')}" for i, q in keeps[p].items()
+        )
+        rows.append(f"""least({plus('2', 'D', f'v.{p}')}, CASE {kept} ELSE {{'c': 1000000000::bigint, 'l': ''}} END,
+            CASE WHEN fault < 2 THEN {plus('1 + 5 * fault', 'R', f'v.{o}')} ELSE {{'c': 1000000000::bigint, 'l': ''}} END) AS {p}""")
+        steps.append(f"least({p}, {plus('5', 'I', o)}, {plus('10', 'II', other[o])}) AS {p}")
+    return f"""WITH RECURSIVE plain AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   {CRC32.format("(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '))")} % 20 AS harm
+            FROM conversations),
+        ids AS (SELECT conv_id, row_number() OVER (ORDER BY conv_id) AS cid FROM (SELECT DISTINCT conv_id FROM plain)),
+        harmed AS (
+            SELECT cid, turn, CASE WHEN harm = 4 THEN 'user' ELSE role END AS role,
+                   CASE harm WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+            FROM plain JOIN ids ON ids.conv_id IS NOT DISTINCT FROM plain.conv_id,
+                 unnest(CASE WHEN harm = 3 THEN [1, 2] ELSE [1] END) WHERE harm <> 0),
+        numbered AS MATERIALIZED (
+            SELECT *, row_number() OVER (PARTITION BY cid ORDER BY turn NULLS FIRST, role, sha256(text)) AS i FROM harmed),
+        marked AS MATERIALIZED (
+            SELECT *, role[1] AS ini,
+                CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 3
+                     WHEN row_number() OVER (PARTITION BY cid, role, text ORDER BY i) > 1 THEN 2
+                     WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') THEN 1 ELSE 0 END AS fault,
+                lag(role[1]) OVER (PARTITION BY cid ORDER BY i) AS last FROM numbered),
+        back AS (
+            SELECT ids.cid, count(m.cid) + 1 AS i, {{'c': 0::bigint, 'l': ''}} AS e, {{'c': 10::bigint, 'l': 'II'}} AS s,
+                   {{'c': 5::bigint, 'l': 'I'}} AS u, {{'c': 0::bigint, 'l': ''}} AS a
+            FROM ids LEFT JOIN marked m ON m.cid = ids.cid GROUP BY ids.cid
+            UNION ALL
+            SELECT cid, i, {', '.join(steps)} FROM (
+                SELECT m.cid, m.i, {', '.join(rows)} FROM back v JOIN marked m ON m.cid = v.cid AND m.i = v.i - 1)),
+        best AS (SELECT cid, e.c AS cost, e.l AS audit FROM back WHERE i = 1),
+        letters AS (
+            SELECT cid, j, l, count(*) FILTER (l <> 'I') OVER upto AS i, count(*) FILTER (l <> 'D') OVER upto AS o
+            FROM (SELECT cid, unnest(string_split(audit, '')) AS l, generate_subscripts(string_split(audit, ''), 1) AS j
+                  FROM best WHERE audit <> '')
+            WINDOW upto AS (PARTITION BY cid ORDER BY j)),
+        lines AS (
+            SELECT b.cid, b.j, b.l, b.o, m.role, m.text, m.ini,
+                   bool_or(b.l = 'K' AND b.o = 1 AND m.ini = 's') OVER (PARTITION BY b.cid) AS led
+            FROM letters b LEFT JOIN marked m ON m.cid = b.cid AND m.i = b.i AND b.l <> 'I' WHERE b.l <> 'D'),
+        texts AS (
+            SELECT cid, string_agg(CASE WHEN l = 'K' THEN role WHEN (o + led::int) % 2 = 1 THEN 'user' ELSE 'assistant' END
+                   || ':' || coalesce(text, ''), chr(10) ORDER BY j) AS whole FROM lines GROUP BY cid),
+        counts AS (
+            SELECT cid, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                   count(*) FILTER (fault = 3) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+                   count(*) FILTER (fault = 1) AS truncated,
+                   count(*) FILTER (i > 1 AND last || ini NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM marked GROUP BY cid)
+        SELECT conv_id, coalesce(gaps, 0)::bigint AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+               coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, cost, audit,
+               sha256(coalesce(whole, '')) AS repaired_sha256
+        FROM ids JOIN best USING (cid) LEFT JOIN texts USING (cid) LEFT JOIN counts USING (cid)"""
