@@ -103,15 +103,28 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
+def _any_of(grams: Iterable[str]) -> str:
+    """An expression that finds all places of the trigrams, overlapping ones too, in one pass over a text."""
+    tree: dict[str, dict[str, str]] = {}
+    for a, b, c in sorted(grams):
+        ends = tree.setdefault(a, {})
+        ends[b] = ends.get(b, "") + re.escape(c)
+    ways = "|".join(
+        re.escape(a) + "(?:" + "|".join(f"{re.escape(b)}[{cs}]" for b, cs in ends.items()) + ")"
+        for a, ends in tree.items()
+    )
+    return f"(?=[{''.join(map(re.escape, tree))}])(?=({ways}))"
+
+
 def build_index(docs: DataFrame, text_col: str, grams: Iterable[str]) -> DataFrame:
     """Posting lists (gram, key) of the given trigrams, an entry per different text, on shared files.
 
     Trigrams that no query names would only be stored, so they are left out. All entries of a text lie
     in one file, which is sorted by trigram.
     """
-    low = docs.select(text_key(F.col(text_col)).alias("key"), F.lower(F.col(text_col)).alias("low"))
-    held = F.array_compact(F.array(*[F.when(F.contains("low", F.lit(g)), g) for g in sorted(grams)]))
-    lists = low.select("key", held.alias("grams")).where(F.size("grams") > 0).distinct()
+    text = F.col(text_col)
+    held = F.array_sort(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(_any_of(grams)), F.lit(1))))
+    lists = docs.select(text_key(text).alias("key"), held.alias("grams")).where(F.size("grams") > 0).distinct()
     return materialise(lists.select(F.explode("grams").alias("gram"), "key").sortWithinPartitions("gram"))
 
 
