@@ -33,20 +33,17 @@ def pick_diverse(scores: np.ndarray, pairs: np.ndarray, k: int, lam: float) -> l
     return chosen
 
 
-def with_diverse_rank(hits: DataFrame, index: DataFrame, k: int, lam: float = LAMBDA) -> DataFrame:
-    """Add ``mmr_rank`` to hits: 1 to ``k`` for the picked ones, null for the others.
+def with_diverse_rank(hits: DataFrame, k: int, lam: float = LAMBDA,
+                      carry: Sequence[str] = ()) -> DataFrame:
+    """Add ``mmr_rank`` to hits that carry their ``embedding``: 1 to ``k`` for the picked ones, else null.
 
     A question's hits, whose number the search bounds, are gathered into one row; the picks
-    are then made for a whole Arrow batch of questions at a time.
+    are then made for a whole Arrow batch of questions at a time. The vectors end here.
     """
-    gathered = (
-        hits.join(index.select("chunk_id", "embedding"), "chunk_id")
-        .groupBy("question_id")
-        .agg(
-            F.array_sort(
-                F.collect_list(F.struct("rank", "chunk_id", "score", "embedding"))
-            ).alias("hits")
-        )
+    gathered = hits.groupBy("question_id").agg(
+        F.array_sort(
+            F.collect_list(F.struct("rank", "chunk_id", "score", "embedding", *carry))
+        ).alias("hits")
     )
 
     @F.arrow_udf("array<int>")
@@ -64,7 +61,10 @@ def with_diverse_rank(hits: DataFrame, index: DataFrame, k: int, lam: float = LA
     return (
         gathered.withColumn("mmr_rank", picks("hits.score", "hits.embedding"))
         .select("question_id", F.inline(F.arrays_zip("hits", "mmr_rank")))
-        .select("question_id", "hits.chunk_id", "hits.score", "hits.rank", "mmr_rank")
+        .select(
+            "question_id", "hits.chunk_id", "hits.score", "hits.rank", "mmr_rank",
+            *[f"hits.{c}" for c in carry],
+        )
     )
 
 
@@ -77,28 +77,31 @@ def search_mmr(
     filter_by: tuple[str, str] | None = None,
 ) -> DataFrame:
     """``k`` hits per question that are both near and unlike each other, ranked by pick."""
-    hits = with_diverse_rank(search(questions, index, fetch_k, filter_by), index, k, lam)
+    fetched = search(questions, index, fetch_k, filter_by, carry=("embedding",))
+    hits = with_diverse_rank(fetched, k, lam)
     return hits.where("mmr_rank IS NOT NULL").select(
         "question_id", "chunk_id", "score", F.col("mmr_rank").alias("rank")
     )
 
 
-def fuse(ranked: DataFrame, weights: Sequence[float], text_key: str, c: int = RRF_C) -> DataFrame:
+def fuse(ranked: DataFrame, weights: Sequence[float], text_key: str, c: int = RRF_C,
+         carry: Sequence[str] = ()) -> DataFrame:
     """Weighted reciprocal-rank fusion of lists.
 
     ``ranked`` has ``question_id, list_no, rank, chunk_id`` and the column that tells texts
     apart: hits of equal text are one. Ties go to the earlier list, then the better rank.
-    Scores are rounded to twelve digits before they are compared.
+    Scores are rounded to twelve digits before they are compared. ``carry`` is taken from the first hit.
     """
     weight = F.get(F.array(*[F.lit(float(w)) for w in weights]), F.col("list_no"))
     merged = ranked.groupBy("question_id", text_key).agg(
         F.round(F.sum(weight / (F.lit(c) + F.col("rank"))), 12).alias("score"),
-        F.min(F.struct("list_no", "rank", "chunk_id")).alias("_first"),
+        F.min(F.struct("list_no", "rank", "chunk_id", *carry)).alias("_first"),
     )
     order = Window.partitionBy("question_id").orderBy(F.desc("score"), "_first")
     keep = [] if text_key == "chunk_id" else [text_key]
     return merged.withColumn("rank", F.row_number().over(order)).select(
-        "question_id", F.col("_first.chunk_id").alias("chunk_id"), *keep, "score", "rank"
+        "question_id", F.col("_first.chunk_id").alias("chunk_id"), *keep, "score", "rank",
+        *[F.col(f"_first.{name}").alias(name) for name in carry],
     )
 
 
@@ -113,26 +116,26 @@ def search_ensemble(
     lam: float = LAMBDA,
     c: int = RRF_C,
     filter_by: tuple[str, str] | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Similarity and diversity search fused.
+    """Similarity and diversity search fused; ``carry`` names index columns that hits shall have.
 
     The similarity list is the head of what the diversity search fetches, so one search
-    serves both.
+    serves both. Vectors and texts come with the hits; the index is read once.
     """
-    fetched = search(questions, index, max(k_sim, fetch_k), filter_by)
-    hits = with_diverse_rank(fetched.where(F.col("rank") <= max(k_sim, fetch_k)), index, k_mmr, lam)
+    also = [c for c in dict.fromkeys((text_key, *carry)) if c != "chunk_id"]
+    fetched = search(questions, index, max(k_sim, fetch_k), filter_by, carry=("embedding", *also))
+    hits = with_diverse_rank(fetched, k_mmr, lam, also)
     lists = F.array(
         F.struct(F.lit(0).alias("list_no"), F.when(F.col("rank") <= k_sim, F.col("rank")).alias("rank")),
         F.struct(F.lit(1).alias("list_no"), F.col("mmr_rank").alias("rank")),
     )
     ranked = (
-        hits.select("question_id", "chunk_id", F.explode(lists).alias("_l"))
-        .select("question_id", "chunk_id", "_l.*")
+        hits.select("question_id", "chunk_id", *also, F.explode(lists).alias("_l"))
+        .select("question_id", "chunk_id", *also, "_l.*")
         .where("rank IS NOT NULL")
     )
-    if text_key != "chunk_id":
-        ranked = ranked.join(index.select("chunk_id", text_key), "chunk_id")
-    return fuse(ranked, weights, text_key, c)
+    return fuse(ranked, weights, text_key, c, carry)
 
 
 def majority_vote(hits: DataFrame, field: str) -> DataFrame:

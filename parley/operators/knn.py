@@ -3,10 +3,11 @@
 Scores are cosines rounded to six digits; ties go to the smaller key, so that every plan gives
 the same ranks. Tasks never emit more than their own best ``k`` per question.
 
-Two plans give equal results:
+Two plans give equal results, and ``pruned`` holds a third:
 
-* few questions (their number is checked): each task of the index scan scores the questions
-  in memory; the index is neither shuffled nor held;
+* few questions (their number and the size of their vectors are checked): each task of the index
+  scan scores the questions in memory; the index is neither shuffled nor held. Columns that are asked for
+  (vector, text, name) travel with a task's best rows, so nothing joins back to the index;
 * many questions: index and questions are cut into blocks of bounded size, and each pair of
   blocks is one group. The number of blocks of a filter value follows its counted size, so a
   value that holds a third of the index is spread over that many more groups.
@@ -14,7 +15,7 @@ Two plans give equal results:
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+from parley.session import materialise
 
 DIGITS = 6
 UNIT = 10**DIGITS
@@ -29,6 +33,7 @@ NO_SCORE = -(2 * UNIT)  # below every cosine: ranks last
 CELLS = 4_000_000  # scores held at a time
 
 MAX_LOCAL_QUESTIONS = 4096
+MAX_LOCAL_VALUES = 1 << 22  # components of all shared questions, 32 MB
 BLOCK_QUESTIONS = 8192
 BLOCK_ROWS = 8192
 
@@ -77,10 +82,14 @@ def _slices(n_questions: int, n_rows: int) -> Iterator[slice]:
         yield slice(start, start + step)
 
 
-class _Best:
-    """Running best ``k`` of a task: arrays per question, merged batch by batch."""
+class Best:
+    """Running best ``k`` of a task: arrays per question, merged batch by batch.
+
+    ``refs`` points from a kept hit to its row in ``store``, the carried columns of rows that are or
+    were among the best; the store is thinned before it outgrows twice the hits.
+    """
 
-    def __init__(self, questions: pa.Table, k: int):
+    def __init__(self, questions: pa.Table, k: int, carry: Sequence[str] = ()):
         self.ids = questions.column("question_id").combine_chunks()
         self.vectors = matrix(questions.column("embedding"))
         self.width = None if np.isnan(self.vectors).all() else self.vectors.shape[1]
@@ -93,8 +102,12 @@ class _Best:
         self.k = k
         self.keys: np.ndarray | None = None
         self.scores = np.full((len(self.ids), k), NO_SCORE - 1, dtype=np.int64)
+        self.refs = np.zeros(self.scores.shape, dtype=np.int64)
+        self.carry = list(carry)
+        self.store: list[pa.Table] = []
+        self.stored = 0
 
-    def _merge(self, rows: np.ndarray, keys: np.ndarray, scores: np.ndarray) -> None:
+    def _merge(self, rows: np.ndarray, keys: np.ndarray, scores: np.ndarray, refs: np.ndarray) -> None:
         """Fold candidates in; both sides hold ``k`` columns at most."""
         if self.keys is None:
             self.keys = np.zeros(self.scores.shape, dtype=keys.dtype)
@@ -102,20 +115,22 @@ class _Best:
             self.keys = self.keys.astype(keys.dtype)
         all_keys = np.concatenate([self.keys[rows], keys], axis=1)
         all_scores = np.concatenate([self.scores[rows], scores], axis=1)
+        all_refs = np.concatenate([self.refs[rows], refs], axis=1)
         order = np.lexsort((all_keys, -all_scores), axis=-1)[:, : self.k]
         self.keys[rows] = np.take_along_axis(all_keys, order, axis=1)
         self.scores[rows] = np.take_along_axis(all_scores, order, axis=1)
+        self.refs[rows] = np.take_along_axis(all_refs, order, axis=1)
 
-    def add(self, rows: np.ndarray, keys: np.ndarray, vectors: np.ndarray) -> None:
+    def add(self, rows: np.ndarray, keys: np.ndarray, vectors: np.ndarray, places: np.ndarray) -> None:
         order = np.argsort(keys, kind="stable")
-        keys, vectors = keys[order], vectors[order]
+        keys, vectors, places = keys[order], vectors[order], places[order]
         for part in _slices(len(rows), len(keys)):
             some = rows[part]
             top, scores = best_of(self.vectors[some], vectors, self.k)
             floor = self.scores[some, -1]
             useful = scores.max(axis=1) >= floor
             if useful.any():
-                self._merge(some[useful], keys[top][useful], scores[useful])
+                self._merge(some[useful], keys[top][useful], scores[useful], places[top][useful])
 
     def add_batch(self, batch: pa.RecordBatch | pa.Table) -> None:
         if not len(self.ids) or not batch.num_rows:
@@ -124,56 +139,85 @@ class _Best:
         vectors = matrix(batch.column("embedding"), self.width)
         if self.width is None:
             self.vectors = np.full((len(self.ids), vectors.shape[1]), np.nan)
+        places = self.stored + np.arange(len(keys))
         if self.wanted is None:
-            self.add(np.arange(len(self.ids)), keys, vectors)
+            self.add(np.arange(len(self.ids)), keys, vectors, places)
+        else:
+            if None in self.wanted:
+                self.add(self.wanted[None], keys, vectors, places)
+            values = batch.column("value")
+            if isinstance(values, pa.ChunkedArray):
+                values = values.combine_chunks()
+            values = values.dictionary_encode()
+            codes = values.indices.fill_null(-1).to_numpy()
+            for code, value in enumerate(values.dictionary.to_pylist()):
+                if value in self.wanted:
+                    mine = np.flatnonzero(codes == code)
+                    self.add(self.wanted[value], keys[mine], vectors[mine], places[mine])
+        if self.carry:
+            self._keep(batch)
+
+    def _keep(self, batch: pa.RecordBatch | pa.Table) -> None:
+        """Store the rows of a batch that are among the best now."""
+        entered = self.refs >= self.stored
+        if not entered.any():
             return
-        if None in self.wanted:
-            self.add(self.wanted[None], keys, vectors)
-        values = batch.column("value").dictionary_encode()
-        codes = values.indices.fill_null(-1).to_numpy()
-        for code, value in enumerate(values.dictionary.to_pylist()):
-            if value in self.wanted:
-                mine = np.flatnonzero(codes == code)
-                self.add(self.wanted[value], keys[mine], vectors[mine])
+        rows, own = np.unique(self.refs[entered] - self.stored, return_inverse=True)
+        self.refs[entered] = self.stored + own
+        self.store.append(_table(batch).select(self.carry).take(pa.array(rows)))
+        self.stored += len(rows)
+        if self.stored > 2 * self.refs.size + 1024:
+            live, own = np.unique(self.refs, return_inverse=True)
+            self.store = [pa.concat_tables(self.store).take(pa.array(live)).combine_chunks()]
+            self.refs, self.stored = own.reshape(self.refs.shape), len(live)
 
     def table(self, schema: pa.Schema) -> pa.Table:
         found = self.scores.ravel() >= NO_SCORE
         ids = np.repeat(np.arange(len(self.ids)), self.k)[found]
         scores = self.scores.ravel()[found]
         keys = [] if self.keys is None else self.keys.ravel()[found].tolist()
-        return pa.table(
-            [
-                self.ids.take(pa.array(ids)).cast(schema.field(0).type),
-                pa.array(keys, schema.field(1).type),
-                pa.array(scores / UNIT, pa.float64(), mask=scores == NO_SCORE),
-            ],
-            schema=schema,
-        )
+        columns = [
+            self.ids.take(pa.array(ids)).cast(schema.field(0).type),
+            pa.array(keys, schema.field(1).type),
+            pa.array(scores / UNIT, pa.float64(), mask=scores == NO_SCORE),
+        ]
+        if self.store:
+            carried = pa.concat_tables(self.store).take(pa.array(self.refs.ravel()[found]))
+            columns += [carried.column(c).cast(schema.field(c).type) for c in self.carry]
+        else:
+            columns += [pa.array([], schema.field(c).type) for c in self.carry]
+        return pa.table(columns, schema=schema)
+
 
+def _table(batch: pa.RecordBatch | pa.Table) -> pa.Table:
+    return batch if isinstance(batch, pa.Table) else pa.Table.from_batches([batch])
 
-def _hit_schema(questions: DataFrame, index: DataFrame) -> T.StructType:
+
+def hit_schema(questions: DataFrame, index: DataFrame, carry: Sequence[str] = ()) -> T.StructType:
     return T.StructType(
         [
             T.StructField("question_id", questions.schema["question_id"].dataType),
             T.StructField("chunk_id", index.schema["chunk_id"].dataType),
             T.StructField("score", T.DoubleType()),
+            *[T.StructField(c, index.schema[c].dataType) for c in carry],
         ]
     )
 
 
-def _arrow_schema(schema: T.StructType) -> pa.Schema:
-    kinds = {T.LongType(): pa.int64(), T.IntegerType(): pa.int32(), T.StringType(): pa.string(),
-             T.DoubleType(): pa.float64()}
-    return pa.schema([(f.name, kinds[f.dataType]) for f in schema])
+def ranked(hits: DataFrame, k: int) -> DataFrame:
+    """Add ``rank`` and keep the best ``k`` of a question."""
+    by_score = Window.partitionBy("question_id").orderBy(F.desc_nulls_last("score"), "chunk_id")
+    return hits.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)
 
 
-def _scan(questions: pa.Table, index: DataFrame, k: int, schema: T.StructType) -> DataFrame:
+def _scan(questions: pa.Table, index: DataFrame, k: int, schema: T.StructType,
+          carry: Sequence[str]) -> DataFrame:
     """Score all questions in every task of the index scan."""
     shared = index.sparkSession.sparkContext.broadcast(questions)
-    arrow = _arrow_schema(schema)
+    arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = _Best(shared.value, k)
+        best = Best(shared.value, k, carry)
         for batch in batches:
             best.add_batch(batch)
         yield from best.table(arrow).to_batches()
@@ -217,10 +261,10 @@ def _blocked(questions: DataFrame, index: DataFrame, k: int, schema: T.StructTyp
 
     left = blocks(questions, "question_id", "_q", "_questions", "_r", "_rows")
     right = blocks(index, "chunk_id", "_r", "_rows", "_q", "_questions")
-    arrow = _arrow_schema(schema)
+    arrow = to_arrow_schema(schema)
 
     def run(some: pa.Table, rows: pa.Table) -> pa.Table:
-        best = _Best(some.select(["question_id", "embedding"]), k)
+        best = Best(some.select(["question_id", "embedding"]), k)
         best.add_batch(rows)
         return best.table(arrow)
 
@@ -236,28 +280,29 @@ def search(
     max_local_questions: int = MAX_LOCAL_QUESTIONS,
     block_questions: int = BLOCK_QUESTIONS,
     block_rows: int = BLOCK_ROWS,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """The ``k`` best index rows per question as ``(question_id, chunk_id, score, rank)``.
+    """The ``k`` best index rows per question as ``(question_id, chunk_id, score, *carry, rank)``.
 
     ``questions`` has ``question_id, embedding``, ``index`` has ``chunk_id, embedding``.
     ``filter_by`` names a question column and an index column that must be equal; a question
-    whose value is null searches the whole index. A zero or null vector has a null score, ranked
-    last. Rows without a key, on either side, do not take part; vectors of unequal length are an error.
+    whose value is null searches the whole index. ``carry`` names index columns that hits shall have.
+    A zero or null vector has a null score, ranked last. Rows without a key, on either side, do not
+    take part; vectors of unequal length are an error.
+
+    The questions are written once, so that their number and size are known before anything is shared.
+    With few questions, carried columns come out of the scan; with many, where index rows are copied,
+    they are joined to the hits.
     """
     questions, index = questions.where("question_id IS NOT NULL"), index.where("chunk_id IS NOT NULL")
-    asked = questions.select(
-        "question_id", "embedding",
-        *([F.col(filter_by[0]).cast("string").alias("wanted")] if filter_by else []),
-    )
-    held = index.select(
-        "chunk_id", "embedding",
-        *([F.col(filter_by[1]).cast("string").alias("value")] if filter_by else []),
-    )
-    schema = _hit_schema(questions, index)
-    bounded = asked.limit(max_local_questions + 1).toArrow()
-    if bounded.num_rows <= max_local_questions:
-        hits = _scan(bounded, held, k, schema)
-    elif filter_by is None:
+    asked, held = compared(questions, index, filter_by, carry)
+    asked = materialise(asked)
+    count, values = asked.agg(F.count("*"), F.sum(F.greatest(F.size("embedding"), F.lit(0)))).first()
+    if count <= max_local_questions and (values or 0) <= MAX_LOCAL_VALUES:
+        return ranked(_scan(asked.toArrow(), held, k, hit_schema(questions, index, carry), carry), k)
+    held = held.select("chunk_id", "embedding", *(["value"] if filter_by else []))
+    schema = hit_schema(questions, index)
+    if filter_by is None:
         hits = _blocked(
             asked.withColumn("part", F.lit("")), held.withColumn("part", F.lit("")),
             k, schema, block_questions, block_rows, one_part=True,
@@ -276,5 +321,24 @@ def search(
             k, schema, block_questions, block_rows, one_part=False,
         )
         hits = free.unionByName(equal)
-    by_score = Window.partitionBy("question_id").orderBy(F.desc_nulls_last("score"), "chunk_id")
-    return hits.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)
+    hits = ranked(hits, k)
+    if not carry:
+        return hits
+    carried = index.select(F.col("chunk_id").alias("_key"), *carry)
+    return hits.join(carried, F.col("chunk_id") == F.col("_key")).select(
+        "question_id", "chunk_id", "score", *carry, "rank"
+    )
+
+
+def compared(questions: DataFrame, index: DataFrame, filter_by: tuple[str, str] | None,
+             carry: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the columns that a comparison needs; filters become ``wanted`` and ``value``."""
+    asked = questions.select(
+        "question_id", "embedding",
+        *([F.col(filter_by[0]).cast("string").alias("wanted")] if filter_by else []),
+    )
+    held = index.select(
+        "chunk_id", "embedding", *[c for c in carry if c != "embedding"],
+        *([F.col(filter_by[1]).cast("string").alias("value")] if filter_by else []),
+    )
+    return asked, held

@@ -25,10 +25,10 @@ INFO_SEARCH = EnsembleSettings(4, 4, (0.5, 0.5))
 
 
 def _search(questions: DataFrame, index: DataFrame, settings: EnsembleSettings,
-            filter_by: tuple[str, str] | None = None) -> DataFrame:
+            filter_by: tuple[str, str] | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     return search_ensemble(
         questions, index, settings.k_sim, settings.k_mmr, settings.weights, "text",
-        filter_by=filter_by,
+        filter_by=filter_by, carry=carry,
     )
 
 
@@ -36,9 +36,7 @@ def resolve_entity(
     questions: DataFrame, index: DataFrame, settings: EnsembleSettings = NAME_SEARCH
 ) -> DataFrame:
     """Add ``entity``: the title that most hits of a question name; null without a hit."""
-    hits = _search(questions, index, settings).join(
-        index.select("chunk_id", "movie_name"), "chunk_id"
-    )
+    hits = _search(questions, index, settings, carry=("movie_name",))
     votes = majority_vote(hits, "movie_name").withColumnRenamed("movie_name", "entity")
     return questions.join(votes, "question_id", "left")
 

@@ -132,12 +132,12 @@ ORACLE["index_append"] = f"""WITH {_index_sql('info', FIXED_INFOS, _INFO_TEXT)}
 
 
 def _context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both collections are written once, as each is searched and then looked up by chunk."""
+    """Each collection is read once, by its search: hits come with their texts and titles."""
     docs = catalog(spark, sf_dir)
     return R.retrieve_context(
         questions(spark, sf_dir),
-        materialise(I.build_index(docs, "doc_id", FIXED_NAMES)),
-        materialise(I.build_index(docs, "doc_id", FIXED_INFOS)),
+        I.build_index(docs, "doc_id", FIXED_NAMES),
+        I.build_index(docs, "doc_id", FIXED_INFOS),
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from parley.operators import fusion as U
 from parley.operators.knn import search
+from parley.operators.pruned import search_pruned
 from parley.queries.tables import read
 
 QUERIES = {}
@@ -127,6 +128,17 @@ QUERIES["knn_blocked"] = knn_blocked
 ORACLE["knn_blocked"] = ORACLE["knn_filtered"]
 
 
+def knn_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact plan that leaves cells of the index out, on the same tables and with the same answer."""
+    return search_pruned(
+        _questions(spark, sf_dir), _index(spark, sf_dir), 4, filter_by=("wanted_label", "label")
+    ).hits
+
+
+QUERIES["knn_pruned"] = knn_pruned
+ORACLE["knn_pruned"] = ORACLE["knn_filtered"]
+
+
 def mmr_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return U.search_mmr(_questions(spark, sf_dir), _index(spark, sf_dir), 4)
 
@@ -150,8 +162,8 @@ ORACLE["rrf_fusion"] = f"""WITH {_HITS_20}, {fused_sql(4, (0.5, 0.5), 'chunk_id'
 
 def majority_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = _index(spark, sf_dir)
-    hits = U.search_ensemble(_questions(spark, sf_dir), index, 2, 4, (0.2, 0.8))
-    return U.majority_vote(hits.join(index.select("chunk_id", "label"), "chunk_id"), "label")
+    hits = U.search_ensemble(_questions(spark, sf_dir), index, 2, 4, (0.2, 0.8), carry=("label",))
+    return U.majority_vote(hits, "label")
 
 
 QUERIES["majority_vote"] = majority_vote

@@ -1,10 +1,12 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from parley.operators.embedding import apply_model, hash_embedding
 from parley.operators.fusion import fuse, majority_vote, pick_diverse, search_ensemble, search_mmr
-from parley.operators.knn import search
+from parley.operators.knn import Best, search
+from parley.operators.pruned import search_pruned
 
 RNG = np.random.default_rng(7)
 INDEX = np.round(RNG.normal(size=(300, 8)), 1)
@@ -158,3 +160,74 @@ def test_model_hook(frame):
 
     got = apply_model(frame([("ab",), ("c",)], "t string"), "t", "n", "long", load)
     assert {(r.t, r.n) for r in got.collect()} == {("ab", 2), ("c", 1)}
+
+
+def test_pruned_search_equals_brute_force(tables):
+    questions, index = tables
+    for blocks in ({}, {"pivots": 5, "block_questions": 7, "block_rows": 11}):
+        assert as_set(search_pruned(questions, index, 5, **blocks).hits) == brute(5)
+        assert as_set(search_pruned(questions, index, 5, ("wanted", "value"), **blocks).hits) == brute(5, WANTED)
+
+
+def test_pruned_search_reads_a_part(frame):
+    """Clustered vectors, a third of them copies: ties are kept and most pairs are never scored."""
+    centres = RNG.normal(size=(20, 16))
+    vectors = np.round(centres[RNG.integers(0, 20, 4000)] + 0.05 * RNG.normal(size=(4000, 16)), 3)
+    vectors[::3] = vectors[0]
+    index = frame([(i, v.tolist()) for i, v in enumerate(vectors)], "chunk_id long, embedding array<float>")
+    questions = index.where("chunk_id % 40 = 0").withColumnRenamed("chunk_id", "question_id")
+    got = search_pruned(questions, index, 5, block_rows=300)
+    assert as_set(got.hits) == as_set(search(questions, index, 5))
+    share = got.scored.agg(F.sum("rows")).first()[0] / (questions.count() * 4000)
+    assert share < 0.4
+
+
+def test_pruned_search_of_odd_rows(frame):
+    index = frame([(1, [1.0, 0.0]), (2, None), (None, [1.0, 0.0]), (3, [1.0, None]), (4, [0.0, 1.0]), (5, [0.0, 0.0])],
+                  "chunk_id long, embedding array<float>")
+    questions = frame([(1, [2.0, 0.0]), (2, None), (None, [1.0, 0.0]), (3, [0.0, 0.0])],
+                      "question_id long, embedding array<float>")
+
+    def rows(hits):
+        return sorted((r.question_id, r["rank"], r.chunk_id, r.score) for r in hits.collect())
+
+    for k in (1, 3, 9):
+        for held in (index, index.where("chunk_id IN (2, 3)"), index.where("false")):
+            assert rows(search_pruned(questions, held, k).hits) == rows(search(questions, held, k))
+    assert search_pruned(questions.where("false"), index, 2).hits.count() == 0
+
+
+@pytest.mark.parametrize("plan", BLOCKS)
+def test_carried_columns(tables, plan):
+    questions, index = tables
+    rich = index.withColumn("name", F.concat(F.lit("n"), "chunk_id"))
+    for repeat in (1, 400):  # many small batches thin the store
+        held = rich.repartition(repeat) if repeat > 1 else rich
+        hits = search(questions, held, 5, carry=("name", "embedding"), **plan)
+        assert as_set(hits) == brute(5)
+        assert all(r.name == f"n{r.chunk_id}" and np.allclose(r.embedding, INDEX[r.chunk_id], atol=1e-6)
+                   for r in hits.collect())
+
+
+def test_store_is_thinned():
+    best = Best(pa.table({"question_id": list(range(4)), "embedding": QUESTIONS[:4].tolist()}), 2, ["name"])
+    for i in range(0, 2000):
+        row = INDEX[i % 300] + i / 1000
+        best.add_batch(pa.table({"chunk_id": [i], "embedding": [row.tolist()], "name": [str(i)]}))
+    assert best.stored <= 2 * 8 + 1024 and sum(t.num_rows for t in best.store) == best.stored
+    out = best.table(pa.schema([("q", pa.int64()), ("c", pa.int64()), ("s", pa.float64()), ("name", pa.string())]))
+    assert out.column("name").to_pylist() == [str(c) for c in out.column("c").to_pylist()]
+
+
+def test_nothing_joins_back_to_the_index(spark, tables):
+    """With broadcasts off, no exchange reads the index before its rows are scored."""
+    questions, index = tables
+    rich = index.withColumn("text", F.concat(F.lit("t"), "chunk_id")).withColumn("movie_name", F.col("text"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = search_ensemble(questions, rich, 2, 4, (0.2, 0.8), "text", carry=("movie_name",))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("MapInArrow") == 1 and "Join" not in plan
