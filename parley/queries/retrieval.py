@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.operators.chunking import chunk
+from parley.operators.chunking import SEPARATORS, chunk
 from parley.operators.embedding import DIMENSIONS, generate, hash_embedding
 from parley.plans import chat as M
 from parley.plans import index as I
@@ -16,16 +14,11 @@ from parley.plans import retrieval as R
 from parley.queries import tables as T
 from parley.queries.tables import read
 from parley.queries.vectors import fused_sql, hits_sql, mmr_sql
-from parley.session import materialise
+from parley.session import new_path
 
 QUERIES = {}
 ORACLE = {}
 
-# The SQL side can cut fixed windows only; separator-aware chunks have their own query.
-FIXED_NAMES = replace(I.NAMES, chunker="fixed")
-FIXED_INFOS = replace(I.INFOS, chunker="fixed")
-
-
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents", spread_by="doc_id").select(
         "doc_id",
@@ -54,6 +47,55 @@ def chunks_sql(source: str, text: str, size: int, overlap: int) -> str:
             FROM {source}))"""
 
 
+def recursive_chunks_sql(name: str, source: str, key: str, text: str, size: int, overlap: int) -> str:
+    """Tables up to ``name``: ``(key, chunk_no, chunk)`` of separator-aware chunks; needs WITH RECURSIVE.
+
+    A text is cut by the separators, coarse to fine, into pieces that know which cut they come from. Neighbours of
+    one cut are a run; a chunk of a run starts at piece ``s`` and ends where the running length allows, and the
+    recursion goes from chunk to chunk.
+    """
+    levels = [f"{name}_todo0 AS (SELECT {key} AS k, []::integer[] AS path, {text} AS piece FROM {source})"]
+    last = len(SEPARATORS) - 1
+    for n, separator in enumerate(SEPARATORS):
+        mark = "'" + separator.replace("\n", "' || chr(10) || '") + "'"
+        cut = (
+            f"[CASE WHEN i = 1 THEN p ELSE {mark} || p END for p, i in string_split(piece, {mark})]"
+            if separator else "regexp_extract_all(piece, '(?s).')"
+        )
+        has = f"contains(piece, {mark})" if separator else "true"
+        levels.append(f"""{name}_cut{n} AS MATERIALIZED (
+            SELECT * FROM (SELECT k, path AS parent, unnest(parts) AS piece,
+                       list_append(path, generate_subscripts(parts, 1)::integer) AS path
+                FROM (SELECT k, path, {cut} AS parts FROM {name}_todo{n} WHERE {has})) WHERE piece <> '')""")
+        if n < last:
+            levels.append(f"""{name}_todo{n + 1} AS (
+            SELECT k, path, piece FROM {name}_todo{n} WHERE NOT {has}
+            UNION ALL SELECT k, path, piece FROM {name}_cut{n} WHERE length(piece) >= {size})""")
+    atoms = " UNION ALL ".join(
+        f"SELECT * FROM {name}_cut{n}" + (f" WHERE length(piece) < {size}" if n < last else "") for n in range(last + 1)
+    )
+    return f"""{', '.join(levels)},
+    {name}_runs AS MATERIALIZED (
+        SELECT k, run, list_prepend(0, list(till ORDER BY path)) AS ends, string_agg(piece, '' ORDER BY path) AS whole
+        FROM (SELECT *, sum(length(piece)) OVER (PARTITION BY k, run ORDER BY path)::bigint AS till
+            FROM (SELECT *, sum(starts) OVER (PARTITION BY k ORDER BY path) AS run
+                FROM (SELECT *, (parent IS DISTINCT FROM lag(parent) OVER (PARTITION BY k ORDER BY path))::integer
+                          AS starts FROM ({atoms}))))
+        GROUP BY k, run),
+    {name}_held AS (
+        SELECT k, run, 1 AS s, len(list_filter(ends, lambda x: x <= {size})) - 1 AS e FROM {name}_runs
+        UNION ALL
+        SELECT k, run, s, len(list_filter(ends, lambda x: x <= {size} + ends[s])) - 1 AS e
+        FROM (SELECT h.k, h.run, r.ends, least(h.e + 1, 1 + len(list_filter(r.ends, lambda x:
+                  r.ends[h.e + 1] - x > {overlap} OR r.ends[h.e + 2] - x > {size}))) AS s
+              FROM {name}_held h JOIN {name}_runs r ON r.k = h.k AND r.run = h.run WHERE h.e < len(r.ends) - 1)),
+    {name} AS MATERIALIZED (
+        SELECT k AS {key}, row_number() OVER (PARTITION BY k ORDER BY run, s) - 1 AS chunk_no, chunk
+        FROM (SELECT h.k, h.run, h.s, regexp_replace(substring(whole, ends[s] + 1, ends[e + 1] - ends[s]),
+                  '^\\s+|\\s+$', '', 'g') AS chunk
+              FROM {name}_held h JOIN {name}_runs r ON r.k = h.k AND r.run = h.run) WHERE chunk <> '')"""
+
+
 def embedded_sql(source: str, key: str, text: str, name: str) -> str:
     """Tables ``name_slots`` and ``name``: hashed vectors of unit length per key."""
     return rf"""{name}_slots AS MATERIALIZED (
@@ -86,6 +128,8 @@ def chunk_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["chunk_recursive"] = chunk_recursive
+ORACLE["chunk_recursive"] = f"""WITH RECURSIVE {recursive_chunks_sql('cut', 'documents', 'doc_id', 'text', 1000, 200)}
+    SELECT doc_id, source, chunk_no::integer AS chunk_no, chunk AS text FROM cut JOIN documents USING (doc_id)"""
 
 
 def hash_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,22 +146,28 @@ ORACLE["hash_embed"] = f"""WITH {embedded_sql('documents', 'doc_id', 'text', 've
 
 
 def index_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chunks of all documents that are not in a store of the labelled ones."""
+    """A store that labelled documents, all documents, and all of them again are appended to, read back."""
     docs = catalog(spark, sf_dir)
     labelled = docs.join(read(spark, sf_dir, "labels"), "doc_id", "left_semi")
-    store = I.build_index(labelled, "doc_id", FIXED_INFOS)
-    fresh = I.missing_from(I.build_index(docs, "doc_id", FIXED_INFOS), store)
-    return fresh.select("collection", "chunk_id", "doc_id", "chunk_no", "movie_name", "year", "text")
+    path = new_path(spark, "store")
+    for batch in (labelled, docs, docs):
+        I.append_index(I.build_index(batch, "doc_id", I.INFOS), path)
+    millionths = F.transform("embedding", lambda x: F.round(x.cast("double") * 1e6).cast("long").cast("string"))
+    return spark.read.parquet(path).select(
+        "collection", "chunk_id", "doc_id", "chunk_no", "movie_name", "year", "text",
+        F.array_join(millionths, ",").alias("vector"),
+    )
 
 
 def _index_sql(name: str, collection: I.Collection, text: str) -> str:
     """Table ``name_chunks``: chunks of one collection with their ids."""
-    return f"""{name}_chunks AS MATERIALIZED (
+    source = f"(SELECT doc_id, source AS movie_name, {text} AS doc_text FROM documents)"
+    return f"""{recursive_chunks_sql(f'{name}_cut', source, 'doc_id', 'doc_text', collection.size, collection.overlap)},
+    {name}_chunks AS MATERIALIZED (
         SELECT '{collection.name}' AS collection,
                md5('{collection.name}:' || doc_id || ':' || chunk_no) AS chunk_id,
-               doc_id, chunk_no, chunk AS text, movie_name, 'Unknown' AS year
-        FROM ({chunks_sql(f'(SELECT doc_id, source AS movie_name, {text} AS doc_text FROM documents)',
-                          'doc_text', collection.size, collection.overlap)}) WHERE chunk <> '')"""
+               doc_id, chunk_no::integer AS chunk_no, chunk AS text, source AS movie_name, 'Unknown' AS year
+        FROM {name}_cut JOIN (SELECT doc_id, source FROM documents) USING (doc_id))"""
 
 
 _INFO_TEXT = "'Movie Name: ' || source || chr(10) || 'Synopsis: ' || text"
@@ -127,8 +177,10 @@ _NAME_TEXT = " || chr(10) || ".join(
     for column, label in I.FULL_FIELDS.items()
 )
 QUERIES["index_append"] = index_append
-ORACLE["index_append"] = f"""WITH {_index_sql('info', FIXED_INFOS, _INFO_TEXT)}
-    SELECT * FROM info_chunks WHERE doc_id NOT IN (SELECT doc_id FROM labels)"""
+ORACLE["index_append"] = f"""WITH RECURSIVE {_index_sql('info', I.INFOS, _INFO_TEXT)},
+    {embedded_sql('info_chunks', 'chunk_id', 'text', 'vectors')}
+    SELECT c.*, array_to_string(list_transform(embedding, lambda x: round(x::double * 1000000)::bigint), ',') AS vector
+    FROM info_chunks c JOIN vectors USING (chunk_id)"""
 
 
 def _context(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,8 +188,8 @@ def _context(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = catalog(spark, sf_dir)
     return R.retrieve_context(
         questions(spark, sf_dir),
-        I.build_index(docs, "doc_id", FIXED_NAMES),
-        I.build_index(docs, "doc_id", FIXED_INFOS),
+        I.build_index(docs, "doc_id", I.NAMES),
+        I.build_index(docs, "doc_id", I.INFOS),
     )
 
 
@@ -145,10 +197,10 @@ def rag_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _context(spark, sf_dir).select("question_id", "entity", "context")
 
 
-_CONTEXT_SQL = f"""{_index_sql('name', FIXED_NAMES, _NAME_TEXT)},
+_CONTEXT_SQL = f"""{_index_sql('name', I.NAMES, _NAME_TEXT)},
     {embedded_sql('name_chunks', 'chunk_id', 'text', 'name_vectors')},
     name_index AS MATERIALIZED (SELECT * FROM name_chunks JOIN name_vectors USING (chunk_id)),
-    {_index_sql('info', FIXED_INFOS, _INFO_TEXT)},
+    {_index_sql('info', I.INFOS, _INFO_TEXT)},
     {embedded_sql('info_chunks', 'chunk_id', 'text', 'info_vectors')},
     info_index AS MATERIALIZED (SELECT * FROM info_chunks JOIN info_vectors USING (chunk_id)),
     {embedded_sql('benchmark', 'item_id', 'text', 'question_vectors')},
@@ -173,7 +225,7 @@ _CONTEXT_SQL = f"""{_index_sql('name', FIXED_NAMES, _NAME_TEXT)},
             SELECT question_id, string_agg(text_key, chr(10) ORDER BY rank) AS context
             FROM i_fused GROUP BY question_id) USING (question_id))"""
 QUERIES["rag_context"] = rag_context
-ORACLE["rag_context"] = f"WITH {_CONTEXT_SQL} SELECT question_id, entity, context FROM contexts"
+ORACLE["rag_context"] = f"WITH RECURSIVE {_CONTEXT_SQL} SELECT question_id, entity, context FROM contexts"
 
 
 def chat_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,7 +307,7 @@ def rag_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["rag_prompt"] = rag_prompt
 _SYSTEM = M.SYSTEM_TEXT.replace("{instruction}", M.INSTRUCTION).replace("'", "''")
-ORACLE["rag_prompt"] = f"""WITH {_CONTEXT_SQL}, {_HISTORY_SQL}
+ORACLE["rag_prompt"] = f"""WITH RECURSIVE {_CONTEXT_SQL}, {_HISTORY_SQL}
     SELECT question_id, '{_SYSTEM}' AS system,
            'Chat history: ' || coalesce(history, '') || chr(10) || 'Context: ' || context AS memory,
            'Question: ' || question AS human

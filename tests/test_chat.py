@@ -1,3 +1,5 @@
+import re
+
 from pyspark.sql import functions as F
 
 from parley.plans import chat as M
@@ -103,6 +105,24 @@ def test_append_twice_adds_nothing(spark, frame, tmp_path):
     assert spark.read.parquet(new).count() == 3
 
 
+def test_append_reads_only_buckets_that_may_hold_an_id(spark, frame, tmp_path):
+    rows = frame([(i, f"title {i}", 2000, f"word{i} tells a story") for i in range(400)],
+                 "title_id long, movie_name string, year int, synopsis string")
+    infos = I.build_index(rows, "title_id", I.INFOS)
+    path = str(tmp_path / "store")
+    I.append_index(infos.where("doc_id < 200"), path)
+    I.append_index(infos, path)
+    stored = spark.read.parquet(path)
+    assert stored.count() == 400 and stored.select("bucket").distinct().count() > 100
+    old = I._bucketed(infos.where("doc_id < 3"))
+    known = I.stored_ids(old, path)
+    assert known.count() == 3
+    pruned = known._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+    assert set(re.findall(r"\bb[0-9a-f]{2}\b", pruned)) == {r.bucket for r in old.select("bucket").collect()}
+    new = I._bucketed(I.build_index(rows.withColumn("title_id", F.col("title_id") + 10_000), "title_id", I.INFOS))
+    assert I._maybe_stored(new, path).count() < 60  # 400 ids, most of which no bitmap marks
+
+
 def test_context(frame):
     names, infos = corpus(frame)
     questions = frame([(1, "which hobbit carries the ring"), (2, "the shark at the beach")],
