@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from math import isqrt
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parley.functions import text as X
 from parley.operators.knn import matrix
+from parley.session import materialise
 
 PADDING = -100
 
@@ -154,36 +157,55 @@ def rouge_n(pairs: DataFrame, max_n: int = 2, unicode: bool = False) -> DataFram
 # --- longest common subsequence --------------------------------------------------------------
 
 
-def lcs_rows(reference: Sequence[str], other: Sequence[str]) -> list[int]:
-    """One bit row per prefix of ``reference``; a zero bit marks a step of the LCS length.
-
-    Bit-parallel: a token costs one addition on ``len(other)`` bits.
-    """
-    full = (1 << len(other)) - 1
+def _bits(other: Sequence[str]) -> dict[str, int]:
+    """The places of every token of a text, as bits."""
     at: dict[str, int] = {}
     for i, token in enumerate(other):
         at[token] = at.get(token, 0) | (1 << i)
-    rows = [full]
-    for token in reference:
-        row = rows[-1]
+    return at
+
+
+def lcs_rows(row: int, tokens: Sequence[str], at: dict[str, int], full: int) -> Iterator[int]:
+    """The bit rows after ``row``, one per token; a zero bit marks a step of the LCS length.
+
+    Bit-parallel: a token costs one addition on as many bits as the other text has tokens.
+    """
+    for token in tokens:
         hit = row & at.get(token, 0)
-        rows.append(((row + hit) | (row & ~hit)) & full)
-    return rows
+        row = ((row + hit) | (row & ~hit)) & full
+        yield row
 
 
 def lcs_length(reference: Sequence[str], other: Sequence[str]) -> int:
-    return len(other) - lcs_rows(reference, other)[-1].bit_count()
+    row = full = (1 << len(other)) - 1
+    for row in lcs_rows(full, reference, _bits(other), full):
+        pass
+    return len(other) - row.bit_count()
 
 
 def lcs_positions(reference: Sequence[str], other: Sequence[str]) -> set[int]:
-    """Positions in ``reference`` of one longest common subsequence, read from the end."""
-    rows = lcs_rows(reference, other)
+    """Positions in ``reference`` of one longest common subsequence, read from the end.
+
+    Every ``sqrt(n)``-th row is kept; the rows between two kept ones are made again when the way back gets
+    there, so twice the work needs ``2 * sqrt(n)`` rows at a time.
+    """
+    full, at = (1 << len(other)) - 1, _bits(other)
+    step = isqrt(len(reference)) + 1
+    kept = [full]
+    for n, row in enumerate(lcs_rows(full, reference, at, full), 1):
+        if n % step == 0:
+            kept.append(row)
+    first, rows = len(reference) + 1, []
 
     def length(i: int, j: int) -> int:
-        return j - (rows[i] & ((1 << j) - 1)).bit_count()
+        return j - (rows[i - first] & ((1 << j) - 1)).bit_count()
 
     i, j, found = len(reference), len(other), set()
     while i and j:
+        if i - 1 < first:
+            first = (i - 1) // step * step
+            some = reference[first : first + step]
+            rows = [kept[first // step], *lcs_rows(kept[first // step], some, at, full)]
         if reference[i - 1] == other[j - 1]:
             i, j = i - 1, j - 1
             found.add(i)
@@ -260,6 +282,10 @@ def rouge_lsum(pairs: DataFrame, unicode: bool = False) -> DataFrame:
 # --- vector matching -------------------------------------------------------------------------
 
 
+#: Tokens of the pairs that are matched in one group.
+BLOCK_TOKENS = 1 << 18
+
+
 def greedy_match(left: np.ndarray, left_n: np.ndarray, right: np.ndarray,
                  right_n: np.ndarray) -> tuple[float, float]:
     """Mean best cosine of the left rows and of the right rows, weighted by their counts."""
@@ -280,46 +306,60 @@ def _with_f1(matched: DataFrame) -> DataFrame:
     )
 
 
-def bertscore(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
+def bertscore(pairs: DataFrame, vectors: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """``pair_id, precision, recall, f1``: greedy cosine matching of token vectors.
 
     ``pairs`` has ``pair_id, prediction_ids, reference_ids``, ``vectors`` has ``token_id,
-    embedding``. The distinct tokens of each pair are joined to their vectors; a group is one
-    pair. Null ids are no tokens, tokens without a row do not take part, a null vector is like
+    embedding``. Pairs are dealt to blocks, as many as their tokens need. A block gets each of its distinct
+    tokens' vectors once and matches all its pairs in one call, so vectors travel once per block and token.
+    Null ids are no tokens, tokens without a row do not take part, a null vector is like
     one of zeros, and of several rows of a token the smallest vector counts.
     """
-    return _with_f1(_joined_match(pairs, vectors))
-
-
-def _joined_match(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
-    def side(column: str, number: int) -> DataFrame:
-        return (
-            pairs.select("pair_id", F.explode(column).alias("token_id"))
-            .groupBy("pair_id", "token_id")
-            .agg(F.count("*").alias("n"))
-            .withColumn("side", F.lit(number))
-        )
-
-    tokens = side("prediction_ids", 0).unionByName(side("reference_ids", 1))
-
-    def run(group: pa.Table) -> pa.Table:
-        sides = group.column("side").to_numpy()
-        counts = group.column("n").to_numpy()
-        rows = np.nan_to_num(matrix(group.column("embedding")))
-        p, r = greedy_match(rows[sides == 0], counts[sides == 0], rows[sides == 1], counts[sides == 1])
-        return pa.table(
-            {"pair_id": group.column("pair_id").slice(0, 1), "precision": [p], "recall": [r]}
-        )
-
-    kind = pairs.schema["pair_id"].dataType.simpleString()
-    matched = (
-        tokens.join(
-            vectors.groupBy("token_id").agg(F.min("embedding").alias("embedding")), "token_id"
-        )
-        .select("pair_id", "side", "n", "embedding")
-        .groupBy("pair_id")
-        .applyInArrow(run, f"pair_id {kind}, precision double, recall double")
+    rows = materialise(
+        pairs.select("pair_id", "prediction_ids", "reference_ids", F.xxhash64(*pairs.columns).alias("_deal"))
     )
-    return pairs.select("pair_id").join(matched, "pair_id", "left").fillna(
-        0.0, ["precision", "recall"]
+    held = F.greatest(F.size("prediction_ids"), F.lit(0)) + F.greatest(F.size("reference_ids"), F.lit(0))
+    total = rows.agg(F.sum(held)).first()[0] or 0
+    dealt = rows.withColumn("block", F.pmod("_deal", F.lit(total // block_tokens + 1))).drop("_deal")
+    none = F.array().cast(pairs.schema["prediction_ids"].dataType)
+    ids = F.concat(F.coalesce("prediction_ids", none), F.coalesce("reference_ids", none))
+    wanted = dealt.select(
+        F.col("block").alias("of_block"), F.explode(F.array_distinct(ids)).alias("token_id")
+    ).distinct()
+    fetched = wanted.join(vectors.select("token_id", "embedding"), "token_id")
+    kind = pairs.schema["pair_id"].dataType.simpleString()
+    matched = dealt.groupBy("block").cogroup(fetched.groupBy("of_block")).applyInArrow(
+        _match_block, f"pair_id {kind}, precision double, recall double"
     )
+    return _with_f1(matched)
+
+
+def _match_block(pairs: pa.Table, fetched: pa.Table) -> pa.Table:
+    """All pairs of a block against its vectors."""
+    tokens = fetched.column("token_id").to_numpy()
+    if len(np.unique(tokens)) < len(tokens):
+        vectors = fetched.column("embedding").to_pylist()
+        order = sorted(range(len(tokens)), key=lambda i: (tokens[i], vectors[i] is not None, vectors[i] or []))
+        tokens, first = np.unique(tokens[order], return_index=True)
+        fetched = fetched.take(pa.array(np.array(order)[first]))
+    order = np.argsort(tokens, kind="stable")
+    tokens, rows = tokens[order], np.nan_to_num(matrix(fetched.column("embedding")))[order]
+    sides = []
+    for name in ("prediction_ids", "reference_ids"):
+        column = pairs.column(name).combine_chunks()
+        flat = column.flatten()
+        owner = np.repeat(np.arange(len(column)), pc.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False))
+        flat, known = flat.fill_null(0).to_numpy(), ~flat.is_null().to_numpy(zero_copy_only=False)
+        place = np.searchsorted(tokens, flat)
+        known &= place < len(tokens)
+        known[known] = tokens[place[known]] == flat[known]
+        # one entry per pair and distinct token, in order of the pairs
+        code, count = np.unique(owner[known] * max(len(tokens), 1) + place[known], return_counts=True)
+        pair, token = np.divmod(code, max(len(tokens), 1))
+        sides.append((np.searchsorted(pair, np.arange(len(column) + 1)), token, count))
+    scores = np.zeros((pairs.num_rows, 2))
+    (p_at, p_token, p_n), (r_at, r_token, r_n) = sides
+    for n in range(pairs.num_rows):
+        p, r = slice(p_at[n], p_at[n + 1]), slice(r_at[n], r_at[n + 1])
+        scores[n] = greedy_match(rows[p_token[p]], p_n[p], rows[r_token[r]], r_n[r])
+    return pa.table({"pair_id": pairs.column("pair_id"), "precision": scores[:, 0], "recall": scores[:, 1]})

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from parley.functions import text as X
 from parley.operators import scoring as S
+from parley.session import materialise
 from parley.sources.writers import metrics_rows
 
 METRICS = ("bleu", "rouge1", "rouge2", "rougeL", "rougeLsum", "bertscore")
@@ -63,12 +64,13 @@ def evaluate(
 ) -> DataFrame:
     """``run_id, metric, value`` rows for ``pair_id, prediction, reference`` pairs.
 
-    BLEU is a corpus score, the others are means over pairs. ``bertscore`` needs token
+    The pairs are written once. BLEU is a corpus score, the others are means over pairs. ``bertscore`` needs token
     vectors and gives three rows.
     """
     unknown = set(metrics) - set(METRICS)
     if unknown:
         raise ValueError(f"unknown metrics: {sorted(unknown)}")
+    pairs = materialise(pairs.select("pair_id", "prediction", "reference"))  # each metric reads it
     parts: list[DataFrame] = []
     if "bleu" in metrics:
         parts.append(S.bleu(pairs))

@@ -208,7 +208,55 @@ def rouge_lsum(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Lengths of the longest common subsequence of every two lines, a recursion step per token of the reference line;
+# then the way back from their ends. Covered tokens count as often as both texts have them.
+_LSUM_SQL = f"""s_lines AS MATERIALIZED (
+        SELECT pair_id, side, no, tokens FROM (
+            SELECT pair_id, side, no, {_rouge_tokens('line')} AS tokens FROM (
+                SELECT pair_id, side, unnest(lines) AS line, unnest(range(0, len(lines))) AS no FROM (
+                    SELECT pair_id, 'p' AS side, list_filter(string_split(prediction, chr(10)), lambda x: x <> '') AS lines
+                    FROM evaluation_pairs
+                    UNION ALL SELECT pair_id, 'r', list_filter(string_split(reference, chr(10)), lambda x: x <> '')
+                    FROM evaluation_pairs)))),
+    s_pairs AS MATERIALIZED (
+        SELECT r.pair_id, r.no AS a, p.no AS b, r.tokens AS rt, p.tokens AS pt
+        FROM s_lines r JOIN s_lines p ON p.pair_id = r.pair_id AND p.side = 'p' WHERE r.side = 'r'),
+    s_rows AS (
+        SELECT pair_id, a, b, 0::bigint AS i, list_transform(pt, lambda x: 0::bigint) AS lengths FROM s_pairs
+        UNION ALL
+        SELECT pair_id, a, b, i + 1, list_reduce(range(1, len(pt) + 1), lambda row, j: list_append(row, CASE
+                   WHEN rt[i + 1] = pt[j] THEN coalesce(lengths[j - 1], 0) + 1
+                   ELSE greatest(lengths[j], coalesce(row[j - 1], 0)) END), []::bigint[])
+        FROM s_rows JOIN s_pairs USING (pair_id, a, b) WHERE i < len(rt)),
+    s_kept AS MATERIALIZED (SELECT * FROM s_rows),
+    s_back AS (
+        SELECT pair_id, a, b, len(rt)::bigint AS i, len(pt)::bigint AS j, NULL::bigint AS hit FROM s_pairs
+        UNION ALL
+        SELECT w.pair_id, w.a, w.b,
+               CASE WHEN rt[w.i] = pt[w.j] OR NOT left_more THEN w.i - 1 ELSE w.i END,
+               CASE WHEN rt[w.i] = pt[w.j] OR left_more THEN w.j - 1 ELSE w.j END,
+               CASE WHEN rt[w.i] = pt[w.j] THEN w.i END
+        FROM (SELECT s.*, coalesce(here.lengths[s.j - 1], 0) > coalesce(above.lengths[s.j], 0) AS left_more
+              FROM s_back s JOIN s_kept here ON here.pair_id = s.pair_id AND here.a = s.a AND here.b = s.b AND here.i = s.i
+              JOIN s_kept above ON above.pair_id = s.pair_id AND above.a = s.a AND above.b = s.b AND above.i = s.i - 1
+              WHERE s.i > 0 AND s.j > 0) w JOIN s_pairs USING (pair_id, a, b)),
+    s_tokens AS (SELECT pair_id, side, unnest(tokens) AS token FROM s_lines),
+    s_counts AS (
+        SELECT pair_id, token, count(*) FILTER (side = 'p') AS p FROM s_tokens GROUP BY ALL),
+    s_hits AS (
+        SELECT pair_id, sum(least(covered, p)) AS hits FROM (
+            SELECT pair_id, token, count(*) AS covered FROM (
+                SELECT DISTINCT b.pair_id, b.a, b.hit, l.tokens[b.hit] AS token
+                FROM s_back b JOIN s_lines l ON l.pair_id = b.pair_id AND l.side = 'r' AND l.no = b.a WHERE hit IS NOT NULL)
+            GROUP BY ALL) JOIN s_counts USING (pair_id, token) GROUP BY pair_id),
+    rouge_lsum AS (
+        SELECT pair_id, coalesce(2.0::double * hits / n, 0) AS "rougeLsum" FROM evaluation_pairs
+        LEFT JOIN s_hits USING (pair_id)
+        LEFT JOIN (SELECT pair_id, count(*) AS n FROM s_tokens GROUP BY pair_id) USING (pair_id))"""
 QUERIES["rouge_lsum"] = rouge_lsum
+ORACLE["rouge_lsum"] = with_tables(
+    "evaluation_pairs", 'SELECT pair_id, round("rougeLsum", 9) AS "rougeLsum" FROM rouge_lsum', _LSUM_SQL
+).replace("WITH ", "WITH RECURSIVE ", 1)
 
 
 def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,8 +311,7 @@ ORACLE["bertscore_corpus"] = with_tables(
 
 def metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = evaluate(
-        T.evaluation_pairs(spark, sf_dir), "run-1",
-        ("bleu", "rouge1", "rouge2", "rougeL", "bertscore"), _vectors(spark, sf_dir),
+        T.evaluation_pairs(spark, sf_dir), "run-1", vectors=_vectors(spark, sf_dir)
     )
     return scored.withColumn("value", F.round("value", 9))
 
@@ -277,8 +324,9 @@ ORACLE["metrics_long"] = with_tables(
            UNION ALL SELECT 'rouge_rouge1', avg(rouge1) FROM rouge
            UNION ALL SELECT 'rouge_rouge2', avg(rouge2) FROM rouge
            UNION ALL SELECT 'rouge_rougeL', avg("rougeL") FROM rouge_l
+           UNION ALL SELECT 'rouge_rougeLsum', avg("rougeLsum") FROM rouge_lsum
            UNION ALL SELECT 'bertscore_precision', avg(precision) FROM bert
            UNION ALL SELECT 'bertscore_recall', avg(recall) FROM bert
            UNION ALL SELECT 'bertscore_f1', avg(f1) FROM bert)""",
-    _BLEU_SQL, _ROUGE_SQL, _LCS_SQL, _BERT_SQL,
+    _BLEU_SQL, _ROUGE_SQL, _LCS_SQL, _LSUM_SQL, _BERT_SQL,
 ).replace("WITH ", "WITH RECURSIVE ", 1)

@@ -172,3 +172,28 @@ def test_evaluate(frame, vectors):
     assert all(v == pytest.approx(1) for v in got.values())
     with pytest.raises(ValueError):
         evaluate(pairs, "r", ("meteor",))
+
+
+def test_vector_match_in_blocks(frame):
+    """Blocks of any size agree; null ids, unknown tokens, null lists and repeated vectors have their meaning."""
+    pairs = frame([(1, [1, 2, 2], [2, 3]), (2, [1, None, 99], [1]), (3, None, [1]), (4, [5], [5]), (5, [], []), (6, [1, 3], [4])],
+                  "pair_id long, prediction_ids array<int>, reference_ids array<int>")
+    vectors = frame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0, 1.0]), (4, None), (1, [2.0, 5.0]), (5, [0.0, 3.0])],
+                    "token_id int, embedding array<float>")
+    got = {r.pair_id: r for r in S.bertscore(pairs, vectors).collect()}
+    small = {r.pair_id: r for r in S.bertscore(pairs, vectors, block_tokens=1).collect()}
+    assert got == small and len(got) == 6
+    half = 0.5**0.5
+    assert got[1].precision == pytest.approx((half + 1 + 1) / 3) and got[1].recall == pytest.approx((1 + half) / 2)
+    assert (got[2].precision, got[2].recall, got[4].f1) == (1, 1, 1)
+    assert all(got[i].f1 == 0 for i in (3, 5, 6))
+
+
+def test_long_texts_keep_few_rows():
+    rng = np.random.default_rng(5)
+    a, b = rng.integers(0, 30, 3000).tolist(), rng.integers(0, 30, 2500).tolist()
+    places = sorted(S.lcs_positions(a, b))
+    assert len(places) == S.lcs_length(a, b)
+    at = 0  # what was found is a subsequence of the other text
+    for i in places:
+        at = b.index(a[i], at) + 1
