@@ -283,7 +283,7 @@ def rouge_lsum(pairs: DataFrame, unicode: bool = False) -> DataFrame:
 
 
 #: Tokens of the pairs that are matched in one group.
-BLOCK_TOKENS = 1 << 18
+BLOCK_TOKENS = 1 << 16
 
 
 def greedy_match(left: np.ndarray, left_n: np.ndarray, right: np.ndarray,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,11 +31,11 @@ def chat_history(messages: DataFrame) -> DataFrame:
     return ordered_concat(said, ["conv_id"], "turn", "text", SEPARATOR, "history")
 
 
-def message_sizes(messages: DataFrame) -> DataFrame:
+def message_sizes(messages: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     """``conv_id, turn, chars``: the length of what was said, null for other roles and null texts."""
     counted = F.col("role").isin(*SPEAKERS) & F.col("text").isNotNull()
     return messages.select(
-        "conv_id", "turn", F.when(counted, F.length("text")).cast("long").alias("chars")
+        "conv_id", "turn", F.when(counted, F.length("text")).cast("long").alias("chars"), *also
     )
 
 

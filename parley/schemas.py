@@ -10,6 +10,7 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
 
 
 _S, _I, _L, _D = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
+_T = T.TimestampType()
 _STRINGS = T.ArrayType(T.StringType())
 
 CONVERSATIONS = _struct(
@@ -87,4 +88,8 @@ RECORDS = _struct(
     ("response", _S),
 )
 MESSAGES = _struct(("conv_id", _L), ("turn", _L), ("role", _S), ("text", _S))
+#: A message as it is delivered: when it was sent and when it came in.
+DELIVERED = _struct(
+    ("conv_id", _L), ("turn", _L), ("role", _S), ("text", _S), ("sent", _T), ("arrived", _T)
+)
 METRICS = _struct(("run_id", _S), ("metric", _S), ("value", _D))
