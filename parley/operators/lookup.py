@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley.functions import text as X
-from parley.operators.ordering import first_by, hash_rank
+from parley.operators.ordering import first_by, hash_buckets, hash_rank
+from parley.operators.selection import bounds, place, prefix_sizes
 from parley.session import SEED, materialise
 
 
@@ -133,9 +134,15 @@ def distinct_titles(df: DataFrame, name: str, year: str) -> DataFrame:
 
 
 def sample_fraction(df: DataFrame, fraction: float, key: Sequence[str], seed: int = SEED) -> DataFrame:
-    """Exactly ``round(fraction * rows)`` rows, picked by seeded md5 order of a unique key."""
-    size = df.agg(F.bround(F.count("*") * F.lit(float(fraction)), 0).cast("long")).scalar()
-    return hash_rank(df, [], key, "_rank", seed).where(F.col("_rank") <= size).drop("_rank")
+    """Exactly ``round(fraction * rows)`` rows, the first in seeded md5 order of a unique key.
+
+    The last of them is looked up from counts; rows are compared with it where they are read.
+    """
+    sizes = prefix_sizes(df, [], key, seed)
+    wanted = F.bround(F.coalesce(F.sum("_size"), F.lit(0)) * F.lit(float(fraction)), 0).cast("long")
+    rank = sizes.agg(wanted.alias("_wanted")).select(F.lit("last").alias("_name"), "_wanted").where("_wanted > 0")
+    last = materialise(bounds(df, sizes, rank, [], key, seed)).select("_bound").scalar()
+    return hash_buckets(df, key, seed).where(place(key) <= last).select(*df.columns)
 
 
 def assign_batches(df: DataFrame, size: int, key: Sequence[str], seed: int = SEED) -> DataFrame:

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parley.operators.ordering import bucket_offsets, hash_buckets, hash_rank, rank_in_buckets
+from parley.operators.ordering import hash_buckets, hash_rank
+from parley.operators.selection import bounds, place, prefix_sizes
 from parley.session import SEED, materialise
 
 _WIDE = "decimal(19,0)"
@@ -61,12 +62,12 @@ def stratified_split(
     of train, then of test out of what is left. Rows are taken in seeded md5 order of
     ``id_cols``, which must be unique within a stratum. Rows of a null stratum are dropped.
 
-    The rows are read twice: to count them by (stratum, md5 prefix), and to rank them. All
-    quotas follow from the counts; counts and quotas of train are written to the shared folder,
-    as several later steps use them.
+    Rows are counted by (stratum, md5 prefix), and the last rows of train and test of each stratum are looked up
+    from the counts; rows are labelled where they are read, so no exchange carries them unless there
+    are more strata than a broadcast takes. Counts, quotas and bounds are written to the shared folder.
     """
-    marked = hash_buckets(df.where(F.col(key).isNotNull()), id_cols, seed)
-    sizes = materialise(marked.groupBy(key, "_bucket").agg(F.count("*").alias("_size")))
+    known = df.where(F.col(key).isNotNull())
+    sizes = prefix_sizes(known, [key], id_cols, seed)
     n = F.coalesce(F.sum("_size"), F.lit(0))
     train_rows, test_rows = (
         sizes.select(F.floor(n * F.lit(float(share))).cast("long")).scalar()
@@ -75,18 +76,25 @@ def stratified_split(
     strata = sizes.groupBy(key).agg(F.sum("_size").alias("_n"))
     trained = _quota(strata, key, "_n", train_rows, "_train", seed)
     quotas = materialise(trained.withColumn("_remaining", F.col("_n") - F.col("_train")))
-    quotas = _quota(quotas, key, "_remaining", test_rows, "_test", seed).select(
-        F.col(key).alias(f"_o_{key}"), "_train", "_test"
+    quotas = _quota(quotas, key, "_remaining", test_rows, "_test", seed)
+    ends = F.array(
+        F.struct(F.lit("train").alias("_name"), F.col("_train").alias("_wanted")),
+        F.struct(F.lit("test").alias("_name"), (F.col("_train") + F.col("_test")).alias("_wanted")),
+    )
+    ranks = quotas.select(key, F.inline(ends)).where("_wanted > 0")
+    found = bounds(known, sizes, ranks, [key], id_cols, seed)
+    last = materialise(
+        found.groupBy(F.col(key).alias("_stratum")).agg(
+            *[F.max(F.when(F.col("_name") == name, F.col("_bound"))).alias(f"_{name}") for name in ("train", "test")]
+        )
     )
-    places = bucket_offsets(sizes, [key]).join(quotas, f"_o_{key}")
     split = (
-        F.when(F.col("_rank") <= F.col("_train"), "train")
-        .when(F.col("_rank") <= F.col("_train") + F.col("_test"), "test")
+        F.when(place(id_cols) <= F.col("_train"), "train")
+        .when(place(id_cols) <= F.col("_test"), "test")
         .otherwise("val")
     )
-    return rank_in_buckets(marked, places, [key], id_cols).select(
-        *df.columns, split.alias("split")
-    )
+    marked = hash_buckets(known, id_cols, seed)
+    return marked.join(last, F.col(key) == F.col("_stratum"), "left").select(*df.columns, split.alias("split"))
 
 
 def split_summary(df: DataFrame, *by: str) -> DataFrame:

@@ -1,7 +1,10 @@
 import pytest
 
 from parley.operators.ordering import hash_rank, number_copies, ordered_concat, prefix_totals
+from parley.operators.lookup import sample_fraction
+from parley.operators.selection import bounds, prefix_sizes
 from parley.operators.split import split_summary, stratified_split
+from parley.session import materialise
 from pyspark.sql import functions as F
 
 
@@ -72,3 +75,34 @@ def test_ordered_concat_and_prefix_totals(frame):
     totals = prefix_totals(rows, "k", "pos", {"n": F.lit(1)}, segment=7)
     assert all(r.n == r.pos for r in totals.where("k = 'a'").collect())
     assert {(r.pos, r.n) for r in totals.where("k = 'b'").collect()} == {(2, 0), (5, 1)}
+
+
+@pytest.mark.parametrize("few", [1, 3, 1 << 17])
+def test_bounds_are_the_rows_at_the_ranks(frame, few):
+    """Prefixes grow until few ids are left; the bound is the row that a full ranking has there."""
+    rows = rows_of(frame, [30_000, 40, 1])
+    want = {(r.stratum, r["rank"]): r.id for r in hash_rank(rows, ["stratum"], ["id"]).collect()}
+    asked = [("s0", 1), ("s0", 30_000), ("s0", 17_001), ("s1", 7), ("s1", 40), ("s2", 1), ("s2", 2), ("s9", 1)]
+    ranks = frame([(s, str(n), n) for s, n in asked], "stratum string, _name string, _wanted long")
+    sizes = prefix_sizes(rows, ["stratum"], ["id"])
+    got = {(r.stratum, int(r._name)): r._bound.id for r in bounds(rows, sizes, ranks, ["stratum"], ["id"], few=few).collect()}
+    assert got == {a: want[a] for a in asked if a in want}
+
+
+def test_no_exchange_carries_the_rows(frame):
+    rows = rows_of(frame, [500, 61, 7]).withColumn("text", F.concat(F.lit("t"), "id")).repartition(4)
+    stored = materialise(rows)
+    for df in (stratified_split(stored, "stratum", ["id"], 0.7, 0.2), sample_fraction(stored, 0.3, ["id"])):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        carried = [line for line in plan.splitlines() if "Exchange" in line and "Broadcast" not in line]
+        assert "text#" in plan and not any("SortMergeJoin" in line for line in plan.splitlines())
+        assert len(carried) == 0, plan
+
+
+def test_sample_is_exact_and_the_first_of_the_order(frame):
+    rows = rows_of(frame, [997])
+    for fraction in (0.0, 0.2, 0.5, 1.0):
+        got = {r.id for r in sample_fraction(rows, fraction, ["id"]).collect()}
+        want = {r.id for r in hash_rank(rows, [], ["id"]).where(F.col("rank") <= round(997 * fraction)).collect()}
+        assert got == want
+    assert sample_fraction(rows.where("false"), 0.5, ["id"]).count() == 0
