@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from parley.functions import text as X
 from parley.operators.lookup import entity_rollup, sample_fraction
 from parley.plans.qa import QA_INSTRUCTION
-from parley.session import SEED
+from parley.session import SEED, materialise
 
 # The question wordings, by the attribute that they ask for.
 TEMPLATES: dict[str, tuple[str, ...]] = {
@@ -103,6 +103,8 @@ def augment(
         ["character_names", "genre", "release_year", "num_imdb_votes"],
         ["imdb_rating"],
     )
+    # One row per title, used three times; a mean of one-digit ratings shall read like one.
+    entities = materialise(entities.withColumn("imdb_rating", F.round("imdb_rating", 6)))
     picked = sample_fraction(entities, fraction, ["movie_name"], seed)
     return rows.unionByName(
         generate_questions(picked, "movie_name", templates, seed), allowMissingColumns=True

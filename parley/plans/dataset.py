@@ -85,12 +85,15 @@ def dialogue_records(tables: Mapping[str, DataFrame], config: DatasetConfig) ->
 def qa_records(tables: Mapping[str, DataFrame], config: DatasetConfig) -> DataFrame:
     """Answer, join, prune and split the question tables.
 
-    Equal rows have no key that tells them apart; their copy number becomes part of it.
+    Equal rows have no key that tells them apart; their copy number becomes part of it. The joined rows and
+    the numbered ones are written once each, as they are counted before they are used.
     """
-    rows = build_qa(*(tables[t] for t in QA_TABLES))
+    rows = materialise(build_qa(*(tables[t] for t in QA_TABLES)))
     kept = prune_rare(rows, "movie_name", config.qa_min_rows)
-    numbered = number_copies(kept, "copy").withColumn(
-        "row_key", F.md5(F.concat_ws("\x1f", F.to_json(F.struct(*kept.columns)), "copy"))
+    numbered = materialise(
+        number_copies(kept, "copy").withColumn(
+            "row_key", F.md5(F.concat_ws("\x1f", F.to_json(F.struct(*kept.columns)), "copy"))
+        )
     )
     split = stratified_split(
         numbered, "movie_name", ["row_key"], config.qa_train, config.qa_test, config.seed

@@ -11,9 +11,12 @@ from parley.plans import augment as A
 from parley.plans import catalog as C
 from parley.plans import qa as Q
 from parley.plans import records as R
+from parley.plans.dataset import DatasetConfig, run_pipeline
+from parley.plans.dialogue import DIALOGUE_INSTRUCTION
 from parley.queries import tables as T
 from parley.queries.dialogue import DIALOGUE_SQL, DIALOGUE_TABLES, dialogue_rows
 from parley.queries.tables import read, with_tables
+from parley.session import new_path
 
 QUERIES = {}
 ORACLE = {}
@@ -306,7 +309,7 @@ ORACLE["augment_union"] = with_tables(
               num_imdb_votes, utterance, response, instruction FROM questions""",
     ROLLUP_SQL,
     """picked AS (
-        SELECT * EXCLUDE (r, n) FROM (
+        SELECT * EXCLUDE (r, n) REPLACE (round(imdb_rating, 6) AS imdb_rating) FROM (
             SELECT *, row_number() OVER (ORDER BY md5(movie_name || ':42'), movie_name) AS r,
                    count(*) OVER () AS n FROM rollup_rows)
         WHERE r <= round_even(n * 0.2::double, 0))""",
@@ -467,3 +470,84 @@ ORACLE["prompt_text"] = with_tables(
        FROM combined""",
     *DIALOGUE_SQL, QA_SQL, _COMBINED_SQL,
 )
+
+
+#: The given tables have fewer rows of a title than the thresholds of the real ones.
+SMALL = DatasetConfig(dialogue_min_rows=20, qa_min_rows=10)
+
+
+def pipeline_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole dataset job, written by split and type; the test split is read back."""
+    tables = {
+        "movie_conversations": T.conversation_lists(spark, sf_dir).drop("conv_id"),
+        "movie_lines": T.lines(spark, sf_dir),
+        "movie_titles_metadata": T.titles(spark, sf_dir),
+        "movie_characters_metadata": T.characters(spark, sf_dir),
+        "movie_details": T.details(spark, sf_dir),
+        "qa": T.qa_questions(spark, sf_dir),
+        "movies": T.qa_movies(spark, sf_dir),
+        "qa_details": T.qa_details(spark, sf_dir),
+    }
+    records = run_pipeline(tables, new_path(spark, "records"), SMALL).where("split = 'test'")
+    return records.select(
+        "split", "type", "input", R.json_records(records, "instruction", "context", "response").alias("json")
+    )
+
+
+def _split_of(rows: str, train: float, test: float) -> str:
+    return f"(WITH {split_sql(rows, 'movie_name', 'row_key', train, test)} SELECT * FROM split_rows)"
+
+
+_PIPELINE_SQL = f"""keyed AS (
+        SELECT conv_id, md5(to_json({{movie_id: movie_id, character_id1: character_id1, character_id2: character_id2,
+                   line_id_list: line_id_list}})::varchar) AS conv_key FROM conversation_lists),
+    base AS (
+        SELECT min(conv_key) AS conv_id, character_names, movie_name, release_year, imdb_rating,
+               num_imdb_votes, genre, s.input AS utterance, s.response, d.plot_outline,
+               '{DIALOGUE_INSTRUCTION}' AS instruction
+        FROM heads JOIN stitched s USING (conv_id) JOIN keyed USING (conv_id) LEFT JOIN details d USING (movie_name)
+        GROUP BY ALL),
+    rolled AS (
+        SELECT movie_name, first(character_names ORDER BY conv_id) FILTER (WHERE character_names IS NOT NULL) AS character_names,
+               first(genre ORDER BY conv_id) FILTER (WHERE genre IS NOT NULL) AS genre,
+               first(release_year ORDER BY conv_id) FILTER (WHERE release_year IS NOT NULL) AS release_year,
+               first(num_imdb_votes ORDER BY conv_id) FILTER (WHERE num_imdb_votes IS NOT NULL) AS num_imdb_votes,
+               round(avg(imdb_rating), 6) AS imdb_rating
+        FROM base GROUP BY movie_name),
+    drawn AS (
+        SELECT * EXCLUDE (r, n) FROM (
+            SELECT *, row_number() OVER (ORDER BY md5(movie_name || ':42'), movie_name) AS r, count(*) OVER () AS n
+            FROM rolled) WHERE r <= round_even(n * 0.2::double, 0)),
+    drawn_questions AS ({_questions_sql('drawn', 'movie_name')}),
+    grown AS (
+        SELECT conv_id, character_names, movie_name, release_year, imdb_rating, num_imdb_votes, genre, utterance,
+               response, plot_outline, instruction FROM base
+        UNION ALL
+        SELECT NULL, character_names, movie_name, release_year, imdb_rating, num_imdb_votes, genre, utterance,
+               response, NULL, instruction FROM drawn_questions),
+    talk AS (
+        SELECT *, md5(concat_ws(chr(31), conv_id, utterance, response, plot_outline)) AS row_key FROM grown
+        WHERE movie_name IN (SELECT movie_name FROM grown GROUP BY movie_name HAVING count(*) > {SMALL.dialogue_min_rows})),
+    talk_split AS MATERIALIZED {_split_of('talk', SMALL.dialogue_train, SMALL.dialogue_test)},
+    asked_rows AS (
+        SELECT *, md5(concat_ws(chr(31), '{{' || array_to_string(list_filter([
+                   '"movie_name":' || to_json(movie_name), '"question_id":' || to_json(question_id),
+                   '"question":' || to_json(question), '"response":' || to_json(response), '"year":' || to_json(year),
+                   '"genre":' || to_json(genre), '"plot_outline":' || to_json(plot_outline)],
+                   lambda x: x IS NOT NULL AND NOT ends_with(x, ':null')), ',') || '}}', '1')) AS row_key
+        FROM qa WHERE movie_name IN (SELECT movie_name FROM qa GROUP BY movie_name HAVING count(*) > {SMALL.qa_min_rows})),
+    asked_split AS MATERIALIZED {_split_of('asked_rows', SMALL.qa_train, SMALL.qa_test)}"""
+QUERIES["pipeline_records"] = pipeline_records
+ORACLE["pipeline_records"] = with_tables(
+    f"{DIALOGUE_TABLES} {QA_TABLES}",
+    f"""SELECT split, 'dialogue' AS type, utterance AS input, to_json({{instruction: instruction,
+               context: {_DIALOGUE_CONTEXT % ("character_names", "plot_outline")}, response: response}})::varchar AS json
+        FROM talk_split WHERE split = 'test'
+        UNION ALL
+        SELECT split, 'qa', question, to_json({{instruction: '{Q.QA_INSTRUCTION}',
+               context: {{movie_name: movie_name, character_names: NULL::varchar, genre: genre, year: year,
+                          imdb_rating: NULL::double, num_imdb_votes: NULL::bigint,
+                          plot_outline: plot_outline, additional_information: NULL::varchar}}, response: response}})::varchar
+        FROM asked_split WHERE split = 'test'""",
+    *DIALOGUE_SQL, QA_SQL, _PIPELINE_SQL,
+)
