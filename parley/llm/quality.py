@@ -5,8 +5,10 @@ P(grade > g) = sigmoid(score - threshold[g]). Tokens are words in lower case, ru
 scores the sum of the weights of its different tokens, divided by the fourth root of their number. The
 expected grade is the sum of the tail probabilities; selection uses the tail above a grade.
 
-The model is fitted in numpy on a bounded sample, the ``ROWS`` rated rows with the smallest hashes,
-of which the driver gets token hashes only; scoring sends ``SIZE`` weights to the tasks.
+The model is fitted in numpy on a bounded sample, the ``ROWS`` rated rows with the smallest hashes, as far as
+they have ``TOKENS`` different tokens in all; the driver gets token hashes only. Ratings that lie in a table of their own
+are drawn before a text is fetched, so texts without a drawn rating aren't shuffled. Scoring sends ``SIZE`` weights
+to the tasks.
 
 Defined results: a null, empty or blank text has score 0, hence the grade of the thresholds
 alone; rows without a rating or a text are not learned from; without any rating every grade is as
@@ -25,14 +27,15 @@ from zlib import crc32
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parley.session import SEED
+from parley.llm.common import probably_in
+from parley.session import SEED, materialise
 
 SIZE = 1 << 18
-#: Most rated rows that a fit looks at.
-ROWS = 40000
+#: Most rated rows that a fit looks at, and most different tokens of all of them (128 MB).
+ROWS, TOKENS = 40000, 1 << 25
 EPOCHS, BATCH, RATE, DECAY = 10, 64, 0.3, 3e-3
 #: Rated rows that must hold a token before it gets a weight.
 LEAST = 4
@@ -119,6 +122,32 @@ def train(rows: list[np.ndarray], grades: np.ndarray, top: int, epochs: int = EP
     return Ordinal(weights, free[0] + np.concatenate([[0.0], np.exp(free[1:]).cumsum()]))
 
 
+def draw(ratings: DataFrame, top: int, id_col: str = "doc_id", grade_col: str = "grade", rows: int = ROWS) -> DataFrame:
+    """The ids and grades that a fit looks at: of the ratings from 0 to ``top``, those of the smallest hashes."""
+    grade = F.col(grade_col)
+    known = ratings.where(grade.between(0, top) & F.col(id_col).isNotNull())
+    return materialise(
+        known.select(id_col, grade.cast("int").alias(grade_col))
+        .orderBy(F.xxhash64(id_col, F.lit(SEED)), grade_col)
+        .limit(rows)
+    )
+
+
+def fit_ratings(
+    docs: DataFrame,
+    ratings: DataFrame,
+    top: int,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    grade_col: str = "grade",
+    rows: int = ROWS,
+) -> Ordinal:
+    """``fit`` for ratings in a table of their own: only texts of drawn ids are joined."""
+    drawn = draw(ratings, top, id_col, grade_col, rows)
+    texts = probably_in(docs.select(id_col, text_col), id_col, drawn)
+    return fit(texts.join(drawn, id_col), top, id_col, text_col, grade_col, rows)
+
+
 def fit(
     rated: DataFrame,
     top: int,
@@ -146,8 +175,11 @@ def fit(
         .mapInPandas(hashed, "draw long, grade int, cells binary")
         .orderBy("draw", "grade")
         .limit(rows)
-        .collect()
     )
+    # ``rows`` rows: one task sums up their tokens in order
+    order = Window.orderBy("draw", "grade", "cells").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    held = F.sum(F.octet_length("cells") / 4).over(order)
+    chosen = chosen.withColumn("held", held).where(F.col("held") <= TOKENS).drop("held").collect()
     if not chosen:
         return Ordinal(np.zeros(SIZE), np.arange(top) - (top - 1) / 2)
     tokens = [np.frombuffer(r["cells"], "<i4").astype(np.int64) for r in chosen]

@@ -103,8 +103,7 @@ def grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     rated = read(spark, sf_dir, "labels").where("quality IS NOT NULL AND toxic IS NOT NULL")
     grade = F.when(F.col("toxic") == 1, TOXIC).otherwise(F.when(F.col("quality") == 1, GOOD).otherwise(POOR))
-    rated = docs.select("doc_id", "text").join(rated.select("doc_id", grade.alias("grade")), "doc_id")
-    model = quality.fit(rated, top=GOOD)
+    model = quality.fit_ratings(docs, rated.select("doc_id", grade.alias("grade")), top=GOOD)
     return quality.grade(docs, model, above=POOR).select(
         "doc_id", "expected_grade", "tail", (F.col("tail") >= LIKELY).alias("kept")
     )

@@ -151,3 +151,52 @@ def test_rare_languages_stay_when_rows_are_cut(spark):
     rows += [(1000 + i, f"seltene Zeilen Nummer {i}", lang) for lang in ("bb", "cc") for i in range(2)]
     network = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), rows=9)
     assert network.languages == ["aa", "bb", "cc"]
+
+
+def test_ratings_are_drawn_before_texts(docs, spark):
+    """The same model as from joined rows, and no plan step shuffles all texts."""
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet").where("quality IS NOT NULL AND toxic IS NOT NULL")
+    ratings = labels.select("doc_id", F.when(F.col("toxic") == 1, 0).otherwise(F.col("quality") + 1).alias("grade"))
+    joined = quality.fit(docs.join(ratings, "doc_id"), top=2, rows=40)
+    drawn = quality.draw(ratings, 2, rows=40)
+    assert drawn.count() == 40
+    apart = quality.fit_ratings(docs, ratings, top=2, rows=40)
+    assert np.array_equal(joined.weights, apart.weights) and np.array_equal(joined.thresholds, apart.thresholds)
+
+
+def test_sample_is_bounded_in_tokens(docs, monkeypatch):
+    rated = docs.withColumn("grade", (F.col("doc_id") % 3).cast("int"))
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda rows, grades, top: seen.append(sum(map(len, rows))))
+    for most in (1 << 25, 5000):
+        monkeypatch.setattr(quality, "TOKENS", most)
+        quality.fit(rated, top=2)
+    assert seen[0] > 5000 >= seen[1] > 0
+
+
+def test_gradients_of_grades():
+    """One step moves the weights against the numeric gradient of the likelihood."""
+    rng = np.random.default_rng(4)
+    rows = [np.sort(rng.choice(12, 5, replace=False)) for _ in range(30)]
+    grades = rng.integers(0, 3, 30)
+    model = quality.train(rows, grades, 2, epochs=3)
+
+    def loss(weights, thresholds):
+        total = 0.0
+        for r, g in zip(rows, grades):
+            passed = 1 / (1 + np.exp(-(weights[r].sum() / len(r) ** 0.25 - thresholds)))
+            tail = np.concatenate([[1.0], passed, [0.0]])
+            total -= np.log(tail[g] - tail[g + 1])
+        return total
+
+    start = loss(np.zeros(quality.SIZE), np.array([0.0, 1.0]))
+    assert loss(model.weights, model.thresholds) < start
+    # at the optimum of many epochs the numeric gradient of loss and decay vanishes nearly
+    model = quality.train(rows, grades, 2, epochs=3000)
+    steps = []
+    for i in range(12):
+        up, down = model.weights.copy(), model.weights.copy()
+        up[i] += 1e-5
+        down[i] -= 1e-5
+        steps.append((loss(up, model.thresholds) - loss(down, model.thresholds)) / 2e-5 + quality.DECAY * model.weights[i])
+    assert np.abs(steps).max() < 0.2
