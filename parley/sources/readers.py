@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parley.sources import pieces
+
 # Fixed value: the field separator of the raw dialogue files.
 SEPARATOR = " +++$+++ "
 
@@ -53,8 +55,33 @@ def format_of(spec: TableSpec) -> str:
     raise ValueError(f"no reader for {spec.path!r}")
 
 
+def _split_csv(spark: SparkSession, spec: TableSpec) -> DataFrame:
+    """Quoted CSV with a header line, cut at record ends; see ``pieces``."""
+    found = pieces.records(spark, spec.path, pieces.CSV).where("record > 0 AND text NOT IN ('', '\\r')")
+    options = {k: v for k, v in READER_OPTIONS["csv"].items() if k == "escape"}
+    line = F.regexp_replace("text", "\r$", "")
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.schema)
+    return found.select(F.from_csv(line, ddl, options).alias("_r")).select("_r.*")
+
+
+def _split_json_array(spark: SparkSession, spec: TableSpec) -> DataFrame:
+    """An array of objects, cut at their ends; what is not an object is left out."""
+    found = pieces.records(spark, spec.path, pieces.JSON_ARRAY)
+    return (
+        found.where(F.instr("text", "{") > 0)
+        .select(F.from_json(F.concat(F.expr("substring(text, instr(text, '{'))"), F.lit("}")), spec.schema).alias("_r"))
+        .select("_r.*")
+    )
+
+
 def read_table(spark: SparkSession, spec: TableSpec) -> DataFrame:
+    """A table with its stated schema. Large CSV and JSON array files are read by many tasks, unless reader
+    options are given, which Spark's own reader then takes."""
     kind = format_of(spec)
+    split = {"csv": _split_csv, "json_array": _split_json_array}.get(kind)
+    if split is not None and not spec.options:
+        df = split(spark, spec)
+        return df.select(*spec.columns) if spec.columns else df
     source = {"delimited": "csv", "json_array": "json"}.get(kind, kind)
     reader = spark.read.schema(spec.schema).options(**READER_OPTIONS[kind]).options(**spec.options)
     df = reader.format(source).load(spec.path)
@@ -100,6 +127,6 @@ def split_delimited(
 
 
 def json_array_to_lines(spark: SparkSession, path: str, schema: T.StructType, out: str) -> None:
-    """Rewrite an array file, which one task has to read, as JSON Lines, which splits."""
+    """Rewrite an array file as JSON Lines."""
     spec = TableSpec(path, schema, "json_array")
     read_table(spark, spec).write.mode("overwrite").option("ignoreNullFields", "false").json(out)

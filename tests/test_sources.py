@@ -110,3 +110,51 @@ def test_pipeline(spark, frame, tmp_path):
     assert "split=train" in {p.name for p in (tmp_path / "a").iterdir()}
     with pytest.raises(ValueError):
         run_pipeline({}, str(tmp_path / "c"))
+
+
+TEXTS = ['plain', 'a "quoted" word', 'two\nlines', '"', '""', '\n\n', 'x\n"y"\nz, w', '', None, '{"a": "}"}', 'é\\', '\\"}', 'long ' * 50]
+
+
+@pytest.fixture()
+def small_splits(spark):
+    """Files are cut into byte ranges of a few hundred bytes."""
+    keys = {"spark.sql.files.maxPartitionBytes": "300", "spark.sql.files.openCostInBytes": "0"}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_quoted_csv_is_read_by_many_tasks(spark, tmp_path, small_splits):
+    rows = [(i, TEXTS[i % len(TEXTS)], i / 2 if i % 3 else None) for i in range(300)]
+    schema = "n int, s string, x double"
+    path = str(tmp_path / "t.csv")
+    W.write_table(spark.createDataFrame(rows, schema).coalesce(1), path, "csv")
+    spec = R.TableSpec(path, spark.createDataFrame([], schema).schema)
+    split = R.read_table(spark, spec)
+    whole = R.read_table(spark, R.TableSpec(path, spec.schema, options={"mode": "PERMISSIVE"}))
+    key = lambda r: r.n
+    assert sorted(split.collect(), key=key) == sorted(whole.collect(), key=key)
+    assert split.count() == 300 and split.rdd.getNumPartitions() > 20
+
+
+def test_windows_line_ends(spark, tmp_path, small_splits):
+    lines = ["n,s"] + [f'{i},"a{i}"' if i % 2 else f'{i},"x\r\ny"' for i in range(80)] + [""]
+    (tmp_path / "w.csv").write_bytes("\r\n".join(lines).encode())
+    rows = {r.n: r.s for r in R.read_table(spark, R.TableSpec(str(tmp_path / "w.csv"), Z._struct(("n", Z._I), ("s", Z._S)))).collect()}
+    assert len(rows) == 80 and rows[1] == "a1" and rows[2].replace("\r", "") == "x\ny"
+
+
+@pytest.mark.parametrize("indent", [None, 1])
+def test_json_array_is_read_by_many_tasks(spark, tmp_path, small_splits, indent):
+    items = [{"n": i, "s": TEXTS[i % len(TEXTS)], "o": {"k": "}{" if i % 2 else "\\", "l": [{"m": i}]}} for i in range(200)]
+    for name, some in (("a", items[:120]), ("b", items[120:]), ("c", [])):
+        (tmp_path / f"{name}.json").write_text(json.dumps(some, ensure_ascii=False, indent=indent), encoding="utf-8")
+    schema = spark.createDataFrame([], "n int, s string, o struct<k: string, l: array<struct<m: int>>>").schema
+    spec = R.TableSpec(str(tmp_path), schema, "json_array")
+    split = R.read_table(spark, spec)
+    got = {r.n: r.asDict(True) for r in split.collect()}
+    assert [got[i] for i in range(200)] == items and len(got) == 200
+    assert split.rdd.getNumPartitions() > 20
