@@ -82,6 +82,28 @@ def history_of(chosen: DataFrame, messages: DataFrame) -> DataFrame:
     )
 
 
+def history_last(messages: DataFrame, last_n: int, segment: int = 1024) -> DataFrame:
+    """``conv_id, turn, history``: the text of the ``last_n`` earlier messages that each message finds in memory.
+
+    Messages know how many were said before them, which numbers what is said. A conversation is cut into
+    segments of these numbers; the last ones of a segment are copied to the next, so that a window over one
+    segment sees all that it needs, and a long conversation is the work of many tasks.
+    """
+    segment = max(segment, last_n)
+    counted = F.col("role").isin(*SPEAKERS) & F.col("text").isNotNull()
+    said = messages.select("conv_id", "turn", F.when(counted, F.col("text")).alias("_text"))
+    numbered = prefix_totals(said, "conv_id", "turn", {"_before": F.col("_text").isNotNull().cast("long")})
+    own = F.floor(F.col("_before") / segment)
+    tail = F.col("_text").isNotNull() & (F.col("_before") % segment >= segment - last_n)
+    places = F.when(tail, F.array(own, own + 1)).otherwise(F.array(own))
+    dealt = numbered.select("*", F.posexplode(places).alias("_copy", "_segment"))
+    window = Window.partitionBy("conv_id", "_segment").orderBy("_before").rangeBetween(-last_n, -1)
+    found = F.array_sort(F.collect_list(F.when(F.col("_text").isNotNull(), F.struct("_before", "_text"))).over(window))
+    return dealt.withColumn("_found", found).where("_copy = 0").select(
+        "conv_id", "turn", F.array_join(F.transform("_found", lambda m: m["_text"]), SEPARATOR).alias("history")
+    )
+
+
 def summarise_history(messages: DataFrame, sentences: int = 3) -> DataFrame:
     """``conv_id, summary``: the sentences with the commonest words, in order.
 

@@ -11,8 +11,9 @@ from parley.plans import catalog as C
 from parley.plans.records import json_records, truncate_tokens
 from parley.queries import tables as T
 from parley.queries.tables import SCHEMAS, read, title_case_sql, with_tables
+from parley.session import new_path
 from parley.sources.readers import split_delimited
-from parley.sources.writers import manifest
+from parley.sources.writers import write_with_manifest
 
 QUERIES = {}
 ORACLE = {}
@@ -52,18 +53,32 @@ ORACLE["to_json_records"] = """
 
 
 def dataset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return manifest({name: read(spark, sf_dir, name) for name in SCHEMAS}).drop("content_hash")
+    """All tables are written; what was written is counted and hashed on the way."""
+    tables = {name: read(spark, sf_dir, name) for name in SCHEMAS}
+    return write_with_manifest(tables, new_path(spark, "dataset")).withColumn(
+        "content_hash", F.col("content_hash").cast("string")
+    )
+
+
+def _cell_sql(column: str, kind: str) -> str:
+    whole = "round({}::double * 1000000)::bigint"
+    if kind == "array<float>":
+        text = f"array_to_string(list_transform({column}, lambda x: {whole.format('x')}), ',')"
+    else:
+        text = f"{whole.format(column) if kind == 'double' else column}::varchar"
+    return f"coalesce({text}, '-')"
+
+
+def _manifest_sql(name: str) -> str:
+    columns = [c.split() for c in SCHEMAS[name].split(", ")]
+    cells = ", ".join(_cell_sql(*c) for c in columns)
+    return f"""SELECT '{name}' AS table_name, count(*) AS n_rows, '{", ".join(c for c, _ in columns)}' AS column_names,
+        coalesce(sum(('0x' || substr(md5(concat_ws('|', {cells})), 1, 15))::bigint::hugeint), 0)::varchar AS content_hash
+        FROM {name}"""
 
 
 QUERIES["dataset_manifest"] = dataset_manifest
-_COLUMNS = {
-    name: ", ".join(column.split()[0] for column in columns.split(", "))
-    for name, columns in SCHEMAS.items()
-}
-ORACLE["dataset_manifest"] = " UNION ALL ".join(
-    f"SELECT '{name}' AS table_name, count(*) AS n_rows, '{_COLUMNS[name]}' AS column_names FROM {name}"
-    for name in SCHEMAS
-)
+ORACLE["dataset_manifest"] = " UNION ALL ".join(map(_manifest_sql, SCHEMAS))
 
 
 def filter_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:

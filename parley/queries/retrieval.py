@@ -270,6 +270,43 @@ ORACLE["chat_history_pending"] = """
     GROUP BY q.conv_id, q.turn"""
 
 
+LAST = 3
+
+
+def chat_history_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A memory of the last three messages, for every message."""
+    return M.history_last(T.messages(spark, sf_dir), LAST)
+
+
+QUERIES["chat_history_last"] = chat_history_last
+ORACLE["chat_history_last"] = f"""
+    WITH numbered AS (
+        SELECT conv_id, turn, text, role <> 'system' AS said, coalesce(count(*) FILTER (role <> 'system') OVER (
+                   PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+        FROM conversations)
+    SELECT m.conv_id, m.turn, coalesce(string_agg(s.text, ' ' ORDER BY s.turn), '') AS history
+    FROM numbered m LEFT JOIN numbered s
+      ON s.conv_id = m.conv_id AND s.said AND s.before >= m.before - {LAST} AND s.before < m.before
+    GROUP BY m.conv_id, m.turn"""
+
+
+def until_exit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third conversation is ended by its user, in odd letters; assistants can't end one."""
+    leaves = (F.col("conv_id") % 3 == 0) & (F.col("turn") >= 2)
+    messages = T.messages(spark, sf_dir).withColumn("text", F.when(leaves, "eXit").otherwise(F.col("text")))
+    return M.until_exit(messages)
+
+
+QUERIES["until_exit"] = until_exit
+ORACLE["until_exit"] = """
+    WITH messages AS (
+        SELECT conv_id, turn, role, CASE WHEN conv_id % 3 = 0 AND turn >= 2 THEN 'eXit' ELSE text END AS text
+        FROM conversations)
+    SELECT m.* FROM messages m
+    LEFT JOIN (SELECT conv_id, min(turn) AS ends FROM messages WHERE role = 'user' AND lower(text) = 'exit' GROUP BY conv_id)
+      USING (conv_id) WHERE ends IS NULL OR turn < ends"""
+
+
 def history_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.summarise_history(T.messages(spark, sf_dir))
 

@@ -105,6 +105,17 @@ def test_append_twice_adds_nothing(spark, frame, tmp_path):
     assert spark.read.parquet(new).count() == 3
 
 
+def test_last_messages_of_a_cut_conversation(frame):
+    """Windows reach over segments; other roles and null texts are not remembered."""
+    turns = [(1, t, "system" if t % 7 == 0 else "user", None if t % 11 == 3 else f"m{t}") for t in range(100)]
+    rows = frame(turns + [(2, 5, "user", "only")], "conv_id int, turn int, role string, text string")
+    for n, segment in ((1, 1), (3, 4), (5, 5), (4, 1000)):
+        got = {(r.conv_id, r.turn): r.history for r in M.history_last(rows, n, segment).collect()}
+        said = [(t, x) for _, t, role, x in turns if role == "user" and x]
+        assert got == {(2, 5): ""} | {
+            (1, t): " ".join([x for u, x in said if u < t][-n:]) for _, t, _, _ in turns}
+
+
 def test_append_reads_only_buckets_that_may_hold_an_id(spark, frame, tmp_path):
     rows = frame([(i, f"title {i}", 2000, f"word{i} tells a story") for i in range(400)],
                  "title_id long, movie_name string, year int, synopsis string")

@@ -158,3 +158,20 @@ def test_json_array_is_read_by_many_tasks(spark, tmp_path, small_splits, indent)
     got = {r.n: r.asDict(True) for r in split.collect()}
     assert [got[i] for i in range(200)] == items and len(got) == 200
     assert split.rdd.getNumPartitions() > 20
+
+
+def test_manifest_comes_with_the_write(spark, tmp_path):
+    frames = {"a": spark.createDataFrame([(1, "x", [0.5]), (2, None, None)], "i int, s string, v array<double>"),
+              "b": spark.createDataFrame([], "i int, s string")}
+    got = W.write_with_manifest(frames, str(tmp_path), rules={"no_text": F.col("s").isNull()})
+    rows = {r.table_name: r for r in got.collect()}
+    assert (rows["a"].n_rows, rows["a"].no_text, rows["b"].n_rows, rows["b"].content_hash) == (2, 1, 0, 0)
+    back = W.manifest({n: spark.read.parquet(str(tmp_path / n)) for n in frames})
+    assert {tuple(r)[:4] for r in got.collect()} == {tuple(r) for r in back.collect()}
+
+
+def test_json_array_files(spark, tmp_path):
+    df = spark.createDataFrame([(i, None if i % 2 else "x") for i in range(7)], "i int, s string").repartition(3)
+    W.write_json_array(df, str(tmp_path / "j"))
+    found = [x for p in (tmp_path / "j").glob("part-*") for x in json.loads(p.read_text())]
+    assert sorted(found, key=lambda x: x["i"]) == [{"i": i, "s": None if i % 2 else "x"} for i in range(7)]
