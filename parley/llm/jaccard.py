@@ -18,8 +18,8 @@ over as already tied, so a hot tile reaches the shuffle as one row for each task
 ``BLOCK`` members are cut into chunks, each pair of which is joined; none is dropped or capped.
 
 Defined results: texts without words are linked with nothing and are their own component; shorter
-texts than a shingle count as one; null ids have a size but no component; rows under one id are one node, and
-the link of any of them counts; an empty table gives no rows. Other columns are ignored. Very long texts are
+texts than a shingle count as one; null ids have a size but no component; rows under one id are one document, and
+the link of any of their texts counts; an empty table gives no rows. Other columns are ignored. Very long texts are
 hashed whole.
 """
 
@@ -309,6 +309,21 @@ def _links(blocks: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFram
     )
 
 
+def _with_nodes(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """``docs`` (doc_id, text, ...) with ``node``, and whether it differs from doc_id: an id of several texts has a
+    node for each of them."""
+    text = F.xxhash64("text")
+    several = materialise(
+        docs.select("doc_id", text.alias("h")).groupBy("doc_id").agg(F.min("h").alias("a"), F.max("h").alias("b"))
+        .where("a <> b AND doc_id IS NOT NULL").select(F.col("doc_id").alias("several"))
+    )
+    if several.isEmpty():
+        return docs.withColumn("node", F.col("doc_id")), False
+    own = F.when(F.col("several").isNotNull(), F.xxhash64("doc_id", "text", F.lit("node"))).otherwise(F.col("doc_id"))
+    marked = docs.join(several, F.col("doc_id") == F.col("several"), "left")
+    return marked.select(*docs.columns, own.alias("node")), True
+
+
 def join(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -318,6 +333,54 @@ def join(
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    nodes, several = _with_nodes(docs)
+    if not several:
+        return _join(docs, k, percent)
+    found = materialise(_join(nodes.select(F.col("node").alias("doc_id"), "text"), k, percent))
+    found = found.withColumnsRenamed({"doc_id": "node", "component_id": "part"})
+    # The nodes of one id belong together, and so do the components they are in.
+    own = materialise(nodes.where("doc_id <> node").select("doc_id", "node").distinct())
+    parts = own.join(found.select("node", "part").distinct(), "node").select("doc_id", "part").distinct()
+    first = parts.groupBy("doc_id").agg(F.min("part").alias("a"))
+    whole = components(parts.join(first, "doc_id").select("a", F.col("part").alias("b"))).select(
+        F.col("id").alias("part"), "component"
+    )
+    rows = (
+        found.join(whole, "part", "left")
+        .join(own, "node", "left")
+        .select(F.coalesce("doc_id", "node").alias("doc_id"), "n_shingles", F.coalesce("component", "part").alias("part"))
+    )
+    rows = materialise(rows)
+    least = rows.groupBy("part").agg(F.min("doc_id").alias("component_id"))
+    return rows.join(least.withColumnRenamed("part", "of"), F.col("part") == F.col("of"), "left").select(
+        "doc_id", "n_shingles", "component_id"
+    )
+
+
+def keep_one(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    k: int = WORDS_PER_SHINGLE,
+    percent: int = PERCENT,
+) -> DataFrame:
+    """The rows of ``docs`` that stay if one of each component of texts does: that of the smallest id.
+
+    Rows are judged by their own text, also under a repeated id, where an order of hashes decides; rows
+    without an id stay.
+    """
+    columns = docs.columns
+    marked = docs.select(
+        F.struct(*columns).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")
+    )
+    nodes, _ = _with_nodes(marked)
+    found = _join(nodes.select(F.col("node").alias("doc_id"), "text"), k, percent)
+    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
+    return nodes.join(gone, F.col("node") == F.col("gone"), "left_anti").select("row.*")
+
+
+def _join(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """``join`` of rows (doc_id, text) in which one id has one text."""
     sets = materialise(docs.mapInPandas(_marks(k), _SET))
     known = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
 
@@ -340,9 +403,7 @@ def join(
     blocks = components(stars.select(F.col("rep").alias("a"), "b")).withColumnRenamed("component", "block")
 
     links = _links(materialise(blocks), known, k, percent)
-    bridges = reps.withColumnRenamed("rep", "b").join(rep, F.col("doc_id") == F.col("id"))
-    bridges = bridges.where("rep <> b").select(F.col("rep").alias("a"), "b")  # one id, two sets
-    found = materialise(components(links.unionByName(bridges)))
+    found = materialise(components(links))
 
     named = rep.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
         F.col("id").alias("of"), F.coalesce("component", "rep").alias("component")

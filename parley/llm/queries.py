@@ -201,17 +201,18 @@ ORACLES = {
                row_number() OVER best = 1 AS kept, sha256(norm) AS text_sha256
         FROM normal WINDOW best AS (PARTITION BY norm ORDER BY chars DESC, doc_id NULLS LAST)""",
     "op6_top_k": """
-        WITH cells AS (
-            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) AS v
+        WITH cells AS MATERIALIZED (
+            SELECT vec_id, row_number() OVER (ORDER BY vec_id, embedding) AS row,
+                   list_transform(embedding, lambda x: floor(256 * x::double)) AS v
             FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
               AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         scores AS (
-            SELECT q.vec_id AS query_id, c.vec_id,
+            SELECT q.vec_id AS query_id, q.row, c.vec_id, c.row AS other,
                    list_inner_product(q.v, c.v)::bigint AS score
-            FROM cells q JOIN cells c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+            FROM cells q JOIN cells c ON q.row <> c.row WHERE q.vec_id % 50 = 0)
         SELECT query_id, rank, vec_id, score FROM (
             SELECT query_id, vec_id, score, (row_number() OVER (
-                PARTITION BY query_id ORDER BY score DESC, vec_id))::integer AS rank FROM scores)
+                PARTITION BY row ORDER BY score DESC, vec_id, other))::integer AS rank FROM scores)
         WHERE rank <= 5""",
     "op11_manifest": twins.manifest(),
     "op12_secrets": twins.spans(secrets.RULES, len(secrets.BASE)),

@@ -16,8 +16,8 @@ best. Queries meet candidates in blocks, as the query set is stated.
 
 Defined results: null ids, null vectors and vectors with null or non-finite components take no part;
 shorter vectors count as filled up with zeros; components are cut at ±2**27 after quantising, so scores
-fit a long; ties go to the smaller id; of the vectors
-under a repeated id the smallest one counts; an empty table, or one without queries, gives no rows. Other columns are ignored.
+fit a long; ties go to the smaller id; every row under a repeated id is a candidate and, if the id is asked, a query
+of its own, which only leaves itself out; an empty table, or one without queries, gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parley.llm.ranks import placed
 from parley.session import materialise
 
 LISTS = 2
@@ -217,16 +218,19 @@ def top_k(
     """
     need = k + 1  # one of them may be the query itself
     rows = quantised(vectors, id_col, vector_col, scale)
-    rows = materialise(rows.groupBy("vec_id").agg(F.min("v").alias("v")))
-    groups = materialise(rows.groupBy("v").agg(F.min("vec_id").alias("uid")))
-    order = Window.partitionBy("v").orderBy("vec_id")
+    rows = materialise(rows.select("*", F.monotonically_increasing_id().alias("row")))
+    groups = _numbered(materialise(rows.groupBy("v").agg(F.min("vec_id").alias("uid"))))
+    order = Window.partitionBy("v").orderBy("vec_id", "row")
     members = materialise(
-        rows.select("v", "vec_id", F.row_number().over(order).alias("place"))
+        rows.select("v", "vec_id", "row", F.row_number().over(order).alias("place"))
         .where(F.col("place") <= need)
         .join(groups, "v")
-        .select("uid", "vec_id")
+        .select("uid", "vec_id", "row")
+    )
+    asked = materialise(
+        rows.where(is_query).join(groups, "v").select(
+            "uid", F.col("vec_id").alias("query_id"), F.col("row").alias("query_row"))
     )
-    asked = materialise(rows.where(is_query).join(groups, "v").select("uid", F.col("vec_id").alias("query_id")))
     wanted = groups.join(asked.select("uid").distinct(), "uid", "left_semi")
     width = groups.agg(F.max(F.size("v"))).first()[0] or 0
     c_number = max(1, -(-groups.count() // max(64, BLOCK // max(1, width))))
@@ -265,17 +269,28 @@ def top_k(
         .applyInPandas(_resolve(need), _SCORE)
     )
     ids = scores.join(members.withColumnRenamed("uid", "cuid"), "cuid")
-    first = Window.partitionBy("quid").orderBy(F.desc("score"), "vec_id")
+    first = Window.partitionBy("quid").orderBy(F.desc("score"), "vec_id", "row")
     ids = ids.select("*", F.row_number().over(first).alias("place")).where(F.col("place") <= need)
-    rank = Window.partitionBy("query_id", "quid").orderBy(F.desc("score"), "vec_id")
+    rank = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
     return (
         asked.join(ids, F.col("uid") == F.col("quid"))
-        .where(F.col("query_id") != F.col("vec_id"))
+        .where(F.col("query_row") != F.col("row"))
         .select("query_id", F.row_number().over(rank).alias("rank"), "vec_id", "score")
         .where(F.col("rank") <= k)
     )
 
 
+def _numbered(groups: DataFrame) -> DataFrame:
+    """Groups (v, uid) under numbers that are unique and rise with their smallest ids.
+
+    The smallest ids are such numbers themselves unless an id has several vectors.
+    """
+    if groups.groupBy("uid").count().where("count > 1").isEmpty():
+        return groups
+    ordered = placed(groups.select("v", "uid", F.lit(0).alias("all")), "all", ["uid", "v"])
+    return materialise(ordered.select("v", F.col("place").alias("uid")))
+
+
 def _cutoffs(listed: DataFrame, wanted: DataFrame, groups: DataFrame, lists: int, k: int) -> DataFrame:
     """quid, list, cutoff: what an entry of the list must reach."""
     pairs = listed.select("quid", "cuid").distinct()

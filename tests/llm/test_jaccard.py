@@ -5,10 +5,12 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from parley.llm import jaccard
 from parley.llm.components import components
 from parley.llm.words import Words
+from tests.llm.conftest import long_text
 
 
 def word_sets(text, k):
@@ -131,6 +133,48 @@ def test_one_id_with_two_texts(spark):
     assert got == {(1, 3, 1), (5, 3, 1), (9, 3, 1), (7, 1, 7)}
 
 
+def by_rows(rows, k, percent):
+    """Components when rows of one id are linked as well, and the smallest id of each."""
+    sets = [jaccard.shingles(t, k) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if rows[i][0] == rows[j][0] or len(sets[i]) and len(sets[j]) and jaccard.linked(sets[i], sets[j], percent):
+                root[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        least[find(i)] = min(d, least.get(find(i), d))
+    return sorted((d, len(sets[i]), least[find(i)]) for i, (d, _) in enumerate(rows))
+
+
+def test_repeated_ids(spark):
+    """A link of any text of an id counts, whichever sets its other texts equal."""
+    own, other = long_text(60, 1), long_text(60, 2)
+    rows = [(1, own), (5, own), (5, other), (7, other + " end")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, jaccard.join(df).collect())) == by_rows(rows, 5, 80)
+    rows = [(d % 40, t) for d, t in variants(9)] + [(3, None), (4, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(map(tuple, jaccard.join(df, k=3, percent=80).collect())) == by_rows(rows, 3, 80)
+
+
+def test_one_of_each_component_stays(spark):
+    own, other = long_text(60, 1), long_text(60, 2)
+    rows = [(1, own), (5, own + " end"), (5, other), (None, own), (8, other), (9, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row", F.lit("x"))
+    kept = jaccard.keep_one(df)
+    assert kept.columns == df.columns
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    assert len([t for _, t in got if t == other]) == 1 and (1, own) in got and (None, own) in got and (9, None) in got
+    assert len(got) == 4
+
+
 def test_components(spark):
     rng = random.Random(4)
     links = [(rng.randint(0, 400), rng.randint(0, 400)) for _ in range(260)] + [(500 + i, 501 + i) for i in range(40)]

@@ -12,16 +12,15 @@ SCHEMA = "vec_id long, embedding array<double>, label int"
 
 
 def brute(rows, k, asked):
-    cells = {}
+    cells = []
     for doc_id, v, *_ in rows:
         if doc_id is None or v is None or any(x is None or not math.isfinite(x) for x in v):
             continue
-        own = [math.floor(max(-topk.LIMIT, min(topk.LIMIT, 256 * x))) for x in v]
-        cells[doc_id] = min(cells.get(doc_id, own), own)
+        cells.append((doc_id, [math.floor(max(-topk.LIMIT, min(topk.LIMIT, 256 * x))) for x in v]))
     out = []
-    for q in cells:
+    for n, (q, own) in enumerate(cells):
         if asked(q):
-            scores = sorted((-sum(x * y for x, y in zip(cells[q], cells[c])), c) for c in cells if c != q)
+            scores = sorted((-sum(x * y for x, y in zip(own, v)), c) for m, (c, v) in enumerate(cells) if m != n)
             out += [(q, i + 1, c, -s) for i, (s, c) in enumerate(scores[:k])]
     return sorted(out)
 
@@ -54,3 +53,16 @@ def test_hard_rows(spark):
     assert found(df.limit(0)) == []
     assert found(spark.createDataFrame([(1, [1.0], 0)], SCHEMA)) == []
     assert found(spark.createDataFrame([(5, [1.0], 0)], SCHEMA)) == []
+
+
+def test_repeated_ids(spark, monkeypatch):
+    """Every row is a candidate, and a query that leaves out itself alone."""
+    rows = [(0, [1.0], 0), (3, [5.0], 0), (3, [2.0], 0), (4, [1.0], 0)]
+    assert found(spark.createDataFrame(rows, SCHEMA)) == [
+        (0, 1, 3, 327680), (0, 2, 3, 131072), (0, 3, 4, 65536)]
+    monkeypatch.setattr(topk, "BLOCK", 256)
+    rng = np.random.default_rng(6)
+    rows = [(int(rng.integers(0, 12)), np.round(rng.normal(0, 1, 4), 1).tolist(), 0) for _ in range(150)]
+    rows += [(5, rows[0][1], 0)] * 9 + [(7, [0.5] * 4, 0)] * 4
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    assert found(df) == brute(rows, 5, lambda q: q % 5 == 0)
