@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parley.functions import text as X
@@ -139,11 +139,16 @@ def build_dialogue(
         )
     )
     content = [c for c in heads.columns if c != "conv_id"]
+    # Equal rows have equal digests; of each digest a task hands on its first row only, and texts are never compared.
+    digest = F.sha2(F.to_json(F.struct(*content, "utterance", "response")), 256)
+    first = Window.partitionBy("_digest").orderBy("conv_id")
     rows = (
         heads.join(stitch(spoken_lines(conversations, lines), min_turns), "conv_id")
         .withColumnRenamed("input", "utterance")
-        .groupBy(*content, "utterance", "response")
-        .agg(F.min("conv_id").alias("conv_id"))
+        .withColumn("_digest", digest)
+        .withColumn("_n", F.row_number().over(first))
+        .where("_n = 1")
+        .drop("_digest", "_n", "n_turns")
     )
     outlines = details.select("movie_name", "plot_outline").distinct()
     return (

@@ -90,3 +90,10 @@ def test_repeated_character_does_not_fan_out(frame):
     rows = build(frame, [], (("u0", "ann"), ("u0", "anne"), ("u1", "bob")))
     assert {r.character_names for r in rows.collect()} == {"Anne, Bob", None}
     assert rows.count() == 2
+
+
+def test_texts_are_not_compared_to_merge_equal_rows(frame):
+    rows = build(frame, [("film", "p")])
+    plan = rows.withColumn("conv_id", F.col("conv_id").cast("string"))._jdf.queryExecution().executedPlan().toString()
+    merging = [line for line in plan.splitlines() if "Aggregate(key=" in line and "response#" in line]
+    assert not merging and "WindowGroupLimit" in plan
