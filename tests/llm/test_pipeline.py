@@ -3,6 +3,7 @@ from __future__ import annotations
 from collections import defaultdict
 
 import corpus_pipeline
+from tests.llm.conftest import DOCUMENT
 from parley.llm import mixing
 from parley.session import materialise
 from tests.llm.test_exact_and_shards import expected
@@ -43,3 +44,14 @@ def test_hard_rows(spark, hard, empty):
             docs = materialise(stage(spark, docs, ""))
         assert (docs.count() > 0) == (df.count() > 0)
     assert mixing.mix(hard).count() == hard.count()
+
+
+def test_near_stage_drops_rows_not_ids(spark):
+    own = " ".join(f"word{i}" for i in range(60))
+    other = " ".join(f"thing{i}" for i in range(60))
+    rows = [(1, own, "en", "a", 1), (5, own + " more", "en", "a", 1), (5, other, "en", "a", 1), (9, other + " end", "en", "b", 1)]
+    df = spark.createDataFrame(rows, DOCUMENT)
+    kept = corpus_pipeline.near_stage(spark, df, "")
+    assert kept.columns == df.columns
+    texts = [r.text for r in kept.collect()]
+    assert own in texts and len(texts) == 2 and sum(t.startswith(other) for t in texts) == 1
