@@ -310,16 +310,19 @@ def _links(blocks: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFram
 
 
 def _with_nodes(docs: DataFrame) -> tuple[DataFrame, bool]:
-    """``docs`` (doc_id, text, ...) with ``node``, and whether it differs from doc_id: an id of several texts has a
-    node for each of them."""
+    """``docs`` (doc_id, text, ...) with ``node``, and whether it differs from doc_id.
+
+    Of an id with several texts the one of the least hash has the id as its node, the others have numbers from 2 ** 62 on.
+    """
     text = F.xxhash64("text")
     several = materialise(
-        docs.select("doc_id", text.alias("h")).groupBy("doc_id").agg(F.min("h").alias("a"), F.max("h").alias("b"))
-        .where("a <> b AND doc_id IS NOT NULL").select(F.col("doc_id").alias("several"))
+        docs.select("doc_id", text.alias("h")).groupBy("doc_id").agg(F.min("h").alias("least"), F.max("h").alias("b"))
+        .where("least <> b AND doc_id IS NOT NULL").select(F.col("doc_id").alias("several"), "least")
     )
     if several.isEmpty():
         return docs.withColumn("node", F.col("doc_id")), False
-    own = F.when(F.col("several").isNotNull(), F.xxhash64("doc_id", "text", F.lit("node"))).otherwise(F.col("doc_id"))
+    number = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2).bitwiseOR(F.lit(1 << 62))
+    own = F.when(F.col("several").isNotNull() & (text != F.col("least")), number).otherwise(F.col("doc_id"))
     marked = docs.join(several, F.col("doc_id") == F.col("several"), "left")
     return marked.select(*docs.columns, own.alias("node")), True
 
@@ -339,7 +342,8 @@ def join(
     found = materialise(_join(nodes.select(F.col("node").alias("doc_id"), "text"), k, percent))
     found = found.withColumnsRenamed({"doc_id": "node", "component_id": "part"})
     # The nodes of one id belong together, and so do the components they are in.
-    own = materialise(nodes.where("doc_id <> node").select("doc_id", "node").distinct())
+    apart = nodes.where("doc_id <> node").select("doc_id", F.explode(F.array("node", "doc_id")).alias("node"))
+    own = materialise(apart.distinct())
     parts = own.join(found.select("node", "part").distinct(), "node").select("doc_id", "part").distinct()
     first = parts.groupBy("doc_id").agg(F.min("part").alias("a"))
     whole = components(parts.join(first, "doc_id").select("a", F.col("part").alias("b"))).select(

@@ -5,6 +5,8 @@ from collections import Counter, defaultdict
 from hashlib import sha256
 from zlib import crc32
 
+from pyspark.sql import functions as F
+
 from parley.llm import exact_dedup, sharding
 
 
@@ -45,6 +47,43 @@ def test_buckets_hold_no_more_than_capacity(docs):
     assert index.entries.agg({"chained": "max"}).first()[0] == 1
 
 
+def test_directory_doubles_until_no_bucket_is_overfull(docs, monkeypatch):
+    """Also beyond an even spread; each address leads to the shortest prefix that holds no more than it may."""
+    monkeypatch.setattr(exact_dedup, "STEP", 1)
+    index = exact_dedup.build_index(docs, capacity=2)
+    loads = index.entries.groupBy("bucket").agg(F.countDistinct("key").alias("n")).collect()
+    assert max(r.n for r in loads) <= 2
+    keys = [r.key for r in index.entries.select("key").distinct().collect()]
+    assert index.depth > len(keys).bit_length() - 1
+    for r in index.directory.collect():
+        shift = index.depth - r.bits
+        own = [k for k in keys if (k % 2**64) >> (64 - index.depth) >> shift == r.address >> shift]
+        wide = [k for k in keys if (k % 2**64) >> (64 - index.depth) >> (shift + 1) == r.address >> (shift + 1)]
+        assert r.bucket == r.address >> shift << shift and len(own) <= 2 and (r.bits == 0 or len(wide) > 2)
+
+
+def test_look_ups_go_through_the_directory(docs, monkeypatch):
+    """Rows of an address that the directory leads elsewhere don't find their entries."""
+    whole = exact_dedup.Index.bucket_of
+    calls = []
+
+    def astray(self, rows):
+        calls.append(rows.columns)
+        found = whole(self, rows)
+        return found if "norm" in rows.columns else found.withColumn("bucket", -F.col("bucket") - 1)
+
+    monkeypatch.setattr(exact_dedup.Index, "bucket_of", astray)
+    assert exact_dedup.find_copies(docs).count() == 0 and len(calls) == 2
+
+
+def test_hot_texts_are_looked_up_by_broadcast(spark, monkeypatch):
+    rows = [(i, "hot" if i % 3 else f"t{i % 50}") for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for share in (2, 100, 10**6):
+        monkeypatch.setattr(exact_dedup, "HOT", share)
+        assert found(df) == expected(rows)
+
+
 def test_drop_copies(hard, empty):
     kept = exact_dedup.drop_copies(hard)
     assert kept.columns == hard.columns
