@@ -22,6 +22,8 @@ QUESTION_TEXT = "Question: {question}"
 INSTRUCTION = "Answer the following question:"
 
 SPEAKERS = ("user", "assistant")
+#: Share of all words from which a word counts as frequent.
+FREQUENT = 1 << 16
 SEPARATOR = " "
 
 
@@ -122,10 +124,15 @@ def summarise_history(messages: DataFrame, sentences: int = 3) -> DataFrame:
     words = parts.select(
         "conv_id", "turn", "no", F.explode(X.letter_tokens(F.col("sentence"))).alias("word")
     )
-    # written, so that the planner knows its size and does not shuffle the words for a small one
+    # Written, as it is used twice. Words of a ``FREQUENT``-th of all, which are fewer than that many, are looked up
+    # by broadcast; no other word is hot enough to burden the task that joins it.
     counts = materialise(words.groupBy("word").agg(F.count("*").alias("total")))
+    every = counts.agg(F.coalesce(F.sum("total"), F.lit(0))).scalar()
+    often = F.broadcast(counts.where(F.col("total") * FREQUENT > every))
+    known = words.join(often, "word", "left")
+    rare = known.where("total IS NULL").drop("total").join(counts, "word")
     scores = (
-        words.join(counts, "word")
+        known.where("total IS NOT NULL").unionByName(rare)
         .groupBy("conv_id", "turn", "no")
         .agg(F.round(F.avg("total"), 6).alias("score"))
     )

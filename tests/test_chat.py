@@ -105,6 +105,15 @@ def test_append_twice_adds_nothing(spark, frame, tmp_path):
     assert spark.read.parquet(new).count() == 3
 
 
+def test_frequent_words_do_not_change_the_summary(frame, monkeypatch):
+    rows = frame([(c, t, "user", f"the the cat {c}. A dog {t} the. word{c} the {t}!") for c in range(6) for t in range(5)], KIND)
+    got = []
+    for share in (1, 4, 1 << 16, 1 << 40):
+        monkeypatch.setattr(M, "FREQUENT", share)
+        got.append(sorted(map(tuple, M.summarise_history(rows, 2).collect())))
+    assert got[0] == got[1] == got[2] == got[3] and len(got[0]) == 6
+
+
 def test_last_messages_of_a_cut_conversation(frame):
     """Windows reach over segments; other roles and null texts are not remembered."""
     turns = [(1, t, "system" if t % 7 == 0 else "user", None if t % 11 == 3 else f"m{t}") for t in range(100)]
