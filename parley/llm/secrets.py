@@ -6,8 +6,8 @@ rule without mandatory trigrams, such as a run of hex digits, runs over all text
 
 A match's place is found without Python: matches are wrapped in a private sign, the text is
 split there, and the lengths of the pieces are summed. Texts of candidates are the only ones that are
-shuffled; copies of one text are dealt over ``COPIES`` keys. Candidates are told from the rest by a filter of hashes
-whose size follows their number.
+shuffled, and of these a text of a thousandth of all rows finds its rules by broadcast and is left where it is, so no task gets
+all copies of one text. Candidates are told from the rest by a filter of hashes whose size follows their number.
 
 Defined results: a null text is empty and has no spans; matches of one kind don't overlap and are
 the leftmost ones; those whose secret is too short are dropped after matching, so what they cover stays covered;
@@ -26,7 +26,8 @@ from parley.llm.common import FILTER_BITS, probably
 from parley.llm.trigrams import build_index, candidates, text_key, trigram_query
 from parley.session import materialise
 
-COPIES = 16
+#: Share of all rows with trigrams from which a text counts as hot; there are fewer such texts than this.
+HOT = 1000
 #: Bits of the filter per candidate, and at most (32 MB).
 BITS_EACH, MOST_BITS = 16, 1 << 28
 _MARK, _OTHER = "\ue000", "\ue001"
@@ -120,23 +121,28 @@ def scan(
     if not indexed:
         return rows.select("doc_id", _spans(F.col("text"), everywhere).alias("spans"))
     grams = {gram for query in indexed.values() for grams in query for gram in grams}
-    found = materialise(candidates(build_index(docs, text_col, grams), indexed))
+    index, copies = build_index(docs, text_col, grams)
+    found = materialise(candidates(index, indexed))
+    total = copies.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    often = copies.where(F.col("rows") * HOT > total).select("key")
     bits = FILTER_BITS
     while bits < min(found.count() * BITS_EACH, MOST_BITS):
         bits *= 2
     marked = probably(rows, "key", found, "near", bits)
     rest = marked.where("NOT near").select("doc_id", _spans(F.col("text"), everywhere).alias("spans"))
-    dealt = found.select(
-        F.col("key").alias("of"), "rules", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))).alias("of_copy")
+    hot = found.join(F.broadcast(often), "key").select(F.col("key").alias("hot"), F.col("rules").alias("hot_rules"))
+    near = marked.where("near").join(F.broadcast(hot), F.col("key") == F.col("hot"), "left")
+    # A row that has its rules is dealt anywhere.
+    way = F.when(F.col("hot").isNull(), F.col("key")).otherwise(F.xxhash64(F.monotonically_increasing_id()))
+    rare = found.join(F.broadcast(often), "key", "left_anti").select(F.col("key").alias("of"), "rules")
+    near = near.withColumn("way", way).join(rare, F.col("way") == F.col("of"), "left").select(
+        "doc_id", "text", F.coalesce("hot_rules", "rules", F.array().cast("array<string>")).alias("rules")
     )
-    near = marked.where("near").select("*", (F.monotonically_increasing_id() % COPIES).cast("int").alias("copy"))
     asked = [
-        (no, rule, None if queries[rule.kind] is None else F.array_contains(F.coalesce("rules", F.array().cast("array<string>")), rule.kind))
+        (no, rule, None if queries[rule.kind] is None else F.array_contains("rules", rule.kind))
         for no, rule in numbered
     ]
-    verified = near.join(
-        dealt, (F.col("key") == F.col("of")) & (F.col("copy") == F.col("of_copy")), "left"
-    ).select("doc_id", _spans(F.col("text"), asked).alias("spans"))
+    verified = near.select("doc_id", _spans(F.col("text"), asked).alias("spans"))
     return rest.unionByName(verified)
 
 

@@ -116,16 +116,19 @@ def _any_of(grams: Iterable[str]) -> str:
     return f"(?=[{''.join(map(re.escape, tree))}])(?=({ways}))"
 
 
-def build_index(docs: DataFrame, text_col: str, grams: Iterable[str]) -> DataFrame:
-    """Posting lists (gram, key) of the given trigrams, an entry per different text, on shared files.
+def build_index(docs: DataFrame, text_col: str, grams: Iterable[str]) -> tuple[DataFrame, DataFrame]:
+    """Posting lists (gram, key) of the given trigrams, an entry per different text, on shared files; and how many
+    rows have each text (key, rows).
 
     Trigrams that no query names would only be stored, so they are left out. All entries of a text lie
     in one file, which is sorted by trigram.
     """
     text = F.col(text_col)
     held = F.array_sort(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(_any_of(grams)), F.lit(1))))
-    lists = docs.select(text_key(text).alias("key"), held.alias("grams")).where(F.size("grams") > 0).distinct()
-    return materialise(lists.select(F.explode("grams").alias("gram"), "key").sortWithinPartitions("gram"))
+    lists = docs.select(text_key(text).alias("key"), held.alias("grams")).where(F.size("grams") > 0)
+    lists = materialise(lists.groupBy("key", "grams").agg(F.count("*").alias("rows")))
+    index = materialise(lists.select(F.explode("grams").alias("gram"), "key").sortWithinPartitions("gram"))
+    return index, lists.select("key", "rows")
 
 
 def candidates(index: DataFrame, queries: Mapping[str, Query]) -> DataFrame:

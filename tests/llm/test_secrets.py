@@ -71,7 +71,9 @@ def test_hard(hard, empty):
     assert secrets_of(empty).collect() == []
 
 
-def test_hot_copies(spark):
+@pytest.mark.parametrize("share", [2, 1000, 10**9])
+def test_hot_copies(spark, monkeypatch, share):
+    monkeypatch.setattr(secrets, "HOT", share)
     df = spark.createDataFrame([(i, "token = 'abcdefgh'" if i % 3 else f"plain {i}", "en", "a", 0) for i in range(3000)], DOCUMENT)
     assert found(df) == wanted(df)
 
