@@ -44,7 +44,7 @@ BLOCK, LEAF = 2048, 16
 #: Keys over which the members of a large block are dealt.
 SALTS = 16
 #: Slab rows that a task merges at once.
-_MERGE = 1 << 20
+_MERGE = 1 << 18
 
 
 def shingles(text: str | None, k: int) -> np.ndarray:
