@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,6 +50,8 @@ RINGS = int(2 / RING) + 1
 FIRST = 8
 _MARKS = 63
 _MERGE = 16
+#: Distances to pivots or cells that a task holds at a time.
+HELD = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -74,6 +77,14 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(2 - 2 * (a @ b.T), 0))
 
 
+def _parts(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that a part has ``HELD`` values of ``width`` a row at most."""
+    step = max(1, HELD // max(width, 1))
+    for batch in batches:
+        for start in range(0, batch.num_rows, step):
+            yield batch.slice(start, step)
+
+
 def _pivots(held: DataFrame, most: int) -> np.ndarray:
     """Vectors of the rows with the smallest hashes, ``sqrt(rows)`` of them and ``most`` at most."""
     rows = held.count()
@@ -91,7 +102,7 @@ def _placed(held: DataFrame, pivots: np.ndarray) -> DataFrame:
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches, len(shared.value)):
             width = shared.value.shape[1] if len(shared.value) else None
             vectors = matrix(batch.column("embedding"), width)
             blank = np.isnan(vectors).any(axis=1)
@@ -138,7 +149,7 @@ def _visits(asked: DataFrame, cells: Cells, k: int, first: bool) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        for batch in batches:
+        for batch in _parts(batches, len(known.number)):
             low = known.nearest(matrix(batch.column("embedding"), known.pivots.shape[1]))
             held = np.ones(low.shape, bool)
             if "mark" in batch.schema.names:
@@ -147,19 +158,21 @@ def _visits(asked: DataFrame, cells: Cells, k: int, first: bool) -> DataFrame:
                 bits = np.where(free, 0, np.nan_to_num(mark.astype(float))).astype(np.int64)
                 held = free[:, None] | ((known.marks[None, :] >> bits[:, None]) & 1 == 1)
             if first:
-                chosen = _first(low, held, known, FIRST * k)
+                chosen = pa.array(_first(low, held, known, FIRST * k), arrow[-1].type)
             else:
                 limit = batch.column("threshold").to_numpy(zero_copy_only=False).astype(float)
                 limit = np.where(np.isnan(limit), NO_SCORE, np.rint(limit * 1e6))
                 reach = np.where(np.isinf(low), NO_SCORE, units(1 - np.minimum(low, 2) ** 2 / 2) + 1)
-                seen = batch.column("cells").to_pylist()
-                chosen = []
-                for row in range(len(low)):
-                    hit = held[row] & (reach[row] >= limit[row])
-                    hit &= ~np.isin(known.number, seen[row])
-                    chosen.append(known.number[hit].tolist())
+                hit = held & (reach >= limit[:, None])
+                seen = batch.column("cells")
+                lengths = pc.list_value_length(seen).fill_null(0).to_numpy(zero_copy_only=False)
+                place = np.searchsorted(known.number, seen.flatten().to_numpy())
+                hit[np.repeat(np.arange(len(hit)), lengths), place] = False
+                numbers = known.number[np.nonzero(hit)[1]].astype(np.int32)
+                offsets = np.concatenate([[0], hit.sum(axis=1).cumsum()]).astype(np.int32)
+                chosen = pa.ListArray.from_arrays(offsets, pa.array(numbers)).cast(arrow[-1].type)
             columns = [batch.column(f.name).cast(f.type) for f in list(arrow)[:-1]]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(chosen, arrow[-1].type)], schema=arrow)
+            yield pa.RecordBatch.from_arrays([*columns, chosen], schema=arrow)
 
     return materialise(asked.mapInArrow(run, schema))
 

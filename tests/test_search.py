@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from parley.operators.embedding import apply_model, hash_embedding
 from parley.operators.fusion import fuse, majority_vote, pick_diverse, search_ensemble, search_mmr
 from parley.operators.knn import Best, search
-from parley.operators.pruned import search_pruned
+from parley.operators.pruned import HELD, _parts, search_pruned
 
 RNG = np.random.default_rng(7)
 INDEX = np.round(RNG.normal(size=(300, 8)), 1)
@@ -182,6 +182,14 @@ def test_pruned_search_reads_a_part(frame):
     assert share < 0.4
 
 
+def test_a_task_holds_few_distances_whatever_the_number_of_cells():
+    batch = pa.record_batch({"question_id": np.arange(10_000)})
+    for width in (0, 1, 2_500, 2 * HELD):
+        parts = list(_parts(iter([batch]), width))
+        assert all(len(p) == 1 or len(p) * width <= HELD for p in parts)
+        assert np.concatenate([p.column(0) for p in parts]).tolist() == list(range(10_000))
+
+
 def test_pruned_search_of_odd_rows(frame):
     index = frame([(1, [1.0, 0.0]), (2, None), (None, [1.0, 0.0]), (3, [1.0, None]), (4, [0.0, 1.0]), (5, [0.0, 0.0])],
                   "chunk_id long, embedding array<float>")
