@@ -15,10 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parley.functions import text as X
+from parley.operators.batches import in_runs
 from parley.operators.knn import matrix
 from parley.session import materialise
 
 PADDING = -100
+#: Tokens of the pairs whose n-grams are matched at a time.
+GRAM_TOKENS = 1 << 16
 
 
 # --- token ids -------------------------------------------------------------------------------
@@ -60,7 +63,7 @@ def decode(df: DataFrame, key: str, ids: str, vocabulary: DataFrame,
 def common_grams(prediction: pa.ListArray, reference: pa.ListArray, max_n: int) -> np.ndarray:
     """Shared n-grams of each pair of token lists, repeated ones as often as both have them.
 
-    One row per pair, one column per n. Tokens and n-grams are numbered for the whole batch at
+    One row per pair, one column per n. Tokens and n-grams are numbered for all pairs at
     once, so there is no loop over pairs or tokens.
     """
     sides = (prediction, reference)
@@ -95,12 +98,16 @@ def gram_matches(pairs: DataFrame, tokens: Callable[[Column], Column], max_n: in
     """
     sizes = range(1, max_n + 1)
 
-    @F.arrow_udf("array<bigint>")
-    def match(prediction: pa.Array, reference: pa.Array) -> pa.Array:
+    def shared_by(prediction: pa.Array, reference: pa.Array) -> pa.Array:
         shared = common_grams(prediction, reference, max_n)
         offsets = np.arange(0, shared.size + 1, max_n, dtype=np.int32)
         return pa.ListArray.from_arrays(offsets, pa.array(shared.ravel()))
 
+    @F.arrow_udf("array<bigint>")
+    def match(prediction: pa.Array, reference: pa.Array) -> pa.Array:
+        tokens = np.diff(prediction.offsets.to_numpy()) + np.diff(reference.offsets.to_numpy())
+        return in_runs(shared_by, tokens, GRAM_TOKENS, prediction, reference)
+
     words = pairs.select(
         "pair_id",
         tokens(X.strip(F.coalesce("prediction", F.lit("")))).alias("_p"),

@@ -2,6 +2,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -197,3 +198,16 @@ def test_long_texts_keep_few_rows():
     at = 0  # what was found is a subsequence of the other text
     for i in places:
         at = b.index(a[i], at) + 1
+
+
+def test_grams_are_matched_for_few_tokens_at_a_time(monkeypatch):
+    """A batch of many pairs is numbered in parts, with the counts of the whole."""
+    held = []
+    common = S.common_grams
+    monkeypatch.setattr(S, "common_grams", lambda p, r, n: held.append(len(p.flatten()) + len(r.flatten())) or common(p, r, n))
+    rng = np.random.default_rng(5)
+    sides = [pa.array([[str(x) for x in rng.integers(0, 9, rng.integers(0, 60))] for _ in range(4000)]) for _ in "pr"]
+    tokens = [np.diff(s.offsets.to_numpy()) for s in sides]
+    got = S.in_runs(lambda p, r: pa.array(S.common_grams(p, r, 2).tolist()), sum(tokens), S.GRAM_TOKENS, *sides)
+    assert len(held) > 1 and max(held) <= S.GRAM_TOKENS
+    assert got.to_pylist() == common(*sides, 2).tolist()
