@@ -9,8 +9,9 @@ Two plans give equal results, and ``pruned`` holds a third:
   scan scores the questions in memory; the index is neither shuffled nor held. Columns that are asked for
   (vector, text, name) travel with a task's best rows, so nothing joins back to the index;
 * many questions: index and questions are cut into blocks of bounded size, and each pair of
-  blocks is one group. The number of blocks of a filter value follows its counted size, so a
-  value that holds a third of the index is spread over that many more groups.
+  blocks is scored. The number of blocks of a filter value follows its counted size, so a
+  value that holds a third of the index has that many more blocks. A block is one row, and a task that joins groups
+  of blocks has one block of each side in Python at a time.
 """
 
 from __future__ import annotations
@@ -36,6 +37,9 @@ MAX_LOCAL_QUESTIONS = 4096
 MAX_LOCAL_VALUES = 1 << 22  # components of all shared questions, 32 MB
 BLOCK_QUESTIONS = 8192
 BLOCK_ROWS = 8192
+#: Groups of blocks on each side of a part, and rows of the index that a group holds at most.
+GROUPS = 8
+GROUP_ROWS = 1 << 18
 
 
 def matrix(vectors: pa.ChunkedArray | pa.Array, width: int | None = None) -> np.ndarray:
@@ -243,33 +247,59 @@ def _with_counts(df: DataFrame, counts: list[DataFrame], one_part: bool) -> Data
 
 def _blocked(questions: DataFrame, index: DataFrame, k: int, schema: T.StructType,
              block_questions: int, block_rows: int, one_part: bool) -> DataFrame:
-    """Cogroup blocks of questions with blocks of index rows of the same ``part``."""
+    """Join blocks of questions with blocks of index rows of the same ``part``.
+
+    A block is one row, and blocks are dealt to a grid of groups, so each is shuffled ``GROUPS`` times, whatever the
+    number of blocks that it meets. A task keeps the best of one block of questions over all index blocks of a group.
+    """
     counts = [
         _block_counts(questions, block_questions, "_questions"),
         _block_counts(index, block_rows, "_rows"),
     ]
+    # In how many groups the blocks of a part are dealt, on each side; the index has more where its groups would be large.
+    groups = [
+        F.greatest(F.least(F.col("_questions"), F.lit(GROUPS)), F.lit(1)),
+        F.greatest(F.least(F.col("_rows"), F.lit(GROUPS)), F.ceil(F.col("_rows") * block_rows / GROUP_ROWS), F.lit(1)),
+    ]
 
-    def blocks(df: DataFrame, key: str, own: str, own_count: str, other: str, other_count: str):
-        """A block of its own side per row, and a copy per block of the other side."""
-        copies = F.when(F.col(other_count) > 0, F.sequence(F.lit(0), F.col(other_count) - 1))
-        return (
-            _with_counts(df, counts, one_part)
-            .withColumn(own, F.pmod(F.xxhash64(key), F.col(own_count)).cast("int"))
-            .withColumn(other, F.explode(copies))
-            .drop(own_count, other_count)
-        )
+    def packed(df: DataFrame, key: str, own: str, name: str) -> DataFrame:
+        """One row per block, which holds its members."""
+        members = F.collect_list(F.struct(*[c for c in df.columns if c != "part"])).alias(name)
+        block = F.pmod(F.xxhash64(key), F.col(own)).cast("int").alias("_block")
+        return _with_counts(df, counts, one_part).groupBy("part", block, "_questions", "_rows").agg(members)
 
-    left = blocks(questions, "question_id", "_q", "_questions", "_r", "_rows")
-    right = blocks(index, "chunk_id", "_r", "_rows", "_q", "_questions")
-    arrow = to_arrow_schema(schema)
+    def dealt(df: DataFrame, own: int, name: str) -> DataFrame:
+        """Blocks in their own group, and a copy per group of the other side."""
+        places = [F.pmod(F.col("_block"), groups[own]).cast("int").alias("_g" + str(own)),
+                  F.explode(F.sequence(F.lit(0), groups[1 - own].cast("int") - 1)).alias("_g" + str(1 - own))]
+        return df.select("part", "_block", name, *places)
 
-    def run(some: pa.Table, rows: pa.Table) -> pa.Table:
-        best = Best(some.select(["question_id", "embedding"]), k)
-        best.add_batch(rows)
-        return best.table(arrow)
+    left = dealt(packed(questions, "question_id", "_questions", "_some"), 0, "_some")
+    right = dealt(packed(index, "chunk_id", "_rows", "_held"), 1, "_held").drop("_block")
+    arrow = to_arrow_schema(schema)
 
-    group = ["part", "_q", "_r"]
-    return left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(run, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = at = None
+        for batch in batches:
+            for row in range(batch.num_rows):
+                block = batch.column("part")[row].as_py(), batch.column("_block")[row].as_py()
+                if block != at:
+                    if best is not None:
+                        yield from best.table(arrow).to_batches()
+                    best, at = Best(_members(batch.column("_some")[row]), k), block
+                best.add_batch(_members(batch.column("_held")[row]))
+        if best is not None:
+            yield from best.table(arrow).to_batches()
+
+    # Merged, so that the blocks of the index meet one block of questions after the other.
+    pairs = left.hint("merge").join(right, ["part", "_g0", "_g1"])
+    return pairs.select("part", "_block", "_some", "_held").mapInArrow(run, schema)
+
+
+def _members(block: pa.ListScalar) -> pa.Table:
+    """The rows of a block."""
+    rows = block.values
+    return pa.table({f.name: rows.field(f.name) for f in rows.type})
 
 
 def search(

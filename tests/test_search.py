@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from parley.operators.embedding import apply_model, hash_embedding
 from parley.operators.fusion import fuse, majority_vote, pick_diverse, search_ensemble, search_mmr
-from parley.operators.knn import Best, search
+from parley.operators.knn import GROUPS, Best, _blocked, hit_schema, search
 from parley.operators.pruned import HELD, _parts, search_pruned
 
 RNG = np.random.default_rng(7)
@@ -94,6 +94,13 @@ def test_unequal_lengths_are_an_error(frame):
         search(questions, index, 1).collect()
 
 
+def test_small_blocks_do_not_multiply_the_hits(tables):
+    """A task hands on the best of all index blocks of its group, so what is shuffled does not follow their number."""
+    questions, index = (t.withColumn("part", F.lit("")).drop("wanted", "value") for t in tables)
+    hits = _blocked(questions, index, 5, hit_schema(*tables), 7, 3, one_part=True)
+    assert hits.count() <= GROUPS * 5 * len(QUESTIONS)
+
+
 def test_pick_diverse():
     scores = np.array([0.9, 0.9, 0.5, 0.1])
     pairs = np.array([[1, 1, 0, 0], [1, 1, 0, 0], [0, 0, 1, 0], [0, 0, 0, 1.0]])
