@@ -16,6 +16,8 @@ ORACLE = {}
 
 DELIVERIES = 6
 FILES_PER_BATCH = 2
+#: Messages of a file at most. Batches follow the messages, not the tasks that wrote them.
+FILE_MESSAGES = 1 << 18
 START = "timestamp'2024-01-01 00:00:00'"
 
 
@@ -41,9 +43,11 @@ def chat_history_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
     folder = new_path(spark, "stream")
     delivered = materialise(sent)
+    sizes = {r["hour"]: r["count"] for r in delivered.groupBy("hour").count().collect()}  # six rows
     for hour in range(DELIVERIES):
         (
             delivered.where(F.col("hour") == hour).select(*DELIVERED.fieldNames())
+            .repartition(-(-sizes.get(hour, 0) // FILE_MESSAGES) or 1)
             .write.mode("append").parquet(f"{folder}/in")
         )
     sizes = new_sizes(read_messages(spark, f"{folder}/in", FILES_PER_BATCH, DELIVERED), "75 minutes")

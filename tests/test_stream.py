@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from parley.plans.chat import history_before
+from parley.queries import streams
 from parley.schemas import DELIVERED, MESSAGES
 from parley.streaming.history import SIZES, new_sizes, read_messages, running_history, write_sizes
 
@@ -43,3 +44,15 @@ def test_state_ends_and_very_late_turns_count(spark, tmp_path):
     stored = spark.read.schema(SIZES).parquet(out)
     assert stored.where("late").count() == 11 and stored.where("NOT late").count() == len(rows)  # one was sent at the epoch
     assert ended <= 81  # of 121 keys that have passed the state
+
+
+def test_batches_follow_the_messages_not_the_tasks(spark, tmp_path, monkeypatch):
+    """A table of many files is delivered in few."""
+    rows = [(c, t, ("system", "user", "assistant")[t % 3], f"text {c} {t}") for c in range(40) for t in range(3)]
+    messages = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    messages.repartition(12).write.parquet(str(tmp_path / "conversations.parquet"))
+    monkeypatch.setattr(streams, "new_path", lambda spark, kind: str(tmp_path / kind))
+    got = streams.chat_history_stream(spark, str(tmp_path))
+    want = history_before(messages).select("conv_id", "turn", "n_history", "history_chars")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert len(list((tmp_path / "stream" / "in").glob("*.parquet"))) <= streams.DELIVERIES
