@@ -119,12 +119,15 @@ def _maybe_stored(rows: DataFrame, path: str) -> DataFrame:
     """collection, bucket, chunk_id of the rows that some batch of the store may hold."""
     filters = rows.sparkSession.read.parquet(f"{path}/{FILTERS}")
     ids = rows.select("collection", "bucket", "chunk_id")
-    met = ids.join(filters, ["collection", "bucket"]).withColumn("at", _place(F.col("bitmaps")))
+    # An id meets the one bitmap of a batch that marks its place: first the sizes of the batches, then the bits.
+    sizes = filters.select("collection", "bucket", "bitmaps").distinct()
+    placed = ids.join(sizes, ["collection", "bucket"]).withColumn("at", _place(F.col("bitmaps")))
+    placed = placed.withColumn("bitmap", F.expr(f"at DIV {_BITS}"))
+    met = placed.join(filters, ["collection", "bucket", "bitmaps", "bitmap"])
     bit = F.col("at") % _BITS
     octet = F.conv(F.hex(F.substring("bits", F.expr(f"(at % {_BITS}) DIV 8 + 1").cast("int"), F.lit(1))), 16, 10)
     return (
-        met.where(F.expr(f"at DIV {_BITS}") == F.col("bitmap"))
-        .withColumns({"octet": octet.cast("int"), "bit": (bit % 8).cast("int")})
+        met.withColumns({"octet": octet.cast("int"), "bit": (bit % 8).cast("int")})
         .where("shiftright(octet, bit) & 1 = 1")
         .select("collection", "bucket", "chunk_id")
         .distinct()
@@ -161,7 +164,7 @@ def append_index(chunks: DataFrame, path: str, store: DataFrame | None = None) -
     of ids is given as ``store``, it says what is held instead.
     """
     spark = chunks.sparkSession
-    fresh = _bucketed(chunks.dropDuplicates(["chunk_id"]))
+    fresh = _bucketed(chunks)
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{FILTERS}")
     if store is not None:
         fresh = missing_from(fresh, store)
@@ -169,7 +172,8 @@ def append_index(chunks: DataFrame, path: str, store: DataFrame | None = None) -
         known = stored_ids(fresh, path)
         if known is not None:
             fresh = fresh.join(known, "chunk_id", "left_anti")
-    fresh = materialise(fresh)
+    # Copies are dropped last: what is stored is left out before its text is sorted or its vector made.
+    fresh = materialise(fresh.dropDuplicates(["chunk_id"]))
     _filters(fresh).write.mode("append").parquet(f"{path}/{FILTERS}")
     (
         fresh.repartition("collection", "bucket")

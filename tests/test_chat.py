@@ -143,6 +143,17 @@ def test_append_reads_only_buckets_that_may_hold_an_id(spark, frame, tmp_path):
     assert I._maybe_stored(new, path).count() < 60  # 400 ids, most of which no bitmap marks
 
 
+def test_an_id_meets_one_bitmap_of_a_batch(spark, tmp_path):
+    """Not every bitmap of its bucket, whose number grows with the batch as the ids do."""
+    rows = I._bucketed(spark.range(9).select(F.lit("c").alias("collection"), F.md5(F.col("id").cast("string")).alias("chunk_id")))
+    path = str(tmp_path / "store")
+    for _ in range(2):
+        I._filters(rows).write.mode("append").parquet(f"{path}/{I.FILTERS}")
+    maybe = I._maybe_stored(rows, path)
+    assert maybe.count() == 9
+    assert re.search(r"bitmap#\d+L? = bitmap#\d+", maybe._jdf.queryExecution().optimizedPlan().toString())
+
+
 def test_context(frame):
     names, infos = corpus(frame)
     questions = frame([(1, "which hobbit carries the ring"), (2, "the shark at the beach")],
