@@ -5,12 +5,17 @@ from __future__ import annotations
 from collections import deque
 from collections.abc import Sequence
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parley.operators.batches import in_runs
+
 # The separators to try, coarse to fine; the empty one cuts anywhere.
 SEPARATORS = ("\n\n", "\n", " ", "")
+#: Bytes of the texts that are cut at a time.
+HELD_BYTES = 1 << 20
 
 
 def text_steps(text: Column, size: int, overlap: int) -> Column:
@@ -97,11 +102,14 @@ def recursive_chunks(text: Column, size: int, overlap: int,
     _check(size, overlap)
     separators = tuple(separators)
 
-    @F.pandas_udf("array<string>")
-    def cut(texts: pd.Series) -> pd.Series:
-        return texts.map(
-            lambda t: None if t is None else split_text(t, size, overlap, separators)
-        )
+    def chunks(texts: pa.Array) -> pa.Array:
+        lists = (None if t is None else split_text(t, size, overlap, separators) for t in texts.to_pylist())
+        return pa.array(list(lists), pa.list_(pa.string()))
+
+    @F.arrow_udf("array<string>")
+    def cut(texts: pa.Array) -> pa.Array:
+        sizes = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
+        return in_runs(chunks, sizes, HELD_BYTES, texts)
 
     return cut(text)
 

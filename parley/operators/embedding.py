@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parley.functions import text as X
+from parley.operators.batches import in_runs
 
 DIMENSIONS = 64
+#: Tokens and components of the texts that are counted at a time.
+HELD_TOKENS = 1 << 17
 
 
 def hash_slot(token: str, dim: int) -> int:
@@ -25,12 +28,11 @@ def hash_slot(token: str, dim: int) -> int:
 def hash_embedding(text: Column, dim: int = DIMENSIONS) -> Column:
     """Signed feature hashing of the tokens, scaled to unit length; no tokens give zeros.
 
-    Texts are cut into tokens in the JVM. Arrow hands them over as one flat array per batch:
-    each distinct token is hashed once, and counting has no loop over rows.
+    Texts are cut into tokens in the JVM. Arrow hands them over as one flat array per batch, of which runs of
+    rows are counted at a time: each distinct token of a run is hashed once, and counting has no loop over rows.
     """
 
-    @F.arrow_udf("array<float>")
-    def count(tokens: pa.Array) -> pa.Array:
+    def vectors(tokens: pa.Array) -> pa.Array:
         n = len(tokens)
         coded = tokens.flatten().dictionary_encode()
         slots = np.array([hash_slot(t, dim) for t in coded.dictionary.to_pylist()], dtype=np.int64)
@@ -43,6 +45,10 @@ def hash_embedding(text: Column, dim: int = DIMENSIONS) -> Column:
         offsets = np.arange(0, (n + 1) * dim, dim, dtype=np.int32)
         return pa.ListArray.from_arrays(offsets, pa.array(unit.ravel().astype(np.float32)))
 
+    @F.arrow_udf("array<float>")
+    def count(tokens: pa.Array) -> pa.Array:
+        return in_runs(vectors, np.diff(tokens.offsets.to_numpy()) + dim, HELD_TOKENS, tokens)
+
     return count(X.letter_tokens(F.coalesce(text, F.lit(""))))
 
 
