@@ -24,16 +24,16 @@ rows. Other columns are ignored.
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parley.llm.common import probably_in
+from parley.llm.common import probably, probably_in
 from parley.llm.words import _MUL, Words, _mixed
 from parley.session import materialise
 
@@ -43,6 +43,8 @@ GAP = 48
 LEAST_WORDS, LEAST_ALIKE = 50, 0.8
 #: Bytes around a chain in which its ends are looked for first, and the growth where they may lie outside.
 MARGIN, GROWTH = 400, 16
+#: Bytes that are added on both sides for each byte of a group of chains: copies are longer than what joins them.
+REACH = 8
 #: An edit costs as much as so many equal words; those after the first where it leaves too little alike or too short.
 LOSSES = 2, 4, 1, 0.5
 #: Words' worth by which an extension may fall below its best.
@@ -50,106 +52,296 @@ DROP = 16
 #: Matched seeds after one with which it makes pairs.
 SKIPS = 8
 
-_SEED = "seed long, doc_id long, word int, at int"
-def seeds_of(words: Words, k: int = K, span: int = SPAN) -> tuple[np.ndarray, np.ndarray]:
+#: A place is a word's number, its first byte and whether other rows may have the same id, in one number.
+_SEED = "seed long, doc_id long, place long"
+_MATCH = "doc_id long, place long, source_id long, source_place long"
+#: Of an equal stretch its first and its last matched place.
+_RUN = "doc_id long, source_id long, place long, source_place long, last long, source_last long"
+#: Runs, and keys with -1 for what they lack.
+_FOUND = "seed long, doc_id long, place long, source_id long, source_place long, last long, source_last long"
+
+
+def _names(schema: str) -> list[str]:
+    return [f.split()[0] for f in schema.split(", ")]
+
+
+def _place(word: np.ndarray, at: np.ndarray, many: np.ndarray) -> np.ndarray:
+    return (word.astype(np.int64) << 32) | (at.astype(np.int64) << 1) | many
+
+
+def _word(place: np.ndarray) -> np.ndarray:
+    return place >> 32
+
+
+def _at(place: np.ndarray) -> np.ndarray:
+    return (place & 0xFFFFFFFF) >> 1
+
+
+#: Bytes of texts whose words are hashed at once.
+_BYTES = 1 << 18
+
+
+def _in_turn(rows: Iterator, size: Callable, most: int = _BYTES) -> Iterator[list]:
+    """The rows in lists of ``most`` by their size, or of one larger row."""
+    held, total = [], 0
+    for row in rows:
+        if held and total + size(row) > most:
+            yield held
+            held, total = [], 0
+        held.append(row)
+        total += size(row)
+    if held:
+        yield held
+
+
+class Texts:
+    """Words of several texts at once; ``of`` is the text of each word, ``head`` the first word of each text."""
+
+    def __init__(self, texts: list):
+        parts, number = [], 0
+        for some in _in_turn(iter(texts), len):
+            size = np.array([len(t) + 1 for t in some], np.int64)
+            low = np.cumsum(size) - size
+            words = Words(b" ".join(some))
+            of = np.searchsorted(low, words.start, "right") - 1
+            parts.append((words.hash, of + number, words.start - low[of], words.stop - low[of]))
+            number += len(some)
+        self.hash, self.of, self.start, self.stop = [np.concatenate(x) for x in zip(*parts)]
+        self.head = np.searchsorted(self.of, np.arange(len(texts) + 1))
+        self.count = np.diff(self.head)
+
+    def grams(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of all stretches of ``k`` words and whether they lie in one text, with a place for every word."""
+        count = len(self.hash)
+        whole = np.zeros(count, bool)
+        whole[: max(0, count - k + 1)] = self.of[: max(0, count - k + 1)] == self.of[k - 1 :]
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(self.hash * Words.up[:count])])
+        stop = np.minimum(np.arange(k, count + k), count)
+        return _mixed((sums[stop] - sums[:-1]) * Words.down[:count]), whole
+
+    def seeds(self, k: int, span: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes and word numbers of the chosen k-word stretches: the least of every ``span`` neighbours of a text."""
+        grams, whole = self.grams(k)
+        room = self.count - k + 1
+        chosen = np.zeros(len(grams), bool)
+        if len(grams) >= span:
+            view = np.lib.stride_tricks.sliding_window_view(grams, span)
+            full = np.flatnonzero(whole[: len(view)] & whole[span - 1 :] & (self.of[: len(view)] == self.of[span - 1 :]))
+            chosen[view[full].argmin(1) + full] = True
+        for text in np.flatnonzero((room > 0) & (room < span)):
+            low = self.head[text]
+            chosen[low + grams[low : low + room[text]].argmin()] = True
+        at = np.flatnonzero(chosen)
+        return grams[at].view(np.int64), at
+
+
+def seeds_of(data: bytes, k: int = K, span: int = SPAN) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and word numbers of the chosen k-word stretches."""
-    count = len(words.hash) - k + 1
-    if count <= 0:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    grams = words.grams(k)
-    span = min(span, count)
-    view = np.lib.stride_tricks.sliding_window_view(grams, span)
-    at = np.unique(view.argmin(1) + np.arange(len(view)))
-    return grams[at].view(np.int64), at
+    return Texts([data]).seeds(k, span)
+
+
+def _columns(batch: pa.RecordBatch, schema: str) -> list[np.ndarray]:
+    return [batch.column(n).to_numpy(zero_copy_only=False) for n in _names(schema)]
+
+
+def _batch(columns: list[np.ndarray], schema: str) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], _names(schema))
+
+
+#: Rows that a task puts together before it hands them on.
+_ROWS = 1 << 16
+
+
+def _handed(parts: Iterator[list[np.ndarray]], schema: str) -> Iterator[pa.RecordBatch]:
+    """The parts, a few columns each, in batches of about ``_ROWS`` rows."""
+    held, rows = [], 0
+    for part in parts:
+        held.append(part)
+        rows += len(part[0])
+        if rows >= _ROWS:
+            yield _batch([np.concatenate(x) for x in zip(*held)], schema)
+            held, rows = [], 0
+    if rows:
+        yield _batch([np.concatenate(x) for x in zip(*held)], schema)
 
 
 def _seeds(k: int, span: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
-            parts, rows = [], 0
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                words = Words(text.encode("utf-8", "replace"))
-                seed, at = seeds_of(words, k, span)
-                parts.append(
-                    pd.DataFrame({"seed": seed, "doc_id": doc_id, "word": at, "at": words.start[at]})
-                )
-                rows += len(at)
-                if rows > 100_000:
-                    yield pd.concat(parts)
-                    parts, rows = [], 0
-            if parts:
-                yield pd.concat(parts)
+            text = batch.column("text")
+            for i, (doc_id, many) in enumerate(zip(*[batch.column(n).to_pylist() for n in ("doc_id", "many")])):
+                yield doc_id, many, text[i].as_buffer()
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+        for some in _in_turn(rows(batches), lambda row: len(row[2])):
+            doc_id, many, text = zip(*some)
+            texts = Texts(list(text))
+            seed, at = texts.seeds(k, span)
+            of = texts.of[at]
+            place = _place(at - texts.head[of], texts.start[at], np.array(many, np.int64)[of])
+            yield [seed, np.array(doc_id, np.int64)[of], place]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _handed(parts(batches), _SEED)
 
     return run
 
 
+def _held_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs over rows sorted by (seed, doc_id, place): those of seeds with several rows, each with the seed's first one."""
+    last = np.empty((3, 0), np.int64)  # the row before, its seed's first row, and whether it was handed on
+    first, out = last, False
+    for batch in batches:
+        rows = np.concatenate([last, _columns(batch, _SEED)], axis=1)
+        if not rows.shape[1]:
+            continue
+        same = rows[0, 1:] == rows[0, :-1]
+        begin = np.flatnonzero(np.concatenate([[True], ~same]))
+        heads = rows[:, begin]
+        if last.shape[1]:
+            heads[:, 0] = first
+        of = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, rows.shape[1])))
+        shared = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+        if last.shape[1]:
+            shared[0] &= not out
+        pick = np.flatnonzero(shared)
+        # A seed's only row so far stays here until the next one is seen.
+        out = bool(shared[-1]) or bool(last.shape[1] and rows.shape[1] == 1 and out)
+        last, first = rows[:, -1:], heads[:, -1].copy()
+        if len(pick):
+            of = of[pick]
+            yield _batch([rows[1, pick], rows[2, pick], heads[1, of], heads[2, of]], _MATCH)
+
+
+def _first_holders(seeds: DataFrame) -> DataFrame:
+    """The places of seeds that several places have, each with the first place of the document of smallest id."""
+    dealt = seeds.repartition("seed").sortWithinPartitions("seed", "doc_id", "place")
+    return dealt.mapInArrow(_held_first, _MATCH)
+
+
+def _runs(rows: list[np.ndarray], k: int) -> list[np.ndarray]:
+    """Of equal stretches (places on one diagonal, no more than a seed apart) the first and the last place.
+
+    Rows are as in ``_RUN``; they come back by doc_id, source_id and diagonal, with whether several rows end there.
+    """
+    doc, source, place, there, last, last_there = rows
+    line = _word(place) - _word(there)
+    order = np.lexsort((place, line, source, doc))
+    doc, source, place, there, last, last_there, line = [x[order] for x in (*rows, line)]
+    if not len(doc):
+        return [*rows, np.zeros(0, bool)]
+    new = (np.diff(doc) != 0) | (np.diff(source) != 0) | (np.diff(line) != 0)
+    group = np.concatenate([[0], np.cumsum(new)])
+    # The furthest end so far within a diagonal.
+    reach = np.maximum.accumulate((group << 32) + _word(last))
+    new |= _word(place[1:]) - (reach[:-1] & 0xFFFFFFFF) > k
+    begin = np.flatnonzero(np.concatenate([[True], new]))
+    group = np.concatenate([[0], np.cumsum(new)])
+    by_end = np.lexsort((_word(last), group))
+    end = np.append(begin[1:], len(doc)) - 1
+    twice = (end > begin) & (_word(last[by_end[end - 1]]) == _word(last[by_end[end]]))
+    end = by_end[end]
+    return [doc[begin], source[begin], place[begin], there[begin], last[end], last_there[end], twice]
+
+
 def _longer(k: int, span: int, least: int):
-    """Longer keys where seeds are matched: all ``least``-word stretches, and pairs of seeds that no one source joins.
+    """Runs of matched seeds, and longer keys there: all ``least``-word stretches, and pairs of seeds that no one source joins.
 
-    A stretch that another document has too has only matched seeds, apart from those that words beside it chose.
+    Over rows sorted by (doc_id, place), texts first. A stretch that another document has too has only
+    matched seeds, apart from those that words beside it chose. A stretch within one run is left out: then
+    the run's source is the stretch's first holder too, as the least one of its inner seeds, and has them on one line.
     """
 
-    def of_text(text: str, word: np.ndarray, source: np.ndarray, there: np.ndarray):
-        words = Words(text.encode("utf-8", "replace"))
-        seeds, at = seeds_of(words, k, span)
-        lone = np.zeros(len(words.hash) + 1, np.int64)
-        lone[at[~np.isin(at, word)] + 1] = 1
-        lone = np.cumsum(lone)
-        place = np.arange(max(0, len(words.hash) - least + 1))
+    def of_documents(some: list[tuple]) -> Iterator[list[np.ndarray]]:
+        ids, texts_of, rows_of = zip(*some)
+        ids, rows = np.array(ids, np.int64), [np.concatenate(x) for x in zip(*rows_of)]
+        size = np.array([len(x[0]) for x in rows_of])
+        doc = np.repeat(ids, size)
+        place, source, there = rows
+        runs = _runs([x[source != doc] for x in (doc, source, place, there, place, there)], k)
+        twice = runs.pop()
+        for some in [runs[i] for i in (0, 2, 1, 3, 4, 5)], [runs[i][twice] for i in (0, 4, 1, 5, 4, 5)]:
+            yield [np.zeros(len(some[0]), np.int64), *some]
+        # Every text of a document meets all its matches.
+        number = np.array([len(x) for x in texts_of])
+        owner, many = np.repeat(np.arange(len(ids)), number), np.array([m for x in texts_of for m, _ in x], np.int64)
+        texts = Texts([t for x in texts_of for _, t in x])
+        low = np.cumsum(size) - size
+        of = np.repeat(np.arange(len(owner)), size[owner])
+        take = np.arange(len(of)) - np.repeat(np.cumsum(size[owner]) - size[owner], size[owner]) + low[owner[of]]
+        word, source, there = _word(place)[take], source[take], _word(there)[take]
+        seeds, at = texts.seeds(k, span)
+        inside = word < texts.count[of]
+        word, source, there, of = word[inside], source[inside], there[inside], of[inside]
+        word += texts.head[of]
+        total = len(texts.hash)
+        seed_no = np.full(total, -1)
+        seed_no[at] = np.arange(len(at))
+        matched = np.zeros(total, bool)
+        matched[word] = True
+        lone = np.concatenate([[0], np.cumsum((seed_no >= 0) & ~matched)])
+        grams, wanted = texts.grams(least)
+        begin = np.flatnonzero(wanted)
         inner = max(least - k - span + 2, span - 1)
-        place = place[lone[place + inner] == lone[place + span - 1]]
-        keys, places = [np.empty(0, np.uint64)], [place]
-        if len(place):
-            keys = [words.grams(least)[place]]
-        own = np.isin(word, at)  # the others are of another row under the same id
-        word, source, there = word[own], source[own], there[own]
-        seeds = seeds.view(np.uint64)[np.searchsorted(at, word)]
+        begin = begin[lone[begin + inner] == lone[begin + span - 1]]
+        # Stretches within a run of the only text of its document.
+        first = np.searchsorted(owner, np.searchsorted(ids, runs[0]))
+        head, low, stop = texts.head[first], _word(runs[2]), _word(runs[4]) + k - least + 1
+        pick = (many[first] == 0) & (runs[3] & 1 == 0) & (stop > low)
+        edges = np.zeros(total + 1, np.int64)
+        np.add.at(edges, (head + low)[pick], 1)
+        np.add.at(edges, (head + stop)[pick], -1)
+        begin = begin[np.cumsum(edges)[begin] == 0]
+        keys, words = [grams[begin]], [begin]
+        own = seed_no[word] >= 0  # the others are of another row under the same id
+        word, source, there, of = word[own], source[own], there[own], of[own]
+        seeds = seeds.view(np.uint64)[seed_no[word]]
         for skip in range(1, min(SKIPS, len(word) - 1) + 1):
             step = there[skip:] - there[:-skip]
             joined = (source[skip:] == source[:-skip]) & (step >= 0) & (step <= GAP)
-            pick = np.flatnonzero(~joined & (word[skip:] - word[:-skip] <= GAP))
+            near = (word[skip:] - word[:-skip] <= GAP) & (of[skip:] == of[:-skip])
+            pick = np.flatnonzero(~joined & near)
             keys.append(_mixed(seeds[pick] * _MUL + seeds[pick + skip]))
-            places.append(word[pick])
-        place = np.concatenate(places)
-        return np.concatenate(keys).view(np.int64), place.astype(np.int32), words.start[place].astype(np.int32)
+            words.append(word[pick])
+        keys, words = np.concatenate(keys).view(np.int64), np.concatenate(words)
+        of = texts.of[words]
+        place = _place(words - texts.head[of], texts.start[words], many[of])
+        yield [keys, ids[owner[of]], place, *[np.full(len(keys), -1)] * 4]
+
+    def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        now, texts, held = None, [], []
+        for batch in batches:
+            doc, place, source, there = [
+                batch.column(n).to_numpy() for n in ("doc_id", "place", "source_id", "source_place")
+            ]
+            text, plain = batch.column("text"), np.append(np.flatnonzero(place < 0), len(place))
+            begin = np.flatnonzero(np.concatenate([[True], np.diff(doc) != 0])) if len(doc) else []
+            at = 0
+            for a, b in zip(begin, [*begin[1:], len(doc)]):
+                if doc[a] != now:
+                    if held:
+                        yield now, texts, [np.concatenate(x) for x in zip(*held)]
+                    now, texts, held = int(doc[a]), [], []
+                m = a
+                while plain[at] < b:
+                    m = int(plain[at])
+                    texts.append((int(place[m] == -1), text[m].as_buffer()))
+                    at, m = at + 1, m + 1
+                if m < b:
+                    held.append([x[m:b] for x in (place, source, there)])
+        if held:
+            yield now, texts, [np.concatenate(x) for x in zip(*held)]
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+        for some in _in_turn(documents(batches), lambda d: sum(len(t) for _, t in d[1])):
+            yield from of_documents(some)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = [batch.column(n) for n in ("word", "source_id", "source_word")]
-            ends, flat = lists[0].offsets.to_numpy(), [x.values.to_numpy() for x in lists]
-            for i in range(batch.num_rows):
-                seed, word, at = of_text(
-                    batch.column("text")[i].as_py(), *[x[ends[i] : ends[i + 1]] for x in flat]
-                )
-                doc_id = np.full(len(seed), batch.column("doc_id")[i].as_py(), np.int64)
-                if len(seed):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(x) for x in (seed, doc_id, word, at)], ["seed", "doc_id", "word", "at"]
-                    )
+        return _handed(parts(batches), _FOUND)
 
     return run
 
 
-def chain(a: np.ndarray, b: np.ndarray, gap: int = GAP) -> list[list[int]]:
-    """Chains of matches (a, b), a rising; each match is in one chain.
-
-    A match earns 1 and a gap costs its words on both sides / (2 * gap).
-    """
-    if np.all(np.diff(b) > 0):
-        found = [list(range(len(a)))]
-    else:
-        found = _fenwick_chains(a.tolist(), b.tolist(), 1 / (2 * gap))
-    out = []
-    for one in found:
-        cut = 0
-        for i in range(1, len(one)):
-            if a[one[i]] - a[one[i - 1]] + b[one[i]] - b[one[i - 1]] > 2 * gap:
-                out.append(one[cut:i])
-                cut = i
-        out.append(one[cut:])
-    return out
-
-
 def _fenwick_chains(a: list[int], b: list[int], cost: float) -> list[list[int]]:
     places = sorted(set(b))
     size = len(places)
@@ -186,102 +378,231 @@ _CHAIN = (
 )
 
 
+def _chained(a: np.ndarray, b: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The matches of all pairs in the order of their chains, and where a chain begins."""
+    inner = np.diff(pair) == 0
+    crossed = np.unique(pair[1:][inner & (np.diff(b) <= 0)])
+    order, begin = np.arange(len(a)), np.concatenate([[True], ~inner])
+    for one in crossed:
+        low, high = np.searchsorted(pair, [one, one + 1])
+        found = _fenwick_chains(a[low:high].tolist(), b[low:high].tolist(), 1 / (2 * GAP))
+        order[low:high] = low + np.concatenate(found)
+        begin[low:high] = False
+        begin[low + np.cumsum([0, *map(len, found[:-1])])] = True
+    begin[1:] |= np.diff(a[order]) + np.diff(b[order]) > 2 * GAP
+    return order, np.flatnonzero(begin)
+
+
+def _binaries(values: np.ndarray, begin: np.ndarray) -> pa.Array:
+    """Rows of 32-bit numbers, each from one of ``begin`` to the next."""
+    ends = pa.py_buffer(np.append(begin * 4, len(values) * 4).astype("<i4"))
+    return pa.Array.from_buffers(pa.binary(), len(begin), [None, ends, pa.py_buffer(values.astype("<i4"))])
+
+
 def _chains(k: int):
-    """Runs over rows sorted by (doc_id, source_id, word); a pair may go on in the next batch."""
-    def of_pair(rows: pd.DataFrame) -> list[tuple]:
-        if len(rows) > 1:
-            # Of an equal stretch (places on one diagonal, no more than a seed apart) its ends stay.
-            word = rows["word"].to_numpy().astype(np.int64)
-            line = word - rows["source_word"].to_numpy()
-            order = np.lexsort((word, line))
-            near = (np.diff(line[order]) == 0) & (np.diff(word[order]) <= k)
-            same = np.concatenate([[False], near & (np.diff(word[order]) == 0)])
-            inner = np.concatenate([[False], near]) & np.concatenate([near, [False]])
-            rows = rows.iloc[np.sort(order[~(inner | same)])]
-        word, source = rows["word"].to_numpy(), rows["source_word"].to_numpy()
-        at, source_at = rows["at"].to_numpy("<i4"), rows["source_at"].to_numpy("<i4")
-        out = []
-        for one in chain(word, source):
-            x, y = at[one], source_at[one]
-            out.append(
-                (rows["doc_id"].iat[0], rows["source_id"].iat[0], x[0], x[-1], y[0], y[-1],
-                 x.tobytes(), y.tobytes())
-            )
-        return out
-
-    names = [f.split()[0] for f in _CHAIN.split(", ")]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Runs over rows sorted by (doc_id, source_id, place); a pair may go on in the next batch."""
+
+    def of_pairs(rows: list[np.ndarray]) -> pa.RecordBatch:
+        doc, source, place, there, last, last_there, twice = _runs(rows, k)
+        more = (last > place) & ~twice  # an end that is matched by several keys does not count
+        doc, source = [np.concatenate([x, x[more]]) for x in (doc, source)]
+        place, there = np.concatenate([place, last[more]]), np.concatenate([there, last_there[more]])
+        order = np.lexsort((there, place, source, doc))
+        doc, source, place, there = [x[order] for x in (doc, source, place, there)]
+        pair = np.cumsum(np.concatenate([[0], (np.diff(doc) != 0) | (np.diff(source) != 0)]))
+        order, begin = _chained(_word(place), _word(there), pair)
+        x, y = _at(place)[order], _at(there)[order]
+        end = np.append(begin[1:], len(x)) - 1
+        ids = doc[begin], source[begin]
+        columns = [pa.array(v) for v in (*ids, x[begin], x[end], y[begin], y[end])]
+        return pa.RecordBatch.from_arrays([*columns, _binaries(x, begin), _binaries(y, begin)], _names(_CHAIN))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
-            rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            ids, sources = rows["doc_id"].to_numpy(), rows["source_id"].to_numpy()
-            edges = np.flatnonzero((np.diff(ids) != 0) | (np.diff(sources) != 0)) + 1
-            bounds = [0, *edges.tolist()]
-            out = []
-            for a, b in zip(bounds, bounds[1:]):
-                out += of_pair(rows.iloc[a:b])
-            held = rows.iloc[bounds[-1] :]
-            if out:
-                yield pd.DataFrame(out, columns=names)
+            rows = _columns(batch, _RUN)
+            if held is not None:
+                rows = [np.concatenate(x) for x in zip(held, rows)]
+            if not len(rows[0]):
+                continue
+            edges = np.flatnonzero((np.diff(rows[0]) != 0) | (np.diff(rows[1]) != 0))
+            cut = int(edges[-1]) + 1 if len(edges) else 0
+            if cut:
+                yield of_pairs([x[:cut] for x in rows])
+            held = [x[cut:] for x in rows]
         if held is not None:
-            yield pd.DataFrame(of_pair(held), columns=names)
+            yield of_pairs(held)
 
     return run
 
 
-def _extend(a: list, b: list, i: int, j: int, step: int, loss: float, most: int) -> tuple[int, int, int, bool]:
-    """From (i, j) on by ``step``, across edits: words taken of both sides, equal ones, whether a border ended it.
+#: Chains of one document with one source, near enough to be aligned in one piece; ``chains`` has the places of each.
+_GROUP = _CHAIN + ", chains binary, margin long"
+
+
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The 32-bit numbers of all rows and how many each row has."""
+    rows = [column[i].as_buffer() for i in range(len(column))]
+    return np.frombuffer(b"".join(rows), "<i4").astype(np.int64), np.array([len(x) // 4 for x in rows], np.int64)
+
+
+def _grouped(margin: int):
+    """Runs over chains sorted by (doc_id, source_id, first); a group may end with a batch."""
+
+    def of_chains(batch: pa.RecordBatch) -> pa.RecordBatch:
+        doc, source, first, last, source_first, source_last = _columns(batch, _CHAIN.split(", ats")[0])
+        pair = np.cumsum(np.concatenate([[0], (np.diff(doc) != 0) | (np.diff(source) != 0)]))
+        reach = np.maximum.accumulate((pair << 32) + last) & 0xFFFFFFFF
+        far = np.maximum(source_first[1:] - source_last[:-1], source_first[:-1] - source_last[1:])
+        far = np.maximum(far, first[1:] - reach[:-1])
+        begin = np.flatnonzero(np.concatenate([[True], (np.diff(pair) != 0) | (far > 2 * margin)]))
+        at, number = _flat(batch.column("ats"))
+        source_at, _ = _flat(batch.column("source_ats"))
+        places = (np.cumsum(number) - number)[begin]
+        ends = [
+            np.minimum.reduceat(first, begin), np.maximum.reduceat(last, begin),
+            np.minimum.reduceat(source_first, begin), np.maximum.reduceat(source_last, begin),
+        ]
+        return pa.RecordBatch.from_arrays(
+            [*[pa.array(x) for x in (doc[begin], source[begin], *ends)], _binaries(at, places),
+             _binaries(source_at, places), _binaries(number, begin), pa.array(margin + REACH * (ends[1] - ends[0]))],
+            _names(_GROUP),
+        )
 
-    Furthest places by number of edits and diagonal; an equal word earns 1, an edit costs ``loss``, and the
-    search ends when all are ``DROP`` below the best.
-    """
-    room, other = (len(a) - i, len(b) - j) if step > 0 else (i, j)
-    room, other = min(room, most), min(other, most)
-    x0, y0 = (i, j) if step > 0 else (i - 1, j - 1)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield of_chains(batch)
 
-    def slide(x: int, y: int) -> int:
-        start = x
-        while x < room and y < other and a[x0 + step * x] == b[y0 + step * y]:
-            x, y = x + 1, y + 1
-        return x - start
+    return run
+
+
+_NONE = -(1 << 62)
+_LAST = 1 << 62
+
+
+def _slide(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray, most: np.ndarray, step: int) -> np.ndarray:
+    """How many words from x in ``a`` and y in ``b`` on are equal, ``most`` of them at most."""
+    out, rows, width = np.zeros(len(x), np.int64), np.flatnonzero(most > 0), 4
+    rows = rows[a[x[rows]] == b[y[rows]]]  # few go on
+    out[rows] = 1
+    rows = rows[most[rows] > 1]
+    while len(rows):
+        ahead = out[rows, None] + np.arange(width)
+        inside = ahead < most[rows, None]
+        ahead = np.where(inside, ahead, 0) * step
+        equal = (a[x[rows, None] + ahead] == b[y[rows, None] + ahead]) & inside
+        stop = np.where(equal.all(1), width, equal.argmin(1))
+        out[rows] += stop
+        rows = rows[(stop == width) & (out[rows] < most[rows])]
+        width = min(4 * width, 64)
+    return out
 
-    n = slide(0, 0)
-    best, border = (n, n, n, n), n == room or n == other  # score, taken of a and b, equal
-    reached, edits = {0: (n, n)}, 0
-    while reached:
+
+def _extend(
+    a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, room: np.ndarray, other: np.ndarray, step: int,
+    loss: float,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """From many (i, j) on by ``step``, across edits: words taken of both sides, equal ones, whether a border ended it.
+
+    ``room`` and ``other`` are the words that may be taken. Furthest places by number of edits and diagonal; an equal
+    word earns 1, an edit costs ``loss``, and the search ends when all are ``DROP`` below the best. Rows are searches,
+    columns diagonals; a place is its x and its equal words in one number. Among diagonals that come equally far the
+    first one reached counts, so each has its turn besides.
+    """
+    drop = 2 * DROP * min(1, loss / LOSSES[0])  # scores count double
+    x0, y0 = (i, j) if step > 0 else (i - 1, j - 1)
+    n = _slide(a, b, x0, y0, np.minimum(room, other), step)
+    taken, source_taken, equal, score = n.copy(), n.copy(), n.copy(), 2 * n
+    border = (n == room) | (n == other)
+    rows, low = np.arange(len(i)), 0
+    far, turn = ((n << 32) + n)[:, None], np.zeros((len(i), 1), np.int64)
+    edits = 0
+    while len(rows):
         edits += 1
-        new: dict[int, tuple[int, int]] = {}
-        for diagonal, (x, equal) in reached.items():
-            for more, to in ((1, diagonal), (0, diagonal - 1), (1, diagonal + 1)):  # x - y = diagonal
-                if x + more <= room and 0 <= x + more - to <= other:
-                    new[to] = max(new.get(to, (-1, 0)), (x + more, equal))
-        reached = {}
-        for diagonal, (x, equal) in new.items():
-            n = slide(x, x - diagonal)
-            x, equal = x + n, equal + n
-            score = equal - loss * edits
-            if score > best[0]:
-                best = (score, x, x - diagonal, equal)
-            if score >= best[0] - DROP * min(1, loss / LOSSES[0]):
-                border |= x == room or x - diagonal == other
-                reached[diagonal] = (x, equal)
-    return best[1], best[2], best[3], border
+        width = far.shape[1] + 2
+        low -= 1
+        lines = low + np.arange(width)
+        over = (np.minimum(room[rows, None], other[rows, None] + lines) + 1) << 32
+        new = np.full((len(rows), width), _NONE)
+        turns = np.full((len(rows), width), _LAST)
+        tripled = 3 * turn
+        for no, more, to in ((0, 1, 1), (1, 0, 0), (2, 1, 2)):
+            part = slice(to, to + width - 2)
+            moved, moved_turn = far + (more << 32), tripled + no
+            out = (moved < 0) | (moved >= over[:, part])
+            moved[out], moved_turn[out] = _NONE, _LAST
+            np.maximum(new[:, part], moved, out=new[:, part])
+            np.minimum(turns[:, part], moved_turn, out=turns[:, part])
+        r, c = np.nonzero(new >= 0)
+        x = new[r, c] >> 32
+        y, row = x - lines[c], rows[r]
+        n = _slide(
+            a, b, x0[row] + step * x, y0[row] + step * y, np.minimum(room[row] - x, other[row] - y), step
+        )
+        x, y = x + n, y + n
+        same = (new[r, c] & 0xFFFFFFFF) + n
+        new[r, c] = (x << 32) + same
+        worth = np.full(new.shape, -1e18)
+        worth[r, c] = 2 * same - 2 * loss * edits
+        best = score[rows]
+        top = worth.max(1)
+        better = top > best
+        keep = worth >= (np.maximum(best, top) - drop)[:, None]
+        # A diagonal is judged by the best of those before it.
+        open_rows = np.flatnonzero(better & ((worth >= (best - drop)[:, None]) & ~keep).any(1))
+        if len(open_rows):
+            order = turns[open_rows].argsort(1, kind="stable")
+            sorted_ = np.take_along_axis(worth[open_rows], order, 1)
+            so_far = np.maximum(np.maximum.accumulate(sorted_, 1), best[open_rows, None])
+            some = np.zeros(order.shape, bool)
+            np.put_along_axis(some, order, sorted_ >= so_far - drop, 1)
+            keep[open_rows] = some
+        up = np.flatnonzero(better)
+        if len(up):
+            first = np.where(worth[up] == top[up, None], turns[up], _LAST).argmin(1)
+            place, to = new[up, first], rows[up]
+            taken[to], equal[to], score[to] = place >> 32, place & 0xFFFFFFFF, top[up]
+            source_taken[to] = taken[to] - lines[first]
+        kept = keep[r, c]
+        border[row[kept & ((x == room[row]) | (y == other[row]))]] = True
+        columns = np.flatnonzero(keep.any(0))
+        if not len(columns):
+            break
+        part = slice(columns[0], columns[-1] + 1)
+        left = keep.any(1)
+        keep = keep[left, part]
+        far, turn = np.where(keep, new[left, part], _NONE), turns[left, part]
+        rows, low = rows[left], low + int(columns[0])
+        if edits % 32 == 0:
+            turn = np.where(keep, turn, _LAST).argsort(1, kind="stable").argsort(1)
+    return taken, source_taken, equal, border
 
 
 def align(
     a: list, b: list, pairs: list[tuple[int, int]], loss: float = 2
 ) -> tuple[int, int, int, int, int]:
     """From equal places (i, j), of which the first counts: the ends in ``a`` and ``b`` and the number of equal words."""
-    return _both_ends(a, b, *pairs[0], loss)[:5]
+    number = {word: no for no, word in enumerate(dict.fromkeys([*a, *b]))}
+    a, b = [np.array([number[word] for word in words], np.uint64) for words in (a, b)]
+    i, j, zero = np.array([pairs[0][0]]), np.array([pairs[0][1]]), np.zeros(1, np.int64)
+    size, source_size = np.array([len(a)]), np.array([len(b)])
+    found = _both_ends(a, b, i, j, zero, size, zero, source_size, loss)
+    return tuple(int(x[0]) for x in found[:5])
 
 
 def _both_ends(
-    a: list, b: list, i: int, j: int, loss: float, most: int = 1 << 31
-) -> tuple[int, int, int, int, int, bool, bool]:
-    before, source_before, equal, low = _extend(a, b, i, j, -1, loss, most)
-    after, source_after, more, high = _extend(a, b, i, j, 1, loss, most)
-    return i - before, i + after, j - source_before, j + source_after, equal + more, low, high
+    a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, low: np.ndarray, high: np.ndarray,
+    source_low: np.ndarray, source_high: np.ndarray, loss: float, most: int = 1 << 31,
+) -> tuple[np.ndarray, ...]:
+    """Ends in ``a`` and ``b``, equal words and whether the borders were met, of passages round (i, j)."""
+    room, other = np.minimum(i - low, most), np.minimum(j - source_low, most)
+    before, source_before, equal, first = _extend(a, b, i, j, room, other, -1, loss)
+    first &= np.minimum(i - low, j - source_low) < most
+    room, other = np.minimum(high - i, most), np.minimum(source_high - j, most)
+    after, source_after, more, last = _extend(a, b, i, j, room, other, 1, loss)
+    last &= np.minimum(high - i, source_high - j) < most
+    return i - before, i + after, j - source_before, j + source_after, equal + more, first, last
 
 
 PASSAGE = (
@@ -296,58 +617,109 @@ _OPEN = (
 )
 
 
+#: Bytes of pieces that are aligned at once.
+_PIECES = 1 << 23
+
+
+def _side(pieces: pa.Array, low: np.ndarray, size: np.ndarray) -> tuple[Texts, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The words of pieces, the first and the end of those of each piece, and at which ends words may be missing.
+
+    Words that the cut may have split are left out.
+    """
+    data = [pieces[i].as_buffer() for i in range(len(pieces))]
+    texts = Texts(data)
+    before, after = low > 0, low + np.array([len(x) for x in data]) < size
+    first = texts.head[:-1] + before
+    return texts, first, np.maximum(first, texts.head[1:] - after), before, after
+
+
 def _aligned(least: int, alike: float):
-    names = [f.split()[0] for f in (PASSAGE + _OPEN).split(", ")]
+    names = _names(PASSAGE + _OPEN)
+
+    def of_chains(rows: pa.RecordBatch) -> pa.RecordBatch:
+        low, size, source_low, source_size = [
+            rows.column(n).to_numpy().astype(np.int64) for n in ("low", "size", "source_low", "source_size")
+        ]
+        own, first, stop, *cut = _side(rows.column("piece"), low, size)
+        source, source_first, source_stop, *source_cut = _side(rows.column("source_piece"), source_low, source_size)
+        cut = [x | y for x, y in zip(cut, source_cut)]
+        at, _ = _flat(rows.column("ats"))
+        source_at, _ = _flat(rows.column("source_ats"))
+        number, chains = _flat(rows.column("chains"))
+        row = np.repeat(np.arange(len(chains)), chains)
+        of = np.repeat(np.arange(len(number)), number)
+
+        def word(texts: Texts, at: np.ndarray) -> np.ndarray:
+            return np.searchsorted((texts.of << 32) + texts.start, (row[of] << 32) + at)
+
+        i, j = word(own, at - low[row[of]]), word(source, source_at - source_low[row[of]])
+        first, stop, source_first, source_stop = [x[row] for x in (first, stop, source_first, source_stop)]
+        cut = [x[row] for x in cut]
+        a, b = own.hash, source.hash
+        good = (i >= first[of]) & (i < stop[of]) & (j >= source_first[of]) & (j < source_stop[of])
+        good[good] = a[i[good]] == b[j[good]]  # others are of another row under the same id
+        i, j, of = i[good], j[good], of[good]
+        unsure = np.zeros(len(number), bool)
+        found: list[list[np.ndarray]] = [[np.empty(0, np.int64)] * 6]
+        # Each chain's first place that lies in none of its passages so far, until there is none.
+        while len(of):
+            heads = np.flatnonzero(np.concatenate([[True], np.diff(of) != 0]))
+            now = of[heads]
+            ends = np.zeros((5, len(heads)), np.int64)
+            trying = np.arange(len(heads))
+            for loss in LOSSES:
+                # Cheap edits only help a passage to its least length.
+                most = least if loss < LOSSES[0] else 1 << 31
+                head, c = heads[trying], now[trying]
+                *five, before, after = _both_ends(
+                    a, b, i[head], j[head], first[c], stop[c], source_first[c], source_stop[c], loss, most
+                )
+                ends[:, trying] = five
+                unsure[c] |= before & cut[0][c] | after & cut[1][c]
+                words, source_words = five[1] - five[0], five[3] - five[2]
+                enough = 2 * five[4] >= alike * (words + source_words)
+                over = enough & (np.minimum(words, source_words) >= least) | (words < least // 2) | unsure[c]
+                trying = trying[~over]
+                if not len(trying):
+                    break
+            words, source_words = ends[1] - ends[0], ends[3] - ends[2]
+            whole = np.minimum(words, source_words) >= least
+            whole &= 2 * ends[4] >= alike * (words + source_words)
+            found.append([now[whole], *ends[:, whole]])
+            x, y, z, t = np.repeat(ends[:4], np.diff(np.append(heads, len(of))), axis=1)
+            inside = (i >= x) & (i < y) & (j >= z) & (j < t)
+            inside[heads] = True
+            left = ~inside & ~unsure[of]
+            i, j, of = i[left], j[left], of[left]
+        c, x, y, z, t, equal = [np.concatenate(v) for v in zip(*found)]
+        sure = ~unsure[c]
+        c, x, y, z, t, equal = [v[sure] for v in (c, x, y, z, t, equal)]
+        start, source_start = own.start[x], source.start[z]
+        done = [
+            low[row[c]] + start, own.stop[y - 1] - start, source_low[row[c]] + source_start,
+            source.stop[t - 1] - source_start, y - x, equal,
+        ]
+        # What stays open, as it came.
+        still = np.flatnonzero(unsure)
+        kept, number = np.repeat(unsure, number), number[still]
+        begin = np.cumsum(number) - number
+        at, source_at = at[kept], source_at[kept]
+        end = begin + number - 1
+        left = [pa.array(v) for v in (at[begin], at[end], source_at[begin], source_at[end])]
+        left += [_binaries(at, begin), _binaries(source_at, begin)]
+        of = pa.array(row[np.concatenate([c, still])])
+        columns = {n: rows.column(n).take(of) for n in ("doc_id", "source_id", "mark")}
+        for n, v in zip(names[2:8], done):
+            columns[n] = pa.concat_arrays([pa.array(v, pa.int64()), pa.nulls(len(still), pa.int64())])
+        for n, v in zip(names[9:], left):
+            columns[n] = pa.concat_arrays([pa.nulls(len(c), v.type), v])
+        return pa.RecordBatch.from_arrays([columns[n] for n in names], names)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for r in batch.itertuples(index=False):
-                own, source = Words(r.piece), Words(r.source_piece)
-                # Words that the cut may have split are left out.
-                skip, source_skip = int(r.low > 0), int(r.source_low > 0)
-                end = len(own.hash) - int(r.low + len(r.piece) < r.size)
-                source_end = len(source.hash) - int(r.source_low + len(r.source_piece) < r.source_size)
-                cut = skip or source_skip, end < len(own.hash) or source_end < len(source.hash)
-                at = np.frombuffer(r.ats, "<i4").astype(np.int64) - r.low
-                source_at = np.frombuffer(r.source_ats, "<i4").astype(np.int64) - r.source_low
-                a, b = own.hash[skip:end].tolist(), source.hash[source_skip:source_end].tolist()
-                pairs = zip((np.searchsorted(own.start, at) - skip).tolist(),
-                            (np.searchsorted(source.start, source_at) - source_skip).tolist())
-                found, unsure, done = [], False, []
-                for i, j in pairs:
-                    if not (0 <= i < len(a) and 0 <= j < len(b)) or a[i] != b[j]:
-                        continue  # another row under the same id
-                    if any(x <= i < y and z <= j < t for x, y, z, t in done):
-                        continue
-                    for loss in LOSSES:
-                        # Cheap edits only help a passage to its least length.
-                        most = least if loss < LOSSES[0] else 1 << 31
-                        first, last, source_first, source_last, equal, low, high = _both_ends(a, b, i, j, loss, most)
-                        low, high = low and min(i, j) < most, high and min(len(a) - i, len(b) - j) < most
-                        unsure |= bool(low and cut[0] or high and cut[1])
-                        words, source_words = last - first, source_last - source_first
-                        enough = 2 * equal >= alike * (words + source_words)
-                        if enough and min(words, source_words) >= least or words < least // 2:
-                            break
-                    done.append((first, last, source_first, source_last))
-                    if min(words, source_words) < least or 2 * equal < alike * (words + source_words):
-                        continue
-                    start, stop = int(own.start[first + skip]), int(own.stop[last + skip - 1])
-                    source_start = int(source.start[source_first + source_skip])
-                    source_stop = int(source.stop[source_last + source_skip - 1])
-                    found.append(
-                        (r.doc_id, r.source_id, r.low + start, stop - start, r.source_low + source_start,
-                         source_stop - source_start, words, equal, r.mark, *[None] * 6)
-                    )
-                if unsure:
-                    found = [(r.doc_id, r.source_id, *[None] * 6, r.mark, r.first, r.last, r.source_first,
-                              r.source_last, r.ats, r.source_ats)]
-                out += found
-            columns = zip(*out) if out else [()] * len(names)
-            yield pd.DataFrame({
-                n: pd.Series(x, dtype=object if n.endswith("ats") else "Int64") for n, x in zip(names, columns)
-            })
+            size = sum(pa.compute.binary_length(batch.column(n)).to_numpy() for n in ("piece", "source_piece"))
+            for some in _in_turn(iter(range(batch.num_rows)), size.__getitem__, _PIECES):
+                yield of_chains(batch.slice(some[0], len(some)))
 
     return run
 
@@ -368,27 +740,19 @@ def passages(
     docs = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")
     ).where("doc_id IS NOT NULL AND text IS NOT NULL")
-    seeds = materialise(docs.mapInPandas(_seeds(k, span), _SEED))
-    matches = materialise(_first_holders(seeds))
-    texts = docs.select(F.col("doc_id").alias("of"), "text")
-    places = matches.groupBy("doc_id").agg(
-        F.sort_array(F.collect_list(F.struct("word", "source_id", "source_word"))).alias("m")
-    ).select("doc_id", *[F.col(f"m.{c}").alias(c) for c in ("word", "source_id", "source_word")])
-    wide = probably_in(texts, "of", matches.select("doc_id")).join(places, F.col("of") == F.col("doc_id"))
-    longer = materialise(wide.drop("of").mapInArrow(_longer(k, span, least), _SEED))
-    matches = matches.unionByName(_first_holders(longer)).drop("seed").where("doc_id <> source_id")
-    spans = materialise(
-        matches.repartition("doc_id", "source_id")
-        .sortWithinPartitions("doc_id", "source_id", "word", "source_word")
-        .mapInPandas(_chains(k), _CHAIN)
-    )
-    ids = spans.select("doc_id").unionByName(spans.select(F.col("source_id").alias("doc_id")))
+    spans = materialise(_spans(docs, k, span, least))
     texts = docs.select(F.col("doc_id").alias("of"), F.col("text").cast("binary").alias("data"))
-    texts = materialise(probably_in(texts, "of", ids))
-    names = [f.split()[0] for f in PASSAGE.split(", ")]
+    names = _names(PASSAGE)
     parts, margin = [], MARGIN
     while not spans.isEmpty():
-        done = materialise(_pieces(spans, texts, margin).mapInPandas(_aligned(least, alike), PASSAGE + _OPEN))
+        ids = spans.select("doc_id").unionByName(spans.select(F.col("source_id").alias("doc_id")))
+        groups = (
+            spans.repartition("doc_id", "source_id")
+            .sortWithinPartitions("doc_id", "source_id", "first")
+            .mapInArrow(_grouped(margin), _GROUP)
+        )
+        pieces = _pieces(groups, probably_in(texts, "of", ids))
+        done = materialise(pieces.mapInArrow(_aligned(least, alike), PASSAGE + _OPEN))
         parts.append(done.where("start IS NOT NULL").select("mark", *names))
         spans = done.where("start IS NULL").select(*spans.columns)
         margin *= GROWTH
@@ -398,47 +762,47 @@ def passages(
     stop = F.col("start") + F.col("length")
     before = (
         Window.partitionBy("doc_id", "mark")
-        .orderBy("start", stop.desc(), "source_id", "source_start", "source_length")
+        .orderBy("start", stop.desc(), "source_id", "source_start", "source_length", F.desc("equal_words"))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     found = reduce(DataFrame.unionByName, parts).withColumn("before", F.max(stop).over(before))
     return found.where("before IS NULL OR before < start + length").select(*names).distinct()
 
 
-def _first_holders(seeds: DataFrame) -> DataFrame:
-    """The seeds that several places have, each with the first place of the document of smallest id."""
-    # One number for (doc_id, word, at), so that its least value is found by hash aggregation.
-    wide = "decimal(38,0)"
-    doc, word = F.lit(1 << 62).cast("decimal(19,0)"), F.lit(1 << 31).cast("decimal(10,0)")
-    place = (
-        F.col("doc_id").cast("decimal(19,0)") * doc
-        + F.col("word").cast("decimal(10,0)") * word
-        + F.col("at").cast("decimal(10,0)")
-    ).cast(wide)
-    firsts = seeds.groupBy("seed").agg(F.count("*").alias("held"), F.min(place).alias("place"))
-    rest = F.pmod(F.col("place"), F.lit(1 << 62).cast(wide)).cast("long")
-    firsts = materialise(
-        firsts.where("held > 1").select(
-            "seed",
-            ((F.col("place") - rest.cast(wide)) / F.lit(1 << 62).cast("decimal(19,0)"))
-            .cast("long")
-            .alias("source_id"),
-            F.shiftright(rest, 31).cast("int").alias("source_word"),
-            rest.bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("source_at"),
-        )
+def _spans(docs: DataFrame, k: int, span: int, least: int) -> DataFrame:
+    """Chains of matches of each document with one earlier document."""
+    repeated = docs.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    texts = probably(docs.withColumn("text", F.col("text").cast("binary")), "doc_id", repeated, "many")
+    matches = _first_holders(texts.mapInArrow(_seeds(k, span), _SEED))
+    none = F.lit(-1).cast("long")
+    rows = texts.select(
+        "doc_id", (F.col("many").cast("long") - 2).alias("place"), none.alias("source_id"),
+        none.alias("source_place"), "text",
+    ).unionByName(matches.withColumn("text", F.lit(None).cast("binary")))
+    dealt = rows.repartition("doc_id").sortWithinPartitions("doc_id", "place", "source_id", "source_place")
+    found = materialise(dealt.mapInArrow(_longer(k, span, least), _FOUND))
+    runs = found.where("source_place >= 0").select(*_names(_RUN))
+    longer = _first_holders(found.where("source_place < 0").select(*_names(_SEED)))
+    longer = longer.where("doc_id <> source_id").select(
+        "*", F.col("place").alias("last"), F.col("source_place").alias("source_last")
+    )
+    return (
+        runs.unionByName(longer)
+        .repartition("doc_id", "source_id")
+        .sortWithinPartitions("doc_id", "source_id", "place", "source_place")
+        .mapInArrow(_chains(k), _CHAIN)
     )
-    return seeds.join(firsts, "seed")
 
 
-def _pieces(spans: DataFrame, texts: DataFrame, margin: int) -> DataFrame:
-    """The chains with ``margin`` bytes around them on both sides."""
-    margin = min(margin, 1 << 30)
+def _pieces(groups: DataFrame, texts: DataFrame) -> DataFrame:
+    """The chains with the margin of their group around them on both sides."""
+    margin = F.least(F.col("margin"), F.lit(1 << 30))
 
     def piece(low: str, last: str):
         width = F.least(F.col(last) - F.col(low) + margin, F.lit((1 << 31) - 1))
         return F.substring("data", (F.col(low) + 1).cast("int"), width.cast("int"))
 
-    found = spans.withColumns({
+    found = groups.withColumns({
         "low": F.greatest(F.col("first") - margin, F.lit(0)),
         "source_low": F.greatest(F.col("source_first") - margin, F.lit(0)),
     })

@@ -2,6 +2,9 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pyarrow as pa
+
 from parley.llm import substrings
 
 SCHEMA = "doc_id long, text string"
@@ -173,3 +176,94 @@ def test_passages_of_long_words_are_found(spark):
     texts = dict(rows)
     cuts = {r.doc_id: texts[r.doc_id].encode()[r.start : r.start + r.length].decode() for r in found}
     assert cuts == expected
+
+
+def plain_extend(a, b, i, j, step, loss, room, other):
+    """One search by a dictionary of diagonals."""
+    x0, y0 = (i, j) if step > 0 else (i - 1, j - 1)
+
+    def slide(x, y):
+        start = x
+        while x < room and y < other and a[x0 + step * x] == b[y0 + step * y]:
+            x, y = x + 1, y + 1
+        return x - start
+
+    n = slide(0, 0)
+    best, border = (n, n, n, n), n == room or n == other
+    reached, edits = {0: (n, n)}, 0
+    while reached:
+        edits += 1
+        new = {}
+        for diagonal, (x, equal) in reached.items():
+            for more, to in ((1, diagonal), (0, diagonal - 1), (1, diagonal + 1)):
+                if x + more <= room and 0 <= x + more - to <= other:
+                    new[to] = max(new.get(to, (-1, 0)), (x + more, equal))
+        reached = {}
+        for diagonal, (x, equal) in new.items():
+            n = slide(x, x - diagonal)
+            x, equal = x + n, equal + n
+            score = equal - loss * edits
+            if score > best[0]:
+                best = (score, x, x - diagonal, equal)
+            if score >= best[0] - substrings.DROP * min(1, loss / substrings.LOSSES[0]):
+                border |= x == room or x - diagonal == other
+                reached[diagonal] = (x, equal)
+    return *best[1:], border
+
+
+def test_many_searches_at_once_end_where_each_one_does():
+    rng = random.Random(31)
+    a, b, starts = [], [], []
+    for case in range(150):
+        own = [rng.randint(0, 3 if case % 3 else 5000) for _ in range(rng.randint(1, 400))]
+        other = list(own)
+        for _ in range(rng.randint(0, 40)):
+            at = rng.randrange(len(other))
+            other[at : at + rng.randint(0, 3)] = [rng.randint(0, 3) for _ in range(rng.randint(0, 3))]
+            other = other or [1]
+        for _ in range(3):
+            i, j = rng.randint(0, len(own)), rng.randint(0, len(other))
+            starts.append((len(a), len(a) + len(own), len(b), len(b) + len(other), len(a) + i, len(b) + j))
+        a, b = a + own, b + other
+    low, high, source_low, source_high, i, j = np.array(starts).T
+    words, source_words = np.array(a, np.uint64), np.array(b, np.uint64)
+    for loss in substrings.LOSSES:
+        for step, room, other in ((-1, i - low, j - source_low), (1, high - i, source_high - j)):
+            for most in (50, 1 << 31):
+                sides = np.minimum(room, most), np.minimum(other, most)
+                found = substrings._extend(words, source_words, i, j, *sides, step, loss)
+                expected = [
+                    plain_extend(a, b, x, y, step, loss, r, o) for x, y, r, o in zip(i, j, *(s.tolist() for s in sides))
+                ]
+                assert [tuple(map(int, x)) for x in zip(*found)] == [tuple(map(int, x)) for x in expected]
+
+
+def test_first_holders_do_not_depend_on_batches():
+    rng = np.random.default_rng(5)
+    rows = np.stack([rng.integers(0, 60, 150), rng.integers(-3, 9, 150), rng.integers(0, 99, 150)])
+    rows = rows[:, np.lexsort(rows[::-1])]
+    seeds, number = np.unique(rows[0], return_counts=True)
+    assert 1 in number and number.max() > 3
+    expected = []
+    for seed in seeds[number > 1]:
+        own = rows[:, rows[0] == seed]
+        expected += [(*x, *own[1:, 0].tolist()) for x in own[1:].T.tolist()]
+    for size in (1, 2, 3, 7, 150):
+        batches = [substrings._batch(list(rows[:, n : n + size]), substrings._SEED) for n in range(0, 150, size)]
+        found = [tuple(r.values()) for b in substrings._held_first(iter(batches)) for r in b.to_pylist()]
+        assert found == expected, size
+
+
+def test_chains_of_two_texts_share_a_piece():
+    """Many chains of one pair of documents carry the texts round them once."""
+    at = np.array([0, 40, 700, 5000, 5300, 90_000])
+    chain = [(1, 0, x, x + 20, x + 9, x + 29, *[np.array([y, y + 20], "<i4").tobytes() for y in (x, x + 9)]) for x in at.tolist()]
+    chain += [(1, 3, *r[2:]) for r in chain[:1]]
+    names = substrings._names(substrings._CHAIN)
+    batch = pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in chain])
+    (groups,) = substrings._grouped(400)(iter([batch]))
+    rows = groups.to_pylist()
+    assert [(r["source_id"], r["first"], r["last"]) for r in rows] == [(0, 0, 720), (0, 5000, 5320), (0, 90_000, 90_020), (3, 0, 20)]
+    places = [np.frombuffer(r["ats"], "<i4").tolist() for r in rows]
+    assert places[0] == [0, 20, 40, 60, 700, 720] and places[3] == [0, 20]
+    assert [np.frombuffer(r["chains"], "<i4").tolist() for r in rows] == [[2, 2, 2], [2, 2], [2], [2]]
