@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from parley.llm.common import probably, probably_in
 from parley.llm.words import _MUL, Words, _mixed
-from parley.session import materialise
+from parley.session import forget, materialise
 
 K, SPAN = 5, 6
 #: Words of a gap that cost as much as a seed earns; a chain is cut at longer ones.
@@ -740,7 +740,7 @@ def passages(
     docs = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")
     ).where("doc_id IS NOT NULL AND text IS NOT NULL")
-    spans = materialise(_spans(docs, k, span, least))
+    spans = _spans(docs, k, span, least)
     texts = docs.select(F.col("doc_id").alias("of"), F.col("text").cast("binary").alias("data"))
     names = _names(PASSAGE)
     parts, margin = [], MARGIN
@@ -786,12 +786,14 @@ def _spans(docs: DataFrame, k: int, span: int, least: int) -> DataFrame:
     longer = longer.where("doc_id <> source_id").select(
         "*", F.col("place").alias("last"), F.col("source_place").alias("source_last")
     )
-    return (
+    spans = materialise(
         runs.unionByName(longer)
         .repartition("doc_id", "source_id")
         .sortWithinPartitions("doc_id", "source_id", "place", "source_place")
         .mapInArrow(_chains(k), _CHAIN)
     )
+    forget(found)
+    return spans
 
 
 def _pieces(groups: DataFrame, texts: DataFrame) -> DataFrame:

@@ -68,3 +68,12 @@ def materialise(df: DataFrame) -> DataFrame:
     path = new_path(spark)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def forget(df: DataFrame) -> None:
+    """Delete the files of a table that ``materialise`` made and that nothing reads any more."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    for file in df.inputFiles()[:1]:
+        target = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file)).getParent()
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
