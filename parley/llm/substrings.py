@@ -135,11 +135,6 @@ class Texts:
         return grams[at].view(np.int64), at
 
 
-def seeds_of(data: bytes, k: int = K, span: int = SPAN) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and word numbers of the chosen k-word stretches."""
-    return Texts([data]).seeds(k, span)
-
-
 def _columns(batch: pa.RecordBatch, schema: str) -> list[np.ndarray]:
     return [batch.column(n).to_numpy(zero_copy_only=False) for n in _names(schema)]
 
