@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.session import materialise
+from parley.session import forget, materialise
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -28,12 +28,14 @@ def components(links: DataFrame) -> DataFrame:
         ).distinct()
         small_least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(small_least, "u")
+        before = links
         links = materialise(
             small.select("u", F.col("m").alias("v"))
             .unionByName(small.select(F.col("v").alias("u"), F.col("m").alias("v")))
             .where("u <> v")
             .distinct()
         )
+        forget(before)
         now = links.agg(
             F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
         ).first()

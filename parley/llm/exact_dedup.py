@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parley.llm.common import without_blanks
-from parley.session import materialise, new_path
+from parley.session import materialise, new_path, settled
 
 #: Keys of a bucket; more if there would be more buckets than these, so that every task can hold the directory.
 CAPACITY, BUCKETS = 65536, 4096
@@ -181,21 +181,28 @@ def find_copies(
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, with all their columns."""
     columns = docs.columns
-    stays = (
-        find_copies(docs, id_col, text_col)
+    # The index and its texts go before the documents themselves are shuffled.
+    stays = settled(
+        lambda: find_copies(docs, id_col, text_col)
         .where("kept")
         .select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
     )
     text = F.sha2(without_blanks(F.col(text_col)), 256)
-    marked = docs.select("*", text.alias("_text_sha"))
-    # Rows that agree in id and normalised text are told apart by their length, then by nothing.
-    one = Window.partitionBy(id_col, "_text_sha").orderBy(F.char_length(text_col).desc_nulls_last())
-    same = marked[id_col].cast("long").eqNullSafe(stays["_id"]) & (
-        marked["_text_sha"] == stays["_sha"]
+    own = F.col(id_col).cast("long")
+    none = F.lit(0).cast("long")
+    marked = docs.select(
+        "*", F.coalesce(own, none).alias("_own"), own.isNull().alias("_blank"), text.alias("_text_sha")
     )
+    stays = stays.select(
+        F.coalesce("_id", none).alias("_stays"), F.col("_id").isNull().alias("_no_id"), "_sha"
+    )
+    same = (F.col("_own") == F.col("_stays")) & (F.col("_blank") == F.col("_no_id")) & (F.col("_text_sha") == F.col("_sha"))
+    # Rows that agree in id and normalised text are told apart by their length, then by nothing. They lie together
+    # after the join, so the texts are shuffled once.
+    one = Window.partitionBy("_own", "_blank", "_text_sha", id_col).orderBy(F.char_length(text_col).desc_nulls_last())
     return (
         marked.join(stays, same)
-        .select(*columns, "_text_sha", F.row_number().over(one).alias("_row"))
+        .select(*columns, "_own", "_blank", "_text_sha", F.row_number().over(one).alias("_row"))
         .where("_row = 1")
         .select(*columns)
     )

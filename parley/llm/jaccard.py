@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from parley.llm.common import probably_in
 from parley.llm.components import components
 from parley.llm.words import Words
-from parley.session import materialise
+from parley.session import materialise, settled
 
 WORDS_PER_SHINGLE, PERCENT = 5, 80
 GROUPS = 128
@@ -143,10 +143,10 @@ def _members(k: int, percent: int):
         key, owner = key[order], owner[order]
         first = np.concatenate([[True], key[1:] != key[:-1]])
         leader = owner[np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))]
-        # Every member of a tile met here, its leader too, is matched; the leader also goes on.
-        alone = first & np.concatenate([first[1:], [True]])
+        # A tile's leader goes on; the others are matched, once with each leader.
+        met = np.unique(np.stack([owner, leader])[:, owner != leader], axis=1)
         on = pd.DataFrame({"key": key[first], "id": owner[first]})
-        met = pd.DataFrame({"key": key[~alone], "id": owner[~alone], "leader": leader[~alone]})
+        met = pd.DataFrame({"key": 0, "id": met[0], "leader": met[1]})
         return pd.concat([on, met]).astype({"leader": "Int64"})[["key", "id", "leader"]]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -378,8 +378,10 @@ def keep_one(
         F.struct(*columns).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")
     )
     nodes, _ = _with_nodes(marked)
-    found = _join(nodes.select(F.col("node").alias("doc_id"), "text"), k, percent)
-    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
+    gone = settled(
+        lambda: _join(nodes.select(F.col("node").alias("doc_id"), "text"), k, percent)
+        .where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
+    )
     return nodes.join(gone, F.col("node") == F.col("gone"), "left_anti").select("row.*")
 
 
@@ -397,7 +399,7 @@ def _join(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
     # Tiles. Rows that a task has matched already are dealt by themselves.
     rows = known.mapInPandas(_members(k, percent), _MEMBER)
-    deal = F.when(F.col("leader").isNull(), F.col("key")).otherwise(F.xxhash64("key", "id"))
+    deal = F.when(F.col("leader").isNull(), F.col("key")).otherwise(F.xxhash64("leader", "id"))
     tile = Window.partitionBy("deal", F.col("leader").isNull())
     rows = rows.select("*", deal.alias("deal")).select("id", "leader", F.min("id").over(tile).alias("least"))
     stars = rows.select("id", F.coalesce("leader", "least").alias("leader")).where("id <> leader")
