@@ -23,9 +23,11 @@ rows. Other columns are ignored.
 
 from __future__ import annotations
 
+import tempfile
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from functools import reduce
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -57,8 +59,15 @@ _SEED = "seed long, doc_id long, place long"
 _MATCH = "doc_id long, place long, source_id long, source_place long"
 #: Of an equal stretch its first and its last matched place.
 _RUN = "doc_id long, source_id long, place long, source_place long, last long, source_last long"
-#: Runs, and keys with -1 for what they lack.
-_FOUND = "seed long, doc_id long, place long, source_id long, source_place long, last long, source_last long"
+#: Seeds of a bucket: all numbers of a column of ``_SEED`` after another, 64 bits each.
+_BLOCK = "bucket long, rows binary"
+#: Runs, or blocks of keys; either has nulls for the other's columns.
+_FOUND = _RUN + ", " + _BLOCK
+
+#: Bytes of all texts for each bucket of seeds (some 50,000), and the number of buckets.
+BUCKET_BYTES, BUCKETS = 1 << 20, (64, 1 << 20)
+#: Rows that a task deals to buckets at once, and those of a bucket that it holds in memory.
+_DEAL, _HOLD = 1 << 20, 1 << 21
 
 
 def _names(schema: str) -> list[str]:
@@ -160,7 +169,27 @@ def _handed(parts: Iterator[list[np.ndarray]], schema: str) -> Iterator[pa.Recor
         yield _batch([np.concatenate(x) for x in zip(*held)], schema)
 
 
-def _seeds(k: int, span: int):
+def _blocks(rows: list[np.ndarray], buckets: int) -> list[pa.Array]:
+    """Columns as in ``_BLOCK`` of rows as in ``_SEED``; the lower half of a seed is the even one."""
+    seed = rows[0].view(np.uint64)
+    turned = (seed << np.uint64(32)) | (seed >> np.uint64(32))
+    order = np.argsort(turned)
+    bucket = (turned[order] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+    rows = np.stack(rows)[:, order]
+    begin = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    parts = [rows[:, a:b].tobytes() for a, b in zip(begin, np.append(begin[1:], len(bucket)))]
+    return [pa.array(bucket[begin].astype(np.int64)), pa.array(parts, pa.binary())]
+
+
+def _dealt(parts: Iterator[list[np.ndarray]], buckets: int) -> Iterator[list[pa.Array]]:
+    """Rows as in ``_SEED`` in blocks, ``_DEAL`` rows at a time."""
+    for some in _in_turn(parts, lambda part: len(part[0]), _DEAL):
+        rows = [np.concatenate(x) for x in zip(*some)]
+        if len(rows[0]):
+            yield _blocks(rows, buckets)
+
+
+def _seeds(k: int, span: int, buckets: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
             text = batch.column("text")
@@ -177,7 +206,8 @@ def _seeds(k: int, span: int):
             yield [seed, np.array(doc_id, np.int64)[of], place]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _handed(parts(batches), _SEED)
+        for columns in _dealt(parts(batches), buckets):
+            yield pa.RecordBatch.from_arrays(columns, _names(_BLOCK))
 
     return run
 
@@ -208,10 +238,68 @@ def _held_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _batch([rows[1, pick], rows[2, pick], heads[1, of], heads[2, of]], _MATCH)
 
 
-def _first_holders(seeds: DataFrame) -> DataFrame:
+def _several(blocks: list[np.ndarray]) -> np.ndarray:
+    """The rows of seeds that have several, sorted by (seed, doc_id, place)."""
+    rows = np.concatenate(blocks, axis=1)
+    order = np.argsort(rows[0])
+    seed = rows[0][order]
+    same = seed[1:] == seed[:-1]
+    rows = rows[:, order[np.concatenate([[False], same]) | np.concatenate([same, [False]])]]
+    return rows[:, np.lexsort(rows[::-1])]
+
+
+def _stored_first(blocks: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Of a bucket that is not held in memory, as ``_held_first``: its blocks are stored and read again.
+
+    What is held is the first row of each seed, and whether there are several.
+    """
+    with tempfile.TemporaryFile() as store:
+        first, sizes = np.empty((4, 0), np.int64), []
+        for some in _in_turn(blocks, lambda block: block.shape[1], _DEAL):
+            rows = np.concatenate(some, axis=1)
+            rows = rows[:, np.lexsort(rows[::-1])]
+            store.write(rows.tobytes())
+            sizes.append(rows.shape[1])
+            rows = np.concatenate([first, np.concatenate([rows, np.zeros((1, rows.shape[1]), np.int64)])], axis=1)
+            rows = rows[:, np.lexsort(rows[2::-1])]
+            begin = np.flatnonzero(np.concatenate([[True], rows[0, 1:] != rows[0, :-1]]))
+            first = rows[:, begin]
+            first[3] = np.maximum.reduceat(rows[3], begin) | (np.diff(np.append(begin, rows.shape[1])) > 1)
+        store.seek(0)
+        for size in sizes:
+            rows = np.frombuffer(store.read(24 * size), np.int64).reshape(3, size)
+            of = np.searchsorted(first[0], rows[0])
+            pick = np.flatnonzero(first[3, of])
+            if len(pick):
+                of = of[pick]
+                yield _batch([rows[1, pick], rows[2, pick], first[1, of], first[2, of]], _MATCH)
+
+
+def _held_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs over blocks sorted by bucket: the rows of a seed are within one bucket."""
+
+    def blocks() -> Iterator[tuple[int, np.ndarray]]:
+        for batch in batches:
+            rows = batch.column("rows")
+            for i, bucket in enumerate(batch.column("bucket").to_pylist()):
+                yield bucket, np.frombuffer(rows[i].as_buffer(), np.int64).reshape(3, -1)
+
+    for _, own in groupby(blocks(), lambda block: block[0]):
+        own, held, size = (rows for _, rows in own), [], 0
+        for rows in own:
+            held.append(rows)
+            size += rows.shape[1]
+            if size > _HOLD:
+                yield from _stored_first(chain(held, own))
+                break
+        else:
+            rows = _several(held)
+            yield from _held_first(iter([_batch(list(rows[:, n : n + _ROWS]), _SEED) for n in range(0, rows.shape[1], _ROWS)]))
+
+
+def _first_holders(blocks: DataFrame) -> DataFrame:
     """The places of seeds that several places have, each with the first place of the document of smallest id."""
-    dealt = seeds.repartition("seed").sortWithinPartitions("seed", "doc_id", "place")
-    return dealt.mapInArrow(_held_first, _MATCH)
+    return blocks.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_held_blocks, _MATCH)
 
 
 def _runs(rows: list[np.ndarray], k: int) -> list[np.ndarray]:
@@ -239,24 +327,25 @@ def _runs(rows: list[np.ndarray], k: int) -> list[np.ndarray]:
     return [doc[begin], source[begin], place[begin], there[begin], last[end], last_there[end], twice]
 
 
-def _longer(k: int, span: int, least: int):
+def _longer(k: int, span: int, least: int, buckets: int):
     """Runs of matched seeds, and longer keys there: all ``least``-word stretches, and pairs of seeds that no one source joins.
 
-    Over rows sorted by (doc_id, place), texts first. A stretch that another document has too has only
+    Over rows sorted by doc_id, which alone Spark sorts by its bits. A stretch that another document has too has only
     matched seeds, apart from those that words beside it chose. A stretch within one run is left out: then
     the run's source is the stretch's first holder too, as the least one of its inner seeds, and has them on one line.
     """
 
-    def of_documents(some: list[tuple]) -> Iterator[list[np.ndarray]]:
+    def of_documents(some: list[tuple]) -> Iterator[tuple[str, list[np.ndarray]]]:
         ids, texts_of, rows_of = zip(*some)
         ids, rows = np.array(ids, np.int64), [np.concatenate(x) for x in zip(*rows_of)]
         size = np.array([len(x[0]) for x in rows_of])
+        rows = [x[np.lexsort((rows[2], rows[1], rows[0], np.repeat(np.arange(len(ids)), size)))] for x in rows]
         doc = np.repeat(ids, size)
         place, source, there = rows
         runs = _runs([x[source != doc] for x in (doc, source, place, there, place, there)], k)
         twice = runs.pop()
-        for some in [runs[i] for i in (0, 2, 1, 3, 4, 5)], [runs[i][twice] for i in (0, 4, 1, 5, 4, 5)]:
-            yield [np.zeros(len(some[0]), np.int64), *some]
+        yield _RUN, runs
+        yield _RUN, [runs[i][twice] for i in (0, 1, 4, 5, 4, 5)]
         # Every text of a document meets all its matches.
         number = np.array([len(x) for x in texts_of])
         owner, many = np.repeat(np.arange(len(ids)), number), np.array([m for x in texts_of for m, _ in x], np.int64)
@@ -301,38 +390,46 @@ def _longer(k: int, span: int, least: int):
         keys, words = np.concatenate(keys).view(np.int64), np.concatenate(words)
         of = texts.of[words]
         place = _place(words - texts.head[of], texts.start[words], many[of])
-        yield [keys, ids[owner[of]], place, *[np.full(len(keys), -1)] * 4]
+        yield _SEED, [keys, ids[owner[of]], place]
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         now, texts, held = None, [], []
         for batch in batches:
-            doc, place, source, there = [
-                batch.column(n).to_numpy() for n in ("doc_id", "place", "source_id", "source_place")
-            ]
-            text, plain = batch.column("text"), np.append(np.flatnonzero(place < 0), len(place))
-            begin = np.flatnonzero(np.concatenate([[True], np.diff(doc) != 0])) if len(doc) else []
-            at = 0
-            for a, b in zip(begin, [*begin[1:], len(doc)]):
-                if doc[a] != now:
+            doc, *columns = [batch.column(n).to_numpy() for n in ("doc_id", "place", "source_id", "source_place")]
+            text, is_text = batch.column("text"), columns[0] < 0
+            begin = np.flatnonzero(np.concatenate([[True], np.diff(doc) != 0])) if len(doc) else np.empty(0, np.int64)
+            edges, plain = np.append(begin, len(doc)), np.flatnonzero(is_text)
+            columns = [x[~is_text] for x in columns]
+            text_at = np.searchsorted(plain, edges)
+            at = edges - text_at
+            for n, first in enumerate(doc[begin].tolist()):
+                if first != now:
                     if held:
                         yield now, texts, [np.concatenate(x) for x in zip(*held)]
-                    now, texts, held = int(doc[a]), [], []
-                m = a
-                while plain[at] < b:
-                    m = int(plain[at])
-                    texts.append((int(place[m] == -1), text[m].as_buffer()))
-                    at, m = at + 1, m + 1
-                if m < b:
-                    held.append([x[m:b] for x in (place, source, there)])
+                    now, texts, held = first, [], []
+                for m in plain[text_at[n] : text_at[n + 1]].tolist():
+                    texts.append((int(batch.column("place")[m].as_py() == -1), text[m].as_buffer()))
+                if at[n] < at[n + 1]:
+                    held.append([x[at[n] : at[n + 1]] for x in columns])
         if held:
             yield now, texts, [np.concatenate(x) for x in zip(*held)]
 
-    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[np.ndarray]]]:
         for some in _in_turn(documents(batches), lambda d: sum(len(t) for _, t in d[1])):
             yield from of_documents(some)
 
+    def of_both(some: list[tuple[str, list[np.ndarray]]]) -> Iterator[pa.RecordBatch]:
+        names, numbers = _names(_FOUND), len(_names(_RUN))
+        if rows := [x for kind, x in some if kind == _RUN]:
+            columns = [pa.array(np.concatenate(x)) for x in zip(*rows)]
+            none = [pa.nulls(len(columns[0]), t) for t in (pa.int64(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*columns, *none], names)
+        for columns in _dealt((x for kind, x in some if kind == _SEED), buckets):
+            yield pa.RecordBatch.from_arrays([*[pa.nulls(len(columns[0]), pa.int64())] * numbers, *columns], names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _handed(parts(batches), _FOUND)
+        for some in _in_turn(parts(batches), lambda part: len(part[1][0]), _DEAL):
+            yield from of_both(some)
 
     return run
 
@@ -395,7 +492,7 @@ def _binaries(values: np.ndarray, begin: np.ndarray) -> pa.Array:
 
 
 def _chains(k: int):
-    """Runs over rows sorted by (doc_id, source_id, place); a pair may go on in the next batch."""
+    """Runs over rows sorted by doc_id, in which all rows of a pair are; a document may go on in the next batch."""
 
     def of_pairs(rows: list[np.ndarray]) -> pa.RecordBatch:
         doc, source, place, there, last, last_there, twice = _runs(rows, k)
@@ -420,7 +517,7 @@ def _chains(k: int):
                 rows = [np.concatenate(x) for x in zip(held, rows)]
             if not len(rows[0]):
                 continue
-            edges = np.flatnonzero((np.diff(rows[0]) != 0) | (np.diff(rows[1]) != 0))
+            edges = np.flatnonzero(np.diff(rows[0]))
             cut = int(edges[-1]) + 1 if len(edges) else 0
             if cut:
                 yield of_pairs([x[:cut] for x in rows])
@@ -768,23 +865,25 @@ def _spans(docs: DataFrame, k: int, span: int, least: int) -> DataFrame:
     """Chains of matches of each document with one earlier document."""
     repeated = docs.groupBy("doc_id").count().where("count > 1").select("doc_id")
     texts = probably(docs.withColumn("text", F.col("text").cast("binary")), "doc_id", repeated, "many")
-    matches = _first_holders(texts.mapInArrow(_seeds(k, span), _SEED))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = min(max(size // BUCKET_BYTES, BUCKETS[0]), BUCKETS[1])
+    matches = _first_holders(texts.mapInArrow(_seeds(k, span, buckets), _BLOCK))
     none = F.lit(-1).cast("long")
     rows = texts.select(
         "doc_id", (F.col("many").cast("long") - 2).alias("place"), none.alias("source_id"),
         none.alias("source_place"), "text",
     ).unionByName(matches.withColumn("text", F.lit(None).cast("binary")))
-    dealt = rows.repartition("doc_id").sortWithinPartitions("doc_id", "place", "source_id", "source_place")
-    found = materialise(dealt.mapInArrow(_longer(k, span, least), _FOUND))
-    runs = found.where("source_place >= 0").select(*_names(_RUN))
-    longer = _first_holders(found.where("source_place < 0").select(*_names(_SEED)))
+    dealt = rows.repartition("doc_id").sortWithinPartitions("doc_id")
+    found = materialise(dealt.mapInArrow(_longer(k, span, least, buckets), _FOUND))
+    runs = found.where("bucket IS NULL").select(*_names(_RUN))
+    longer = _first_holders(found.where("bucket IS NOT NULL").select(*_names(_BLOCK)))
     longer = longer.where("doc_id <> source_id").select(
         "*", F.col("place").alias("last"), F.col("source_place").alias("source_last")
     )
     spans = materialise(
         runs.unionByName(longer)
         .repartition("doc_id", "source_id")
-        .sortWithinPartitions("doc_id", "source_id", "place", "source_place")
+        .sortWithinPartitions("doc_id")
         .mapInArrow(_chains(k), _CHAIN)
     )
     forget(found)

@@ -267,3 +267,26 @@ def test_chains_of_two_texts_share_a_piece():
     places = [np.frombuffer(r["ats"], "<i4").tolist() for r in rows]
     assert places[0] == [0, 20, 40, 60, 700, 720] and places[3] == [0, 20]
     assert [np.frombuffer(r["chains"], "<i4").tolist() for r in rows] == [[2, 2, 2], [2, 2], [2], [2]]
+
+
+def test_seeds_in_blocks_meet_their_first_holders(monkeypatch):
+    """Seeds go to tasks in few rows, a block for each bucket, and have the same first holders, also where a bucket is stored."""
+    rng = np.random.default_rng(6)
+    rows = np.stack([rng.integers(-40, 40, 900) << 33, rng.integers(-3, 9, 900), rng.integers(0, 99, 900)])
+    rows[0, :400] = 7 << 33  # a hot seed
+    rows[0, -300:] = rng.integers(-(1 << 62), 1 << 62, 300)  # alone
+    ordered = rows[:, np.lexsort(rows[::-1])]
+    expected = [tuple(r.values()) for b in substrings._held_first(iter([substrings._batch(list(ordered), substrings._SEED)])) for r in b.to_pylist()]
+    for deal, hold in ((1 << 20, 1 << 21), (64, 1 << 21), (64, 100)):
+        monkeypatch.setattr(substrings, "_DEAL", deal)
+        monkeypatch.setattr(substrings, "_HOLD", hold)
+        parts = (list(rows[:, n : n + 50]) for n in range(0, 900, 50))
+        blocks = [r for columns in substrings._dealt(parts, 4) for r in zip(*[c.to_pylist() for c in columns])]
+        assert len(blocks) <= 4 * 18 and {b for b, _ in blocks} <= {0, 1, 2, 3}
+        blocks.sort(key=lambda r: r[0])
+        batches = [
+            pa.RecordBatch.from_arrays([pa.array(list(x)) for x in zip(*blocks[n : n + 5])], ["bucket", "rows"])
+            for n in range(0, len(blocks), 5)
+        ]
+        found = [tuple(r.values()) for b in substrings._held_blocks(iter(batches)) for r in b.to_pylist()]
+        assert sorted(found) == sorted(expected), (deal, hold)
