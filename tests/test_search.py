@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from parley.operators.embedding import apply_model, hash_embedding
 from parley.operators.fusion import fuse, majority_vote, pick_diverse, search_ensemble, search_mmr
 from parley.operators.knn import GROUPS, Best, _blocked, hit_schema, search
-from parley.operators.pruned import HELD, _parts, search_pruned
+from parley.operators.pruned import HELD, Cells, _cell_blocks, _parts, search_pruned
 
 RNG = np.random.default_rng(7)
 INDEX = np.round(RNG.normal(size=(300, 8)), 1)
@@ -246,3 +246,22 @@ def test_nothing_joins_back_to_the_index(spark, tables):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert plan.count("MapInArrow") == 1 and "Join" not in plan
+
+
+def test_pruned_search_sends_questions_to_blocks_not_cells(spark, frame):
+    """However many cells a question visits, it is shuffled once for each group of index blocks; blocks are bounded."""
+    vectors = RNG.normal(size=(400, 32))
+    index = frame([(i, v.tolist()) for i, v in enumerate(vectors)], "chunk_id long, embedding array<float>")
+    questions = index.where("chunk_id % 8 = 0").withColumnRenamed("chunk_id", "question_id")
+    got = search_pruned(questions, index, 3, block_questions=9, block_rows=30)
+    plan = got.hits._jdf.queryExecution().executedPlan().toString()
+    assert "explode(cells" not in plan
+    assert as_set(got.hits) == as_set(search(questions, index, 3))
+    sizes = np.array([3, 50, 200, 1, 1, 28, 30])
+    none = np.zeros(7)
+    cells = Cells(np.zeros((1, 2)), np.arange(-1, 6), none.astype(int), sizes, none, none, none.astype(int))
+    rows = _cell_blocks(spark, cells, 30).collect()
+    held = np.zeros(99)
+    for r, size in zip(rows, sizes):
+        held[r.block : r.block + r.parts] += size / r.parts
+    assert [r.cell for r in rows] == list(range(-1, 6)) and held.max() <= 90 and (held > 0).sum() <= 400 // 30 + 1
