@@ -59,7 +59,8 @@ _SEED = "seed long, doc_id long, place long"
 _MATCH = "doc_id long, place long, source_id long, source_place long"
 #: Of an equal stretch its first and its last matched place.
 _RUN = "doc_id long, source_id long, place long, source_place long, last long, source_last long"
-#: Seeds of a bucket: all numbers of a column of ``_SEED`` after another, 64 bits each.
+#: Seeds of a bucket: the columns of ``_SEED`` one after the other, all first bytes of the numbers, then all second ones
+#: and so on, as the higher ones are often equal and then need little room.
 _BLOCK = "bucket long, rows binary"
 #: Runs, or blocks of keys; either has nulls for the other's columns.
 _FOUND = _RUN + ", " + _BLOCK
@@ -67,7 +68,7 @@ _FOUND = _RUN + ", " + _BLOCK
 #: Bytes of all texts for each bucket of seeds (some 50,000), and the number of buckets.
 BUCKET_BYTES, BUCKETS = 1 << 20, (64, 1 << 20)
 #: Rows that a task deals to buckets at once, and those of a bucket that it holds in memory.
-_DEAL, _HOLD = 1 << 20, 1 << 21
+_DEAL, _HOLD = 1 << 18, 1 << 20
 
 
 def _names(schema: str) -> list[str]:
@@ -177,7 +178,8 @@ def _blocks(rows: list[np.ndarray], buckets: int) -> list[pa.Array]:
     bucket = (turned[order] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
     rows = np.stack(rows)[:, order]
     begin = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-    parts = [rows[:, a:b].tobytes() for a, b in zip(begin, np.append(begin[1:], len(bucket)))]
+    ends = np.append(begin[1:], len(bucket))
+    parts = [rows[:, a:b].copy().view(np.uint8).reshape(-1, 8).T.tobytes() for a, b in zip(begin, ends)]
     return [pa.array(bucket[begin].astype(np.int64)), pa.array(parts, pa.binary())]
 
 
@@ -282,7 +284,8 @@ def _held_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.column("rows")
             for i, bucket in enumerate(batch.column("bucket").to_pylist()):
-                yield bucket, np.frombuffer(rows[i].as_buffer(), np.int64).reshape(3, -1)
+                numbers = np.frombuffer(rows[i].as_buffer(), np.uint8).reshape(8, -1)
+                yield bucket, np.ascontiguousarray(numbers.T).view(np.int64).reshape(3, -1)
 
     for _, own in groupby(blocks(), lambda block: block[0]):
         own, held, size = (rows for _, rows in own), [], 0
@@ -710,7 +713,7 @@ _OPEN = (
 
 
 #: Bytes of pieces that are aligned at once.
-_PIECES = 1 << 23
+_PIECES = 1 << 22
 
 
 def _side(pieces: pa.Array, low: np.ndarray, size: np.ndarray) -> tuple[Texts, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
